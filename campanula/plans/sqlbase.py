@@ -312,4 +312,9 @@ def sql_with(body: str) -> str:
         visit(d)
     if not order:
         return body
-    return "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in order) + "\n" + body
+    head = ",\n".join(f"{n} AS ({CTES[n]})" for n in order)
+    stripped = body.lstrip()
+    if stripped[:4].upper() == "WITH":
+        # merge the body's own CTE list into ours
+        return "WITH " + head + ",\n" + stripped[4:].lstrip()
+    return "WITH " + head + "\n" + body
