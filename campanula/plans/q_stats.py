@@ -1 +1,307 @@
-"""Queries (filled in below)."""
+"""Statistical test queries (STA-*): statistics with oracle SQL; p-values
+in a separate rows-only query (the oracle has no distribution functions)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from campanula.operators import describe as D
+from campanula.operators import stats as S
+from campanula.plans.registry import register, tables
+from campanula.plans.q_describe import aov_last_touch
+
+G = "stats"
+
+# --- sources: (name, spark builder(t) -> (df, group/flag, value), SQL yielding g, v) -------------
+_CONVERTED = "CAST(converted_30d AS INTEGER)"
+
+
+def _lc(t):
+    return D.leads_with_campaign(t.leads, t.campaigns)
+
+
+def _bracket_leads(t):
+    return t.leads.withColumn("disc_bracket", D.discount_bracket(F.col("discount_offered_pct"))) \
+                  .withColumn("conv_i", F.col("converted_30d").cast("int"))
+
+
+def _acq(t):
+    return t.abt.join(D.acquisition_channel(t.leads, t.campaigns), "customer_id", "left")
+
+
+_BRACKET_SQL = """(SELECT *, CASE WHEN d > -1 AND d <= 0 THEN '0%' WHEN d > 0 AND d <= 10 THEN '1-10%'
+   WHEN d > 10 AND d <= 15 THEN '11-15%' WHEN d > 15 AND d <= 20 THEN '16-20%' WHEN d > 20 AND d <= 100 THEN '>20%' END
+   AS disc_bracket FROM (SELECT *, COALESCE(discount_offered_pct, 0.0) AS d FROM leads) x)"""
+
+_ACQ_SQL = """(SELECT a.*, c.acquisition_channel FROM abt a LEFT JOIN acq_channel c ON a.customer_id = c.customer_id)"""
+
+GROUP_TESTS = {
+    # name: (spark (df, group, value), SQL source with columns g, v)
+    "channel_x_converted": (lambda t: (_lc(t).withColumn("conv_i", F.col("converted_30d").cast("int")),
+                                       "channel", "conv_i"),
+                            f"SELECT channel AS g, {_CONVERTED} AS v FROM leads_camp"),
+    "region_x_revenue": (lambda t: (t.abt, "region", "total_revenue"),
+                         "SELECT region AS g, total_revenue AS v FROM abt"),
+    "discount_bracket_x_converted": (lambda t: (_bracket_leads(t), "disc_bracket", "conv_i"),
+                                     f"SELECT disc_bracket AS g, {_CONVERTED} AS v FROM {_BRACKET_SQL} b"),
+    "loyalty_tier_x_revenue": (lambda t: (t.abt, "loyalty_tier", "total_revenue"),
+                               "SELECT loyalty_tier AS g, total_revenue AS v FROM abt"),
+    "acquisition_channel_x_ltv": (lambda t: (_acq(t), "acquisition_channel", "CLV_proxy"),
+                                  f"SELECT acquisition_channel AS g, \"CLV_proxy\" AS v FROM {_ACQ_SQL} q"),
+    "last_touch_channel_x_aov": (lambda t: (aov_last_touch(t), "channel", "cust_aov"),
+                                 "SELECT channel AS g, cust_aov AS v FROM aov_last_touch"),
+}
+
+
+def _kruskal_sql(name: str, src: str) -> str:
+    return f"""SELECT '{name}' AS test,
+  ((12.0 / (n * (n + 1))) * s - 3.0 * (n + 1)) / (1.0 - t / (n * n * n - n)) AS statistic,
+  CAST(n AS BIGINT) AS n, 'chi2' AS dist, CAST(k - 1 AS DOUBLE) AS df1, CAST(NULL AS DOUBLE) AS df2
+FROM (SELECT CAST(sum(n_g) AS DOUBLE) AS n, count(*) AS k, sum(r_g * r_g / n_g) AS s FROM (
+        SELECT g, count(*) AS n_g, sum(rk) AS r_g FROM (
+          SELECT g, v, rank() OVER (ORDER BY v) + (count(*) OVER (PARTITION BY v) - 1) / 2.0 AS rk
+          FROM ({_kept(src)}) b) r GROUP BY g) per) tot,
+     (SELECT sum(CAST(c AS DOUBLE) * c * c - c) AS t FROM (SELECT count(*) AS c FROM ({_kept(src)}) b2 GROUP BY v) tv) ties"""
+
+
+def _kept(src: str) -> str:
+    return f"""SELECT g, v FROM ({src}) s0 WHERE g IS NOT NULL AND v IS NOT NULL AND g IN (
+  SELECT g FROM ({src}) s1 WHERE g IS NOT NULL AND v IS NOT NULL GROUP BY g HAVING count(*) > 1)"""
+
+
+def _anova_sql(name: str, src: str) -> str:
+    return f"""SELECT '{name}' AS test, (ssb / (k - 1)) / (ssw / (n - k)) AS statistic, CAST(n AS BIGINT) AS n,
+  'f' AS dist, CAST(k - 1 AS DOUBLE) AS df1, CAST(n - k AS DOUBLE) AS df2
+FROM (SELECT sum(n_g) AS n, count(*) AS k,
+        sum(n_g * (m_g - gm) * (m_g - gm)) AS ssb, sum((n_g - 1) * v_g) AS ssw
+      FROM (SELECT g, count(*) AS n_g, avg(v) AS m_g, var_samp(v) AS v_g FROM ({_kept(src)}) b GROUP BY g) per,
+           (SELECT sum(v) / count(*) AS gm FROM ({_kept(src)}) b2) grand) a"""
+
+
+def _group_query(kind: str):
+    names = list(GROUP_TESTS) if kind == "kruskal" else ["region_x_revenue", "loyalty_tier_x_revenue",
+                                                          "acquisition_channel_x_ltv", "last_touch_channel_x_aov"]
+    sql = " UNION ALL ".join((_kruskal_sql if kind == "kruskal" else _anova_sql)(n, GROUP_TESTS[n][1])
+                             for n in names)
+
+    def run(spark, sf_dir):
+        t = tables(spark, sf_dir)
+        fn = S.kruskal if kind == "kruskal" else S.anova
+        parts = []
+        for n in names:
+            df, g, v = GROUP_TESTS[n][0](t)
+            if n == "acquisition_channel_x_ltv":
+                df = df.filter(F.col("acquisition_channel").isNotNull())
+            parts.append(fn(df, g, v, n))
+        return S.union_all(parts)
+    return sql, run
+
+
+for _kind in ("kruskal", "anova"):
+    _sql, _run = _group_query(_kind)
+    register(f"{_kind}_tests", _sql, group=G)(_run)
+
+
+# --- chi-square: categorical x flag -------------------------------------------
+CHI2 = {
+    "channel_x_converted": (lambda t: (_lc(t), "channel"), "SELECT channel AS a, converted_30d AS f FROM leads_camp"),
+    "objective_x_converted": (lambda t: (_lc(t), "objective"),
+                              "SELECT objective AS a, converted_30d AS f FROM leads_camp"),
+    "landing_page_x_converted": (lambda t: (t.leads, "landing_page"),
+                                 "SELECT landing_page AS a, converted_30d AS f FROM leads"),
+    "discounted_x_converted": (lambda t: (t.leads.withColumn("discounted", F.coalesce(
+        F.col("discount_offered_pct") > 0, F.lit(False))), "discounted"),
+        "SELECT COALESCE(discount_offered_pct > 0, false) AS a, converted_30d AS f FROM leads"),
+}
+
+
+def _chi2_sql(name: str, src: str) -> str:
+    term = ("(CASE WHEN dof = 1 THEN abs({o} - e{s}) - least(0.5, abs({o} - e{s})) ELSE abs({o} - e{s}) END)")
+    t1, t0 = term.format(o="o1", s="1"), term.format(o="o0", s="0")
+    return f"""SELECT '{name}' AS test, chi2 AS statistic, CAST(n AS BIGINT) AS n, 'chi2' AS dist,
+  CAST(dof AS DOUBLE) AS df1, CAST(NULL AS DOUBLE) AS df2,
+  sqrt(chi2 / (n * (least(r, 2) - 1))) AS cramers_v
+FROM (SELECT sum({t1} * {t1} / e1 + {t0} * {t0} / e0) AS chi2, max(n) AS n, max(dof) AS dof, max(r) AS r
+      FROM (SELECT w.*, (o1 + o0) * c1 / n AS e1, (o1 + o0) * c0 / n AS e0, tot.n, tot.r - 1 AS dof, tot.r
+            FROM (SELECT a, CAST(count_if(COALESCE(f, false)) AS DOUBLE) AS o1,
+                         CAST(count_if(NOT COALESCE(f, false)) AS DOUBLE) AS o0
+                  FROM ({src}) s WHERE a IS NOT NULL GROUP BY a) w,
+                 (SELECT CAST(count(*) AS DOUBLE) AS n, CAST(count_if(COALESCE(f, false)) AS DOUBLE) AS c1,
+                         CAST(count_if(NOT COALESCE(f, false)) AS DOUBLE) AS c0, count(DISTINCT a) AS r
+                  FROM ({src}) s2 WHERE a IS NOT NULL) tot) x) y"""
+
+
+@register("chi2_tests", " UNION ALL ".join(_chi2_sql(n, s) for n, (_, s) in CHI2.items()), group=G)
+def q_chi2(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    parts = []
+    for name, (fn, _) in CHI2.items():
+        df, a = fn(t)
+        parts.append(S.chi2_flag(df, a, F.col("converted_30d"), name))
+    return S.union_all(parts)
+
+
+# --- two-group tests ----------------------------------------------------------
+TWO = {
+    "mobile_vs_desktop_revenue": (
+        lambda t: (t.abt.filter(F.col("preferred_device").isin("mobile", "desktop")),
+                   F.col("preferred_device") == "mobile", "total_revenue"),
+        "SELECT preferred_device = 'mobile' AS x, total_revenue AS v FROM abt WHERE preferred_device IN ('mobile', 'desktop')"),
+    "converted_vs_not_lead_score": (
+        lambda t: (t.leads, F.col("converted_30d"), "lead_score"),
+        "SELECT converted_30d AS x, lead_score AS v FROM leads"),
+    "repeat90_vs_not_revenue": (
+        lambda t: (t.abt.join(D.repeat_target(t.transactions).select("customer_id", "repeat_90d"), "customer_id"),
+                   F.col("repeat_90d") == 1, "total_revenue"),
+        "SELECT r.repeat_90d = 1 AS x, a.total_revenue AS v FROM abt a JOIN repeat_target r ON a.customer_id = r.customer_id"),
+}
+
+
+def _mw_sql(name: str, src: str) -> str:
+    return f"""SELECT '{name}' AS test, u1 AS statistic, CAST(n1 + n2 AS BIGINT) AS n, 'norm2' AS dist,
+  CAST(NULL AS DOUBLE) AS df1, CAST(NULL AS DOUBLE) AS df2,
+  (greatest(u1, n1 * n2 - u1) - n1 * n2 / 2.0 - 0.5)
+    / sqrt(n1 * n2 / 12.0 * ((n1 + n2 + 1) - t / ((n1 + n2) * (n1 + n2 - 1)))) AS z,
+  n1, n2
+FROM (SELECT r1 - n1 * (n1 + 1) / 2.0 AS u1, n1, n2, t FROM (
+        SELECT sum(CASE WHEN x THEN rk END) AS r1, CAST(count_if(x) AS DOUBLE) AS n1,
+               CAST(count_if(NOT x) AS DOUBLE) AS n2
+        FROM (SELECT x, v, rank() OVER (ORDER BY v) + (count(*) OVER (PARTITION BY v) - 1) / 2.0 AS rk
+              FROM ({src}) s WHERE x IS NOT NULL AND v IS NOT NULL) r) a,
+      (SELECT sum(CAST(c AS DOUBLE) * c * c - c) AS t FROM (
+         SELECT count(*) AS c FROM ({src}) s2 WHERE x IS NOT NULL AND v IS NOT NULL GROUP BY v) tv) b) z"""
+
+
+def _welch_sql(name: str, src: str) -> str:
+    return f"""SELECT '{name}' AS test, (m1 - m2) / sqrt(a + b) AS statistic, CAST(n1 + n2 AS BIGINT) AS n,
+  't2' AS dist, (a + b) * (a + b) / (a * a / (n1 - 1) + b * b / (n2 - 1)) AS df1, CAST(NULL AS DOUBLE) AS df2,
+  m1 AS mean_1, m2 AS mean_0
+FROM (SELECT *, v1 / n1 AS a, v2 / n2 AS b FROM (
+  SELECT count_if(x) AS n1, avg(CASE WHEN x THEN v END) AS m1, var_samp(CASE WHEN x THEN v END) AS v1,
+         count_if(NOT x) AS n2, avg(CASE WHEN NOT x THEN v END) AS m2, var_samp(CASE WHEN NOT x THEN v END) AS v2
+  FROM ({src}) s WHERE x IS NOT NULL AND v IS NOT NULL) g) h"""
+
+
+@register("mann_whitney_tests", " UNION ALL ".join(_mw_sql(n, s) for n, (_, s) in TWO.items()), group=G)
+def q_mw(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return S.union_all([S.mann_whitney(*fn(t), name) for name, (fn, _) in TWO.items()])
+
+
+@register("welch_tests", " UNION ALL ".join(_welch_sql(n, s) for n, (_, s) in TWO.items()), group=G)
+def q_welch(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return S.union_all([S.welch_t(*fn(t), name) for name, (fn, _) in TWO.items()])
+
+
+# --- correlations -------------------------------------------------------------
+PB = {
+    "purchased_x_add_to_cart": (lambda t: (t.abt, F.col("total_orders") > 0, F.coalesce(F.col("total_add_to_cart"), F.lit(0))),
+                                "SELECT total_orders > 0 AS f, CAST(COALESCE(total_add_to_cart, 0) AS DOUBLE) AS v FROM abt"),
+    "converted_x_discount": (lambda t: (t.leads, F.col("converted_30d"), F.coalesce(F.col("discount_offered_pct"), F.lit(0.0))),
+                             "SELECT converted_30d AS f, COALESCE(discount_offered_pct, 0.0) AS v FROM leads"),
+}
+for _c in ("avg_pages_viewed", "avg_time_on_site", "total_add_to_cart", "total_checkout_started"):
+    PB[f"intent_{_c}"] = ((lambda c: lambda t: (t.abt, F.col("total_orders") > 0,
+                                               F.coalesce(F.col(c).cast("double"), F.lit(0.0))))(_c),
+                          f"SELECT total_orders > 0 AS f, COALESCE(CAST({_c} AS DOUBLE), 0.0) AS v FROM abt")
+
+
+def _pb_sql(name: str, src: str) -> str:
+    return f"""SELECT '{name}' AS test, r AS statistic, CAST(n AS BIGINT) AS n, 't2' AS dist,
+  CAST(n - 2 AS DOUBLE) AS df1, CAST(NULL AS DOUBLE) AS df2, r * sqrt((n - 2) / (1 - r * r)) AS t
+FROM (SELECT corr(CAST(COALESCE(f, false) AS DOUBLE), v) AS r, count(*) AS n FROM ({src}) s WHERE v IS NOT NULL) g"""
+
+
+@register("point_biserial_tests", " UNION ALL ".join(_pb_sql(n, s) for n, (_, s) in PB.items()), group=G)
+def q_pb(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return S.union_all([S.point_biserial(*fn(t), name) for name, (fn, _) in PB.items()])
+
+
+SPEAR = {
+    "sessions_x_revenue": (lambda t: (t.abt, "total_sessions", "total_revenue"),
+                           "SELECT CAST(total_sessions AS DOUBLE) AS x, total_revenue AS y FROM abt"),
+    "discount_x_converted": (lambda t: (t.leads.withColumn("conv_i", F.col("converted_30d").cast("int")),
+                                        "discount_offered_pct", "conv_i"),
+                             "SELECT discount_offered_pct AS x, CAST(converted_30d AS DOUBLE) AS y FROM leads"),
+}
+
+
+def _spear_sql(name: str, src: str) -> str:
+    return f"""SELECT '{name}' AS test, rho AS statistic, CAST(n AS BIGINT) AS n, 't2' AS dist,
+  CAST(n - 2 AS DOUBLE) AS df1, CAST(NULL AS DOUBLE) AS df2, rho * sqrt((n - 2) / (1 - rho * rho)) AS t
+FROM (SELECT corr(rx, ry) AS rho, count(*) AS n FROM (
+  SELECT rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0 AS rx,
+         rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2.0 AS ry
+  FROM ({src}) s WHERE x IS NOT NULL AND y IS NOT NULL) r) g"""
+
+
+@register("spearman_tests", " UNION ALL ".join(_spear_sql(n, s) for n, (_, s) in SPEAR.items()), group=G)
+def q_spear(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return S.union_all([S.spearman(*fn(t), name) for name, (fn, _) in SPEAR.items()])
+
+
+# --- simple linear regressions (8 declared pairs) --------------------------------
+SLR = {
+    "Campaign Spend -> Leads": (lambda t: (_lpc(t), F.col("spend_usd"), F.col("n_leads")),
+                                "SELECT spend_usd AS x, n_leads AS y FROM lpc"),
+    "Lead Score -> Revenue": (lambda t: (t.abt, F.col("avg_lead_score"), F.col("total_revenue")),
+                              "SELECT avg_lead_score AS x, total_revenue AS y FROM abt"),
+    "Time on Site -> Conversion": (lambda t: (t.abt, F.col("avg_time_on_site"), F.col("LCR")),
+                                   "SELECT avg_time_on_site AS x, \"LCR\" AS y FROM abt"),
+    "Pages Viewed -> Add-to-Cart": (lambda t: (t.abt, F.col("avg_pages_viewed"), F.col("total_add_to_cart")),
+                                    "SELECT avg_pages_viewed AS x, total_add_to_cart AS y FROM abt"),
+    "Discount % -> Revenue": (lambda t: (t.transactions, F.col("discount_pct"), F.col("revenue_usd")),
+                              "SELECT discount_pct AS x, revenue_usd AS y FROM transactions"),
+    "Acquisition Cost -> LTV": (lambda t: (t.abt, F.col("total_acquisition_cost"), F.col("CLV_proxy")),
+                                "SELECT total_acquisition_cost AS x, \"CLV_proxy\" AS y FROM abt"),
+    "Impressions -> Clicks": (lambda t: (t.campaigns, F.col("impressions"), F.col("clicks")),
+                              "SELECT impressions AS x, clicks AS y FROM campaigns"),
+    "Session Quality -> Repeat": (lambda t: (t.abt, F.col("avg_engagement_score"),
+                                             (F.col("total_orders") >= 2).cast("int")),
+                                  "SELECT avg_engagement_score AS x, CAST(total_orders >= 2 AS INTEGER) AS y FROM abt"),
+}
+
+
+def _lpc(t):
+    from campanula.operators.campaign import leads_per_campaign
+    return leads_per_campaign(t.campaigns, t.leads)
+
+
+def _slr_sql(name: str, src: str) -> str:
+    return f"""SELECT '{name}' AS model, CAST(n AS BIGINT) AS n,
+  CASE WHEN n >= 5 THEN slope END AS slope, CASE WHEN n >= 5 THEN intercept END AS intercept,
+  CASE WHEN n >= 5 THEN r END AS r, CASE WHEN n >= 5 THEN r * r END AS "R2",
+  CASE WHEN n >= 5 THEN r * sqrt((n - 2) / (1 - r * r)) END AS t, CAST(n - 2 AS DOUBLE) AS df1
+FROM (SELECT count(*) AS n, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept, corr(x, y) AS r
+      FROM (SELECT CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y FROM ({src}) s0) s
+      WHERE x IS NOT NULL AND y IS NOT NULL AND NOT isnan(x) AND NOT isnan(y)) g"""
+
+
+@register("slr_results", "WITH lpc AS (SELECT c.campaign_id, c.spend_usd, COALESCE(n.n_leads, 0) AS n_leads "
+          "FROM campaigns c LEFT JOIN (SELECT campaign_id, count(*) AS n_leads FROM leads "
+          "WHERE campaign_id IS NOT NULL GROUP BY campaign_id) n ON c.campaign_id = n.campaign_id) "
+          + " UNION ALL ".join(_slr_sql(n, s) for n, (_, s) in SLR.items()), group=G)
+def q_slr(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return S.union_all([S.slr(*fn(t), name) for name, (fn, _) in SLR.items()])
+
+
+# --- p-values (rows-only: tail probabilities are not expressible in the oracle SQL) ---
+@register("hypothesis_tests_with_p", None, group=G)
+def q_all_p(spark, sf_dir):
+    from campanula.plans.registry import queries
+    qs = queries()
+    parts = []
+    for n in ("chi2_tests", "kruskal_tests", "anova_tests", "mann_whitney_tests", "welch_tests",
+              "point_biserial_tests", "spearman_tests"):
+        df = qs[n](spark, sf_dir)
+        # the tail probability is taken on z (Mann-Whitney) or t (correlations)
+        ps = F.col("z") if "z" in df.columns else F.col("t") if "t" in df.columns else F.col("statistic")
+        parts.append(df.select("test", "statistic", ps.alias("p_stat"), "n", "dist", "df1", "df2"))
+    slr = qs["slr_results"](spark, sf_dir).select(
+        F.concat(F.lit("slr: "), F.col("model")).alias("test"), F.col("slope").alias("statistic"),
+        F.col("t").alias("p_stat"), "n", F.lit("t2").alias("dist"), "df1", F.lit(None).cast("double").alias("df2"))
+    return S.with_p_values(S.union_all(parts + [slr]), stat="p_stat")
