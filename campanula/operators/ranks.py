@@ -27,30 +27,42 @@ from pyspark.sql import functions as F
 from campanula.session import materialize, shuffle_partitions
 
 
-def prefix_sum(df: DataFrame, order_cols: Sequence[str | Column], weight: str | Column | None = None,
-               num_partitions: int | None = None) -> DataFrame:
-    """Add ``_cum`` (inclusive global running sum of ``weight`` in the given
-    order) and ``_cum_before`` (exclusive).  Ties in ``order_cols`` are
-    ordered arbitrarily, so pass a unique ordering when that matters."""
+def prefix_sums(df: DataFrame, order_cols: Sequence[str | Column], weights: dict[str, Column | str],
+                num_partitions: int | None = None) -> DataFrame:
+    """For each named weight ``w`` add ``_cum_w`` (inclusive global running sum
+    in the given order) and ``_cum_before_w`` (exclusive).  Ties in
+    ``order_cols`` are ordered arbitrarily; pass a unique ordering when
+    that matters."""
     spark = df.sparkSession
     n = num_partitions or shuffle_partitions(spark)
-    w = (F.col(weight) if isinstance(weight, str) else weight) if weight is not None else F.lit(1)
     ordered = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    parted = (df.withColumn("_w", w)
-              .repartitionByRange(n, *ordered)
-              .withColumn("_pid", F.spark_partition_id()))
+    names = list(weights)
+    wdf = df
+    for name, w in weights.items():
+        wdf = wdf.withColumn(f"_w_{name}", F.col(w) if isinstance(w, str) else w)
+    parted = wdf.repartitionByRange(n, *ordered).withColumn("_pid", F.spark_partition_id())
     parted = materialize(parted)
     local = Window.partitionBy("_pid").orderBy(*ordered).rowsBetween(Window.unboundedPreceding, 0)
-    with_local = parted.withColumn("_local", F.sum("_w").over(local))
-    totals = parted.groupBy("_pid").agg(F.sum("_w").alias("_tot"))
+    with_local = parted.select("*", *[F.sum(f"_w_{k}").over(local).alias(f"_l_{k}") for k in names])
+    totals = parted.groupBy("_pid").agg(*[F.sum(f"_w_{k}").alias(f"_t_{k}") for k in names])
     # One row per partition: a single-task window over <= n rows is fine.
-    offsets = totals.select(
-        "_pid", (F.sum("_tot").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0))
-                 - F.col("_tot")).alias("_off"))
+    run = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
+    offsets = totals.select("_pid", *[(F.sum(f"_t_{k}").over(run) - F.col(f"_t_{k}")).alias(f"_o_{k}")
+                                      for k in names])
     out = with_local.join(F.broadcast(offsets), "_pid")
-    return (out.withColumn("_cum", F.col("_off") + F.col("_local"))
-               .withColumn("_cum_before", F.col("_cum") - F.col("_w"))
-               .drop("_pid", "_local", "_off"))
+    for k in names:
+        out = (out.withColumn(f"_cum_{k}", F.col(f"_o_{k}") + F.col(f"_l_{k}"))
+                  .withColumn(f"_cum_before_{k}", F.col(f"_cum_{k}") - F.col(f"_w_{k}")))
+    return out.drop("_pid", *[f"_l_{k}" for k in names], *[f"_o_{k}" for k in names])
+
+
+def prefix_sum(df: DataFrame, order_cols: Sequence[str | Column], weight: str | Column | None = None,
+               num_partitions: int | None = None) -> DataFrame:
+    """Single-weight form: adds ``_w``, ``_cum`` and ``_cum_before``."""
+    w = weight if weight is not None else F.lit(1)
+    out = prefix_sums(df, order_cols, {"x": w}, num_partitions)
+    return (out.withColumnRenamed("_w_x", "_w").withColumnRenamed("_cum_x", "_cum")
+               .withColumnRenamed("_cum_before_x", "_cum_before"))
 
 
 def value_ranks(df: DataFrame, value: str) -> DataFrame:
@@ -127,10 +139,9 @@ def lorenz(df: DataFrame, value: str) -> DataFrame:
     x = F.greatest(F.col(value).cast("double"), F.lit(0.0))
     vals = df.filter(F.col(value).isNotNull()).select(x.alias("_x"))
     counts = vals.groupBy("_x").agg(F.count(F.lit(1)).alias("_c"), F.sum("_x").alias("_s"))
-    ps = prefix_sum(counts, ["_x"], "_c")
-    ps2 = prefix_sum(ps.drop("_w").withColumnRenamed("_cum", "_cum_n").drop("_cum_before"), ["_x"], "_s")
+    ps = prefix_sums(counts, ["_x"], {"n": "_c", "s": "_s"})
     n = vals.select(F.count(F.lit(1))).scalar()
     tot = vals.select(F.sum("_x")).scalar()
-    return ps2.select(F.col("_x").alias("value"), F.col("_cum_n").cast("bigint").alias("cum_count"),
-                      (F.col("_cum_n") / n).alias("pop_share"),
-                      F.try_divide(F.col("_cum"), tot).alias("value_share"))
+    return ps.select(F.col("_x").alias("value"), F.col("_cum_n").cast("bigint").alias("cum_count"),
+                     (F.col("_cum_n") / n).alias("pop_share"),
+                     F.try_divide(F.col("_cum_s"), tot).alias("value_share"))

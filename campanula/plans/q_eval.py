@@ -1 +1,241 @@
-"""Queries (filled in below)."""
+"""Evaluation (EVA-*), survival (SUR-*) and IPTW (CAU-01) queries.
+
+The evaluated scorer is the lead score itself rescaled to [0, 1], which is
+deterministic and expressible in SQL, so every evaluation operator is
+checked against the oracle.  Model-based scores go through the same
+operators in ``q_models`` (rows-only).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from campanula.operators import describe as D
+from campanula.operators import evaluate as EV
+from campanula.plans.registry import register, tables
+from campanula.plans.sqlbase import cte
+
+G = "evaluate"
+
+
+def scored(t):
+    return (t.leads.filter(F.col("lead_score").isNotNull())
+            .select("lead_id", F.col("converted_30d").alias("label"),
+                    F.least(F.greatest(F.col("lead_score") / 100.0, F.lit(0.0)), F.lit(1.0)).alias("score")))
+
+
+cte("scored", """
+SELECT lead_id, converted_30d AS label, least(greatest(lead_score / 100.0, 0.0), 1.0) AS score
+FROM leads WHERE lead_score IS NOT NULL""")
+
+
+def _dbl(x: float) -> str:
+    return f"CAST('{x!r}' AS DOUBLE)"
+
+
+def _count_le(col: str, edges, strict: bool) -> str:
+    op = "<" if strict else "<="
+    return "(" + " + ".join(f"CAST({_dbl(e)} {op} {col} AS INTEGER)" for e in edges) + ")"
+
+
+@register("eval_binary_metrics", """
+SELECT tp, fp, fn, tn, CAST(tp + tn AS DOUBLE) / (tp + fp + fn + tn) AS accuracy,
+  COALESCE(CAST(tp AS DOUBLE) / NULLIF(tp + fp, 0), 0.0) AS precision,
+  COALESCE(CAST(tp AS DOUBLE) / NULLIF(tp + fn, 0), 0.0) AS recall,
+  COALESCE(2 * p * r / NULLIF(p + r, 0), 0.0) AS f1
+FROM (SELECT *, COALESCE(CAST(tp AS DOUBLE) / NULLIF(tp + fp, 0), 0.0) AS p,
+             COALESCE(CAST(tp AS DOUBLE) / NULLIF(tp + fn, 0), 0.0) AS r
+      FROM (SELECT count_if(label AND score >= 0.5) AS tp, count_if(NOT label AND score >= 0.5) AS fp,
+                   count_if(label AND score < 0.5) AS fn, count_if(NOT label AND score < 0.5) AS tn FROM scored) a) b""",
+          group=G)
+def q_bin(spark, sf_dir):
+    return EV.binary_metrics(scored(tables(spark, sf_dir)))
+
+
+@register("eval_auc", """
+SELECT n_pos, n_neg, (r1 - n_pos * (n_pos + 1) / 2.0) / (CAST(n_pos AS DOUBLE) * n_neg) AS auc
+FROM (SELECT count_if(label) AS n_pos, count_if(NOT label) AS n_neg,
+             sum(CASE WHEN label THEN rk END) AS r1
+      FROM (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS rk
+            FROM scored) r) a""", group=G)
+def q_auc(spark, sf_dir):
+    return EV.auc(scored(tables(spark, sf_dir)))
+
+
+@register("eval_confusion", """
+SELECT CAST(label AS INTEGER) AS actual, CAST(score >= 0.5 AS INTEGER) AS predicted, count(*) AS n
+FROM scored GROUP BY 1, 2""", group=G)
+def q_confusion(spark, sf_dir):
+    return EV.confusion(scored(tables(spark, sf_dir)))
+
+
+@register("eval_roc_points", """
+SELECT score AS threshold, sum(nn) OVER (ORDER BY score DESC) / (SELECT count_if(NOT label) FROM scored) AS fpr,
+  sum(np) OVER (ORDER BY score DESC) / (SELECT count_if(label) FROM scored) AS tpr
+FROM (SELECT score, sum(CAST(label AS INTEGER)) AS np, sum(1 - CAST(label AS INTEGER)) AS nn FROM scored GROUP BY score) g""",
+          group=G)
+def q_roc(spark, sf_dir):
+    return EV.roc_points(scored(tables(spark, sf_dir)))
+
+
+@register("eval_calibration", f"""
+SELECT {_count_le('score', EV.CALIBRATION_EDGES, True)} AS bin, avg(score) AS mean_predicted,
+  avg(CAST(label AS DOUBLE)) AS fraction_positive, count(*) AS n
+FROM scored GROUP BY 1""", group=G)
+def q_calib(spark, sf_dir):
+    return EV.calibration(scored(tables(spark, sf_dir)))
+
+
+_GRID = " UNION ALL ".join(f"SELECT {j} AS j, {_dbl(t)} AS threshold" for j, t in enumerate(EV.THRESHOLDS))
+
+
+@register("eval_cost_threshold", f"""
+WITH grid AS ({_GRID}),
+h AS (SELECT {_count_le('score', EV.THRESHOLDS, False)} AS cell, sum(CAST(label AS INTEGER)) AS p,
+             sum(1 - CAST(label AS INTEGER)) AS n FROM scored GROUP BY 1),
+g AS (SELECT grid.j, grid.threshold, COALESCE(h.p, 0) AS p, COALESCE(h.n, 0) AS n FROM grid LEFT JOIN h ON grid.j = h.cell),
+c AS (SELECT j, threshold, CAST(sum(p) OVER (ORDER BY j) AS BIGINT) AS fn,
+             CAST((SELECT sum(n) FROM h) - sum(n) OVER (ORDER BY j) AS BIGINT) AS fp FROM g),
+d AS (SELECT *, fn * 20.0 + fp * 5.0 AS cost FROM c)
+SELECT threshold, fn, fp, cost, j = (SELECT j FROM d ORDER BY cost, j LIMIT 1) AS is_optimal FROM d""", group=G)
+def q_cost(spark, sf_dir):
+    return EV.cost_threshold(scored(tables(spark, sf_dir)))
+
+
+_TIER_SQL = ("CASE WHEN score > -0.001 AND score <= 0.33 THEN 'Low' WHEN score > 0.33 AND score <= 0.66 THEN 'Medium' "
+             "WHEN score > 0.66 AND score <= 1.001 THEN 'High' END")
+
+
+@register("lead_scores", f"SELECT lead_id, score, {_TIER_SQL} AS priority_tier FROM scored", group=G)
+def q_lead_scores(spark, sf_dir):
+    s = scored(tables(spark, sf_dir))
+    return s.select("lead_id", "score", EV.priority_tier(F.col("score")).alias("priority_tier"))
+
+
+@register("eval_deciles", """
+WITH d AS (SELECT label, CASE WHEN n <= 1 THEN 1 ELSE greatest(1, ((rn - 1) * 10 + n - 2) // (n - 1)) END AS decile
+           FROM (SELECT label, row_number() OVER (ORDER BY score, lead_id) AS rn, count(*) OVER () AS n FROM scored) r),
+g AS (SELECT CAST(decile AS INTEGER) AS decile, count(*) AS count, CAST(sum(CAST(label AS BIGINT)) AS BIGINT) AS conversions
+      FROM d GROUP BY 1)
+SELECT decile, count, conversions, CAST(conversions AS DOUBLE) / count AS conversion_rate,
+  sum(conversions) OVER (ORDER BY decile DESC) / sum(count) OVER (ORDER BY decile DESC) AS cumulative_rate FROM g""",
+          group=G)
+def q_deciles(spark, sf_dir):
+    return EV.decile_table(scored(tables(spark, sf_dir)), "lead_id")
+
+
+@register("eval_tier_stats", f"""
+SELECT priority_tier, n, conversions, CAST(conversions AS DOUBLE) / n AS rate,
+  round(n * 100.0 / sum(n) OVER (), 1) AS share_pct
+FROM (SELECT {_TIER_SQL} AS priority_tier, count(*) AS n, CAST(sum(CAST(label AS BIGINT)) AS BIGINT) AS conversions
+      FROM scored GROUP BY 1) g WHERE priority_tier IS NOT NULL""", group=G)
+def q_tiers(spark, sf_dir):
+    return EV.tier_stats(scored(tables(spark, sf_dir)))
+
+
+# --- CLV projection with a frequency model: P(repeat within 90d | first category) ---
+cte("clv_base", """
+SELECT a.customer_id, a.total_revenue, a.total_orders, a.total_acquisition_cost, r.product_category,
+  p.prob_repeat_90d
+FROM abt a JOIN repeat_target r ON a.customer_id = r.customer_id
+LEFT JOIN (SELECT product_category, avg(CAST(repeat_90d AS DOUBLE)) AS prob_repeat_90d FROM repeat_target
+           GROUP BY product_category) p ON r.product_category IS NOT DISTINCT FROM p.product_category""")
+
+cte("clv_projection", """
+SELECT *, prob_repeat_90d * 2 AS projected_orders_6m,
+  total_revenue + total_revenue / CASE WHEN total_orders = 0 THEN 1 ELSE total_orders END * (prob_repeat_90d * 2)
+    AS projected_clv_6m
+FROM clv_base""")
+
+
+def clv_base(t):
+    rt = D.repeat_target(t.transactions)
+    prob = rt.groupBy("product_category").agg(F.avg(F.col("repeat_90d").cast("double")).alias("prob_repeat_90d"))
+    base = t.abt.select("customer_id", "total_revenue", "total_orders", "total_acquisition_cost") \
+        .join(rt.select("customer_id", "product_category"), "customer_id")
+    return base.join(prob, base.product_category.eqNullSafe(prob.product_category), "left") \
+               .drop(prob.product_category)
+
+
+@register("clv_projection", "SELECT * FROM clv_projection", group=G)
+def q_clv(spark, sf_dir):
+    return EV.project_clv(clv_base(tables(spark, sf_dir)))
+
+
+@register("loss_making_share", """
+SELECT avg(CAST(total_acquisition_cost > projected_clv_6m AS DOUBLE)) AS loss_making_share, count(*) AS n
+FROM clv_projection""", group=G)
+def q_loss(spark, sf_dir):
+    return EV.loss_making(EV.project_clv(clv_base(tables(spark, sf_dir))))
+
+
+# --- IPTW with a stratified propensity: P(discount | channel) -----------------
+@register("iptw_discount_ate", """
+WITH b AS (SELECT CAST(COALESCE(discount_offered_pct > 0, false) AS DOUBLE) AS t, CAST(converted_30d AS DOUBLE) AS y,
+                  channel FROM leads_camp WHERE channel IS NOT NULL),
+p AS (SELECT channel, avg(t) AS ps FROM b GROUP BY channel),
+w AS (SELECT b.t, b.y, b.t / least(greatest(p.ps, 1e-6), 1 - 1e-6)
+                       + (1 - b.t) / (1 - least(greatest(p.ps, 1e-6), 1 - 1e-6)) AS w
+      FROM b JOIN p ON b.channel = p.channel)
+SELECT count(*) AS n, sum(t * w * y) / sum(t * w) AS treated_mean, sum((1 - t) * w * y) / sum((1 - t) * w) AS control_mean,
+  sum(t * w * y) / sum(t * w) - sum((1 - t) * w * y) / sum((1 - t) * w) AS ate FROM w""", group=G)
+def q_iptw(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    b = (D.leads_with_campaign(t.leads, t.campaigns).filter(F.col("channel").isNotNull())
+         .select("channel", F.coalesce(F.col("discount_offered_pct") > 0, F.lit(False)).cast("double").alias("t"),
+                 F.col("converted_30d").cast("double").alias("y")))
+    ps = b.groupBy("channel").agg(F.avg("t").alias("ps"))
+    return EV.iptw_ate(b.join(ps, "channel"), "t", "y", "ps")
+
+
+# --- Kaplan-Meier: time from first to second order, censored at the last order date ---
+cte("km_input", """
+SELECT r.customer_id, a.loyalty_tier,
+  date_diff('day', r.first_order_date, COALESCE(r.second_order_date, (SELECT max(order_date) FROM transactions))) AS t,
+  CAST(r.second_order_date IS NOT NULL AS INTEGER) AS e
+FROM repeat_target r JOIN abt a ON r.customer_id = a.customer_id WHERE r.first_order_date IS NOT NULL""")
+
+
+def km_input(t):
+    rt = D.repeat_target(t.transactions).filter(F.col("first_order_date").isNotNull())
+    end = F.coalesce(F.col("second_order_date"),
+                     t.transactions.select(F.max("order_date")).scalar())
+    return (rt.join(t.abt.select("customer_id", "loyalty_tier"), "customer_id")
+            .select("customer_id", "loyalty_tier",
+                    F.datediff(end, F.col("first_order_date")).cast("bigint").alias("t"),
+                    F.col("second_order_date").isNotNull().cast("int").alias("e")))
+
+
+_KM_SQL = """
+SELECT {keys}t AS time, CAST(n_at_risk AS BIGINT) AS n_at_risk, CAST(events AS BIGINT) AS events,
+  CAST(m - events AS BIGINT) AS censored,
+  CASE WHEN sum(CASE WHEN events >= n_at_risk THEN 1 ELSE 0 END) OVER w > 0 THEN 0.0
+       ELSE exp(sum(CASE WHEN events < n_at_risk THEN ln(1 - events / n_at_risk) ELSE 0.0 END) OVER w) END AS survival
+FROM (SELECT *, sum(m) OVER ({part}) - (sum(m) OVER ({part_order}) - m) AS n_at_risk FROM (
+        SELECT {keys}t, CAST(sum(e) AS DOUBLE) AS events, count(*) AS m FROM km_input {where} GROUP BY {keys}t) a) b
+WINDOW w AS ({part_order})"""
+
+
+@register("km_table", _KM_SQL.format(keys="", part="", part_order="ORDER BY t", where=""), group=G)
+def q_km(spark, sf_dir):
+    return EV.kaplan_meier(km_input(tables(spark, sf_dir)), "t", "e")
+
+
+@register("km_summary", """
+SELECT CAST(sum(events + censored) AS BIGINT) AS n, CAST(sum(events) AS BIGINT) AS n_events,
+  min(CASE WHEN survival <= 0.5 THEN time END) AS median_time FROM km_table_sql""", group=G)
+def q_km_summary(spark, sf_dir):
+    return EV.km_summary(EV.kaplan_meier(km_input(tables(spark, sf_dir)), "t", "e"))
+
+
+cte("km_table_sql", _KM_SQL.format(keys="", part="", part_order="ORDER BY t", where=""))
+
+
+@register("km_by_loyalty_tier", _KM_SQL.format(
+    keys="loyalty_tier, ", part="PARTITION BY loyalty_tier", part_order="PARTITION BY loyalty_tier ORDER BY t",
+    where="WHERE loyalty_tier IN (SELECT loyalty_tier FROM km_input GROUP BY loyalty_tier HAVING count(*) >= 20)"),
+    group=G)
+def q_km_tier(spark, sf_dir):
+    k = km_input(tables(spark, sf_dir)).filter(F.col("loyalty_tier").isNotNull())
+    big = k.groupBy("loyalty_tier").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= 20).select("loyalty_tier")
+    return EV.kaplan_meier(k.join(big, "loyalty_tier", "left_semi"), "t", "e", by="loyalty_tier")
