@@ -68,10 +68,30 @@ def parse_bool(c, truthy: Sequence[str] = TRUTHY) -> Column:
     return F.coalesce(F.lower(F.trim(_col(c).cast("string"))).isin(list(truthy)), F.lit(False))
 
 
+def date_shape(fmt: str) -> str:
+    """Anchored regex covering every string a (fixed-width) Spark date
+    pattern can parse: ``yyyy`` 4 digits, ``MM``/``dd``/``HH``/``mm``/``ss``
+    2 digits, ``d`` 1-2 digits, ``MMM`` a 3-letter month."""
+    rx = fmt.replace("yyyy", "\u0001").replace("MMM", "\u0002")
+    rx = rx.replace("MM", "\u0003").replace("dd", "\u0003").replace("HH", "\u0003")
+    rx = rx.replace("mm", "\u0003").replace("ss", "\u0003").replace("d", "\u0004")
+    rx = rx.replace("/", "\\/").replace(".", "\\.")
+    rx = (rx.replace("\u0001", "[0-9]{4}").replace("\u0002", "[A-Za-z]{3}")
+          .replace("\u0003", "[0-9]{2}").replace("\u0004", "[0-9]{1,2}"))
+    return "^" + rx + "$"
+
+
 def parse_date(c, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """CLN-08/09: first format that parses wins; unparseable -> null. Returns DATE."""
+    """CLN-08/09: first format that parses wins; unparseable -> null. Returns DATE.
+
+    Same result as ``coalesce(try_to_timestamp(s, f) for f in formats)``, but
+    a format is only attempted when the string has its shape (a cheap regex
+    test), so the common case is one successful parse instead of several
+    failing ones.
+    """
     s = F.trim(_col(c).cast("string"))
-    return F.coalesce(*[F.to_date(F.try_to_timestamp(s, F.lit(f))) for f in formats])
+    return F.coalesce(*[F.when(s.rlike(date_shape(f)), F.to_date(F.try_to_timestamp(s, F.lit(f))))
+                        for f in formats])
 
 
 def norm_label(c) -> Column:

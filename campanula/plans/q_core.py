@@ -63,7 +63,7 @@ FROM leads l LEFT JOIN campaigns c ON l.campaign_id = c.campaign_id""")
 # --- silver tables: every CLN operator, checked column by column -----------
 def _silver(name):
     def run(spark, sf_dir):
-        return tables(spark, sf_dir).silver[name]
+        return tables(spark, sf_dir).silver_table(name)
     return run
 
 

@@ -53,46 +53,83 @@ def _load():
 
 
 class Tables:
-    """Lazily built logical tables for one (session, data folder)."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    """Lazily built logical tables for one (session, data folder).
+
+    Stage boundaries follow the reference's pipeline: the raw (bronze)
+    exports are landed once, cleaned once into silver tables, and the
+    customer base table is written once; every query then reads these
+    Parquet stages (column pruning and filter pushdown apply) instead of
+    re-running the cleaning.  Stages live under the session's reliable
+    checkpoint folder (``spark.checkpoint.dir``), one folder per context,
+    so they survive executor loss and never use a machine-local path on a
+    cluster.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, staged: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.staged = staged
+        self._stages: dict[str, DataFrame] = {}
 
     @cached_property
-    def bronze(self) -> dict[str, DataFrame]:
+    def stage_root(self) -> str:
+        import uuid
+        from campanula.session import checkpoint_dir
+        return f"{checkpoint_dir(self.spark).rstrip('/')}/campanula_stages/{uuid.uuid4().hex}"
+
+    def stage(self, name: str, build) -> DataFrame:
+        """Write ``build()`` once as a Parquet stage and return the re-read table."""
+        if name not in self._stages:
+            df = build()
+            if self.staged:
+                from campanula.sources.files import read_stage, write_stage
+                path = f"{self.stage_root}/{name}"
+                write_stage(df, path)
+                df = read_stage(self.spark, path)
+            self._stages[name] = df
+        return self._stages[name]
+
+    @cached_property
+    def raw_bronze(self) -> dict[str, DataFrame]:
         from campanula.sources.testdata import bronze_tables
         return bronze_tables(self.spark, self.sf_dir)
 
-    @cached_property
+    @property
+    def bronze(self) -> dict[str, DataFrame]:
+        return {n: self.stage(f"bronze_{n}", lambda n=n: self.raw_bronze[n]) for n in self.raw_bronze}
+
+    def silver_table(self, name: str) -> DataFrame:
+        from campanula.operators.tables import CLEANERS
+        return self.stage(f"silver_{name}", lambda: CLEANERS[name](self.bronze[name]))
+
+    @property
     def silver(self) -> dict[str, DataFrame]:
-        from campanula.operators.tables import silver_tables
-        return silver_tables(self.bronze)
+        return {n: self.silver_table(n) for n in ("customers", "campaigns", "leads", "sessions", "transactions")}
 
     @property
     def customers(self) -> DataFrame:
-        return self.silver["customers"]
+        return self.silver_table("customers")
 
     @property
     def campaigns(self) -> DataFrame:
-        return self.silver["campaigns"]
+        return self.silver_table("campaigns")
 
     @property
     def leads(self) -> DataFrame:
-        return self.silver["leads"]
+        return self.silver_table("leads")
 
     @property
     def sessions(self) -> DataFrame:
-        return self.silver["sessions"]
+        return self.silver_table("sessions")
 
     @property
     def transactions(self) -> DataFrame:
-        return self.silver["transactions"]
+        return self.silver_table("transactions")
 
-    @cached_property
+    @property
     def abt(self) -> DataFrame:
         from campanula.operators.abt import build_abt
-        return build_abt(self.customers, self.leads, self.sessions, self.transactions)
+        return self.stage("abt", lambda: build_abt(self.customers, self.leads, self.sessions, self.transactions))
 
 
 _CTX: dict[tuple[int, str], Tables] = {}
