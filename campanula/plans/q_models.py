@@ -1 +1,163 @@
-"""Queries (filled in below)."""
+"""Model queries (ML-*, STA-11, CAU-01 with a fitted propensity, CMP-08).
+
+Fitted models are seeded but not bit-reproducible across engines, so these
+queries carry no oracle SQL (rows-only); their correctness is covered by
+property tests (AUC above chance on a planted signal, cluster counts,
+bootstrap interval containing the mean).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from campanula.operators import campaign as CP
+from campanula.operators import describe as D
+from campanula.operators import evaluate as EV
+from campanula.operators import ml as M
+from campanula.plans.registry import register, tables
+
+G = "models"
+
+
+def _lead_frame(t):
+    if not hasattr(t, "_lead_frame"):
+        from campanula.session import materialize
+        t._lead_frame = materialize(M.lead_frame(t.leads, t.abt))
+    return t._lead_frame
+
+
+@register("lead_model_comparison", None, group=G)
+def q_lead_models(spark, sf_dir):
+    return M.compare_models(_lead_frame(tables(spark, sf_dir)), M.LEAD_NUM, M.LEAD_CAT, "lead_id")
+
+
+@register("lead_scores_model", None, group=G)
+def q_lead_scores_model(spark, sf_dir):
+    from pyspark.ml.classification import LogisticRegression
+    f = _lead_frame(tables(spark, sf_dir))
+    return M.score_with(f, M.LEAD_NUM, M.LEAD_CAT, LogisticRegression(maxIter=1000, weightCol="weight")) \
+            .select("lead_id", "label", "predicted_prob", "priority_tier")
+
+
+@register("lead_feature_importance", None, group=G)
+def q_importance(spark, sf_dir):
+    return M.importance_table(_lead_frame(tables(spark, sf_dir)), M.LEAD_NUM, M.LEAD_CAT)
+
+
+@register("lead_permutation_importance", None, group=G)
+def q_perm(spark, sf_dir):
+    return M.permutation_importance(_lead_frame(tables(spark, sf_dir)), M.LEAD_NUM, M.LEAD_CAT, "lead_id",
+                                    ["lead_score", "discount_pct", "total_sessions"])
+
+
+@register("lead_split_sizes", None, group=G)
+def q_split(spark, sf_dir):
+    train, test = M.stratified_split(_lead_frame(tables(spark, sf_dir)), "label", "lead_id")
+    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test"))) \
+                .groupBy("part", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("kmeans_sweep", None, group=G)
+def q_sweep(spark, sf_dir):
+    from campanula.session import materialize
+    x = materialize(M.segment_matrix(tables(spark, sf_dir).abt))
+    return M.kmeans_sweep(x, range(2, 9))
+
+
+def _segments(t):
+    if not hasattr(t, "_segments"):
+        t._segments = M.segment_customers(t.abt)
+    return t._segments
+
+
+@register("customer_segments", None, group=G)
+def q_segments(spark, sf_dir):
+    return _segments(tables(spark, sf_dir)).select("customer_id", "Segment", "Segment_Name")
+
+
+@register("segment_profile", None, group=G)
+def q_seg_profile(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    s = _segments(t).select("customer_id", "Segment_Name").join(t.abt, "customer_id")
+    feats = list(M.SEGMENT_FEATURES) + ["avg_pages_viewed", "avg_time_on_site"]
+    return s.groupBy("Segment_Name").agg(F.count(F.lit(1)).alias("n"),
+                                         *[F.avg(c).alias(c) for c in feats])
+
+
+@register("segment_optin_gap", None, group=G)
+def q_seg_gap(spark, sf_dir):
+    return D.optin_gap(_segments(tables(spark, sf_dir)), "Segment_Name")
+
+
+@register("customer_pca", None, group=G)
+def q_pca(spark, sf_dir):
+    from campanula.session import materialize
+    return M.pca_2d(materialize(M.segment_matrix(tables(spark, sf_dir).abt)))
+
+
+@register("campaign_groups", None, group=G)
+def q_camp_groups(spark, sf_dir):
+    from campanula.plans.q_campaign import features
+    t = tables(spark, sf_dir)
+    f = features(t)
+    g = M.group_campaigns(f)
+    prof = CP.group_profile(f.join(g, "campaign_id"))
+    return g.join(prof.select("Group", "Group_Label"), "Group")
+
+
+@register("mlr_results", None, group=G)
+def q_mlr(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    a = M.mlr(t.abt, "CLV_proxy", M.LTV_FEATURES, "A: Predict Customer LTV", "customer_id")
+    tx = t.transactions.withColumn("_k", F.concat_ws("|", "order_id", "product_category", "revenue_usd"))
+    b = M.mlr(tx, "revenue_usd", ["units", "discount_pct"], "B: Predict Revenue/Transaction", "_k")
+    from campanula.plans.q_describe import converted_leads
+    c = M.mlr(converted_leads(t), "days_to_convert", ["lead_score", "discount_offered_pct",
+                                                       "acquisition_cost_usd"], "C: Predict Days-to-Convert", "lead_id")
+    return a.unionByName(b).unionByName(c)
+
+
+@register("discount_logit_table", None, group=G)
+def q_logit(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    f = _lead_frame(t)
+    return M.logit_table(f, "label", ["discount_pct", "lead_score", "total_sessions", "avg_pages_viewed",
+                                      "total_add_to_cart"])
+
+
+@register("iptw_discount_ate_logit", None, group=G)
+def q_iptw_logit(spark, sf_dir):
+    f = _lead_frame(tables(spark, sf_dir)).withColumn("treated", (F.col("discount_pct") > 0).cast("double"))
+    ps = M.propensity_scores(f, "treated", ["lead_score", "total_sessions", "avg_pages_viewed", "age"])
+    return EV.iptw_ate(ps, "treated", "label", "ps")
+
+
+@register("bootstrap_ci", None, group=G)
+def q_boot(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    cust = t.abt.filter(F.col("total_orders") > 0).withColumn("cust_aov", F.col("total_revenue") / F.col("total_orders"))
+    aov = M.bootstrap_mean_ci(cust, "cust_aov", "customer_id").withColumn("metric", F.lit("customer_aov"))
+    from campanula.plans.q_campaign import features
+    roas = M.bootstrap_mean_ci(features(t), "ROAS", "campaign_id").withColumn("metric", F.lit("campaign_roas"))
+    return aov.unionByName(roas)
+
+
+@register("clv_projection_model", None, group=G)
+def q_clv_model(spark, sf_dir):
+    """EVA-10 with a fitted repeat model (logistic regression on the first
+    order and the customer profile), not the frequency table."""
+    from pyspark.ml.classification import LogisticRegression
+    t = tables(spark, sf_dir)
+    rt = D.repeat_target(t.transactions).select("customer_id", "repeat_90d", "product_category", "payment_type")
+    f = (t.abt.join(rt, "customer_id")
+         .select("customer_id", "total_revenue", "total_orders", "total_acquisition_cost",
+                 F.col("repeat_90d").cast("double").alias("label"),
+                 *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
+                   for c in ("age", "total_sessions", "avg_engagement_score", "total_add_to_cart")],
+                 *[F.coalesce(F.col(c), F.lit("Unknown")).alias(c)
+                   for c in ("product_category", "payment_type", "loyalty_tier")]))
+    scored = M.score_with(f, ["age", "total_sessions", "avg_engagement_score", "total_add_to_cart"],
+                          ["product_category", "payment_type", "loyalty_tier"],
+                          LogisticRegression(maxIter=200, weightCol="weight"))
+    return EV.project_clv(scored.withColumnRenamed("predicted_prob", "prob_repeat_90d")) \
+             .select("customer_id", "prob_repeat_90d", "projected_orders_6m", "projected_clv_6m")
