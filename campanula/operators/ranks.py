@@ -65,6 +65,26 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str | Column], weight: str |
                .withColumnRenamed("_cum_before_x", "_cum_before"))
 
 
+def prefix_max_before(df: DataFrame, order_cols: Sequence[str | Column], value: str,
+                      num_partitions: int | None = None) -> DataFrame:
+    """Add ``_max_before``: the maximum of ``value`` over all rows strictly
+    before each row in the global order (null for the first row).  Same
+    two-pass scheme as ``prefix_sums`` with ``max`` as the combiner."""
+    spark = df.sparkSession
+    n = num_partitions or shuffle_partitions(spark)
+    ordered = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    parted = materialize(df.repartitionByRange(n, *ordered).withColumn("_pid", F.spark_partition_id()))
+    local = Window.partitionBy("_pid").orderBy(*ordered).rowsBetween(Window.unboundedPreceding, -1)
+    with_local = parted.withColumn("_lmax", F.max(value).over(local))
+    totals = parted.groupBy("_pid").agg(F.max(value).alias("_tmax"))
+    run = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # <= n rows
+    offsets = totals.select("_pid", F.max("_tmax").over(run).alias("_omax"))
+    out = with_local.join(F.broadcast(offsets), "_pid")
+    both = F.when(F.col("_omax").isNull(), F.col("_lmax")).when(F.col("_lmax").isNull(), F.col("_omax")) \
+            .otherwise(F.greatest("_omax", "_lmax"))
+    return out.withColumn("_max_before", both).drop("_pid", "_lmax", "_omax")
+
+
 def value_ranks(df: DataFrame, value: str) -> DataFrame:
     """WIN-10: average rank (ties share the mean rank) per distinct value.
 

@@ -175,7 +175,7 @@ SELECT CAST(k AS VARCHAR) AS lead_id,
   CASE WHEN o_orderstatus = 'O' THEN NULL ELSE {datetext('min_ship', '(k + 2) % 5')} END AS conversion_date,
   (CASE o_orderpriority {_prio} END) AS lead_source,
   {pick('k % 6', TD.LANDING_PAGES)} AS landing_page,
-  {percent('(k % 6) * 5', '(k // 6) % 4')} AS discount_offered_pct,
+  {percent('((k // 7) % 6) * 5', '(k // 6) % 4')} AS discount_offered_pct,
   CASE WHEN k % 37 = 0 THEN 'high'
        ELSE CAST((k * 37) % 60 + CASE WHEN o_orderstatus = 'F' THEN 30 ELSE 0 END AS VARCHAR) END AS lead_score,
   {booltext("o_orderstatus = 'F'", 'k % 5')} AS converted_30d,

@@ -192,7 +192,8 @@ def bronze_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(date_text(F.col("min_ship"), (k + 2) % 5)).alias("conversion_date"),
         prio.alias("lead_source"),
         _pick(k % 6, LANDING_PAGES).alias("landing_page"),
-        percent_text((k % 6) * 5, (((k - k % 6) / 6) % 4).cast("bigint")).alias("discount_offered_pct"),
+        percent_text((((k - k % 7) / 7) % 6).cast("bigint") * 5,
+                     (((k - k % 6) / 6) % 4).cast("bigint")).alias("discount_offered_pct"),
         F.when(k % 37 == 0, F.lit("high")).otherwise(score.cast("string")).alias("lead_score"),
         bool_text(status_f, k % 5).alias("converted_30d"),
         money_text(F.lit(500) + (k * 7) % 4000, F.when(k % 3 == 2, F.lit(3)).otherwise(k % 3)).alias("acquisition_cost_usd"),
