@@ -31,6 +31,8 @@ DATE_FORMATS = (
     "yyyy-MM-dd", "yyyy/MM/dd", "MM-dd-yyyy", "MM/dd/yyyy", "dd/MM/yyyy",
     "dd-MM-yyyy", "MMM dd, yyyy", "MMM d, yyyy", "yyyy-MM-dd HH:mm:ss",
 )
+CURRENCY_TOKENS = ("$", ",", "USD")
+PERCENT_TOKENS = ("%", "percent")
 # -----------------------------------------------------------------------------
 
 # A plain decimal number, optionally signed, optionally in exponent form.
@@ -43,24 +45,28 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def to_number(c, strip_pattern: str | None = None) -> Column:
-    """CLN-07: text -> double, anything unparseable -> null (never NaN)."""
-    s = _col(c).cast("string")
-    if strip_pattern:
-        s = F.regexp_replace(s, strip_pattern, "")
-    s = F.trim(s)
+def strip_tokens(s: Column, tokens: Sequence[str]) -> Column:
+    """Remove each literal token in turn (plain replace, no regex)."""
+    for t in tokens:
+        s = F.replace(s, F.lit(t), F.lit(""))
+    return s
+
+
+def to_number(c, strip: Sequence[str] = ()) -> Column:
+    """CLN-07: text -> double, anything unparseable -> null (never NaN).
+    ``strip`` lists literal tokens removed first, in order."""
+    s = F.trim(strip_tokens(_col(c).cast("string"), strip))
     return F.when(s.rlike(NUMERIC_RE), s.try_cast("double"))
 
 
 def clean_currency(c) -> Column:
-    """CLN-01/02: remove ``$``, ``,`` and ``USD``; keep the sign."""
-    return to_number(c, r"[$,]|USD")
+    """CLN-01/02: remove ``$``, ``,`` and ``USD`` (in that order); keep the sign."""
+    return to_number(c, CURRENCY_TOKENS)
 
 
 def clean_percent(c) -> Column:
     """CLN-03/04: percent text in points; ``15``, ``15%``, ``15 percent``."""
-    s = F.lower(_col(c).cast("string"))
-    return to_number(F.regexp_replace(s, "%|percent", ""))
+    return to_number(F.lower(_col(c).cast("string")), PERCENT_TOKENS)
 
 
 def parse_bool(c, truthy: Sequence[str] = TRUTHY) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from campanula.functions import clean as C
 from campanula.operators.abt import scalar
-from campanula.session import materialize
+from campanula.session import materialize, small
 
 # --- fixed values: budget composite weights -----------------------------------
 COMPOSITE_WEIGHTS = {"avg_roas": 0.35, "avg_lcr": 0.25, "avg_ltv": 0.25, "avg_repeat_rate": 0.15}
@@ -88,15 +88,14 @@ def budget_reallocation(quality: DataFrame) -> DataFrame:
                F.avg("ROAS").alias("avg_roas"), F.avg("LCR").alias("avg_lcr"),
                F.avg("avg_customer_ltv").alias("avg_ltv"),
                F.avg("repeat_rate").alias("avg_repeat_rate")))
-    ch = materialize(ch)  # one row per channel; every scalar below reads this
+    ch = small(ch)  # one row per channel; every scalar below reads this
     comp = F.lit(0.0)
     for c, w in COMPOSITE_WEIGHTS.items():
         x = F.coalesce(F.col(c), F.lit(0.0))
         lo = scalar(ch, F.min(F.coalesce(F.col(c), F.lit(0.0))))
         hi = scalar(ch, F.max(F.coalesce(F.col(c), F.lit(0.0))))
         comp = comp + F.when(hi - lo > 0, (x - lo) / (hi - lo)).otherwise(F.lit(1.0)) * w
-    ch = ch.withColumn("composite_score", F.bround(comp, 3))
-    ch = materialize(ch)
+    ch = small(ch.withColumn("composite_score", F.bround(comp, 3)))
     tot_spend = scalar(ch, F.sum("total_spend"))
     tot_comp = scalar(ch, F.sum("composite_score"))
     denom = F.when(tot_spend == 0, F.lit(1.0)).otherwise(tot_spend)
@@ -146,7 +145,7 @@ def group_profile(features: DataFrame, group: str = "Group") -> DataFrame:
     """CMP-08: campaign group means and rank labels by mean ROAS."""
     prof = features.groupBy(group).agg(*[F.avg(c).alias(c) for c in
                                          ("spend_usd", "total_leads", "LCR", "ROAS", "CPA", "budget_utilization")])
-    prof = materialize(prof)  # one row per group (k <= 5)
+    prof = small(prof)  # one row per group (k <= 5)
     from pyspark.sql import Window
     # WIN-07: ranking k group rows (k <= 5); the window sees k rows only.
     w = Window.orderBy(F.col("ROAS").desc_nulls_last(), F.col(group))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from campanula.functions import clean as C
 from campanula.operators import ranks as RK
 from campanula.operators.abt import scalar
-from campanula.session import materialize
+from campanula.session import small
 
 # --- fixed values -----------------------------------------------------------
 COST_FN, COST_FP = 20.0, 5.0
@@ -109,7 +109,7 @@ def cost_threshold(pred: DataFrame, label: str = "label", score: str = "score",
                  F.sum("_p").over(w_le).alias("fn"),
                  (neg_total - F.sum("_n").over(w_le)).alias("fp"))
     g = g.withColumn("cost", F.col("fn") * cost_fn + F.col("fp") * cost_fp)
-    g = materialize(g)
+    g = small(g)  # 101 rows
     best = scalar(g, F.min_by("j", F.struct("cost", "j")))
     return g.select("threshold", F.col("fn").cast("bigint").alias("fn"), F.col("fp").cast("bigint").alias("fp"),
                     "cost", (F.col("j") == best).alias("is_optimal"))
@@ -136,7 +136,7 @@ def tier_stats(pred: DataFrame, label: str = "label", score: str = "score") -> D
     g = (pred.withColumn("priority_tier", priority_tier(F.col(score)))
          .filter(F.col("priority_tier").isNotNull()).groupBy("priority_tier")
          .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("bigint")).alias("conversions")))
-    g = materialize(g)
+    g = small(g)  # one row per tier
     tot = scalar(g, F.sum("n"))
     return g.select("priority_tier", "n", "conversions", (F.col("conversions") / F.col("n")).alias("rate"),
                     F.round(F.col("n") / tot * 100, 1).alias("share_pct"))

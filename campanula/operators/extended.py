@@ -12,7 +12,7 @@ from campanula.functions import clean as C
 from campanula.functions.pvalues import p_value
 from campanula.operators import ranks as RK
 from campanula.operators.abt import scalar
-from campanula.session import materialize
+from campanula.session import small
 
 
 def linear_attribution(sessions: DataFrame, tx: DataFrame) -> DataFrame:
@@ -129,7 +129,7 @@ def landing_page_ranking(leads: DataFrame, abt: DataFrame, perf: DataFrame) -> D
           .groupBy("landing_page").agg(F.count("lead_id").alias("n_leads"),
                                        F.avg(F.col("converted_30d").cast("double")).alias("lcr"),
                                        F.avg("AOV").alias("avg_customer_aov")))
-    t = materialize(lp.join(perf.select("landing_page", "bounce_rate"), "landing_page", "left"))
+    t = small(lp.join(perf.select("landing_page", "bounce_rate"), "landing_page", "left"))  # one row per page
     return t.select("*",
                     F.rank().over(Window.orderBy(F.col("lcr").desc())).alias("rank_lcr"),
                     F.rank().over(Window.orderBy(F.col("avg_customer_aov").desc_nulls_last())).alias("rank_aov"),
@@ -143,14 +143,14 @@ def pairwise_welch_holm(df: DataFrame, group: str, value: str) -> DataFrame:
     per = (df.filter(F.col(group).isNotNull() & F.col(value).isNotNull()).groupBy(group)
            .agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("m"), F.var_samp(value).alias("v"))
            .filter(F.col("n") > 1))
-    per = materialize(per)
+    per = small(per)  # k groups
     a = per.select(*[F.col(c).alias(f"{c}_1") for c in (group, "n", "m", "v")])
     b = per.select(*[F.col(c).alias(f"{c}_2") for c in (group, "n", "m", "v")])
     pairs = a.join(b, F.col(f"{group}_1") < F.col(f"{group}_2"))
     sa, sb = F.col("v_1") / F.col("n_1"), F.col("v_2") / F.col("n_2")
     t = F.try_divide(F.col("m_1") - F.col("m_2"), F.sqrt(sa + sb))
     dof = F.try_divide((sa + sb) * (sa + sb), sa * sa / (F.col("n_1") - 1) + sb * sb / (F.col("n_2") - 1))
-    tests = materialize(pairs.select(F.col(f"{group}_1").alias("group_1"), F.col(f"{group}_2").alias("group_2"),
+    tests = small(pairs.select(F.col(f"{group}_1").alias("group_1"), F.col(f"{group}_2").alias("group_2"),
                                      (F.col("m_1") - F.col("m_2")).alias("mean_diff"), t.alias("t"), dof.alias("df"))
                         .withColumn("p_value", p_value("t2", F.col("t"), F.col("df"))))
     m = scalar(tests, F.count(F.lit(1)))

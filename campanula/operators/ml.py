@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from campanula.operators import evaluate as EV
 from campanula.operators import ranks as RK
 from campanula.operators.abt import scalar
-from campanula.session import materialize
+from campanula.session import materialize, small
 
 # --- fixed values: model settings of the reference --------------------------
 SEED = 42
@@ -66,9 +66,9 @@ def stratified_rank(df: DataFrame, label: str, key: str, seed: int = SEED) -> Da
     h = F.xxhash64(F.col(key).cast("string"), F.lit(seed))
     ranked = RK.prefix_sum(df.withColumn("_h", h), [F.col(label), F.col("_h"), F.col(key)])
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n_s"))
-    ranked = ranked.join(F.broadcast(materialize(sizes)), label)  # one row per class
+    ranked = ranked.join(F.broadcast(small(sizes)), label)  # one row per class
     first = ranked.groupBy(label).agg(F.min("_cum").alias("_first"))
-    return (ranked.join(F.broadcast(materialize(first)), label)
+    return (ranked.join(F.broadcast(small(first)), label)
             .withColumn("_pos", F.col("_cum") - F.col("_first") + 1)
             .drop("_cum", "_cum_before", "_w", "_first", "_h"))
 
@@ -253,7 +253,7 @@ def segment_customers(abt: DataFrame, k: int = 4) -> DataFrame:
     from pyspark.sql import Window
     w = Window.orderBy(F.col("_m").desc(), F.col("Segment"))  # k rows
     names = F.element_at(F.array(*[F.lit(n) for n in SEGMENT_NAMES]), F.row_number().over(w).cast("int"))
-    lab = materialize(means.select("Segment", names.alias("Segment_Name")))
+    lab = small(means.select("Segment", names.alias("Segment_Name")))  # k rows
     return seg.join(F.broadcast(lab), "Segment")
 
 

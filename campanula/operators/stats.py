@@ -19,7 +19,7 @@ from campanula.functions import clean as C
 from campanula.functions.pvalues import p_value
 from campanula.operators import ranks as RK
 from campanula.operators.abt import scalar
-from campanula.session import materialize
+from campanula.session import small
 
 _D = "double"
 
@@ -58,7 +58,7 @@ def chi2_flag(df: DataFrame, a: str, flag: Column, test: str, yates: bool = True
     f = F.coalesce(flag, F.lit(False))
     wide = (df.filter(F.col(a).isNotNull()).groupBy(a)
             .agg(F.count_if(f).alias("o1"), F.count_if(~f).alias("o0")))
-    wide = materialize(wide)  # one row per category
+    wide = small(wide)  # one row per category
     n = scalar(wide, F.sum(F.col("o1") + F.col("o0")))
     c1 = scalar(wide, F.sum("o1"))
     c0 = scalar(wide, F.sum("o0"))
@@ -92,7 +92,7 @@ def kruskal(df: DataFrame, group: str, value: str, test: str) -> DataFrame:
     gv = base.groupBy(group, value).agg(F.count(F.lit(1)).alias("_c"))
     per = (gv.join(ranks.select(value, "rank"), value)
            .groupBy(group).agg(F.sum("_c").alias("n_g"), F.sum(F.col("_c") * F.col("rank")).alias("r_g")))
-    per = materialize(per)  # one row per group
+    per = small(per)  # one row per group
     n = scalar(per, F.sum("n_g"))
     k = scalar(per, F.count(F.lit(1)))
     ties = scalar(ranks, F.sum(F.pow(F.col("_cnt").cast(_D), 3) - F.col("_cnt")))
@@ -107,7 +107,7 @@ def anova(df: DataFrame, group: str, value: str, test: str) -> DataFrame:
     base = _groups_over_one(df, group, value)
     per = base.groupBy(group).agg(F.count(F.lit(1)).alias("n_g"), F.avg(value).alias("m_g"),
                                   F.var_samp(value).alias("v_g"))
-    per = materialize(per)
+    per = small(per)
     n = scalar(per, F.sum("n_g"))
     k = scalar(per, F.count(F.lit(1)))
     grand = scalar(per, F.sum(F.col("n_g") * F.col("m_g")) / F.sum("n_g"))
@@ -130,7 +130,7 @@ def mann_whitney(df: DataFrame, flag: Column, value: str, test: str, alternative
     gv = base.groupBy("_x", value).agg(F.count(F.lit(1)).alias("_c"))
     per = (gv.join(ranks.select(value, "rank"), value).groupBy("_x")
            .agg(F.sum("_c").alias("n_g"), F.sum(F.col("_c") * F.col("rank")).alias("r_g")))
-    per = materialize(per)  # two rows
+    per = small(per)  # two rows
     n1 = scalar(per, F.sum(F.when(F.col("_x"), F.col("n_g"))))
     r1 = scalar(per, F.sum(F.when(F.col("_x"), F.col("r_g"))))
     n2 = scalar(per, F.sum(F.when(~F.col("_x"), F.col("n_g"))))

@@ -55,8 +55,8 @@ def clean_campaigns(bronze: DataFrame) -> DataFrame:
         C.null_if(spend, spend < 0).alias("spend_usd"),
         C.map_label("target_region", C.TARGET_REGION_MAP).alias("target_region"),
         F.trim("creative_type").alias("creative_type"),
-        C.to_number("impressions", ",").cast("bigint").alias("impressions"),
-        C.to_number("clicks", ",").cast("bigint").alias("clicks"),
+        C.to_number("impressions", (",",)).cast("bigint").alias("impressions"),
+        C.to_number("clicks", (",",)).cast("bigint").alias("clicks"),
     )
 
 

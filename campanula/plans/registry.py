@@ -94,13 +94,16 @@ class Tables:
         from campanula.sources.testdata import bronze_tables
         return bronze_tables(self.spark, self.sf_dir)
 
+    def bronze_table(self, name: str) -> DataFrame:
+        return self.stage(f"bronze_{name}", lambda: self.raw_bronze[name])
+
     @property
     def bronze(self) -> dict[str, DataFrame]:
-        return {n: self.stage(f"bronze_{n}", lambda n=n: self.raw_bronze[n]) for n in self.raw_bronze}
+        return {n: self.bronze_table(n) for n in self.raw_bronze}
 
     def silver_table(self, name: str) -> DataFrame:
         from campanula.operators.tables import CLEANERS
-        return self.stage(f"silver_{name}", lambda: CLEANERS[name](self.bronze[name]))
+        return self.stage(f"silver_{name}", lambda: CLEANERS[name](self.bronze_table(name)))
 
     @property
     def silver(self) -> dict[str, DataFrame]:

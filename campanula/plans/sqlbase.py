@@ -72,20 +72,20 @@ def channeltext(index: str, variant: str) -> str:
 
 
 # --- cleaning, SQL side -----------------------------------------------------
-def to_number(s: str, strip: str | None = None) -> str:
+def to_number(s: str, strip=()) -> str:
     x = f"CAST({s} AS VARCHAR)"
-    if strip:
-        x = f"regexp_replace({x}, {q(strip)}, '', 'g')"
+    for t in strip:
+        x = f"replace({x}, {q(t)}, '')"
     x = f"trim({x})"
     return f"(CASE WHEN regexp_matches({x}, {q(NUMERIC_RE)}) THEN TRY_CAST({x} AS DOUBLE) END)"
 
 
 def currency(s: str) -> str:
-    return to_number(s, r"[$,]|USD")
+    return to_number(s, C.CURRENCY_TOKENS)
 
 
 def pct(s: str) -> str:
-    return to_number(f"regexp_replace(lower({s}), '%|percent', '', 'g')")
+    return to_number(f"lower({s})", C.PERCENT_TOKENS)
 
 
 def boolean(s: str, truthy=C.TRUTHY) -> str:
@@ -242,8 +242,8 @@ FROM (SELECT campaign_id, campaign_name,
         {currency('budget_usd')} AS budget_usd, {currency('spend_usd')} AS spend_usd,
         {mapped('target_region', C.TARGET_REGION_MAP)} AS target_region,
         trim(creative_type) AS creative_type,
-        CAST({to_number('impressions', ',')} AS BIGINT) AS impressions,
-        CAST({to_number('clicks', ',')} AS BIGINT) AS clicks
+        CAST({to_number('impressions', (',',))} AS BIGINT) AS impressions,
+        CAST({to_number('clicks', (',',))} AS BIGINT) AS clicks
       FROM b_campaigns
       QUALIFY row_number() OVER (PARTITION BY campaign_id ORDER BY _src_row) = 1) t""")
 

@@ -83,6 +83,17 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def small(df: DataFrame) -> DataFrame:
+    """Keep a small table (bounded by a group or class count) for reuse by
+    several scalar subqueries.  A deterministic plan is cached: recomputing
+    it after an executor loss gives the same rows.  A nondeterministic one
+    (e.g. an input ordered by ``rand``) is checkpointed instead, so every
+    consumer sees one fixed result."""
+    if df._jdf.queryExecution().analyzed().deterministic():
+        return df.cache()
+    return materialize(df)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
