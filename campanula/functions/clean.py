@@ -133,6 +133,17 @@ def days_between(end, start) -> Column:
     return F.floor(secs / F.lit(86400)).cast("bigint")
 
 
+def fill_median(df, cols):
+    """CLN-16: replace nulls by the column's exact global median (each median
+    a scalar subquery, evaluated once)."""
+    from pyspark.sql import functions as F_
+    out = df
+    for c in cols:
+        med = df.select(F_.median(F_.col(c).cast("double"))).scalar()
+        out = out.withColumn(c, F_.coalesce(F_.col(c).cast("double"), med))
+    return out
+
+
 def safe_div(a, b) -> Column:
     """CLN-17: a / b, null when b is zero or null."""
     return F.try_divide(_col(a).cast("double"), F.nullif(_col(b).cast("double"), F.lit(0.0)))

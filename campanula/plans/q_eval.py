@@ -239,3 +239,69 @@ def q_km_tier(spark, sf_dir):
     k = km_input(tables(spark, sf_dir)).filter(F.col("loyalty_tier").isNotNull())
     big = k.groupBy("loyalty_tier").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= 20).select("loyalty_tier")
     return EV.kaplan_meier(k.join(big, "loyalty_tier", "left_semi"), "t", "e", by="loyalty_tier")
+
+
+# --- EVA-12: early-warning comparison of repeaters vs non-repeaters ----------
+WARNING_FEATURES = ("total_acquisition_cost", "total_revenue", "total_sessions", "age")
+
+cte("ew_base", """
+SELECT a.*, r.repeat_90d FROM abt a JOIN repeat_target r ON a.customer_id = r.customer_id""")
+
+
+def ew_base(t):
+    rt = D.repeat_target(t.transactions).select("customer_id", "repeat_90d")
+    return t.abt.join(rt, "customer_id")
+
+
+def _clipped(base, f):
+    from campanula.functions import clean as C
+    from campanula.operators.abt import scalar
+    p98 = scalar(base, F.percentile(F.col(f).cast("double"), 0.98))
+    return base.select("repeat_90d", C.clip(F.col(f).cast("double"), None, p98).alias("v"))
+
+
+def _ew_src(f):
+    return (f"SELECT repeat_90d = 1 AS x, CASE WHEN {f} IS NULL THEN NULL ELSE least(CAST({f} AS DOUBLE), "
+            f"(SELECT quantile_cont(CAST({f} AS DOUBLE), 0.98) FROM ew_base)) END AS v FROM ew_base")
+
+
+def _ew_sql():
+    from campanula.plans.q_stats import _mw_sql
+    return " UNION ALL ".join(_mw_sql(f, _ew_src(f)) for f in WARNING_FEATURES)
+
+
+@register("early_warning_tests", _ew_sql(), group=G)
+def q_early_warning(spark, sf_dir):
+    from campanula.operators import stats as S
+    base = ew_base(tables(spark, sf_dir))
+    return S.union_all([S.mann_whitney(_clipped(base, f), F.col("repeat_90d") == 1, "v", f)
+                        for f in WARNING_FEATURES])
+
+
+def _ew_hist_sql():
+    parts = []
+    for f in WARNING_FEATURES:
+        for g in (0, 1):
+            src = f"SELECT v FROM ({_ew_src(f)}) s WHERE x = {'true' if g else 'false'} AND v IS NOT NULL"
+            parts.append(f"""SELECT '{f}' AS feature, {g} AS repeat_90d, g.range AS bin,
+  b.lo + g.range * b.w AS lo, b.lo + (g.range + 1) * b.w AS hi, COALESCE(c.n, 0) AS n
+FROM range(25) g CROSS JOIN (SELECT min(v) AS lo, (max(v) - min(v)) / 25 AS w FROM ({src}) s1) b
+LEFT JOIN (SELECT CAST(CASE WHEN b2.w > 0 THEN least(floor((s2.v - b2.lo) / b2.w), 24) ELSE 0 END AS BIGINT) AS bin,
+                  count(*) AS n
+           FROM ({src}) s2, (SELECT min(v) AS lo, (max(v) - min(v)) / 25 AS w FROM ({src}) s3) b2 GROUP BY 1) c
+ON g.range = c.bin""")
+    return " UNION ALL ".join(parts)
+
+
+@register("early_warning_histograms", _ew_hist_sql(), group=G)
+def q_early_hist(spark, sf_dir):
+    from campanula.operators.describe import histogram
+    base = ew_base(tables(spark, sf_dir))
+    out = None
+    for f in WARNING_FEATURES:
+        clipped = _clipped(base, f)
+        for g in (0, 1):
+            h = histogram(clipped.filter(F.col("repeat_90d") == g), "v", 25) \
+                .select(F.lit(f).alias("feature"), F.lit(g).alias("repeat_90d"), "bin", "lo", "hi", "n")
+            out = h if out is None else out.unionByName(h)
+    return out

@@ -109,7 +109,9 @@ def q_camp_groups(spark, sf_dir):
 def q_mlr(spark, sf_dir):
     t = tables(spark, sf_dir)
     a = M.mlr(t.abt, "CLV_proxy", M.LTV_FEATURES, "A: Predict Customer LTV", "customer_id")
-    tx = t.transactions.withColumn("_k", F.concat_ws("|", "order_id", "product_category", "revenue_usd"))
+    from campanula.functions.clean import fill_median
+    tx = fill_median(t.transactions.filter(F.col("revenue_usd").isNotNull()), ["units", "discount_pct"])
+    tx = tx.withColumn("_k", F.concat_ws("|", "order_id", "product_category", "revenue_usd"))
     b = M.mlr(tx, "revenue_usd", ["units", "discount_pct"], "B: Predict Revenue/Transaction", "_k")
     from campanula.plans.q_describe import converted_leads
     c = M.mlr(converted_leads(t), "days_to_convert", ["lead_score", "discount_offered_pct",

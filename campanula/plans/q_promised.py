@@ -302,3 +302,41 @@ def q_migration(spark, sf_dir):
         rows.append((int(s), int(r["n"]), float(r["mean_revenue"]), target, dist, float(r["checkout_no_order_share"])))
     return spark.createDataFrame(rows, "Segment int, n long, mean_revenue double, migrate_to int, "
                                        "centroid_distance double, checkout_no_order_share double")
+
+
+@register("unattributed_customers", """
+SELECT count(*) AS n_customers,
+  CAST((SELECT count(*) FROM customers c WHERE NOT EXISTS (
+          SELECT 1 FROM leads l WHERE l.customer_id = c.customer_id)) AS BIGINT) AS n_without_leads,
+  100.0 * (SELECT count(*) FROM customers c WHERE NOT EXISTS (
+          SELECT 1 FROM leads l WHERE l.customer_id = c.customer_id)) / count(*) AS share_pct
+FROM customers""", group="core")
+def q_unattributed(spark, sf_dir):
+    """JN-06: customers never seen as a lead (anti join)."""
+    from campanula.operators.abt import scalar
+    t = tables(spark, sf_dir)
+    anti = t.customers.join(t.leads.select("customer_id"), "customer_id", "left_anti")
+    n_anti = scalar(anti, F.count(F.lit(1)))
+    return t.customers.agg(F.count(F.lit(1)).alias("n_customers")).select(
+        "n_customers", n_anti.alias("n_without_leads"), (n_anti * 100.0 / F.col("n_customers")).alias("share_pct"))
+
+
+@register("deceptive_campaign_ids", """
+SELECT count(*) AS n_deceptive, COALESCE(string_agg(campaign_id, ', ' ORDER BY campaign_id), '') AS ids
+FROM camp_quality WHERE deceptive_efficiency""", group="campaign")
+def q_deceptive_ids(spark, sf_dir):
+    """AGG-30: the flagged campaign ids as one sorted list (campaign grain)."""
+    from campanula.plans.q_campaign import quality
+    q = quality(tables(spark, sf_dir)).filter(F.col("deceptive_efficiency"))
+    return q.agg(F.count(F.lit(1)).alias("n_deceptive"),
+                 F.array_join(F.array_sort(F.collect_list("campaign_id")), ", ").alias("ids"))
+
+
+@register("customer_aov_sample", None, group="describe")
+def q_sample(spark, sf_dir):
+    """TOP-04: a seeded sample of 500 customers (the reference's scatter sample);
+    the limit is the feature."""
+    t = tables(spark, sf_dir)
+    cust = t.abt.filter(F.col("total_orders") > 0).select(
+        "customer_id", (F.col("total_revenue") / F.col("total_orders")).alias("cust_aov"), "total_sessions")
+    return D.sample_n(cust, 500, 42, "customer_id")
