@@ -127,10 +127,21 @@ def null_if_before(c, ref) -> Column:
 
 
 def days_between(end, start) -> Column:
-    """CLN-14: whole elapsed days (floor), negative spans floor down."""
+    """CLN-14: whole elapsed days (floor), negative spans floor down.
+
+    Dates (values at midnight) use calendar days, which is exact in any
+    session time zone (a DST change makes a local day 23 or 25 hours);
+    values with a time of day use the floor of the elapsed instant.
+    """
     e, s = _col(end), _col(start)
-    secs = F.unix_timestamp(e.cast("timestamp")) - F.unix_timestamp(s.cast("timestamp"))
-    return F.floor(secs / F.lit(86400)).cast("bigint")
+    et, st = e.cast("timestamp"), s.cast("timestamp")
+
+    def midnight(t):
+        return (F.hour(t) == 0) & (F.minute(t) == 0) & (F.second(t) == 0)
+
+    secs = F.unix_timestamp(et) - F.unix_timestamp(st)
+    return (F.when(midnight(et) & midnight(st), F.datediff(et, st))
+            .otherwise(F.floor(secs / F.lit(86400)))).cast("bigint")
 
 
 def fill_median(df, cols):
