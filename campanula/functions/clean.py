@@ -155,6 +155,13 @@ def fill_median(df, cols):
     return out
 
 
+def money_sum(c) -> Column:
+    """Exact sum of cent-valued amounts (DECIMAL accumulation, returned as
+    double): independent of partitioning and summation order, so ties in
+    later rank statistics do not depend on the physical plan."""
+    return F.sum(_col(c).cast("decimal(20,2)")).cast("double")
+
+
 def safe_div(a, b) -> Column:
     """CLN-17: a / b, null when b is zero or null."""
     return F.try_divide(_col(a).cast("double"), F.nullif(_col(b).cast("double"), F.lit(0.0)))

@@ -34,7 +34,7 @@ def leads_per_customer(leads: DataFrame) -> DataFrame:
             .agg(F.count("lead_id").alias("total_leads"),
                  F.sum(F.col("converted_30d").cast("bigint")).alias("converted_leads"),
                  F.avg("lead_score").alias("avg_lead_score"),
-                 F.coalesce(F.sum("acquisition_cost_usd"), F.lit(0.0)).alias("total_acquisition_cost")))
+                 F.coalesce(C.money_sum("acquisition_cost_usd"), F.lit(0.0)).alias("total_acquisition_cost")))
 
 
 def sessions_per_customer(sessions: DataFrame) -> DataFrame:
@@ -55,8 +55,8 @@ def tx_per_customer(tx: DataFrame) -> DataFrame:
     return (tx.filter(F.col("customer_id").isNotNull())
             .groupBy("customer_id")
             .agg(F.count("order_id").alias("total_orders"),
-                 F.coalesce(F.sum("revenue_usd"), F.lit(0.0)).alias("total_revenue"),
-                 F.coalesce(F.sum("units"), F.lit(0.0)).alias("total_units"),
+                 F.coalesce(C.money_sum("revenue_usd"), F.lit(0.0)).alias("total_revenue"),
+                 F.coalesce(C.money_sum("units"), F.lit(0.0)).alias("total_units"),
                  F.sum(F.col("returned_flag").cast("bigint")).alias("total_returned"),
                  F.max("order_date").alias("last_order_date")))
 

@@ -27,13 +27,13 @@ def campaign_rollup(leads: DataFrame, tx: DataFrame) -> DataFrame:
     """AGG-23: per campaign, leads, conversions and the *whole* revenue of each
     lead's customer (any-touch; a customer's revenue counts once per lead)."""
     cust_rev = tx.filter(F.col("customer_id").isNotNull()).groupBy("customer_id") \
-                 .agg(F.sum("revenue_usd").alias("_rev"))
+                 .agg(C.money_sum("revenue_usd").alias("_rev"))
     lr = (leads.filter(F.col("customer_id").isNotNull())
           .join(cust_rev, "customer_id", "left"))
     return (lr.filter(F.col("campaign_id").isNotNull()).groupBy("campaign_id")
             .agg(F.count("lead_id").alias("total_leads"),
                  F.sum(F.col("converted_30d").cast("bigint")).alias("converted_leads"),
-                 F.coalesce(F.sum("_rev"), F.lit(0.0)).alias("total_revenue")))
+                 F.coalesce(C.money_sum("_rev"), F.lit(0.0)).alias("total_revenue")))
 
 
 def campaign_features(campaigns: DataFrame, leads: DataFrame, tx: DataFrame,

@@ -14,21 +14,42 @@ task.  Here a global running sum is computed in two passes instead:
    broadcast back.
 
 Rank-type operators aggregate to *distinct values* before ordering, so the
-ordered table is at most the number of distinct values.
+ordered table is at most the number of distinct values.  That table is
+persisted and counted first: when its measured size is within
+``LOCAL_ORDER_MAX_ROWS`` one ordered window task handles it (no sampling
+job, no checkpoint); beyond the bound the two-pass path above runs.  Both
+paths are tested against brute force.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from campanula.session import materialize, shuffle_partitions
 
 
+# Size check for ordered passes: a table of at most this many rows (already
+# aggregated, e.g. distinct values or distinct durations) is ordered by one
+# window task; anything larger takes the range-partitioned two-pass path.
+LOCAL_ORDER_MAX_ROWS = 500_000
+
+
+def _checked_small(df: DataFrame, local_max_rows: int | None) -> tuple[DataFrame, bool]:
+    """Persist ``df`` and report whether its measured row count is within the
+    bound (the count is the one pass that fills the persisted table)."""
+    limit = LOCAL_ORDER_MAX_ROWS if local_max_rows is None else local_max_rows
+    if limit <= 0:
+        return df, False
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    return df, df.count() <= limit
+
+
 def prefix_sums(df: DataFrame, order_cols: Sequence[str | Column], weights: dict[str, Column | str],
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, local_max_rows: int | None = None) -> DataFrame:
     """For each named weight ``w`` add ``_cum_w`` (inclusive global running sum
     in the given order) and ``_cum_before_w`` (exclusive).  Ties in
     ``order_cols`` are ordered arbitrarily; pass a unique ordering when
@@ -40,6 +61,14 @@ def prefix_sums(df: DataFrame, order_cols: Sequence[str | Column], weights: dict
     wdf = df
     for name, w in weights.items():
         wdf = wdf.withColumn(f"_w_{name}", F.col(w) if isinstance(w, str) else w)
+    wdf, is_small = _checked_small(wdf, local_max_rows)
+    if is_small:
+        # measured <= LOCAL_ORDER_MAX_ROWS rows: one ordered window task
+        run = Window.orderBy(*ordered).rowsBetween(Window.unboundedPreceding, 0)
+        out = wdf.select("*", *[F.sum(f"_w_{k}").over(run).alias(f"_cum_{k}") for k in names])
+        for k in names:
+            out = out.withColumn(f"_cum_before_{k}", F.col(f"_cum_{k}") - F.col(f"_w_{k}"))
+        return out
     parted = wdf.repartitionByRange(n, *ordered).withColumn("_pid", F.spark_partition_id())
     parted = materialize(parted)
     local = Window.partitionBy("_pid").orderBy(*ordered).rowsBetween(Window.unboundedPreceding, 0)
@@ -57,22 +86,26 @@ def prefix_sums(df: DataFrame, order_cols: Sequence[str | Column], weights: dict
 
 
 def prefix_sum(df: DataFrame, order_cols: Sequence[str | Column], weight: str | Column | None = None,
-               num_partitions: int | None = None) -> DataFrame:
+               num_partitions: int | None = None, local_max_rows: int | None = None) -> DataFrame:
     """Single-weight form: adds ``_w``, ``_cum`` and ``_cum_before``."""
     w = weight if weight is not None else F.lit(1)
-    out = prefix_sums(df, order_cols, {"x": w}, num_partitions)
+    out = prefix_sums(df, order_cols, {"x": w}, num_partitions, local_max_rows)
     return (out.withColumnRenamed("_w_x", "_w").withColumnRenamed("_cum_x", "_cum")
                .withColumnRenamed("_cum_before_x", "_cum_before"))
 
 
 def prefix_max_before(df: DataFrame, order_cols: Sequence[str | Column], value: str,
-                      num_partitions: int | None = None) -> DataFrame:
+                      num_partitions: int | None = None, local_max_rows: int | None = None) -> DataFrame:
     """Add ``_max_before``: the maximum of ``value`` over all rows strictly
     before each row in the global order (null for the first row).  Same
     two-pass scheme as ``prefix_sums`` with ``max`` as the combiner."""
     spark = df.sparkSession
     n = num_partitions or shuffle_partitions(spark)
     ordered = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    df, is_small = _checked_small(df, local_max_rows)
+    if is_small:
+        before = Window.orderBy(*ordered).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumn("_max_before", F.max(value).over(before))
     parted = materialize(df.repartitionByRange(n, *ordered).withColumn("_pid", F.spark_partition_id()))
     local = Window.partitionBy("_pid").orderBy(*ordered).rowsBetween(Window.unboundedPreceding, -1)
     with_local = parted.withColumn("_lmax", F.max(value).over(local))
@@ -92,6 +125,13 @@ def value_ranks(df: DataFrame, value: str) -> DataFrame:
     """
     counts = (df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
               .groupBy(value).agg(F.count(F.lit(1)).alias("_cnt")))
+    return ranks_from_counts(counts, value, "_cnt")
+
+
+def ranks_from_counts(counts: DataFrame, value: str, count: str) -> DataFrame:
+    """Average ranks from a (distinct value, multiplicity) table; returns
+    ``(value, _cnt, rank)``."""
+    counts = counts.select(value, F.col(count).alias("_cnt"))
     ps = prefix_sum(counts, [value], "_cnt")
     return ps.select(value, "_cnt",
                      (F.col("_cum_before") + (F.col("_cnt") + 1) / 2.0).alias("rank"))

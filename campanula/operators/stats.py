@@ -12,7 +12,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from campanula.functions import clean as C
@@ -58,24 +59,26 @@ def chi2_flag(df: DataFrame, a: str, flag: Column, test: str, yates: bool = True
     f = F.coalesce(flag, F.lit(False))
     wide = (df.filter(F.col(a).isNotNull()).groupBy(a)
             .agg(F.count_if(f).alias("o1"), F.count_if(~f).alias("o0")))
-    wide = small(wide)  # one row per category
-    n = scalar(wide, F.sum(F.col("o1") + F.col("o0")))
-    c1 = scalar(wide, F.sum("o1"))
-    c0 = scalar(wide, F.sum("o0"))
-    r = scalar(wide, F.count(F.lit(1)))
-    dof = (r - 1) * F.lit(1)
+    # margins over the k category rows (a window over the tiny table)
+    allrows = Window.partitionBy()
+    wide = wide.select("*", F.sum(F.col("o1") + F.col("o0")).over(allrows).alias("n"),
+                       F.sum("o1").over(allrows).alias("c1"), F.sum("o0").over(allrows).alias("c0"),
+                       F.count(F.lit(1)).over(allrows).alias("r"))
+    dof = F.col("r") - 1
     row = F.col("o1") + F.col("o0")
 
     def term(o, c):
-        e = row * c / n
+        e = row * c / F.col("n")
         d = F.abs(o - e)
         if yates:
             d = F.when(dof == 1, d - F.least(F.lit(0.5), d)).otherwise(d)
         return _div(d * d, e)
 
-    chi = wide.agg(F.sum(term(F.col("o1"), c1) + term(F.col("o0"), c0)).alias("chi2"))
-    v = F.sqrt(_div(F.col("chi2"), n * (F.least(r, F.lit(2)) - 1)))
-    return _stat_row(chi, test, F.col("chi2"), n, "chi2", dof.cast(_D), extra={"cramers_v": v})
+    chi = wide.agg(F.sum(term(F.col("o1"), F.col("c1")) + term(F.col("o0"), F.col("c0"))).alias("chi2"),
+                   F.first("n").alias("n"), F.first("r").alias("r"))
+    v = F.sqrt(_div(F.col("chi2"), F.col("n") * (F.least(F.col("r"), F.lit(2)) - 1)))
+    return _stat_row(chi, test, F.col("chi2"), F.col("n"), "chi2", (F.col("r") - 1).cast(_D),
+                     extra={"cramers_v": v})
 
 
 def _groups_over_one(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -85,21 +88,38 @@ def _groups_over_one(df: DataFrame, group: str, value: str) -> DataFrame:
     return base.join(keep, group, "left_semi")
 
 
-def kruskal(df: DataFrame, group: str, value: str, test: str) -> DataFrame:
-    """STA-03: Kruskal-Wallis H with tie correction over k groups."""
-    base = _groups_over_one(df, group, value)
-    ranks = RK.value_ranks(base, value)  # (value, _cnt, rank), distinct-value grain
-    gv = base.groupBy(group, value).agg(F.count(F.lit(1)).alias("_c"))
+def _group_value_counts(df: DataFrame, group: Column | str, value: str, min_n: int = 2) -> DataFrame:
+    """One pass over the input: (group, value, count) with FIL-03 applied
+    (groups with fewer than ``min_n`` values dropped).  Every later step of a
+    rank test reads this aggregate, never the input rows again."""
+    g = F.col(group) if isinstance(group, str) else group
+    gv = (df.filter(g.isNotNull() & F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
+          .groupBy(g.alias("_g"), F.col(value).alias(value)).agg(F.count(F.lit(1)).alias("_c")))
+    gv = gv.persist(StorageLevel.MEMORY_AND_DISK)
+    if min_n > 1:
+        keep = gv.groupBy("_g").agg(F.sum("_c").alias("_n")).filter(F.col("_n") >= min_n).select("_g")
+        gv = gv.join(keep, "_g", "left_semi")
+    return gv
+
+
+def _rank_sums(gv: DataFrame, value: str) -> tuple[DataFrame, Column]:
+    """Per-group (n_g, rank sum r_g) and the tie term sum(t^3 - t)."""
+    ranks = RK.ranks_from_counts(gv.groupBy(value).agg(F.sum("_c").alias("_t")), value, "_t")
     per = (gv.join(ranks.select(value, "rank"), value)
-           .groupBy(group).agg(F.sum("_c").alias("n_g"), F.sum(F.col("_c") * F.col("rank")).alias("r_g")))
-    per = small(per)  # one row per group
-    n = scalar(per, F.sum("n_g"))
-    k = scalar(per, F.count(F.lit(1)))
+           .groupBy("_g").agg(F.sum("_c").alias("n_g"), F.sum(F.col("_c") * F.col("rank")).alias("r_g")))
     ties = scalar(ranks, F.sum(F.pow(F.col("_cnt").cast(_D), 3) - F.col("_cnt")))
-    h = per.agg((F.lit(12.0) / (n * (n + 1)) * F.sum(F.col("r_g") * F.col("r_g") / F.col("n_g"))
-                 - 3.0 * (n + 1)).alias("h0"))
-    corr = 1.0 - _div(ties, F.pow(n.cast(_D), 3) - n)
-    return _stat_row(h, test, _div(F.col("h0"), corr), n, "chi2", (k - 1).cast(_D))
+    return per, ties
+
+
+def kruskal(df: DataFrame, group: str, value: str, test: str) -> DataFrame:
+    """STA-03: Kruskal-Wallis H with tie correction over k groups."""
+    per, ties = _rank_sums(_group_value_counts(df, group, value), value)
+    agg = per.agg(F.sum("n_g").cast(_D).alias("N"), F.count(F.lit(1)).alias("k"),
+                  F.sum(F.col("r_g") * F.col("r_g") / F.col("n_g")).alias("S"))
+    n = F.col("N")
+    h0 = F.lit(12.0) / (n * (n + 1)) * F.col("S") - 3.0 * (n + 1)
+    corr = 1.0 - _div(ties, F.pow(n, 3) - n)
+    return _stat_row(agg, test, _div(h0, corr), n, "chi2", (F.col("k") - 1).cast(_D))
 
 
 def anova(df: DataFrame, group: str, value: str, test: str) -> DataFrame:
@@ -125,16 +145,12 @@ def _two_groups(df: DataFrame, flag: Column, value: str) -> DataFrame:
 def mann_whitney(df: DataFrame, flag: Column, value: str, test: str, alternative: str = "two-sided") -> DataFrame:
     """STA-05: Mann-Whitney U of the ``flag`` group vs the rest; normal
     approximation with tie and continuity correction (as scipy's default)."""
-    base = _two_groups(df, flag, value)
-    ranks = RK.value_ranks(base, value)
-    gv = base.groupBy("_x", value).agg(F.count(F.lit(1)).alias("_c"))
-    per = (gv.join(ranks.select(value, "rank"), value).groupBy("_x")
-           .agg(F.sum("_c").alias("n_g"), F.sum(F.col("_c") * F.col("rank")).alias("r_g")))
-    per = small(per)  # two rows
-    n1 = scalar(per, F.sum(F.when(F.col("_x"), F.col("n_g"))))
-    r1 = scalar(per, F.sum(F.when(F.col("_x"), F.col("r_g"))))
-    n2 = scalar(per, F.sum(F.when(~F.col("_x"), F.col("n_g"))))
-    ties = scalar(ranks, F.sum(F.pow(F.col("_cnt").cast(_D), 3) - F.col("_cnt")))
+    gv = _group_value_counts(df, flag.cast("boolean"), value, min_n=1)
+    per, ties = _rank_sums(gv, value)
+    agg = per.agg(F.sum(F.when(F.col("_g"), F.col("n_g"))).cast(_D).alias("n1"),
+                  F.sum(F.when(F.col("_g"), F.col("r_g"))).alias("r1"),
+                  F.sum(F.when(~F.col("_g"), F.col("n_g"))).cast(_D).alias("n2"))
+    n1, r1, n2 = F.col("n1"), F.col("r1"), F.col("n2")
     n = n1 + n2
     u1 = r1 - n1 * (n1 + 1) / 2.0
     u2 = n1 * n2 - u1
@@ -144,8 +160,7 @@ def mann_whitney(df: DataFrame, flag: Column, value: str, test: str, alternative
         z, dist = _div(u1 - mu - 0.5, sigma), "norm1"
     else:
         z, dist = _div(F.greatest(u1, u2) - mu - 0.5, sigma), "norm2"
-    one = per.agg(F.count(F.lit(1)).alias("_k"))
-    return _stat_row(one, test, u1, n, dist, extra={"z": z, "n1": n1, "n2": n2})
+    return _stat_row(agg, test, u1, n, dist, extra={"z": z, "n1": n1, "n2": n2})
 
 
 def welch_t(df: DataFrame, flag: Column, value: str, test: str) -> DataFrame:
@@ -178,9 +193,11 @@ def spearman(df: DataFrame, x: str, y: str, test: str) -> DataFrame:
     base = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
         F.col(x).cast(_D).alias("_x"), F.col(y).cast(_D).alias("_y"))
     # Reduce to distinct (x, y) pairs with multiplicity before joining ranks.
-    pairs = base.groupBy("_x", "_y").agg(F.count(F.lit(1)).alias("_c"))
-    rx = RK.value_ranks(base, "_x").select("_x", F.col("rank").alias("_rx"))
-    ry = RK.value_ranks(base, "_y").select("_y", F.col("rank").alias("_ry"))
+    pairs = base.groupBy("_x", "_y").agg(F.count(F.lit(1)).alias("_c")).persist(StorageLevel.MEMORY_AND_DISK)
+    rx = RK.ranks_from_counts(pairs.groupBy("_x").agg(F.sum("_c").alias("_t")), "_x", "_t") \
+        .select("_x", F.col("rank").alias("_rx"))
+    ry = RK.ranks_from_counts(pairs.groupBy("_y").agg(F.sum("_c").alias("_t")), "_y", "_t") \
+        .select("_y", F.col("rank").alias("_ry"))
     j = pairs.join(rx, "_x").join(ry, "_y")
     w = F.col("_c").cast(_D)
     g = j.agg(F.sum(w).alias("n"), F.sum(w * F.col("_rx")).alias("sx"), F.sum(w * F.col("_ry")).alias("sy"),

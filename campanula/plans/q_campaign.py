@@ -24,8 +24,8 @@ def quality(t):
 cte("camp_rollup", """
 SELECT l.campaign_id, count(l.lead_id) AS total_leads,
   CAST(sum(CAST(l.converted_30d AS BIGINT)) AS BIGINT) AS converted_leads,
-  COALESCE(sum(r.rev), 0.0) AS total_revenue
-FROM leads l LEFT JOIN (SELECT customer_id, sum(revenue_usd) AS rev FROM transactions
+  COALESCE(CAST(sum(CAST(r.rev AS DECIMAL(20,2))) AS DOUBLE), 0.0) AS total_revenue
+FROM leads l LEFT JOIN (SELECT customer_id, CAST(sum(CAST(revenue_usd AS DECIMAL(20,2))) AS DOUBLE) AS rev FROM transactions
                         WHERE customer_id IS NOT NULL GROUP BY customer_id) r ON l.customer_id = r.customer_id
 WHERE l.customer_id IS NOT NULL AND l.campaign_id IS NOT NULL GROUP BY l.campaign_id""")
 

@@ -26,7 +26,7 @@ FROM customers c
 LEFT JOIN (SELECT customer_id, count(lead_id) AS total_leads,
                   CAST(sum(CAST(converted_30d AS BIGINT)) AS BIGINT) AS converted_leads,
                   avg(lead_score) AS avg_lead_score,
-                  COALESCE(sum(acquisition_cost_usd), 0.0) AS total_acquisition_cost
+                  COALESCE(CAST(sum(CAST(acquisition_cost_usd AS DECIMAL(20,2))) AS DOUBLE), 0.0) AS total_acquisition_cost
            FROM leads WHERE customer_id IS NOT NULL GROUP BY customer_id) l
   ON c.customer_id = l.customer_id
 LEFT JOIN (SELECT customer_id, count(session_id) AS total_sessions,
@@ -38,8 +38,8 @@ LEFT JOIN (SELECT customer_id, count(session_id) AS total_sessions,
            FROM sessions WHERE customer_id IS NOT NULL GROUP BY customer_id) s
   ON c.customer_id = s.customer_id
 LEFT JOIN (SELECT customer_id, count(order_id) AS total_orders,
-                  COALESCE(sum(revenue_usd), 0.0) AS total_revenue,
-                  COALESCE(sum(units), 0.0) AS total_units,
+                  COALESCE(CAST(sum(CAST(revenue_usd AS DECIMAL(20,2))) AS DOUBLE), 0.0) AS total_revenue,
+                  COALESCE(CAST(sum(CAST(units AS DECIMAL(20,2))) AS DOUBLE), 0.0) AS total_units,
                   CAST(sum(CAST(returned_flag AS BIGINT)) AS BIGINT) AS total_returned,
                   max(order_date) AS last_order_date
            FROM transactions WHERE customer_id IS NOT NULL GROUP BY customer_id) t

@@ -17,7 +17,7 @@ def _pred(spark, n=2000, seed=11):
     return spark.createDataFrame(pdf), pdf
 
 
-def test_auc_rank_identity(spark):
+def test_auc_rank_identity(spark, order_path):
     df, pdf = _pred(spark)
     a = EV.auc(df).collect()[0].auc
     pos, neg = pdf.score[pdf.label].values, pdf.score[~pdf.label].values
@@ -38,7 +38,7 @@ def test_cost_threshold_brute_force(spark):
     assert out.is_optimal.sum() == 1 and out.is_optimal.values.argmax() == int(np.argmin(costs))
 
 
-def test_decile_golden_cumulative_rate(spark):
+def test_decile_golden_cumulative_rate(spark, order_path):
     # published deciles: sizes and conversions -> cumulative rates at 10 and 1
     sizes = [131, 131, 130, 131, 130, 131, 130, 131, 130, 131]
     conv = [28, 35, 37, 42, 52, 46, 59, 54, 57, 67]
@@ -53,7 +53,7 @@ def test_decile_golden_cumulative_rate(spark):
     assert round(t.cumulative_rate.iloc[9], 5) == 0.51145 and round(t.cumulative_rate.iloc[0], 6) == 0.365237
 
 
-def test_kaplan_meier_brute_force(spark):
+def test_kaplan_meier_brute_force(spark, order_path):
     rng = np.random.default_rng(5)
     pdf = pd.DataFrame({"t": rng.integers(0, 60, 800), "e": rng.random(800) < 0.6,
                         "g": rng.choice(["a", "b"], 800)})

@@ -15,7 +15,7 @@ def _skewed(spark, n=3000, seed=7):
     return spark.createDataFrame(pdf), pdf
 
 
-def test_prefix_sum_matches_cumsum(spark):
+def test_prefix_sum_matches_cumsum(spark, order_path):
     df, pdf = _skewed(spark)
     out = RK.prefix_sum(df, ["v", "id"], "v", num_partitions=7).select("id", "_cum").toPandas()
     exp = pdf.sort_values(["v", "id"]).assign(c=lambda d: d.v.cumsum())[["id", "c"]]
@@ -24,14 +24,14 @@ def test_prefix_sum_matches_cumsum(spark):
     assert np.allclose(m.c, m._cum)
 
 
-def test_value_ranks_average_ties(spark):
+def test_value_ranks_average_ties(spark, order_path):
     df, pdf = _skewed(spark)
     out = RK.value_ranks(df, "v").toPandas().set_index("v")["rank"]
     exp = pdf.assign(r=pdf.v.rank(method="average")).groupby("v").r.first()
     assert np.allclose(out.loc[exp.index].values, exp.values)
 
 
-def test_qcut_rank_sizes_match_reference_deciles(spark):
+def test_qcut_rank_sizes_match_reference_deciles(spark, order_path):
     # 1306 rows into 10 rank-first bins: the reference's published decile sizes
     pdf = pd.DataFrame({"id": np.arange(1306), "v": np.zeros(1306)})
     out = RK.qcut_rank(spark.createDataFrame(pdf), "v", ["id"], 10, "d").groupBy("d").count() \
@@ -39,7 +39,7 @@ def test_qcut_rank_sizes_match_reference_deciles(spark):
     assert out["count"].tolist() == [131, 131, 130, 131, 130, 131, 130, 131, 130, 131]
 
 
-def test_qcut_rank_equals_pandas(spark):
+def test_qcut_rank_equals_pandas(spark, order_path):
     df, pdf = _skewed(spark, n=997)
     out = RK.qcut_rank(df, "v", ["id"], 5, "q").select("id", "q").toPandas().set_index("id").q
     ranks = pdf.sort_values(["v", "id"]).assign(r=np.arange(1, len(pdf) + 1)).set_index("id").r
@@ -47,7 +47,7 @@ def test_qcut_rank_equals_pandas(spark):
     assert (out.loc[exp.index] == exp).all()
 
 
-def test_gini_and_lorenz(spark):
+def test_gini_and_lorenz(spark, order_path):
     df, pdf = _skewed(spark)
     g = RK.gini(df, "v").collect()[0]
     x = np.sort(np.maximum(pdf.v.values, 0))

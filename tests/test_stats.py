@@ -60,7 +60,7 @@ def _rank_fixture(spark, seed=3):
     return spark.createDataFrame(pdf), pdf
 
 
-def test_kruskal_brute_force(spark):
+def test_kruskal_brute_force(spark, order_path):
     df, pdf = _rank_fixture(spark)
     h = S.kruskal(df, "g", "v", "t").collect()[0].statistic
     r = pdf.v.rank()
@@ -70,7 +70,7 @@ def test_kruskal_brute_force(spark):
     assert math.isclose(h, h0 / (1 - (t ** 3 - t).sum() / (n ** 3 - n)), rel_tol=1e-9)
 
 
-def test_mann_whitney_brute_force(spark):
+def test_mann_whitney_brute_force(spark, order_path):
     df, pdf = _rank_fixture(spark)
     x = pdf.g == "a"
     r = S.mann_whitney(df, F.col("g") == "a", "v", "t").collect()[0]
@@ -97,7 +97,7 @@ def test_anova_and_welch_brute_force(spark):
     assert math.isclose(w.statistic, t, rel_tol=1e-9)
 
 
-def test_spearman_and_point_biserial(spark):
+def test_spearman_and_point_biserial(spark, order_path):
     df, pdf = _rank_fixture(spark)
     pdf["w"] = pdf.v * 0.5 + (pdf.index % 7)
     sdf = spark.createDataFrame(pdf)
