@@ -177,8 +177,10 @@ def kaplan_meier(df: DataFrame, t: str, e: str, by: str | None = None) -> DataFr
 
     At-risk = rows with time >= t; S(t) = prod over event times <= t of
     (1 - d/n), computed as exp of a running sum of logs (0 once d = n).
-    Ungrouped: range-partitioned prefix sums over distinct times.  Grouped:
-    a window partitioned by group over the (group, time) aggregate.
+    Ungrouped: the distinct-time table is size-checked; within the bound it
+    is ordered by one window task, beyond it by range-partitioned prefix
+    sums.  Grouped: a window partitioned by group over the (group, time)
+    aggregate (distinct times are bounded by the span of the dates).
     """
     keys = [by] if by else []
     agg = (df.filter(F.col(t).isNotNull() & F.col(e).isNotNull())
@@ -195,14 +197,24 @@ def kaplan_meier(df: DataFrame, t: str, e: str, by: str | None = None) -> DataFr
              .withColumn("_zero", (F.col("events") >= F.col("n_at_risk")).cast("int"))
         a = a.withColumn("_sl", F.sum("_log").over(run)).withColumn("_sz", F.sum("_zero").over(run))
     else:
+        agg, is_small = RK._checked_small(agg, None)
         n_all = scalar(agg, F.sum("_m"))
-        a = RK.prefix_sums(agg, [t], {"m": "_m"})
+    if not by and is_small:
+        # distinct times measured within the bound: ordered windows, one task
+        run = Window.orderBy(t).rowsBetween(Window.unboundedPreceding, 0)
+        a = agg.withColumn("n_at_risk", n_all - (F.sum("_m").over(run) - F.col("_m")))
+        a = a.withColumn("_log", F.when(F.col("events") < F.col("n_at_risk"),
+                                        F.log1p(-F.col("events") / F.col("n_at_risk"))).otherwise(F.lit(0.0))) \
+             .withColumn("_zero", (F.col("events") >= F.col("n_at_risk")).cast("int"))
+        a = a.withColumn("_sl", F.sum("_log").over(run)).withColumn("_sz", F.sum("_zero").over(run))
+    elif not by:
+        a = RK.prefix_sums(agg, [t], {"m": "_m"}, local_max_rows=0)
         a = a.withColumn("n_at_risk", n_all - F.col("_cum_before_m"))
         a = a.withColumn("_log", F.when(F.col("events") < F.col("n_at_risk"),
                                         F.log1p(-F.col("events") / F.col("n_at_risk"))).otherwise(F.lit(0.0))) \
              .withColumn("_zero", (F.col("events") >= F.col("n_at_risk")).cast("int"))
         a = RK.prefix_sums(a.select(t, "events", "_m", "n_at_risk", "_log", "_zero"), [t],
-                           {"sl": "_log", "sz": "_zero"})
+                           {"sl": "_log", "sz": "_zero"}, local_max_rows=0)
         a = a.withColumnRenamed("_cum_sl", "_sl").withColumnRenamed("_cum_sz", "_sz")
     surv = F.when(F.col("_sz") > 0, F.lit(0.0)).otherwise(F.exp(F.col("_sl")))
     return a.select(*keys, F.col(t).alias("time"), F.col("n_at_risk").cast("bigint").alias("n_at_risk"),
