@@ -6,7 +6,7 @@ dimension tables), so cleaning fuses into the scan's codegen stage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from campanula.functions import clean as C
@@ -15,12 +15,17 @@ from campanula.functions import clean as C
 def dedupe_first(df: DataFrame, key: str, order: str | list[str]) -> DataFrame:
     """AUD-02: keep the first row per key in source order.
 
-    Null keys are kept once each group like any other value.  The window
-    shuffles on the key only; ``order`` is a deterministic tiebreak.
+    ``min_by`` over a struct of the row, keyed by the source order, is a
+    partial aggregate: duplicates are combined map-side, so a key repeated
+    on a third of all rows is never sorted in one task (as a ``row_number``
+    window partitioned by the key would be).  Null keys form one group and
+    keep their first row, like pandas ``drop_duplicates``.
     """
     order_cols = [order] if isinstance(order, str) else list(order)
-    w = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_last() for c in order_cols])
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    cols = [c for c in df.columns if c != key]
+    sk = F.struct(*[F.col(c) for c in order_cols])
+    kept = df.groupBy(key).agg(F.min_by(F.struct(*[F.col(c) for c in cols]), sk).alias("_row"))
+    return kept.select(key, *[F.col(f"_row.{c}").alias(c) for c in cols])
 
 
 def clean_customers(bronze: DataFrame) -> DataFrame:

@@ -90,3 +90,18 @@ def test_safe_div_and_clip(spark):
     df = spark.createDataFrame([(1.0, 0.0), (1.0, 2.0), (None, 2.0)], "a double, b double")
     out = df.select(C.safe_div("a", "b"), C.safe_div0("a", "b"), C.clip("a", 0.0, 0.75)).collect()
     assert [tuple(r) for r in out] == [(None, 0.0, 0.75), (0.5, 0.5, 0.75), (None, None, None)]
+
+
+def test_dedupe_first_matches_pandas(spark):
+    import numpy as np
+    import pandas as pd
+    from campanula.operators.tables import dedupe_first
+    rng = np.random.default_rng(2)
+    keys = rng.integers(0, 50, 900).astype(object)
+    keys[:300] = 7          # one id on a third of the rows
+    keys[300:310] = None    # null keys
+    pdf = pd.DataFrame({"k": keys, "pos": np.arange(900), "v": rng.random(900)})
+    sdf = spark.createDataFrame(pdf.astype({"k": "Int64"}))
+    got = dedupe_first(sdf, "k", "pos").toPandas().sort_values("pos").reset_index(drop=True)
+    exp = pdf.drop_duplicates("k", keep="first").sort_values("pos").reset_index(drop=True)
+    assert got.pos.tolist() == exp.pos.tolist() and np.allclose(got.v, exp.v)
