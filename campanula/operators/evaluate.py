@@ -33,6 +33,16 @@ def _count_below(x: Column, edges, strict: bool) -> Column:
     return out
 
 
+def grid_cell(x: Column) -> Column:
+    """Number of grid thresholds t_j = j * 0.01 (j = 0..100) with t_j <= x,
+    exactly: the candidate floor(100 x) is corrected by one step either way
+    using the same floating-point products as the thresholds."""
+    c = F.least(F.greatest(F.floor(x * 100), F.lit(0)), F.lit(100))
+    below = (c.cast("double") * 0.01 > x).cast("int")
+    above = ((c + 1 <= 100) & ((c + 1).cast("double") * 0.01 <= x)).cast("int")
+    return F.when(x < 0, F.lit(0)).otherwise(c + 1 - below + above).cast("int")
+
+
 def binary_metrics(pred: DataFrame, label: str = "label", score: str = "score", threshold: float = 0.5) -> DataFrame:
     """EVA-01: accuracy, precision, recall, F1 at a threshold (0 on zero division)."""
     y = F.col(label).cast("boolean")
@@ -95,7 +105,7 @@ def cost_threshold(pred: DataFrame, label: str = "label", score: str = "score",
     FN/FP per threshold are then running sums over <= 102 cells.  The first
     minimum is flagged.
     """
-    cell = _count_below(F.col(score), THRESHOLDS, strict=False)  # thresholds t <= score
+    cell = grid_cell(F.col(score))  # number of thresholds t_j <= score
     y = F.col(label).cast("int")
     h = (pred.filter(F.col(score).isNotNull()).groupBy(cell.alias("cell"))
          .agg(F.sum(y).alias("_p"), F.sum(1 - y).alias("_n")))

@@ -82,3 +82,12 @@ def test_iptw_matches_numpy(spark):
     w = pdf.t / ps + (1 - pdf.t) / (1 - ps)
     ate = (w * pdf.t * pdf.y).sum() / (w * pdf.t).sum() - (w * (1 - pdf.t) * pdf.y).sum() / (w * (1 - pdf.t)).sum()
     assert math.isclose(r.ate, ate, rel_tol=1e-9)
+
+
+def test_grid_cell_exact_at_threshold_neighbours(spark):
+    vals = [j * 0.01 for j in range(101)]
+    vals += [float(np.nextafter(v, 2)) for v in vals] + [float(np.nextafter(v, -2)) for v in vals]
+    vals += [-0.5, 1.5, 0.29, 0.07, 0.57]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = [r[0] for r in df.select(EV.grid_cell(F.col("x"))).collect()]
+    assert got == [sum(1 for t in EV.THRESHOLDS if t <= v) for v in vals]
