@@ -8,6 +8,7 @@ it with the CTEs it references.
 from __future__ import annotations
 
 from collections.abc import Callable
+import threading
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,6 +71,7 @@ class Tables:
         self.sf_dir = sf_dir
         self.staged = staged
         self._stages: dict[str, DataFrame] = {}
+        self._lock = threading.RLock()
 
     @cached_property
     def stage_root(self) -> str:
@@ -79,15 +81,16 @@ class Tables:
 
     def stage(self, name: str, build) -> DataFrame:
         """Write ``build()`` once as a Parquet stage and return the re-read table."""
-        if name not in self._stages:
-            df = build()
-            if self.staged:
-                from campanula.sources.files import read_stage, write_stage
-                path = f"{self.stage_root}/{name}"
-                write_stage(df, path)
-                df = read_stage(self.spark, path)
-            self._stages[name] = df
-        return self._stages[name]
+        with self._lock:  # one writer per stage even if queries run from several threads
+            if name not in self._stages:
+                df = build()
+                if self.staged:
+                    from campanula.sources.files import read_stage, write_stage
+                    path = f"{self.stage_root}/{name}"
+                    write_stage(df, path)
+                    df = read_stage(self.spark, path)
+                self._stages[name] = df
+            return self._stages[name]
 
     @cached_property
     def raw_bronze(self) -> dict[str, DataFrame]:
@@ -136,10 +139,12 @@ class Tables:
 
 
 _CTX: dict[tuple[int, str], Tables] = {}
+_CTX_LOCK = threading.Lock()
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
     key = (id(spark), sf_dir)
-    if key not in _CTX:
-        _CTX[key] = Tables(spark, sf_dir)
-    return _CTX[key]
+    with _CTX_LOCK:
+        if key not in _CTX:
+            _CTX[key] = Tables(spark, sf_dir)
+        return _CTX[key]
