@@ -145,10 +145,7 @@ def compare_models(frame: DataFrame, num: Sequence[str], cat: Sequence[str], key
         pred = _prob(m.transform(test)).select("label", "score", "prediction")
         met = EV.binary_metrics(pred).collect()[0]
         auc = EV.auc(pred).collect()[0]["auc"]
-        cv = []
-        for f in range(folds):
-            mf = est.fit(data.filter(F.col("fold") != f))
-            cv.append(evaluator.evaluate(mf.transform(data.filter(F.col("fold") == f))))
+        cv = _cv_aucs(est, data, folds, evaluator)
         out.append((name, float(met["accuracy"]), float(auc), float(sum(cv) / len(cv)), float(met["f1"]),
                     float(met["precision"]), float(met["recall"])))
     res = spark.createDataFrame(out, "model string, accuracy double, auc_test double, cv_auc double, "
@@ -157,6 +154,18 @@ def compare_models(frame: DataFrame, num: Sequence[str], cat: Sequence[str], key
     return res.withColumn("selected", F.col("model") == best)
 
 
+def _cv_aucs(est, data: DataFrame, folds: int, evaluator) -> list[float]:
+    """Fit the k fold models concurrently (as ``CrossValidator(parallelism=k)``
+    does) on the checkpointed fold table; returns the held-out AUCs."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def one(f):
+        mf = est.copy().fit(data.filter(F.col("fold") != f))
+        return evaluator.evaluate(mf.transform(data.filter(F.col("fold") == f)))
+    with ThreadPoolExecutor(max_workers=folds) as ex:
+        return list(ex.map(one, range(folds)))
+
+
 def score_with(frame: DataFrame, num: Sequence[str], cat: Sequence[str], estimator) -> DataFrame:
     """EVA-07 with a fitted model: probability and priority tier per row."""
     pipe = Pipeline(stages=feature_stages(num, cat) + [estimator]).fit(
