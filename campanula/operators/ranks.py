@@ -71,6 +71,7 @@ def prefix_sums(df: DataFrame, order_cols: Sequence[str | Column], weights: dict
         return out
     parted = wdf.repartitionByRange(n, *ordered).withColumn("_pid", F.spark_partition_id())
     parted = materialize(parted)
+    wdf.unpersist()  # the size check's persisted copy is no longer needed
     local = Window.partitionBy("_pid").orderBy(*ordered).rowsBetween(Window.unboundedPreceding, 0)
     with_local = parted.select("*", *[F.sum(f"_w_{k}").over(local).alias(f"_l_{k}") for k in names])
     totals = parted.groupBy("_pid").agg(*[F.sum(f"_w_{k}").alias(f"_t_{k}") for k in names])
@@ -107,6 +108,7 @@ def prefix_max_before(df: DataFrame, order_cols: Sequence[str | Column], value:
         before = Window.orderBy(*ordered).rowsBetween(Window.unboundedPreceding, -1)
         return df.withColumn("_max_before", F.max(value).over(before))
     parted = materialize(df.repartitionByRange(n, *ordered).withColumn("_pid", F.spark_partition_id()))
+    df.unpersist()
     local = Window.partitionBy("_pid").orderBy(*ordered).rowsBetween(Window.unboundedPreceding, -1)
     with_local = parted.withColumn("_lmax", F.max(value).over(local))
     totals = parted.groupBy("_pid").agg(F.max(value).alias("_tmax"))

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,7 +19,7 @@ from campanula.functions import clean as C
 from campanula.functions.pvalues import p_value
 from campanula.operators import ranks as RK
 from campanula.operators.abt import scalar
-from campanula.session import small
+from campanula.session import materialize, small
 
 _D = "double"
 
@@ -95,7 +94,7 @@ def _group_value_counts(df: DataFrame, group: Column | str, value: str, min_n: i
     g = F.col(group) if isinstance(group, str) else group
     gv = (df.filter(g.isNotNull() & F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
           .groupBy(g.alias("_g"), F.col(value).alias(value)).agg(F.count(F.lit(1)).alias("_c")))
-    gv = gv.persist(StorageLevel.MEMORY_AND_DISK)
+    gv = materialize(gv)  # read by 3-4 consumers; written once, nothing pinned in executor memory
     if min_n > 1:
         keep = gv.groupBy("_g").agg(F.sum("_c").alias("_n")).filter(F.col("_n") >= min_n).select("_g")
         gv = gv.join(keep, "_g", "left_semi")
@@ -193,7 +192,7 @@ def spearman(df: DataFrame, x: str, y: str, test: str) -> DataFrame:
     base = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
         F.col(x).cast(_D).alias("_x"), F.col(y).cast(_D).alias("_y"))
     # Reduce to distinct (x, y) pairs with multiplicity before joining ranks.
-    pairs = base.groupBy("_x", "_y").agg(F.count(F.lit(1)).alias("_c")).persist(StorageLevel.MEMORY_AND_DISK)
+    pairs = materialize(base.groupBy("_x", "_y").agg(F.count(F.lit(1)).alias("_c")))
     rx = RK.ranks_from_counts(pairs.groupBy("_x").agg(F.sum("_c").alias("_t")), "_x", "_t") \
         .select("_x", F.col("rank").alias("_rx"))
     ry = RK.ranks_from_counts(pairs.groupBy("_y").agg(F.sum("_c").alias("_t")), "_y", "_t") \
