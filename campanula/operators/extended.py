@@ -131,9 +131,11 @@ def landing_page_ranking(leads: DataFrame, abt: DataFrame, perf: DataFrame) -> D
                                        F.avg("AOV").alias("avg_customer_aov")))
     t = small(lp.join(perf.select("landing_page", "bounce_rate"), "landing_page", "left"))  # one row per page
     return t.select("*",
-                    F.rank().over(Window.orderBy(F.col("lcr").desc())).alias("rank_lcr"),
-                    F.rank().over(Window.orderBy(F.col("avg_customer_aov").desc_nulls_last())).alias("rank_aov"),
-                    F.rank().over(Window.orderBy(F.col("bounce_rate").asc_nulls_last())).alias("rank_bounce"))
+                    F.rank().over(Window.orderBy(F.col("lcr").desc())).cast("bigint").alias("rank_lcr"),
+                    F.rank().over(Window.orderBy(F.col("avg_customer_aov").desc_nulls_last())).cast("bigint")
+                    .alias("rank_aov"),
+                    F.rank().over(Window.orderBy(F.col("bounce_rate").asc_nulls_last())).cast("bigint")
+                    .alias("rank_bounce"))
 
 
 def pairwise_welch_holm(df: DataFrame, group: str, value: str) -> DataFrame:

@@ -39,7 +39,8 @@ def _count_le(col: str, edges, strict: bool) -> str:
 
 
 @register("eval_binary_metrics", """
-SELECT tp, fp, fn, tn, CAST(tp + tn AS DOUBLE) / (tp + fp + fn + tn) AS accuracy,
+SELECT CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, CAST(tn AS BIGINT) AS tn,
+  CAST(tp + tn AS DOUBLE) / (tp + fp + fn + tn) AS accuracy,
   COALESCE(CAST(tp AS DOUBLE) / NULLIF(tp + fp, 0), 0.0) AS precision,
   COALESCE(CAST(tp AS DOUBLE) / NULLIF(tp + fn, 0), 0.0) AS recall,
   COALESCE(2 * p * r / NULLIF(p + r, 0), 0.0) AS f1
@@ -53,7 +54,8 @@ def q_bin(spark, sf_dir):
 
 
 @register("eval_auc", """
-SELECT n_pos, n_neg, (r1 - n_pos * (n_pos + 1) / 2.0) / (CAST(n_pos AS DOUBLE) * n_neg) AS auc
+SELECT CAST(n_pos AS BIGINT) AS n_pos, CAST(n_neg AS BIGINT) AS n_neg,
+  (r1 - n_pos * (n_pos + 1) / 2.0) / (CAST(n_pos AS DOUBLE) * n_neg) AS auc
 FROM (SELECT count_if(label) AS n_pos, count_if(NOT label) AS n_neg,
              sum(CASE WHEN label THEN rk END) AS r1
       FROM (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS rk
@@ -96,7 +98,7 @@ h AS (SELECT {_count_le('score', EV.THRESHOLDS, False)} AS cell, sum(CAST(label
 g AS (SELECT grid.j, grid.threshold, COALESCE(h.p, 0) AS p, COALESCE(h.n, 0) AS n FROM grid LEFT JOIN h ON grid.j = h.cell),
 c AS (SELECT j, threshold, CAST(sum(p) OVER (ORDER BY j) AS BIGINT) AS fn,
              CAST((SELECT sum(n) FROM h) - sum(n) OVER (ORDER BY j) AS BIGINT) AS fp FROM g),
-d AS (SELECT *, fn * 20.0 + fp * 5.0 AS cost FROM c)
+d AS (SELECT *, CAST(fn AS DOUBLE) * 20.0 + CAST(fp AS DOUBLE) * 5.0 AS cost FROM c)
 SELECT threshold, fn, fp, cost, j = (SELECT j FROM d ORDER BY cost, j LIMIT 1) AS is_optimal FROM d""", group=G)
 def q_cost(spark, sf_dir):
     return EV.cost_threshold(scored(tables(spark, sf_dir)))

@@ -22,9 +22,18 @@ def con():
     return duck(SF_SMALL)
 
 
+# Spark simple type -> DuckDB type name
+TYPE_MAP = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+            "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    pdf = QUERIES[name](spark, SF_SMALL).toPandas()
-    odf = con.execute(ORACLE[name]).df()
-    ok, msg = compare(pdf, odf)
+    df = QUERIES[name](spark, SF_SMALL)
+    rel = con.sql(ORACLE[name])
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        assert TYPE_MAP.get(t, t) == duck_types.get(f.name), (f.name, t, duck_types.get(f.name))
+    ok, msg = compare(df.toPandas(), rel.df())
     assert ok, msg
