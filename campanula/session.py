@@ -74,13 +74,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint (survives executor loss).
+    """Cut lineage by writing the rows once as a Parquet table in the shared
+    checkpoint folder and reading them back (survives executor loss).
 
     Used where a nondeterministic step (range bounds, partition ids) feeds
-    more than one consumer, so every consumer sees the same rows.
+    more than one consumer, so every consumer sees the same rows, and where
+    one intermediate is read several times.  A single write job: an eager
+    ``checkpoint()`` would compute the rows twice (a count, then the
+    checkpoint write), and the Parquet copy is read back column-pruned.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    import uuid
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/campanula_materialized/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def small(df: DataFrame) -> DataFrame:
