@@ -370,7 +370,7 @@ def sample_n(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
     return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
 
 
-def id_list(df: DataFrame, key: str, sep: str = ", ") -> DataFrame:
-    """AGG-30: ids collected into one sorted delimited string (used on a
-    filtered, campaign-grain table)."""
-    return df.agg(F.array_join(F.array_sort(F.collect_list(F.col(key).cast("string"))), sep).alias("ids"))
+def id_list(key: str, sep: str = ", ") -> Column:
+    """AGG-30: aggregate expression collecting ids into one sorted delimited
+    string (applied to a filtered, campaign-grain table)."""
+    return F.array_join(F.array_sort(F.collect_list(F.col(key).cast("string"))), sep)

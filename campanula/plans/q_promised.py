@@ -328,8 +328,7 @@ def q_deceptive_ids(spark, sf_dir):
     """AGG-30: the flagged campaign ids as one sorted list (campaign grain)."""
     from campanula.plans.q_campaign import quality
     q = quality(tables(spark, sf_dir)).filter(F.col("deceptive_efficiency"))
-    return q.agg(F.count(F.lit(1)).alias("n_deceptive"),
-                 F.array_join(F.array_sort(F.collect_list("campaign_id")), ", ").alias("ids"))
+    return q.agg(F.count(F.lit(1)).alias("n_deceptive"), D.id_list("campaign_id").alias("ids"))
 
 
 @register("customer_aov_sample", None, group="describe")
