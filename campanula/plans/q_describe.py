@@ -270,11 +270,13 @@ def q_crosstab(spark, sf_dir):
 
 @register("histogram_clv", """
 WITH b AS (SELECT min(total_revenue) AS lo, max(total_revenue) AS hi, (max(total_revenue) - min(total_revenue)) / 30 AS w FROM abt),
-c AS (SELECT CAST(CASE WHEN b.w > 0 THEN least(floor((a.total_revenue - b.lo) / b.w), 29) ELSE 0 END AS BIGINT) AS bin,
-             count(*) AS n
-      FROM abt a, b WHERE a.total_revenue IS NOT NULL GROUP BY 1)
-SELECT g.range AS bin, b.lo + g.range * b.w AS lo, b.lo + (g.range + 1) * b.w AS hi, COALESCE(c.n, 0) AS n
-FROM range(30) g CROSS JOIN b LEFT JOIN c ON g.range = c.bin""", group=G)
+c AS (SELECT CAST(CASE WHEN (SELECT w FROM b) > 0
+                       THEN least(floor((a.total_revenue - (SELECT lo FROM b)) / (SELECT w FROM b)), 29) ELSE 0 END
+                  AS BIGINT) AS bin, count(*) AS n
+      FROM abt a WHERE a.total_revenue IS NOT NULL GROUP BY 1)
+SELECT g.range AS bin, (SELECT lo FROM b) + g.range * (SELECT w FROM b) AS lo,
+  (SELECT lo FROM b) + (g.range + 1) * (SELECT w FROM b) AS hi, COALESCE(c.n, 0) AS n
+FROM range(30) g LEFT JOIN c ON g.range = c.bin""", group=G)
 def q_hist(spark, sf_dir):
     return D.histogram(tables(spark, sf_dir).abt, "total_revenue", 30)
 

@@ -285,12 +285,14 @@ def _ew_hist_sql():
     for f in WARNING_FEATURES:
         for g in (0, 1):
             src = f"SELECT v FROM ({_ew_src(f)}) s WHERE x = {'true' if g else 'false'} AND v IS NOT NULL"
+            lo = f"(SELECT min(v) FROM ({src}) s1)"
+            w = f"(SELECT (max(v) - min(v)) / 25 FROM ({src}) s3)"
             parts.append(f"""SELECT '{f}' AS feature, {g} AS repeat_90d, g.range AS bin,
-  b.lo + g.range * b.w AS lo, b.lo + (g.range + 1) * b.w AS hi, COALESCE(c.n, 0) AS n
-FROM range(25) g CROSS JOIN (SELECT min(v) AS lo, (max(v) - min(v)) / 25 AS w FROM ({src}) s1) b
-LEFT JOIN (SELECT CAST(CASE WHEN b2.w > 0 THEN least(floor((s2.v - b2.lo) / b2.w), 24) ELSE 0 END AS BIGINT) AS bin,
+  {lo} + g.range * {w} AS lo, {lo} + (g.range + 1) * {w} AS hi, COALESCE(c.n, 0) AS n
+FROM range(25) g
+LEFT JOIN (SELECT CAST(CASE WHEN {w} > 0 THEN least(floor((s2.v - {lo}) / {w}), 24) ELSE 0 END AS BIGINT) AS bin,
                   count(*) AS n
-           FROM ({src}) s2, (SELECT min(v) AS lo, (max(v) - min(v)) / 25 AS w FROM ({src}) s3) b2 GROUP BY 1) c
+           FROM ({src}) s2 GROUP BY 1) c
 ON g.range = c.bin""")
     return " UNION ALL ".join(parts)
 
