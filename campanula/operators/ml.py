@@ -236,21 +236,25 @@ def kmeans_sweep(x: DataFrame, ks: Sequence[int], seed: int = SEED) -> DataFrame
     """ML-04 / ML-06: inertia and silhouette per k (distributed fits)."""
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="prediction",
                              distanceMeasure="squaredEuclidean")
-    rows = []
-    for k in ks:
+    from concurrent.futures import ThreadPoolExecutor
+
+    def one(k):
         m = KMeans(k=k, seed=seed, featuresCol="features").fit(x)
-        rows.append((int(k), float(m.summary.trainingCost), float(ev.evaluate(m.transform(x)))))
+        return (int(k), float(m.summary.trainingCost), float(ev.evaluate(m.transform(x))))
+    # independent fits on the materialised matrix, run from parallel driver threads
+    with ThreadPoolExecutor(max_workers=min(8, len(ks))) as ex:
+        rows = list(ex.map(one, list(ks)))
     return x.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
 def best_kmeans(x: DataFrame, k: int, restarts: int = 10, seed: int = SEED):
     """ML-04: k-means with restarts, keep the lowest cost."""
-    best = None
-    for r in range(restarts):
-        m = KMeans(k=k, seed=seed + r, featuresCol="features").fit(x)
-        if best is None or m.summary.trainingCost < best.summary.trainingCost:
-            best = m
-    return best
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(8, restarts)) as ex:
+        models = list(ex.map(lambda r: KMeans(k=k, seed=seed + r, featuresCol="features").fit(x),
+                             range(restarts)))
+    # lowest cost, first restart on ties (same choice as a sequential loop)
+    return min(enumerate(models), key=lambda im: (im[1].summary.trainingCost, im[0]))[1]
 
 
 def segment_customers(abt: DataFrame, k: int = 4) -> DataFrame:
