@@ -56,3 +56,13 @@ def test_gini_and_lorenz(spark, order_path):
     assert abs(g.gini - exp) < 1e-9 and 0 <= g.gini <= 1
     lz = RK.lorenz(df, "v").orderBy("value").toPandas()
     assert lz.value_share.is_monotonic_increasing and abs(lz.value_share.iloc[-1] - 1) < 1e-12
+
+
+def test_prefix_max_before_matches_brute_force(spark, order_path):
+    df, pdf = _skewed(spark)
+    out = RK.prefix_max_before(df, ["v", "id"], "g", num_partitions=5).select("id", "_max_before").toPandas()
+    srt = pdf.sort_values(["v", "id"]).reset_index(drop=True)
+    exp = srt.g.cummax().shift(1)
+    m = srt.assign(e=exp).merge(out, on="id")
+    assert m.e.isna().sum() == 1 and m._max_before.isna().sum() == 1
+    assert np.allclose(m.e.dropna().values, m.dropna(subset=["e"])._max_before.values)
