@@ -361,3 +361,34 @@ def aov_last_touch(t):
 @register("repeat_target", "SELECT * FROM repeat_target", group=G)
 def q_repeat(spark, sf_dir):
     return D.repeat_target(tables(spark, sf_dir).transactions)
+
+
+def _cohort_matrix_sql():
+    cols = ", ".join(f"max(CASE WHEN period = {i} THEN retained_vs_m0 END) AS m{i}" for i in range(12))
+    return f"SELECT cohort_month, {cols} FROM cohort_long GROUP BY cohort_month"
+
+
+cte("cohort_long", """
+SELECT c.cohort_month, c.period,
+  CAST(c.buyers AS DOUBLE) / NULLIF(CAST(m0.buyers AS DOUBLE), 0) AS retained_vs_m0
+FROM (SELECT cohort_month, period, count(DISTINCT customer_id) AS buyers FROM (
+        SELECT t.customer_id, c.cohort_month,
+          CAST((year(t.order_date) - year(c.cohort_month)) * 12 + (month(t.order_date) - month(c.cohort_month)) AS BIGINT) AS period
+        FROM transactions t JOIN (SELECT customer_id, CAST(date_trunc('month', signup_date) AS DATE) AS cohort_month
+                                  FROM customers WHERE signup_date IS NOT NULL) c ON t.customer_id = c.customer_id
+        WHERE t.order_date IS NOT NULL) j
+      WHERE period >= 0 AND period < 12 GROUP BY cohort_month, period) c
+LEFT JOIN (SELECT cohort_month, count(DISTINCT customer_id) AS buyers FROM (
+        SELECT t.customer_id, c.cohort_month,
+          (year(t.order_date) - year(c.cohort_month)) * 12 + (month(t.order_date) - month(c.cohort_month)) AS period
+        FROM transactions t JOIN (SELECT customer_id, CAST(date_trunc('month', signup_date) AS DATE) AS cohort_month
+                                  FROM customers WHERE signup_date IS NOT NULL) c ON t.customer_id = c.customer_id
+        WHERE t.order_date IS NOT NULL) j0 WHERE period = 0 GROUP BY cohort_month) m0
+ON c.cohort_month = m0.cohort_month""")
+
+
+@register("cohort_matrix", _cohort_matrix_sql(), group=G)
+def q_cohort_matrix(spark, sf_dir):
+    """AGG-17 display form: retention vs month 0, one column per month since signup."""
+    t = tables(spark, sf_dir)
+    return D.cohort_matrix(D.cohort_retention(t.transactions, t.customers))
