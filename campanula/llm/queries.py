@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, packing, pii, sharding, simhash
+from . import decontaminate, licenses, packing, pii, quality_rules, sharding, simhash
 from .common import read_table
 
 
@@ -20,10 +20,18 @@ def op3_packing(spark: SparkSession, sf_dir: str, tokenizer_file: str | None = N
     return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_file or default_tokenizer())
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_classes(read_table(spark, sf_dir, "documents"), shingle=3, budget=2)
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_digest(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_digest(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -33,5 +41,5 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_sharding, op3_packing, op5_simhash, op9_decontamination)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_sharding, op3_packing, op4_licenses, op5_simhash, op6_quality_rules, op9_decontamination)}
+ORACLE_SQL: dict[str, str] = {"op4_licenses": licenses.oracle_sql()}
