@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, licenses, packing, pii, quality_rules, sharding, simhash
+from . import decontaminate, licenses, packing, pii, quality_cnn, quality_rules, sharding, simhash, toxicity
 from .common import read_table
 
 
@@ -32,14 +32,23 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_digest(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op7_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_cnn.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_digest(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_sharding, op3_packing, op4_licenses, op5_simhash, op6_quality_rules, op9_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_sharding, op3_packing, op4_licenses, op5_simhash, op6_quality_rules,
+                                   op7_quality_cnn, op9_decontamination, op10_toxicity)}
 ORACLE_SQL: dict[str, str] = {"op4_licenses": licenses.oracle_sql()}
