@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, licenses, packing, pii, quality_cnn, quality_rules, sharding, simhash, toxicity
+from . import decontaminate, licenses, line_dedup, packing, pii, quality_cnn, quality_rules, sharding, simhash, toxicity
 from .common import read_table
 
 
@@ -36,6 +36,10 @@ def op7_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cnn.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_digest(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -50,5 +54,5 @@ def default_tokenizer() -> str:
 
 
 QUERIES = {f.__name__: f for f in (op1_pii, op2_sharding, op3_packing, op4_licenses, op5_simhash, op6_quality_rules,
-                                   op7_quality_cnn, op9_decontamination, op10_toxicity)}
+                                   op7_quality_cnn, op8_line_dedup, op9_decontamination, op10_toxicity)}
 ORACLE_SQL: dict[str, str] = {"op4_licenses": licenses.oracle_sql()}

@@ -134,7 +134,7 @@ def _forest(n: int, links: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[in
 
 
 def _prefix(value: Column, depth: int) -> Column:
-    return F.shiftrightunsigned(value, BITS - depth) if depth else F.lit(0).cast("long")
+    return F.shiftrightunsigned(value, BITS - depth)
 
 
 def _masks(bits: int, budget: int) -> list[int]:
@@ -168,14 +168,18 @@ def hamming_forest(values: DataFrame, budget: int, leaf_rows: int = 16384) -> Da
             return pd.DataFrame({"a": every[kept[:, 0]].view(np.int64), "b": every[kept[:, 1]].view(np.int64)})
         return below
 
+    if total <= leaf_rows:
+        alone = values.select(F.lit(0).alias("a"), F.lit(0).alias("b"), F.lit(0).alias("diff"), "fp", F.lit(False).alias("second"))
+        return materialize(alone.groupBy("a", "b", "diff").applyInPandas(join_below(0), links))
     while True:
         few = (F.col("n_a") <= leaf_rows) & (F.col("n_b") <= leaf_rows)
-        ready = pairs.where(few).select("a", "b", "diff")
-        member = values.select("fp", _prefix(F.col("fp"), depth).alias("__p"))
-        sides = [member.join(ready, F.col("__p") == F.col("a")).select("a", "b", "diff", "fp", F.lit(False).alias("second")),
-                 member.join(ready.where("a <> b"), F.col("__p") == F.col("b")).select("a", "b", "diff", "fp", F.lit(True).alias("second"))]
-        got = materialize(sides[0].unionByName(sides[1]).groupBy("a", "b", "diff").applyInPandas(join_below(depth), links))
-        found = got if found is None else found.unionByName(got)
+        if depth:
+            ready = pairs.where(few).select("a", "b", "diff")
+            member = values.select("fp", _prefix(F.col("fp"), depth).alias("__p"))
+            sides = [member.join(ready, F.col("__p") == F.col("a")).select("a", "b", "diff", "fp", F.lit(False).alias("second")),
+                     member.join(ready.where("a <> b"), F.col("__p") == F.col("b")).select("a", "b", "diff", "fp", F.lit(True).alias("second"))]
+            got = materialize(sides[0].unionByName(sides[1]).groupBy("a", "b", "diff").applyInPandas(join_below(depth), links))
+            found = got if found is None else found.unionByName(got)
         crowded = pairs.where(~few).select("a", "b", "diff")
         if crowded.isEmpty():
             return found
