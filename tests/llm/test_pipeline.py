@@ -22,7 +22,9 @@ def stages(spark, tmp_path_factory):
     bench = [r.text for r in read_table(spark, SF, "benchmark").collect()]
     columns = docs.columns
     filler = " ".join(f"planted{k}" for k in range(30))
-    more = [(5001, f"{filler} one\n{filler} two"), (5002, f"{filler} one\n{filler} two"), (5003, f"Entirely {bench[0]} {filler[::-1]} leak"),
+    second = " ".join(f"copied{k}" for k in range(30))
+    more = [(5001, f"{filler} one\n{second} two"), (5002, f"{filler} one\n{second}s two"),
+            (5003, f"Entirely {bench[0]} " + " ".join(f"leak{k}" for k in range(30))),
             (5004, ""), (5005, None), (5006, " ".join(f"other{k}" for k in range(400))), (5007, " ".join(f"other{k}" for k in range(399)) + " lastly")]
     docs = docs.unionByName(spark.createDataFrame([(i, t, "en", "planted", len(t or "")) for i, t in more], docs.schema))
     out = [docs]
