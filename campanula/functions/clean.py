@@ -147,11 +147,10 @@ def days_between(end, start) -> Column:
 def fill_median(df, cols):
     """CLN-16: replace nulls by the column's exact global median (each median
     a scalar subquery, evaluated once)."""
-    from pyspark.sql import functions as F_
+    from campanula.operators.ranks import quantile
     out = df
     for c in cols:
-        med = df.select(F_.median(F_.col(c).cast("double"))).scalar()
-        out = out.withColumn(c, F_.coalesce(F_.col(c).cast("double"), med))
+        out = out.withColumn(c, F.coalesce(F.col(c).cast("double"), quantile(df, c, 0.5)))
     return out
 
 

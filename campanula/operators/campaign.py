@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from campanula.functions import clean as C
+from campanula.operators import ranks as RK
 from campanula.operators.abt import scalar
 from campanula.session import materialize, small
 
@@ -55,7 +56,7 @@ def campaign_features(campaigns: DataFrame, leads: DataFrame, tx: DataFrame,
     )
     if checkpoint:
         f = materialize(f)
-    p99 = scalar(f, F.percentile("spend_usd", 0.99))
+    p99 = RK.quantile(f, "spend_usd", 0.99)
     return f.withColumn("spend_anomaly", F.coalesce(F.col("spend_usd") > p99, F.lit(False)))
 
 
@@ -73,8 +74,8 @@ def campaign_quality(features: DataFrame, leads: DataFrame, abt: DataFrame) -> D
     (null -> 0 for the median) is below median and known."""
     q = features.join(campaign_downstream(leads, abt), "campaign_id", "left")
     q = materialize(q)
-    roas_med = scalar(q, F.median("ROAS"))
-    rr_med = scalar(q, F.median(F.coalesce(F.col("repeat_rate"), F.lit(0.0))))
+    roas_med = RK.quantile(q, "ROAS", 0.5)
+    rr_med = RK.quantile(q, F.coalesce(F.col("repeat_rate"), F.lit(0.0)), 0.5)
     dec = ((F.col("ROAS") > roas_med)
            & (F.coalesce(F.col("repeat_rate"), F.lit(0.0)) < rr_med)
            & F.col("repeat_rate").isNotNull())
@@ -114,8 +115,9 @@ def channel_efficiency(features: DataFrame) -> DataFrame:
 def margin_roas(features: DataFrame, rate: float = MARGIN_RATE) -> DataFrame:
     """CMP-02 variant + CMP-03 + CMP-04: anomaly (negative or > p99), clean and
     margin ROAS (null unless spend > 0), spend winsorised at p1..p99."""
-    p99 = scalar(features, F.percentile("spend_usd", 0.99))
-    p01 = scalar(features, F.percentile("spend_usd", 0.01))
+    bounds = small(RK.exact_quantiles(features, "spend_usd", {"p01": 0.01, "p99": 0.99}))  # one row
+    p99 = scalar(bounds, F.first("p99"))
+    p01 = scalar(bounds, F.first("p01"))
     sp = F.col("spend_usd")
     ok = F.coalesce(sp > 0, F.lit(False)) & F.col("total_revenue").isNotNull()
     return features.select(
@@ -129,7 +131,7 @@ def margin_roas(features: DataFrame, rate: float = MARGIN_RATE) -> DataFrame:
 def roas_summary(cleaned: DataFrame) -> DataFrame:
     """CMP-05."""
     return cleaned.agg(F.avg("clean_roas").alias("mean_clean_roas"),
-                       F.median("clean_roas").alias("median_clean_roas"),
+                       F.first(RK.quantile(cleaned, "clean_roas", 0.5)).alias("median_clean_roas"),
                        F.avg("margin_roas").alias("mean_margin_roas"),
                        F.count_if("spend_anomaly_flag").cast("bigint").alias("n_anomalies"))
 

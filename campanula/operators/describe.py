@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from campanula.functions import clean as C
@@ -75,8 +75,9 @@ DISCOUNT_LABELS = ("0%", "1-10%", "11-15%", "16-20%", ">20%")
 
 
 def discount_bracket(c: Column) -> Column:
-    """CLN-19 on the lead discount (missing -> 0), reference brackets."""
-    return C.cut(F.coalesce(c, F.lit(0.0)), DISCOUNT_EDGES, DISCOUNT_LABELS)
+    """CLN-19 on the lead discount (missing -> 0), reference brackets; a value
+    outside all of them gets a bracket of its own."""
+    return F.coalesce(C.cut(F.coalesce(c, F.lit(0.0)), DISCOUNT_EDGES, DISCOUNT_LABELS), F.lit("invalid"))
 
 
 def value_by(abt: DataFrame, key: str, extra: dict[str, Column] | None = None) -> DataFrame:
@@ -92,9 +93,12 @@ def value_by(abt: DataFrame, key: str, extra: dict[str, Column] | None = None) -
 def summary_by(df: DataFrame, key: str, val: str, stats: Sequence[str] = ("mean", "median", "count"),
                prefix: str = "") -> DataFrame:
     """AGG-08 / AGG-09: mean, median (exact), sample std, count per group."""
-    fns = {"mean": F.avg, "median": F.median, "std": F.stddev_samp, "count": F.count}
-    aggs = [fns[s](val).alias(f"{prefix}{s}") for s in stats]
-    return df.filter(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
+    fns = {"mean": F.avg, "std": F.stddev_samp, "count": F.count}
+    known = df.filter(F.col(key).isNotNull())
+    out = known.groupBy(key).agg(*[fns[s](val).alias(f"{prefix}{s}") for s in stats if s != "median"])
+    if "median" in stats:
+        out = out.join(RK.exact_quantiles(known, val, {f"{prefix}median": 0.5}, [key]), key, "left")
+    return out.select(key, *[f"{prefix}{s}" for s in stats])
 
 
 def mode_by(df: DataFrame, key: str, val: str, out: str) -> DataFrame:
@@ -115,10 +119,10 @@ def channel_quality(abt: DataFrame, leads: DataFrame, campaigns: DataFrame) -> D
     g = q.groupBy("acquisition_channel").agg(
         F.count("customer_id").alias("n_customers"),
         F.avg("CLV_proxy").alias("avg_ltv"),
-        F.median("CLV_proxy").alias("median_ltv"),
         F.avg("AOV").alias("avg_aov"),
         F.avg((F.col("total_orders") >= 2).cast("double")).alias("repeat_rate"),
         F.avg("total_acquisition_cost").alias("avg_acq_cost"))
+    g = g.join(RK.exact_quantiles(q, "CLV_proxy", {"median_ltv": 0.5}, ["acquisition_channel"]), "acquisition_channel", "left")
     return g.withColumn("ltv_per_acq_cost", C.safe_div("avg_ltv", "avg_acq_cost"))
 
 
@@ -138,26 +142,20 @@ def first_by(df: DataFrame, key: str, order: str, tiebreak, cols: Sequence[str],
 
 
 def nth2_by(df: DataFrame, key: str, order: str, tiebreak, cols: Sequence[str] = ()) -> DataFrame:
-    """WIN-02 / JN-08: first and second row per key without a window.
+    """WIN-02 / JN-08: first and second row per key, in one scan.
 
-    Second = first of the rows strictly after the first (by sort key).  Both
-    steps are partial aggregates; the join back is customer-grain.
+    ``row_number() <= 2`` is applied within each map task before the shuffle,
+    so a key that holds a third of all rows sends two rows per task.  An exact
+    duplicate of the first row is the second row.
     """
     sk = _sort_key(order, tiebreak)
-    base = df.filter(F.col(key).isNotNull()).withColumn("_sk", sk)
     packed = F.struct(*[F.col(c).alias(c) for c in [order] + list(cols)])
-    first = base.groupBy(key).agg(F.min("_sk").alias("_sk1"), F.min_by(packed, F.col("_sk")).alias("_f"))
-    rest = base.join(first.select(key, "_sk1"), key).filter(F.col("_sk") >= F.col("_sk1"))
-    # An exact duplicate of the first row is the second row.
-    second = rest.groupBy(key).agg(
-        F.count_if(F.col("_sk") == F.col("_sk1")).alias("_n_eq"),
-        F.min(F.when(F.col("_sk") > F.col("_sk1"), F.col("_sk"))).alias("_sk2"),
-        F.first("_sk1").alias("_sk1"))
-    second = second.select(key, F.when(F.col("_n_eq") >= 2, F.col("_sk1._o"))
-                           .otherwise(F.col("_sk2._o")).alias("second_" + order))
-    out = first.join(second, key, "left")
-    return out.select(key, *[F.col(f"_f.{c}").alias(f"first_{c}") for c in [order] + list(cols)],
-                      "second_" + order)
+    w = Window.partitionBy(key).orderBy("_sk")
+    two = (df.filter(F.col(key).isNotNull()).select(key, sk.alias("_sk"), packed.alias("_row"))
+           .withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= 2))
+    out = two.groupBy(key).agg(F.max(F.when(F.col("_rn") == 1, F.col("_row"))).alias("_f"),
+                               F.max(F.when(F.col("_rn") == 2, F.col(f"_row.{order}"))).alias(f"second_{order}"))
+    return out.select(key, *[F.col(f"_f.{c}").alias(f"first_{c}") for c in [order] + list(cols)], f"second_{order}")
 
 
 def last_by(df: DataFrame, key: str, order: str, tiebreak, val: str, out: str) -> DataFrame:
@@ -234,8 +232,8 @@ def outer_align(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     return j.na.fill(0.0, subset=[c for c in j.columns if c != key])
 
 
-def landing_perf(sessions: DataFrame, leads: DataFrame, k: int = 10) -> DataFrame:
-    """AGG-16 over the sessions x leads fan-out on customer, without
+def landing_perf(sessions: DataFrame, leads: DataFrame) -> DataFrame:
+    """AGG-16, every page, over the sessions x leads fan-out on customer, without
     materialising the pairs: a customer's sessions are counted once per
     matching lead, so every per-page total is sum over customers of
     (session aggregate x number of that customer's leads on the page)."""
@@ -255,7 +253,7 @@ def landing_perf(sessions: DataFrame, leads: DataFrame, k: int = 10) -> DataFram
     out = g.select("landing_page", F.col("sessions").cast("bigint").alias("sessions"),
                    (F.col("_b") / F.col("sessions")).alias("bounce_rate"),
                    C.safe_div("_p", "_pn").alias("avg_pages"))
-    return top_k(out, [F.col("sessions").desc(), F.col("landing_page").asc()], k)
+    return out
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
@@ -320,9 +318,14 @@ def optin_gap(df: DataFrame, segment: str, optin: str = "email_opt_in", top: str
     return p.withColumn("is_gap_segment", F.col(segment) == top)
 
 
-def pivot_mean(df: DataFrame, row: str, col: str, val: str, values: Sequence[str]) -> DataFrame:
-    """AGG-21: group means pivoted on an explicit value list."""
-    return df.filter(F.col(row).isNotNull()).groupBy(row).pivot(col, list(values)).agg(F.avg(val))
+def pivot_mean(df: DataFrame, row: str, col: str, val: str, values: Sequence[str] | None = None) -> DataFrame:
+    """AGG-21: group means pivoted on the values of a category column, those
+    that occur (sorted) unless given."""
+    known = df.filter(F.col(row).isNotNull())
+    if values is not None:
+        return known.groupBy(row).pivot(col, list(values)).agg(F.avg(val))
+    return known.filter(F.col(col).isNotNull()).groupBy(row).pivot(col).agg(F.avg(val)) \
+        .join(known.select(row).distinct(), row, "right")
 
 
 def uplift_by(df: DataFrame, key: str, treated: Column, y: str) -> DataFrame:
@@ -353,6 +356,22 @@ def histogram(df: DataFrame, c: str, bins: int) -> DataFrame:
                     (lo + (F.col("bin") + 1) * width).alias("hi"), "n"))
 
 
+def histograms(df: DataFrame, keys: Sequence[str], c: str, bins: int) -> DataFrame:
+    """HIS-01 for every group of ``keys`` (categories) at once: one aggregate
+    for the bounds, one for the bins; empty bins kept."""
+    x = F.col(c).cast("double")
+    known = df.filter(x.isNotNull())
+    bounds = known.groupBy(*keys).agg(F.min(x).alias("_lo"), F.max(x).alias("_hi")) \
+                  .withColumn("_w", (F.col("_hi") - F.col("_lo")) / bins)
+    b = F.when(F.col("_w") > 0, F.least(F.floor((x - F.col("_lo")) / F.col("_w")), F.lit(bins - 1))).otherwise(F.lit(0))
+    counts = (known.join(bounds, list(keys)).groupBy(*keys, b.cast("bigint").alias("bin"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    grid = bounds.withColumn("bin", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint"))))
+    return (grid.join(counts, [*keys, "bin"], "left").na.fill(0, ["n"])
+            .select(*keys, "bin", (F.col("_lo") + F.col("bin") * F.col("_w")).alias("lo"),
+                    (F.col("_lo") + (F.col("bin") + 1) * F.col("_w")).alias("hi"), "n"))
+
+
 def pct_of_total(df: DataFrame, c: str, out: str, digits: int = 1) -> DataFrame:
     """WIN-09: share of the column total, x100, rounded."""
     tot = scalar(df, F.sum(c))

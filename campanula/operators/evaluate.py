@@ -7,6 +7,8 @@ distinct duration, so no single task ever sees the raw rows in order.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,16 +59,25 @@ def binary_metrics(pred: DataFrame, label: str = "label", score: str = "score",
                     prec.alias("precision"), rec.alias("recall"), f1.alias("f1"))
 
 
-def auc(pred: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """EVA-02: ROC AUC by the rank-sum identity (exact, ties averaged)."""
-    base = pred.filter(F.col(score).isNotNull()).select(F.col(label).cast("boolean").alias("_y"), score)
-    ranks = RK.value_ranks(base, score)
-    pos = base.filter("_y").groupBy(score).agg(F.count(F.lit(1)).alias("_c"))
-    r1 = pos.join(ranks.select(score, "rank"), score).agg(F.sum(F.col("_c") * F.col("rank")).alias("r1"))
-    n1 = scalar(base, F.count_if("_y"))
-    n0 = scalar(base, F.count_if(~F.col("_y")))
-    return r1.select(n1.alias("n_pos"), n0.alias("n_neg"),
-                     F.try_divide(F.col("r1") - n1 * (n1 + 1) / 2.0, (n1 * n0).cast("double")).alias("auc"))
+def auc(pred: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
+    """EVA-02: ROC AUC by the rank-sum identity (exact, ties averaged), one row
+    per group of ``by``.
+
+    The scores are counted by value and label, and one ordered pass gives the
+    negatives below each value: every positive wins against those and half
+    against the negatives of its own value.
+    """
+    s = F.col(score).cast("double")
+    counts = (pred.filter(s.isNotNull() & ~F.isnan(s)).groupBy(*by, s.alias("_s"))
+              .agg(F.count_if(F.col(label).cast("boolean")).alias("_p"), F.count_if(~F.col(label).cast("boolean")).alias("_q")))
+    below = RK.prefix_sums(counts, [*by, "_s"], {"q": "_q"})
+    sums = [F.sum("_p").alias("n_pos"), F.sum("_q").alias("n_neg"), F.min("_cum_before_q").alias("_start"),
+            F.sum(F.col("_p") * (F.col("_cum_before_q") + F.col("_q") / 2.0)).alias("_wins")]
+    g = below.groupBy(*by).agg(*sums) if by else below.agg(*sums)
+    n1, n0 = F.coalesce("n_pos", F.lit(0)), F.coalesce("n_neg", F.lit(0))
+    # the running sum goes on from group to group: its start is taken off once per positive
+    return g.select(*by, n1.alias("n_pos"), n0.alias("n_neg"),
+                    F.try_divide(F.col("_wins") - n1 * F.col("_start"), (n1 * n0).cast("double")).alias("auc"))
 
 
 def confusion(pred: DataFrame, label: str = "label", score: str = "score", threshold: float = 0.5) -> DataFrame:
@@ -207,24 +218,14 @@ def kaplan_meier(df: DataFrame, t: str, e: str, by: str | None = None) -> DataFr
              .withColumn("_zero", (F.col("events") >= F.col("n_at_risk")).cast("int"))
         a = a.withColumn("_sl", F.sum("_log").over(run)).withColumn("_sz", F.sum("_zero").over(run))
     else:
-        agg, is_small = RK._checked_small(agg, None)
-        n_all = scalar(agg, F.sum("_m"))
-    if not by and is_small:
-        # distinct times measured within the bound: ordered windows, one task
-        run = Window.orderBy(t).rowsBetween(Window.unboundedPreceding, 0)
-        a = agg.withColumn("n_at_risk", n_all - (F.sum("_m").over(run) - F.col("_m")))
-        a = a.withColumn("_log", F.when(F.col("events") < F.col("n_at_risk"),
-                                        F.log1p(-F.col("events") / F.col("n_at_risk"))).otherwise(F.lit(0.0))) \
-             .withColumn("_zero", (F.col("events") >= F.col("n_at_risk")).cast("int"))
-        a = a.withColumn("_sl", F.sum("_log").over(run)).withColumn("_sz", F.sum("_zero").over(run))
-    elif not by:
-        a = RK.prefix_sums(agg, [t], {"m": "_m"}, local_max_rows=0)
+        a = RK.prefix_sums(agg, [t], {"m": "_m"})
+        n_all = scalar(a, F.sum("_m"))
         a = a.withColumn("n_at_risk", n_all - F.col("_cum_before_m"))
         a = a.withColumn("_log", F.when(F.col("events") < F.col("n_at_risk"),
                                         F.log1p(-F.col("events") / F.col("n_at_risk"))).otherwise(F.lit(0.0))) \
              .withColumn("_zero", (F.col("events") >= F.col("n_at_risk")).cast("int"))
         a = RK.prefix_sums(a.select(t, "events", "_m", "n_at_risk", "_log", "_zero"), [t],
-                           {"sl": "_log", "sz": "_zero"}, local_max_rows=0)
+                           {"sl": "_log", "sz": "_zero"})
         a = a.withColumnRenamed("_cum_sl", "_sl").withColumnRenamed("_cum_sz", "_sz")
     surv = F.when(F.col("_sz") > 0, F.lit(0.0)).otherwise(F.exp(F.col("_sl")))
     return a.select(*keys, F.col(t).alias("time"), F.col("n_at_risk").cast("bigint").alias("n_at_risk"),

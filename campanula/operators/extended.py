@@ -72,7 +72,7 @@ def engagement_funnel(sessions: DataFrame, leads: DataFrame, tx: DataFrame) -> D
 
 def outlier_impact(features: DataFrame) -> DataFrame:
     """P-07: campaign KPIs with and without flagged spend outliers."""
-    p99 = scalar(features, F.percentile("spend_usd", 0.99))
+    p99 = RK.quantile(features, "spend_usd", 0.99)
     flag = F.coalesce((F.col("spend_usd") < 0) | (F.col("spend_usd") > p99), F.lit(False))
     keep = ~flag
     return features.agg(

@@ -18,7 +18,7 @@ from pyspark.ml.classification import (GBTClassifier, LogisticRegression, NaiveB
                                        RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
-from pyspark.ml.feature import (Imputer, OneHotEncoder, PCA, StandardScaler, StringIndexer,
+from pyspark.ml.feature import (OneHotEncoder, PCA, StandardScaler, StringIndexer,
                                 VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression
@@ -34,7 +34,8 @@ from campanula.session import materialize, small
 SEED = 42
 LEAD_NUM = ("discount_pct", "lead_score", "age", "avg_pages_viewed", "avg_time_on_site",
             "total_add_to_cart", "total_checkout_started", "total_sessions")
-LEAD_CAT = ("lead_source", "landing_page", "gender", "income_band", "loyalty_tier", "preferred_device")
+LEAD_CAT = ("lead_source", "landing_page", "region", "gender", "income_band", "loyalty_tier", "preferred_device")
+CAUSAL_NUM, CAUSAL_CAT = ("lead_score",), ("region", "lead_source")
 SEGMENT_FEATURES = ("age", "total_revenue", "total_orders", "total_sessions", "total_leads",
                     "total_add_to_cart", "total_checkout_started")
 SEGMENT_NAMES = ("Champions", "Core Buyers", "Engaged Browsers", "Dormant / At Risk")
@@ -50,7 +51,7 @@ def lead_frame(leads: DataFrame, abt: DataFrame) -> DataFrame:
     categorical 'Unknown'-fill; label = converted."""
     prof = abt.select("customer_id", "age", "gender", "income_band", "loyalty_tier", "avg_pages_viewed",
                       "avg_time_on_site", "total_add_to_cart", "total_checkout_started", "total_sessions",
-                      "total_revenue", "preferred_device")
+                      "total_revenue", "preferred_device", "region")
     df = (leads.withColumnRenamed("discount_offered_pct", "discount_pct")
           .join(prof, "customer_id", "left")
           .withColumn("label", F.col("converted_30d").cast("double")))
@@ -94,10 +95,14 @@ def balanced_weight(df: DataFrame, label: str = "label") -> Column:
 
 
 def feature_stages(num: Sequence[str], cat: Sequence[str], scale: bool = False):
-    """ML-03: index + one-hot (drop the alphabetically first level) + assemble."""
+    """ML-03: index + one-hot (drop the alphabetically first level) + assemble.
+
+    Levels are indexed in descending order, so the slot that the encoder drops
+    is the first level's: k levels give k - 1 columns.  Nulls must have been
+    filled; a level that the fit has not seen is an error, not a column."""
     idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", stringOrderType="alphabetDesc",
-                         handleInvalid="keep") for c in cat]
-    ohe = [OneHotEncoder(inputCol=f"{c}_idx", outputCol=f"{c}_oh", dropLast=True, handleInvalid="keep")
+                         handleInvalid="error") for c in cat]
+    ohe = [OneHotEncoder(inputCol=f"{c}_idx", outputCol=f"{c}_oh", dropLast=True, handleInvalid="error")
            for c in cat]
     asm = VectorAssembler(inputCols=list(num) + [f"{c}_oh" for c in cat], outputCol="raw_features",
                           handleInvalid="keep")
@@ -198,36 +203,46 @@ def _feature_names(meta: dict, n: int) -> list[str]:
 
 def permutation_importance(frame: DataFrame, num: Sequence[str], cat: Sequence[str], key: str,
                            columns: Sequence[str], seed: int = SEED) -> DataFrame:
-    """ML-17 (re-aimed tree SHAP): AUC drop when one column is permuted.
+    """ML-17 (re-aimed tree SHAP): AUC drop on holdout rows when one column is
+    permuted.
 
     The permutation pairs row ranks in key order with ranks in a seeded hash
     order (two prefix-sum rankings and one equi-join on the rank), so it is
     a 1:1 distributed shuffle of the column, not a driver-side reorder.
     """
-    fw = frame.withColumn("weight", balanced_weight(frame))
-    pipe = Pipeline(stages=feature_stages(num, cat) + [LogisticRegression(maxIter=200, weightCol="weight")]).fit(fw)
-    base_auc = EV.auc(_prob(pipe.transform(fw)).select("label", "score")).collect()[0]["auc"]
+    enc = Pipeline(stages=feature_stages(num, cat)).fit(frame)
+    train, fw = stratified_split(frame, "label", key)
+    fit = enc.transform(train.withColumn("weight", balanced_weight(train)))
+    model = LogisticRegression(maxIter=200, weightCol="weight", featuresCol="features").fit(fit)
+
     by_key = materialize(RK.prefix_sum(fw, [F.col(key)]).withColumnRenamed("_cum", "_r")
                          .drop("_cum_before", "_w"))
     by_hash = materialize(RK.prefix_sum(fw.select(key, *columns).withColumn(
         "_h", F.xxhash64(F.col(key).cast("string"), F.lit(seed))), [F.col("_h"), F.col(key)])
         .withColumnRenamed("_cum", "_r").drop("_cum_before", "_w", "_h", key))
-    out = []
-    for c in columns:
-        shuffled = by_key.drop(c).join(by_hash.select("_r", c), "_r")
-        auc = EV.auc(_prob(pipe.transform(shuffled)).select("label", "score")).collect()[0]["auc"]
-        out.append((c, float(base_auc), float(auc), float(base_auc - auc)))
-    return frame.sparkSession.createDataFrame(out, "feature string, base_auc double, permuted_auc double, "
-                                                   "auc_drop double")
+    # every row once as it is and once per column with that column's value from its partner row
+    pairs = by_key.join(by_hash.select("_r", *[F.col(c).alias(f"_p_{c}") for c in columns]), "_r")
+    used = [*num, *cat]
+
+    def variant(name, swapped=None):
+        return F.struct(F.lit(name).alias("feature"), *[F.col(f"_p_{c}" if c == swapped else c).alias(c) for c in used])
+    every = pairs.select("label", F.explode(F.array(variant(""), *[variant(c, c) for c in columns])).alias("_v")).select("label", "_v.*")
+    aucs = small(EV.auc(_prob(model.transform(enc.transform(every))).select("feature", "label", "score"), by=["feature"]))
+    base = scalar(aucs.filter("feature = ''"), F.first("auc"))
+    return aucs.filter("feature <> ''").select("feature", base.alias("base_auc"), F.col("auc").alias("permuted_auc"),
+                                               (base - F.col("auc")).alias("auc_drop"))
 
 
 def segment_matrix(abt: DataFrame, feats: Sequence[str] = SEGMENT_FEATURES) -> DataFrame:
     """ML-01 + ML-02: median imputation, standardisation (population std)."""
     cast = abt.select("customer_id", "total_revenue", "email_opt_in",
                       *[F.col(c).cast("double").alias(f"_{c}") for c in feats])
-    imp = Imputer(strategy="median", inputCols=[f"_{c}" for c in feats],
-                  outputCols=[f"i_{c}" for c in feats], relativeError=0.0).fit(cast)
-    x = VectorAssembler(inputCols=[f"i_{c}" for c in feats], outputCol="raw").transform(imp.transform(cast))
+    known = cast.select(*[F.nanvl(F.col(f"_{c}"), F.lit(None).cast("double")).alias(c) for c in feats])
+    medians = small(RK.exact_quantiles(known.unpivot([], list(feats), "f", "x"), "x", {"m": 0.5}, ["f"]))  # one row per feature
+    filled = cast.select("customer_id", "total_revenue", "email_opt_in", *[
+        F.coalesce(F.nanvl(F.col(f"_{c}"), F.lit(None).cast("double")), scalar(medians.filter(F.col("f") == c), F.first("m"))).alias(f"i_{c}")
+        for c in feats])
+    x = VectorAssembler(inputCols=[f"i_{c}" for c in feats], outputCol="raw").transform(filled)
     sc = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(x)
     return sc.transform(x).select("customer_id", "total_revenue", "email_opt_in", "features")
 
@@ -291,23 +306,33 @@ def pca_2d(x: DataFrame, key: str = "customer_id") -> DataFrame:
     return p.select(key, arr[0].alias("pc1"), arr[1].alias("pc2"))
 
 
-def mlr(df: DataFrame, y: str, feats: Sequence[str], name: str, key: str, seed: int = SEED) -> DataFrame:
+def _standardised(df: DataFrame, num: Sequence[str], cat: Sequence[str]):
+    """Rows with ``features`` (numbers and dummies) and the feature names;
+    null categories are a level of their own."""
+    d = df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("Unknown")) for c in cat}) if cat else df
+    enc = Pipeline(stages=feature_stages(num, cat)).fit(d)
+    raw = enc.transform(d).withColumnRenamed("features", "raw")
+    attrs = raw.schema["raw"].metadata.get("ml_attr", {})
+    n = attrs.get("num_attrs", len(num))
+    return raw, _feature_names({"ml_attr": attrs}, n)
+
+
+def mlr(df: DataFrame, y: str, num: Sequence[str], name: str, key: str, cat: Sequence[str] = (), seed: int = SEED) -> DataFrame:
     """ML-14: standardised linear regression, 75/25 hash split, holdout R2,
     adjusted R2 on the test n, strongest standardised coefficient."""
-    d = df.select(key, F.col(y).cast("double").alias("y"), *[F.col(c).cast("double").alias(c) for c in feats]) \
-          .dropna()
+    d = df.select(key, F.col(y).cast("double").alias("y"), *[F.col(c).cast("double").alias(c) for c in num], *cat) \
+          .dropna(subset=["y", *num])
     u = (F.abs(F.xxhash64(F.col(key).cast("string"), F.lit(seed))) % 10000) / 10000.0
-    d = materialize(d.withColumn("_u", u))
-    train, test = d.filter(F.col("_u") < 0.75), d.filter(F.col("_u") >= 0.75)
-    asm = VectorAssembler(inputCols=list(feats), outputCol="raw")
-    sc = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(asm.transform(train))
-    lr = LinearRegression(featuresCol="features", labelCol="y", solver="normal").fit(sc.transform(asm.transform(train)))
-    pred = lr.transform(sc.transform(asm.transform(test)))
+    raw, names = _standardised(materialize(d.withColumn("_u", u)), num, cat)
+    train, test = raw.filter(F.col("_u") < 0.75), raw.filter(F.col("_u") >= 0.75)
+    sc = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(train)
+    lr = LinearRegression(featuresCol="features", labelCol="y", solver="normal").fit(sc.transform(train))
+    pred = lr.transform(sc.transform(test))
     g = pred.agg(F.count(F.lit(1)).alias("n_test"), F.sum(F.pow(F.col("y") - F.col("prediction"), 2)).alias("sse"),
                  F.var_pop("y").alias("vy"))
-    k = len(feats)
+    k = len(names)
     coefs = [abs(c) for c in lr.coefficients.toArray().tolist()]
-    top = feats[max(range(k), key=lambda i: coefs[i])] if k else None
+    top = names[max(range(k), key=lambda i: coefs[i])] if k else None
     n_train = train.count()
     r2 = 1 - F.col("sse") / (F.col("vy") * F.col("n_test"))
     adj = F.when(F.col("n_test") > k + 1, 1 - (1 - r2) * (F.col("n_test") - 1) / (F.col("n_test") - k - 1))
@@ -316,25 +341,24 @@ def mlr(df: DataFrame, y: str, feats: Sequence[str], name: str, key: str, seed:
                     F.lit(top).alias("top_predictor"))
 
 
-def logit_table(df: DataFrame, y: str, feats: Sequence[str]) -> DataFrame:
-    """ML-15: binomial GLM on standardised features with real p-values."""
-    d = df.select(F.col(y).cast("double").alias("y"), *[F.col(c).cast("double").alias(c) for c in feats]).dropna()
-    raw = VectorAssembler(inputCols=list(feats), outputCol="raw").transform(d)
+def logit_table(df: DataFrame, y: str, num: Sequence[str], cat: Sequence[str] = ()) -> DataFrame:
+    """ML-15: binomial GLM on standardised features with real p-values; one row
+    per number and per level but the first of each category."""
+    d = df.select(F.col(y).cast("double").alias("y"), *[F.col(c).cast("double").alias(c) for c in num], *cat).dropna(subset=["y", *num])
+    raw, names = _standardised(d, num, cat)
     x = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(raw).transform(raw)
     m = GeneralizedLinearRegression(family="binomial", link="logit", labelCol="y", featuresCol="features").fit(x)
     pv = m.summary.pValues
-    rows = [(f, float(c), float(p)) for f, c, p in zip(feats, m.coefficients.toArray().tolist(), pv[:len(feats)])]
+    rows = [(f, float(c), float(p)) for f, c, p in zip(names, m.coefficients.toArray().tolist(), pv[:len(names)])]
     return df.sparkSession.createDataFrame(rows, "feature string, scaled_coef double, p_value double")
 
 
-def propensity_scores(df: DataFrame, treat: str, covs: Sequence[str]) -> DataFrame:
+def propensity_scores(df: DataFrame, treat: str, num: Sequence[str], cat: Sequence[str] = ()) -> DataFrame:
     """CAU-01: logistic propensity of treatment given standardised covariates."""
-    d = df.withColumn("_t", F.col(treat).cast("double"))
-    raw = VectorAssembler(inputCols=list(covs), outputCol="raw", handleInvalid="skip").transform(d)
+    raw, _ = _standardised(df.withColumn("_t", F.col(treat).cast("double")).dropna(subset=list(num)), num, cat)
     x = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(raw).transform(raw)
     m = LogisticRegression(labelCol="_t", featuresCol="features", maxIter=200).fit(x)
-    return m.transform(x).withColumn("ps", vector_to_array("probability")[1]) \
-            .drop("raw", "features", "rawPrediction", "probability", "prediction", "_t")
+    return m.transform(x).withColumn("ps", vector_to_array("probability")[1]).select(*df.columns, "ps")
 
 
 def bootstrap_mean_ci(df: DataFrame, value: str, key: str, n_boot: int = 2000, seed: int = SEED,
@@ -359,7 +383,7 @@ def bootstrap_mean_ci(df: DataFrame, value: str, key: str, n_boot: int = 2000, s
     u = (F.abs(F.xxhash64("_k", "_b", F.lit(seed))) % 1000000007) / 1000000007.0
     w = sum((u >= F.lit(c)).cast("int") for c in cdf)
     means = (reps.withColumn("_w", w).groupBy("_b")
-             .agg((F.sum(F.col("_w") * F.col("_x")) / F.sum("_w")).alias("m")))
+             .agg(F.try_divide(F.sum(F.col("_w") * F.col("_x")), F.sum("_w")).alias("m")))  # no row drawn: null
     lo, hi = (1 - ci) / 2, (1 + ci) / 2
     point = scalar(base, F.avg("_x"))
     return means.agg(point.alias("mean"), F.percentile("m", lo).alias("ci_low"),

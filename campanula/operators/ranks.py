@@ -14,42 +14,23 @@ task.  Here a global running sum is computed in two passes instead:
    broadcast back.
 
 Rank-type operators aggregate to *distinct values* before ordering, so the
-ordered table is at most the number of distinct values.  That table is
-persisted and counted first: when its measured size is within
-``LOCAL_ORDER_MAX_ROWS`` one ordered window task handles it (no sampling
-job, no checkpoint); beyond the bound the two-pass path above runs.  Both
-paths are tested against brute force.
+ordered table is at most the number of distinct values.  There is one path for
+every size: nothing is counted while a plan is built.  Tested against brute
+force.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from campanula.session import materialize, shuffle_partitions
 
 
-# Size check for ordered passes: a table of at most this many rows (already
-# aggregated, e.g. distinct values or distinct durations) is ordered by one
-# window task; anything larger takes the range-partitioned two-pass path.
-LOCAL_ORDER_MAX_ROWS = 500_000
-
-
-def _checked_small(df: DataFrame, local_max_rows: int | None) -> tuple[DataFrame, bool]:
-    """Persist ``df`` and report whether its measured row count is within the
-    bound (the count is the one pass that fills the persisted table)."""
-    limit = LOCAL_ORDER_MAX_ROWS if local_max_rows is None else local_max_rows
-    if limit <= 0:
-        return df, False
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    return df, df.count() <= limit
-
-
 def prefix_sums(df: DataFrame, order_cols: Sequence[str | Column], weights: dict[str, Column | str],
-                num_partitions: int | None = None, local_max_rows: int | None = None) -> DataFrame:
+                num_partitions: int | None = None) -> DataFrame:
     """For each named weight ``w`` add ``_cum_w`` (inclusive global running sum
     in the given order) and ``_cum_before_w`` (exclusive).  Ties in
     ``order_cols`` are ordered arbitrarily; pass a unique ordering when
@@ -61,17 +42,8 @@ def prefix_sums(df: DataFrame, order_cols: Sequence[str | Column], weights: dict
     wdf = df
     for name, w in weights.items():
         wdf = wdf.withColumn(f"_w_{name}", F.col(w) if isinstance(w, str) else w)
-    wdf, is_small = _checked_small(wdf, local_max_rows)
-    if is_small:
-        # measured <= LOCAL_ORDER_MAX_ROWS rows: one ordered window task
-        run = Window.orderBy(*ordered).rowsBetween(Window.unboundedPreceding, 0)
-        out = wdf.select("*", *[F.sum(f"_w_{k}").over(run).alias(f"_cum_{k}") for k in names])
-        for k in names:
-            out = out.withColumn(f"_cum_before_{k}", F.col(f"_cum_{k}") - F.col(f"_w_{k}"))
-        return out
     parted = wdf.repartitionByRange(n, *ordered).withColumn("_pid", F.spark_partition_id())
     parted = materialize(parted)
-    wdf.unpersist()  # the size check's persisted copy is no longer needed
     local = Window.partitionBy("_pid").orderBy(*ordered).rowsBetween(Window.unboundedPreceding, 0)
     with_local = parted.select("*", *[F.sum(f"_w_{k}").over(local).alias(f"_l_{k}") for k in names])
     totals = parted.groupBy("_pid").agg(*[F.sum(f"_w_{k}").alias(f"_t_{k}") for k in names])
@@ -87,28 +59,23 @@ def prefix_sums(df: DataFrame, order_cols: Sequence[str | Column], weights: dict
 
 
 def prefix_sum(df: DataFrame, order_cols: Sequence[str | Column], weight: str | Column | None = None,
-               num_partitions: int | None = None, local_max_rows: int | None = None) -> DataFrame:
+               num_partitions: int | None = None) -> DataFrame:
     """Single-weight form: adds ``_w``, ``_cum`` and ``_cum_before``."""
     w = weight if weight is not None else F.lit(1)
-    out = prefix_sums(df, order_cols, {"x": w}, num_partitions, local_max_rows)
+    out = prefix_sums(df, order_cols, {"x": w}, num_partitions)
     return (out.withColumnRenamed("_w_x", "_w").withColumnRenamed("_cum_x", "_cum")
                .withColumnRenamed("_cum_before_x", "_cum_before"))
 
 
 def prefix_max_before(df: DataFrame, order_cols: Sequence[str | Column], value: str,
-                      num_partitions: int | None = None, local_max_rows: int | None = None) -> DataFrame:
+                      num_partitions: int | None = None) -> DataFrame:
     """Add ``_max_before``: the maximum of ``value`` over all rows strictly
     before each row in the global order (null for the first row).  Same
     two-pass scheme as ``prefix_sums`` with ``max`` as the combiner."""
     spark = df.sparkSession
     n = num_partitions or shuffle_partitions(spark)
     ordered = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    df, is_small = _checked_small(df, local_max_rows)
-    if is_small:
-        before = Window.orderBy(*ordered).rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumn("_max_before", F.max(value).over(before))
     parted = materialize(df.repartitionByRange(n, *ordered).withColumn("_pid", F.spark_partition_id()))
-    df.unpersist()
     local = Window.partitionBy("_pid").orderBy(*ordered).rowsBetween(Window.unboundedPreceding, -1)
     with_local = parted.withColumn("_lmax", F.max(value).over(local))
     totals = parted.groupBy("_pid").agg(F.max(value).alias("_tmax"))
@@ -139,6 +106,48 @@ def ranks_from_counts(counts: DataFrame, value: str, count: str) -> DataFrame:
                      (F.col("_cum_before") + (F.col("_cnt") + 1) / 2.0).alias("rank"))
 
 
+def exact_quantiles(df: DataFrame, value: str | Column, quantiles: dict[str, float],
+                    by: Sequence[str] = ()) -> DataFrame:
+    """Exact quantiles with linear interpolation, per group (one row without
+    ``by``); null values are left out, and so are groups without any value.
+
+    Values are counted first (a map-side combine), the distinct ones get their
+    positions by the distributed prefix sum, and each quantile picks the values
+    at its lower and upper position: no task ever holds all values of a group.
+    """
+    v = F.col(value) if isinstance(value, str) else value
+    counts = (df.select(*by, v.cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+              .groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    ps = prefix_sum(counts, [*by, "_v"], "_c")
+    if by:
+        groups = ps.groupBy(*by).agg(F.min("_cum_before").alias("_start"), F.max("_cum").alias("_end"))
+        g = [F.col(f"_g{i}") for i in range(len(by))]
+        groups = groups.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(by)], "_start", "_end")
+        on = None
+        for c, k in zip(by, g):
+            on = F.col(c).eqNullSafe(k) if on is None else on & F.col(c).eqNullSafe(k)
+        ps = ps.join(groups, on)
+        start, n = F.col("_start"), F.col("_end") - F.col("_start")
+    else:
+        start, n = F.lit(0), ps.select(F.sum("_c")).scalar()
+    ps = ps.withColumn("_from", F.col("_cum_before") - start).withColumn("_to", F.col("_cum") - start).withColumn("_n", n)
+    aggs = []
+    for name, q in quantiles.items():
+        at = F.lit(float(q)) * (F.col("_n") - 1)
+        for part, pos in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            inside = (F.col("_from") <= pos) & (pos < F.col("_to"))
+            aggs.append(F.max(F.when(inside, F.col("_v"))).alias(f"_{part}_{name}"))
+        aggs.append(F.max(at - F.floor(at)).alias(f"_f_{name}"))
+    out = ps.groupBy(*by).agg(*aggs) if by else ps.agg(*aggs)
+    return out.select(*by, *[(F.col(f"_lo_{k}") + (F.col(f"_hi_{k}") - F.col(f"_lo_{k}")) * F.col(f"_f_{k}")).alias(k)
+                             for k in quantiles])
+
+
+def quantile(df: DataFrame, value: str | Column, q: float) -> Column:
+    """One exact quantile of all rows, as a scalar for any row expression."""
+    return exact_quantiles(df, value, {"q": q}).scalar()
+
+
 def row_rank(df: DataFrame, value: str, tiebreak: Sequence[str], descending: bool = False) -> DataFrame:
     """``rank(method='first')``: 1..n over non-null values, ties by ``tiebreak``.
 

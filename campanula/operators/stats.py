@@ -214,7 +214,7 @@ def slr(df: DataFrame, x: Column, y: Column, model: str, min_n: int = 5) -> Data
     """STA-12: simple linear regression of y on x over finite pairs."""
     xx, yy = x.cast(_D), y.cast(_D)
     d = df.select(xx.alias("_x"), yy.alias("_y")).filter(
-        F.col("_x").isNotNull() & F.col("_y").isNotNull() & ~F.isnan("_x") & ~F.isnan("_y"))
+        F.col("_x").isNotNull() & F.col("_y").isNotNull() & (F.abs("_x") < float("inf")) & (F.abs("_y") < float("inf")))  # NaN is above infinity
     slope = _div(F.covar_pop("_x", "_y"), F.var_pop("_x"))
     g = d.agg(F.count(F.lit(1)).alias("n"), slope.alias("slope"),
               (F.avg("_y") - slope * F.avg("_x")).alias("intercept"), safe_corr("_x", "_y").alias("r"))

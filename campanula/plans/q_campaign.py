@@ -150,5 +150,4 @@ FROM camp_features WHERE creative_type IS NOT NULL GROUP BY creative_type""",
           group=G)
 def q_pivot(spark, sf_dir):
     from campanula.operators.describe import pivot_mean
-    from campanula.sources.testdata import OBJECTIVES
-    return pivot_mean(features(tables(spark, sf_dir)), "creative_type", "objective", "LCR", OBJECTIVES)
+    return pivot_mean(features(tables(spark, sf_dir)), "creative_type", "objective", "LCR")

@@ -91,7 +91,7 @@ SELECT disc_bracket, count(lead_id) AS n_leads, CAST(sum(CAST(converted_30d AS B
   CAST(sum(CAST(converted_30d AS BIGINT)) AS DOUBLE) / count(lead_id) AS lcr
 FROM (SELECT *, CASE WHEN d > -1 AND d <= 0 THEN '0%' WHEN d > 0 AND d <= 10 THEN '1-10%'
                      WHEN d > 10 AND d <= 15 THEN '11-15%' WHEN d > 15 AND d <= 20 THEN '16-20%'
-                     WHEN d > 20 AND d <= 100 THEN '>20%' END AS disc_bracket
+                     WHEN d > 20 AND d <= 100 THEN '>20%' ELSE 'invalid' END AS disc_bracket
       FROM (SELECT *, COALESCE(discount_offered_pct, 0.0) AS d FROM leads) x) y
 WHERE disc_bracket IS NOT NULL GROUP BY disc_bracket""", group=G)
 def q_conv_disc(spark, sf_dir):
@@ -192,7 +192,7 @@ WHERE l.landing_page IS NOT NULL
 GROUP BY l.landing_page ORDER BY sessions DESC, l.landing_page LIMIT 10""", group=G)
 def q_landing(spark, sf_dir):
     t = tables(spark, sf_dir)
-    return D.landing_perf(t.sessions, t.leads)
+    return D.top_k(D.landing_perf(t.sessions, t.leads), [F.col("sessions").desc(), F.col("landing_page").asc()], 10)
 
 
 @register("cohort_retention", """
@@ -360,7 +360,7 @@ def aov_last_touch(t):
 
 @register("repeat_target", "SELECT * FROM repeat_target", group=G)
 def q_repeat(spark, sf_dir):
-    return D.repeat_target(tables(spark, sf_dir).transactions)
+    return tables(spark, sf_dir).repeat_target
 
 
 def _cohort_matrix_sql():

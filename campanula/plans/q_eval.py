@@ -151,7 +151,7 @@ FROM clv_base""")
 
 
 def clv_base(t):
-    rt = D.repeat_target(t.transactions)
+    rt = t.repeat_target
     prob = rt.groupBy("product_category").agg(F.avg(F.col("repeat_90d").cast("double")).alias("prob_repeat_90d"))
     base = t.abt.select("customer_id", "total_revenue", "total_orders", "total_acquisition_cost") \
         .join(rt.select("customer_id", "product_category"), "customer_id")
@@ -199,7 +199,7 @@ FROM repeat_target r JOIN abt a ON r.customer_id = a.customer_id WHERE r.first_o
 
 
 def km_input(t):
-    rt = D.repeat_target(t.transactions).filter(F.col("first_order_date").isNotNull())
+    rt = t.repeat_target.filter(F.col("first_order_date").isNotNull())
     end = F.coalesce(F.col("second_order_date"),
                      t.transactions.select(F.max("order_date")).scalar())
     return (rt.join(t.abt.select("customer_id", "loyalty_tier"), "customer_id")
@@ -251,15 +251,21 @@ SELECT a.*, r.repeat_90d FROM abt a JOIN repeat_target r ON a.customer_id = r.cu
 
 
 def ew_base(t):
-    rt = D.repeat_target(t.transactions).select("customer_id", "repeat_90d")
+    rt = t.repeat_target.select("customer_id", "repeat_90d")
     return t.abt.join(rt, "customer_id")
 
 
-def _clipped(base, f):
-    from campanula.functions import clean as C
-    from campanula.operators.abt import scalar
-    p98 = scalar(base, F.percentile(F.col(f).cast("double"), 0.98))
-    return base.select("repeat_90d", C.clip(F.col(f).cast("double"), None, p98).alias("v"))
+def ew_long(t):
+    """(repeat_90d, feature, v): each value cut at its feature's p98; staged."""
+    def build():
+        from campanula.functions import clean as C
+        from campanula.operators import ranks as RK
+        base = ew_base(t).select("repeat_90d", *[F.col(f).cast("double").alias(f) for f in WARNING_FEATURES])
+        long = t.stage("early_warning", lambda: base.unpivot(["repeat_90d"], list(WARNING_FEATURES), "feature", "x"))
+        tops = RK.exact_quantiles(long, "x", {"top": 0.98}, ["feature"])  # one row per feature
+        return long.join(F.broadcast(tops), "feature", "left").select(
+            "repeat_90d", "feature", C.clip(F.col("x"), None, F.col("top")).alias("v"))
+    return t.stage("early_warning_clipped", build)
 
 
 def _ew_src(f):
@@ -275,8 +281,8 @@ def _ew_sql():
 @register("early_warning_tests", _ew_sql(), group=G)
 def q_early_warning(spark, sf_dir):
     from campanula.operators import stats as S
-    base = ew_base(tables(spark, sf_dir))
-    return S.union_all([S.mann_whitney(_clipped(base, f), F.col("repeat_90d") == 1, "v", f)
+    long = ew_long(tables(spark, sf_dir))
+    return S.union_all([S.mann_whitney(long.filter(F.col("feature") == f), F.col("repeat_90d") == 1, "v", f)
                         for f in WARNING_FEATURES])
 
 
@@ -299,13 +305,6 @@ ON g.range = c.bin""")
 
 @register("early_warning_histograms", _ew_hist_sql(), group=G)
 def q_early_hist(spark, sf_dir):
-    from campanula.operators.describe import histogram
-    base = ew_base(tables(spark, sf_dir))
-    out = None
-    for f in WARNING_FEATURES:
-        clipped = _clipped(base, f)
-        for g in (0, 1):
-            h = histogram(clipped.filter(F.col("repeat_90d") == g), "v", 25) \
-                .select(F.lit(f).alias("feature"), F.lit(g).alias("repeat_90d"), "bin", "lo", "hi", "n")
-            out = h if out is None else out.unionByName(h)
-    return out
+    from campanula.operators.describe import histograms
+    out = histograms(ew_long(tables(spark, sf_dir)), ["feature", "repeat_90d"], "v", 25)
+    return out.select("feature", F.col("repeat_90d").cast("int").alias("repeat_90d"), "bin", "lo", "hi", "n")

@@ -47,7 +47,7 @@ def q_importance(spark, sf_dir):
 @register("lead_permutation_importance", None, group=G)
 def q_perm(spark, sf_dir):
     return M.permutation_importance(_lead_frame(tables(spark, sf_dir)), M.LEAD_NUM, M.LEAD_CAT, "lead_id",
-                                    ["lead_score", "discount_pct", "total_sessions"])
+                                    [*M.LEAD_NUM, *M.LEAD_CAT])
 
 
 @register("lead_split_sizes", None, group=G)
@@ -112,10 +112,12 @@ def q_mlr(spark, sf_dir):
     from campanula.functions.clean import fill_median
     tx = fill_median(t.transactions.filter(F.col("revenue_usd").isNotNull()), ["units", "discount_pct"])
     tx = tx.withColumn("_k", F.concat_ws("|", "order_id", "product_category", "revenue_usd"))
-    b = M.mlr(tx, "revenue_usd", ["units", "discount_pct"], "B: Predict Revenue/Transaction", "_k")
+    b = M.mlr(tx, "revenue_usd", ["units", "discount_pct"], "B: Predict Revenue/Transaction", "_k",
+              ["product_category", "marketing_channel_last_touch"])
     from campanula.plans.q_describe import converted_leads
-    c = M.mlr(converted_leads(t), "days_to_convert", ["lead_score", "discount_offered_pct",
-                                                       "acquisition_cost_usd"], "C: Predict Days-to-Convert", "lead_id")
+    conv = converted_leads(t).join(t.customers.select("customer_id", "region"), "customer_id", "left")
+    c = M.mlr(conv, "days_to_convert", ["lead_score", "discount_offered_pct", "acquisition_cost_usd"],
+              "C: Predict Days-to-Convert", "lead_id", ["lead_source", "region"])
     return a.unionByName(b).unionByName(c)
 
 
@@ -123,14 +125,13 @@ def q_mlr(spark, sf_dir):
 def q_logit(spark, sf_dir):
     t = tables(spark, sf_dir)
     f = _lead_frame(t)
-    return M.logit_table(f, "label", ["discount_pct", "lead_score", "total_sessions", "avg_pages_viewed",
-                                      "total_add_to_cart"])
+    return M.logit_table(f, "label", ["discount_pct", *M.CAUSAL_NUM], M.CAUSAL_CAT)
 
 
 @register("iptw_discount_ate_logit", None, group=G)
 def q_iptw_logit(spark, sf_dir):
     f = _lead_frame(tables(spark, sf_dir)).withColumn("treated", (F.col("discount_pct") > 0).cast("double"))
-    ps = M.propensity_scores(f, "treated", ["lead_score", "total_sessions", "avg_pages_viewed", "age"])
+    ps = M.propensity_scores(f, "treated", M.CAUSAL_NUM, M.CAUSAL_CAT)
     return EV.iptw_ate(ps, "treated", "label", "ps")
 
 
@@ -150,7 +151,7 @@ def q_clv_model(spark, sf_dir):
     order and the customer profile), not the frequency table."""
     from pyspark.ml.classification import LogisticRegression
     t = tables(spark, sf_dir)
-    rt = D.repeat_target(t.transactions).select("customer_id", "repeat_90d", "product_category", "payment_type")
+    rt = t.repeat_target.select("customer_id", "repeat_90d", "product_category", "payment_type")
     f = (t.abt.join(rt, "customer_id")
          .select("customer_id", "total_revenue", "total_orders", "total_acquisition_cost",
                  F.col("repeat_90d").cast("double").alias("label"),

@@ -144,7 +144,7 @@ def q_ctr(spark, sf_dir):
 SELECT product_category, count(*) AS customers, avg(CAST(repeat_90d AS DOUBLE)) AS repeat_90d_rate
 FROM repeat_target WHERE product_category IS NOT NULL GROUP BY product_category""", group=G)
 def q_gateway90(spark, sf_dir):
-    rt = D.repeat_target(tables(spark, sf_dir).transactions)
+    rt = tables(spark, sf_dir).repeat_target
     return rt.filter(F.col("product_category").isNotNull()).groupBy("product_category").agg(
         F.count(F.lit(1)).alias("customers"), F.avg(F.col("repeat_90d").cast("double")).alias("repeat_90d_rate"))
 
@@ -183,7 +183,7 @@ WITH lp AS (SELECT l.landing_page, count(l.lead_id) AS n_leads, avg(CAST(l.conve
             WHERE l.landing_page IS NOT NULL GROUP BY l.landing_page),
 b AS (SELECT l.landing_page, avg(CAST(s.bounce AS DOUBLE)) AS bounce_rate
       FROM sessions s JOIN leads l ON s.customer_id = l.customer_id WHERE l.landing_page IS NOT NULL
-      GROUP BY l.landing_page ORDER BY count(s.session_id) DESC, l.landing_page LIMIT 10)
+      GROUP BY l.landing_page)
 SELECT lp.*, b.bounce_rate,
   rank() OVER (ORDER BY lcr DESC) AS rank_lcr,
   rank() OVER (ORDER BY avg_customer_aov DESC NULLS LAST) AS rank_aov,

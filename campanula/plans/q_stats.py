@@ -151,7 +151,7 @@ TWO = {
         lambda t: (t.leads, F.col("converted_30d"), "lead_score"),
         "SELECT converted_30d AS x, lead_score AS v FROM leads"),
     "repeat90_vs_not_revenue": (
-        lambda t: (t.abt.join(D.repeat_target(t.transactions).select("customer_id", "repeat_90d"), "customer_id"),
+        lambda t: (t.abt.join(t.repeat_target.select("customer_id", "repeat_90d"), "customer_id"),
                    F.col("repeat_90d") == 1, "total_revenue"),
         "SELECT r.repeat_90d = 1 AS x, a.total_revenue AS v FROM abt a JOIN repeat_target r ON a.customer_id = r.customer_id"),
 }

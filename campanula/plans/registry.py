@@ -132,18 +132,23 @@ class Tables:
     def transactions(self) -> DataFrame:
         return self.silver_table("transactions")
 
+    @property
+    def repeat_target(self) -> DataFrame:
+        from campanula.operators.describe import repeat_target
+        return self.stage("repeat_target", lambda: repeat_target(self.transactions))
+
     @property
     def abt(self) -> DataFrame:
         from campanula.operators.abt import build_abt
         return self.stage("abt", lambda: build_abt(self.customers, self.leads, self.sessions, self.transactions))
 
 
-_CTX: dict[tuple[int, str], Tables] = {}
+_CTX: dict[tuple[str, str], Tables] = {}
 _CTX_LOCK = threading.Lock()
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     with _CTX_LOCK:
         if key not in _CTX:
             _CTX[key] = Tables(spark, sf_dir)

@@ -14,9 +14,9 @@ _BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Broadcast only sides whose *measured* size is under 64 MB; the planner
-    # falls back to sort-merge / shuffled-hash beyond that.
-    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    # No broadcast by the planner's estimate; at run time a side whose
+    # *measured* size is under 64 MB is broadcast, others are shuffled.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -53,8 +53,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
     as is.  Only a local-mode session without one (tests) gets a private
-    temporary folder; a cluster session without one gets a folder under the
-    (shared) warehouse directory.
+    temporary folder; a cluster session without one is an error, since any
+    folder made up here could be local to one machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -64,12 +64,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
-        path = tempfile.mkdtemp(prefix="campanula-ckpt-")
-    else:
-        warehouse = spark.conf.get("spark.sql.warehouse.dir")
-        path = warehouse.rstrip("/") + "/_campanula_checkpoints"
-    sc.setCheckpointDir(path)
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="campanula-ckpt-"))
     return sc.getCheckpointDir()
 
 

@@ -52,17 +52,8 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one source table, with at least one partition per core.
-
-    A small table stored as one Parquet row group scans as a single task;
-    the round-robin repartition spreads the (CPU-heavy) dirty-string
-    generation over all cores.  A large input already has far more splits
-    than cores and is left as is (no extra shuffle at scale)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    par = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
-        df = df.repartition(par)
-    return df
+    """Scan one source table, split as the reader splits it."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _pick(index: Column, values) -> Column:

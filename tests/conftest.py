@@ -22,13 +22,3 @@ def spark():
 
 def rows(df):
     return [r.asDict() for r in df.collect()]
-
-
-@pytest.fixture(params=["local", "distributed"])
-def order_path(request, monkeypatch):
-    """Run a test under both ordered-pass strategies of ``ranks``."""
-    from campanula.operators import ranks
-
-    if request.param == "distributed":
-        monkeypatch.setattr(ranks, "LOCAL_ORDER_MAX_ROWS", 0)
-    return request.param

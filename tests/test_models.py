@@ -43,3 +43,11 @@ def test_model_comparison_beats_chance(spark):
 def test_bootstrap_interval_contains_mean(spark):
     r = M.bootstrap_mean_ci(_frame(spark), "x1", "id", n_boot=300).collect()[0]
     assert r.ci_low < r.mean < r.ci_high and r.n_boot == 300
+
+
+def test_dummies_one_column_less_than_levels(spark):
+    from pyspark.ml import Pipeline
+    df = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", 3.0), ("b", 4.0)], "c string, x double")
+    out = Pipeline(stages=M.feature_stages(["x"], ["c"])).fit(df).transform(df)
+    rows = {(r["c"], r["x"]): r["features"].toArray().tolist() for r in out.collect()}
+    assert rows == {("a", 1.0): [1.0, 0.0, 0.0], ("b", 2.0): [2.0, 0.0, 1.0], ("c", 3.0): [3.0, 1.0, 0.0], ("b", 4.0): [4.0, 0.0, 1.0]}

@@ -3,6 +3,7 @@ that holds a third of all rows."""
 
 import numpy as np
 import pandas as pd
+import pytest
 
 from campanula.operators import ranks as RK
 
@@ -15,7 +16,7 @@ def _skewed(spark, n=3000, seed=7):
     return spark.createDataFrame(pdf), pdf
 
 
-def test_prefix_sum_matches_cumsum(spark, order_path):
+def test_prefix_sum_matches_cumsum(spark):
     df, pdf = _skewed(spark)
     out = RK.prefix_sum(df, ["v", "id"], "v", num_partitions=7).select("id", "_cum").toPandas()
     exp = pdf.sort_values(["v", "id"]).assign(c=lambda d: d.v.cumsum())[["id", "c"]]
@@ -24,14 +25,14 @@ def test_prefix_sum_matches_cumsum(spark, order_path):
     assert np.allclose(m.c, m._cum)
 
 
-def test_value_ranks_average_ties(spark, order_path):
+def test_value_ranks_average_ties(spark):
     df, pdf = _skewed(spark)
     out = RK.value_ranks(df, "v").toPandas().set_index("v")["rank"]
     exp = pdf.assign(r=pdf.v.rank(method="average")).groupby("v").r.first()
     assert np.allclose(out.loc[exp.index].values, exp.values)
 
 
-def test_qcut_rank_sizes_match_reference_deciles(spark, order_path):
+def test_qcut_rank_sizes_match_reference_deciles(spark):
     # 1306 rows into 10 rank-first bins: the reference's published decile sizes
     pdf = pd.DataFrame({"id": np.arange(1306), "v": np.zeros(1306)})
     out = RK.qcut_rank(spark.createDataFrame(pdf), "v", ["id"], 10, "d").groupBy("d").count() \
@@ -39,7 +40,7 @@ def test_qcut_rank_sizes_match_reference_deciles(spark, order_path):
     assert out["count"].tolist() == [131, 131, 130, 131, 130, 131, 130, 131, 130, 131]
 
 
-def test_qcut_rank_equals_pandas(spark, order_path):
+def test_qcut_rank_equals_pandas(spark):
     df, pdf = _skewed(spark, n=997)
     out = RK.qcut_rank(df, "v", ["id"], 5, "q").select("id", "q").toPandas().set_index("id").q
     ranks = pdf.sort_values(["v", "id"]).assign(r=np.arange(1, len(pdf) + 1)).set_index("id").r
@@ -47,7 +48,7 @@ def test_qcut_rank_equals_pandas(spark, order_path):
     assert (out.loc[exp.index] == exp).all()
 
 
-def test_gini_and_lorenz(spark, order_path):
+def test_gini_and_lorenz(spark):
     df, pdf = _skewed(spark)
     g = RK.gini(df, "v").collect()[0]
     x = np.sort(np.maximum(pdf.v.values, 0))
@@ -58,7 +59,7 @@ def test_gini_and_lorenz(spark, order_path):
     assert lz.value_share.is_monotonic_increasing and abs(lz.value_share.iloc[-1] - 1) < 1e-12
 
 
-def test_prefix_max_before_matches_brute_force(spark, order_path):
+def test_prefix_max_before_matches_brute_force(spark):
     df, pdf = _skewed(spark)
     out = RK.prefix_max_before(df, ["v", "id"], "g", num_partitions=5).select("id", "_max_before").toPandas()
     srt = pdf.sort_values(["v", "id"]).reset_index(drop=True)
@@ -66,3 +67,21 @@ def test_prefix_max_before_matches_brute_force(spark, order_path):
     m = srt.assign(e=exp).merge(out, on="id")
     assert m.e.isna().sum() == 1 and m._max_before.isna().sum() == 1
     assert np.allclose(m.e.dropna().values, m.dropna(subset=["e"])._max_before.values)
+
+
+def test_exact_quantiles_equal_numpy(spark):
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({"g": rng.choice(["a", "b", None], 400, p=[0.7, 0.2, 0.1]), "v": rng.integers(0, 40, 400).astype(float)})
+    pdf.loc[::17, "v"] = np.nan
+    pdf.loc[len(pdf)] = ["only", 3.0]
+    pdf.loc[len(pdf)] = ["none", np.nan]
+    df = spark.createDataFrame([(g, None if np.isnan(v) else v) for g, v in pdf.itertuples(index=False)], "g string, v double")
+    qs = {"lo": 0.01, "med": 0.5, "hi": 0.98}
+    one = RK.exact_quantiles(df, "v", qs).first().asDict()
+    assert one == {k: pytest.approx(np.quantile(pdf["v"].dropna(), q)) for k, q in qs.items()}
+    got = {r["g"]: r for r in RK.exact_quantiles(df, "v", qs, ["g"]).collect()}
+    for g, part in pdf.dropna(subset=["v"]).groupby("g", dropna=False):
+        g = None if pd.isna(g) else g
+        for k, q in qs.items():
+            assert got[g][k] == pytest.approx(np.quantile(part["v"], q))
+    assert "none" not in got and len(got) == 4
