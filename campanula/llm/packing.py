@@ -18,16 +18,19 @@ are packed each on their own.  An empty table gives no pieces.
 
 from __future__ import annotations
 
+import base64
 import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from campanula.session import materialize
 
@@ -36,57 +39,35 @@ _PER_MAKER = 1 << 32
 _MERGED = 1 << 30
 
 
-class ChunkIds(dict):
-    """Ids, as little-endian unsigned 32-bit bytes, of a space and a run without
-    spaces; found once and then looked up.  Holds ``most`` entries at most: it
-    starts anew when full, which changes the speed alone."""
-
-    def __init__(self, tokenizer, most: int = 400_000) -> None:
-        super().__init__()
-        self.tokenizer, self.most = tokenizer, most
-
-    def encode(self, text: str) -> bytes:
-        return b"".join(i.to_bytes(4, "little") for i in self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def __missing__(self, chunk: str) -> bytes:
-        head, last = chunk[:-1], chunk[-1:]
-        # letters before a comma or full stop are split off before any merge
-        ids = self[head] + self._mark(last) if last in _MARKS and head.isalpha() else self.encode(" " + chunk)
-        if len(self) >= self.most:
-            self.clear()
-        self[chunk] = ids
-        return ids
-
-    def _mark(self, mark: str) -> bytes:
-        found = _MARKS[mark].get(id(self))
-        if found is None:
-            _MARKS[mark].clear()
-            found = _MARKS[mark][id(self)] = self.encode(mark)
-        return found
-
-
-_MARKS: dict[str, dict[int, bytes]] = {".": {}, ",": {}}
-#: a space beside other white space, where the tokenizer's splitting looks across a space
-_CROSSING = re.compile(r"\s | \s")
+#: texts of these characters alone (ASCII from space on, line feeds, Latin letters with marks) are split alike by any
+#: implementation of the tokenizer's pattern
+_PLAIN = re.compile(r"[\x20-\x7e\n\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]*")
 
 
 class TextIds:
-    """Ids of a whole text, equal to the tokenizer's own."""
+    """Ids of a whole text, equal to the tokenizer's own.
 
-    def __init__(self, tokenizer_file: str) -> None:
+    With ``ranks_file``, the same byte-level vocabulary as a list of ranks,
+    texts of plain characters are encoded by the faster library for that form;
+    all others go to the tokenizer itself."""
+
+    def __init__(self, tokenizer_file: str, ranks_file: str | None = None) -> None:
         from tokenizers import Tokenizer
-        tokenizer = Tokenizer.from_file(tokenizer_file)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.chunks = ChunkIds(tokenizer)
+        self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.fast = None
+        if ranks_file:
+            import public_tokenizers
+            import tiktoken
+            with open(ranks_file, "rb") as f:
+                ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+            self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def __call__(self, text: str) -> bytes:
-        """A byte-level tokenizer splits a text before each single space, so
-        its ids are those of the runs between spaces, one after another.  Texts
-        in which a space meets other white space go to the tokenizer whole."""
-        if _CROSSING.search(text):
-            return self.chunks.encode(text)
-        first, *rest = text.split(" ")
-        return (self.chunks.encode(first) if first else b"") + b"".join(map(self.chunks.__getitem__, rest))
+        """Little-endian unsigned 32-bit ids."""
+        if self.fast is not None and _PLAIN.fullmatch(text):
+            return self.fast.encode_to_numpy(text).astype("<u4", copy=False).tobytes()
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 class OpenWindows:
@@ -131,7 +112,8 @@ def _schema(id_type: T.DataType) -> T.StructType:
 
 
 def pack(documents: DataFrame, tokenizer_file: str, window: int = 1024, separator: int = 0, open_windows: int = 64,
-         merge_fan_in: int = 16, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+         merge_fan_in: int = 16, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False,
+         ranks_file: str | None = None) -> DataFrame:
     """Pieces of documents in sequences of at most ``window`` ids.
 
     Columns: the id, ``start`` (ids of the document before the piece),
@@ -142,8 +124,11 @@ def pack(documents: DataFrame, tokenizer_file: str, window: int = 1024, separato
     tail = separator.to_bytes(4, "little")
     columns = [f.name for f in _schema(T.LongType())]
 
-    def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        to_ids = TextIds(tokenizer_file)
+    def table(rows: list[tuple], kinds: list[pa.DataType]) -> list[pa.Array]:
+        return [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        to_ids = TextIds(tokenizer_file, ranks_file)
         maker = TaskContext.get().partitionId()
         open_ = OpenWindows(window, open_windows)
         sequence = maker * _PER_MAKER
@@ -159,7 +144,7 @@ def pack(documents: DataFrame, tokenizer_file: str, window: int = 1024, separato
 
         for batch in batches:
             rows: list[tuple] = []
-            for doc, text in zip(batch["__id"].tolist(), batch["__text"]):
+            for doc, text in zip(batch.column("__id").to_pylist(), batch.column("__text").to_pylist()):
                 ids = to_ids(text or "") + tail
                 tokens = len(ids) // 4
                 whole = tokens - tokens % window
@@ -167,16 +152,16 @@ def pack(documents: DataFrame, tokenizer_file: str, window: int = 1024, separato
                     emit([(doc, start, ids[4 * start:4 * (start + window)], tokens)], rows)
                 if whole < tokens and (full := open_.place(tokens - whole, (doc, whole, ids[4 * whole:], tokens))):
                     emit(full, rows)
-            yield pd.DataFrame(rows, columns=columns)
+            yield pa.RecordBatch.from_arrays(table(rows, kinds), names=columns)
         left = [(doc, start, len(ids) // 4, None, tokens, None, None, maker, ids)
                 for pieces in open_.rest() for doc, start, ids, tokens in pieces]
-        yield pd.DataFrame(left, columns=columns)
+        yield pa.RecordBatch.from_arrays(table(left, kinds), names=columns)
 
-    def merge(key: tuple, left: pd.DataFrame) -> pd.DataFrame:
-        maker = _MERGED + int(key[0])
+    def merge(key: tuple, left: pa.Table) -> pa.Table:
+        maker = _MERGED + key[0].as_py()
         rows, used, sequence = [], 0, maker * _PER_MAKER
-        for doc, start, length, tokens, ids in left.sort_values(["maker", "length", "start"], ascending=[True, False, True], kind="stable")[
-                ["__id", "start", "length", "doc_tokens", "ids"]].itertuples(index=False, name=None):
+        pieces = sorted(left.to_pylist(), key=lambda r: (r["maker"], -r["length"], r["start"]))
+        for doc, start, length, tokens, ids in ((r["__id"], r["start"], r["length"], r["doc_tokens"], r["ids"]) for r in pieces):
             cut = 0
             while cut < length:
                 n = min(length - cut, window - used)
@@ -186,13 +171,14 @@ def pack(documents: DataFrame, tokenizer_file: str, window: int = 1024, separato
                 used += n
                 if used == window:
                     used, sequence = 0, sequence + 1
-        return pd.DataFrame(rows, columns=columns)
+        return pa.Table.from_arrays(table(rows, kinds), names=columns)
 
     rows = documents.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
     schema = _schema(rows.schema["__id"].dataType)
+    kinds = [to_arrow_type(f.dataType) for f in schema]
     # one run of the stream feeds both readers below: a second run could meet the rows in another order
-    streamed = materialize(rows.mapInPandas(stream, schema))
+    streamed = materialize(rows.mapInArrow(stream, schema))
     merged = (streamed.where("sequence_id is null")
-              .groupBy(F.floor(F.col("maker") / merge_fan_in).alias("__group")).applyInPandas(merge, schema))
+              .groupBy(F.floor(F.col("maker") / merge_fan_in).alias("__group")).applyInArrow(merge, schema))
     out = streamed.where("sequence_id is not null").unionByName(merged)
     return out.select(F.col("__id").alias(id_col), *[c for c in columns[1:-2]], *(["ids"] if with_ids else []))

@@ -16,8 +16,8 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), shards=40)
 
 
-def op3_packing(spark: SparkSession, sf_dir: str, tokenizer_file: str | None = None) -> DataFrame:
-    return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_file or default_tokenizer())
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), default_tokenizer(), ranks_file=default_ranks())
 
 
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +53,11 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def default_ranks() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
 QUERIES = {f.__name__: f for f in (op1_pii, op2_sharding, op3_packing, op4_licenses, op5_simhash, op6_quality_rules,
                                    op7_quality_cnn, op8_line_dedup, op9_decontamination, op10_toxicity)}
 ORACLE_SQL: dict[str, str] = {"op4_licenses": licenses.oracle_sql()}

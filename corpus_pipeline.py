@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from campanula.llm import decontaminate, line_dedup, packing, quality_rules, simhash
 from campanula.llm.common import read_table
-from campanula.llm.queries import default_tokenizer
+from campanula.llm.queries import default_ranks, default_tokenizer
 from campanula.session import materialize
 
 
@@ -42,7 +42,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, default_tokenizer(), window=1024, separator=0)
+    return packing.pack(docs, default_tokenizer(), window=1024, separator=0, ranks_file=default_ranks())
 
 
 STAGES = [

@@ -3,10 +3,11 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from campanula.llm import packing
-from campanula.llm.queries import default_tokenizer
+from campanula.llm.queries import default_ranks, default_tokenizer
 
 
 @pytest.fixture(scope="module")
@@ -50,13 +51,12 @@ def check(docs, pieces, tokenizer, window):
 def test_round_trip(both, tokenizer, window, opened):
     docs = both.where("doc_id is not null").repartition(3, "doc_id").collect()
     df = both.where("doc_id is not null").repartition(3, "doc_id")
-    pieces = packing.pack(df, default_tokenizer(), window=window, open_windows=opened, merge_fan_in=2).collect()
+    pieces = packing.pack(df, default_tokenizer(), window=window, open_windows=opened, merge_fan_in=2, ranks_file=default_ranks()).collect()
     assert check(docs, pieces, tokenizer, window) < 0.02
 
 
 def test_text_ids_equal_the_tokenizer(both, tokenizer):
-    to_ids = packing.TextIds(default_tokenizer())
-    to_ids.chunks.most = 500
+    to_ids = packing.TextIds(default_tokenizer(), default_ranks())
     for r in both.collect():
         got = np.frombuffer(to_ids(r.text or ""), "<u4").tolist()
         assert got == tokenizer.encode(r.text or "", add_special_tokens=False).ids, r.text[:80]
@@ -65,7 +65,12 @@ def test_text_ids_equal_the_tokenizer(both, tokenizer):
 def test_text_ids_random(tokenizer):
     import random
     rng = random.Random(3)
-    to_ids = packing.TextIds(default_tokenizer())
+    to_ids = packing.TextIds(default_tokenizer(), default_ranks())
+    plain = [chr(c) for c in (10, *range(32, 127), *range(0xC0, 0x250)) if c not in (0xD7, 0xF7)]
+    for _ in range(3000):
+        t = "".join(rng.choices(plain, [9 if c.isascii() else 1 for c in plain], k=rng.randrange(60)))
+        assert packing._PLAIN.fullmatch(t)
+        assert np.frombuffer(to_ids(t), "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
     for _ in range(5000):
         t = "".join(rng.choice(["a", "bc", " ", " ", "\n", ".", ",", "'s", "1", "é", " ", "\t", "²", "中", "<|endoftext|>", "\U0001F600", "\x1c", "​", "́"])
                     for _ in range(rng.randrange(30)))
@@ -82,5 +87,8 @@ def test_best_fit_and_fullest_out():
 
 def test_odd_input(empty, edge):
     assert packing.pack(empty, default_tokenizer()).count() == 0
+    large = (1 << 62) + 1  # must stay whole beside a null id
+    edge = edge.unionByName(edge.limit(1).withColumn("doc_id", F.lit(large)))
     out = packing.pack(edge, default_tokenizer(), with_ids=True)
+    assert out.where(f"doc_id = {large}").count() == 1
     assert out.where("doc_id is null").count() >= 1 and out.where("length * 4 <> octet_length(ids)").count() == 0
