@@ -1,7 +1,7 @@
 """Line dedup by a segment-partition edit join.
 
-Lines are compared in a normal form (ASCII letters in lower case, white space
-runs as one space, none at the ends).  Lines shorter than ``min_chars`` are too
+Lines are compared in a normal form (lower case, white space runs as one space,
+none at the ends).  Lines shorter than ``min_chars`` are too
 common by nature and are left alone.  Equal lines are one class.  Lines of at
 least ``edit_chars`` characters that are within ``threshold`` edits of each
 other are linked as well, and linked lines are one class.  Of each class the
@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,9 +44,14 @@ from .common import whole_text
 from .simhash import components
 
 
-def normal_line(line: Column) -> Column:
-    # only white space that is not a single space is replaced
-    return F.trim(F.regexp_replace(F.lower(line), r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " "))
+def normal_line(line: str) -> str:
+    return " ".join(line.lower().split())
+
+
+def line_ids(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of each line; both together name it."""
+    both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, lines)), ">i8").reshape(-1, 2).astype(np.int64)
+    return both[:, 0].copy(), both[:, 1].copy()
 
 
 # -- verification ------------------------------------------------------------
@@ -172,6 +178,50 @@ _FOUND = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.Lo
                        T.StructField("sig", T.LongType()), T.StructField("probe", T.BooleanType())])
 
 
+def _new_lines(texts: pd.Series, least: int, seen: set[int]) -> tuple[list[str], np.ndarray]:
+    """Normal lines of at least ``least`` characters that are not in ``seen``
+    yet, each once, and their ids; ``seen`` grows by them."""
+    found = [x for t in texts if t for x in map(normal_line, t.split("\n")) if len(x) >= least]
+    if not found:
+        return [], np.empty(0, np.int64)
+    lids, out, keep = line_ids(found)[0], [], []
+    for k, lid in enumerate(lids.tolist()):
+        if lid not in seen:
+            seen.add(lid)
+            out.append(found[k])
+            keep.append(k)
+    return out, lids[keep]
+
+
+def _line_texts(edit_chars: int):
+    def texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[int] = set()
+        for batch in batches:
+            lines, lids = _new_lines(batch["text"], edit_chars, seen)
+            yield pd.DataFrame({"lid": lids, "line": pd.Series(lines, dtype=object)})
+    return texts
+
+
+def _occurrences(min_chars: int):
+    """Rows (id, row, pos, lid, lid2) of all lines of (id, row, text); Arrow
+    keeps ids of any type whole beside nulls."""
+    def occur(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, pos, lines = [], [], []
+            for k, t in enumerate(batch.column("text").to_pylist()):
+                for n, line in enumerate(t.split("\n")):
+                    x = normal_line(line)
+                    if len(x) >= min_chars:
+                        at.append(k)
+                        pos.append(n)
+                        lines.append(x)
+            one, two = line_ids(lines)
+            where = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(where), batch.column("row").take(where), pa.array(pos, pa.int32()),
+                                              pa.array(one, pa.int64()), pa.array(two, pa.int64())], names=["id", "row", "pos", "lid", "lid2"])
+    return occur
+
+
 def _make_keys(threshold: int, edit_chars: int):
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()                       # copies within a partition make their keys once
@@ -187,24 +237,20 @@ def _make_keys(threshold: int, edit_chars: int):
             return out
 
         for batch in batches:
-            new = ~batch["lid"].duplicated() & ~batch["lid"].isin(seen)
-            batch = batch[new]
-            seen.update(batch["lid"].tolist())
-            for at in range(0, len(batch), 2000):
-                part = batch.iloc[at:at + 2000]
-                lines = part["line"].tolist()
-                steps = []
+            lines, lids = _new_lines(batch["text"], edit_chars, seen)
+            for at in range(0, len(lines), 2000):
+                part, steps = lines[at:at + 2000], []
                 keys: list[int] = []
                 flags: list[bool] = []
-                for line in lines:
+                for line in part:
                     n = len(line)
                     if n not in plans:
                         plans[n] = plan(n)
                     keys += [digest(line[s:e], seed) for seed, s, e, _ in plans[n]]
                     flags += [p for _, _, _, p in plans[n]]
                     steps.append(len(plans[n]))
-                yield pd.DataFrame({"key": np.array(keys, np.uint64).view(np.int64), "lid": np.repeat(part["lid"].to_numpy(), steps),
-                                    "sig": np.repeat(signatures(lines).view(np.int64), steps), "probe": flags})
+                yield pd.DataFrame({"key": np.array(keys, np.uint64).view(np.int64), "lid": np.repeat(lids[at:at + 2000], steps),
+                                    "sig": np.repeat(signatures(part).view(np.int64), steps), "probe": flags})
     return make
 
 
@@ -263,13 +309,11 @@ def _match_blocks(threshold: int):
     return match
 
 
-def edit_links(lines: DataFrame, threshold: int = 2, edit_chars: int = 32, group_rows: int = 1024,
+def edit_links(texts: DataFrame, threshold: int = 2, edit_chars: int = 32, group_rows: int = 1024,
                broadcast_rows: int = 500_000) -> DataFrame:
-    """Links ``(a, b)`` of ids of lines within ``threshold`` edits.
-
-    ``lines``: ``(lid, line)``, the id a hash of the line; lines may repeat."""
-    lines = lines.where(F.length("line") >= edit_chars)
-    keys = lines.mapInPandas(_make_keys(threshold, edit_chars), _KEYS)
+    """Links ``(a, b)`` between (first) ids of the lines of the column ``text``
+    that are within ``threshold`` edits of each other."""
+    keys = texts.mapInPandas(_make_keys(threshold, edit_chars), _KEYS)
     found = materialize(keys.repartition("key").sortWithinPartitions("key").mapInPandas(_match_stream(threshold, group_rows), _FOUND))
     hot = found.where("b is null").select("key", "a", "sig", "probe").distinct()
     blocks = hot.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / group_rows).alias("n"))
@@ -280,12 +324,13 @@ def edit_links(lines: DataFrame, threshold: int = 2, edit_chars: int = 32, group
     pairs = materialize(found.where("b is not null").select("a", "b").unionByName(more).distinct())
     ids = materialize(pairs.select(F.col("a").alias("lid")).unionByName(pairs.select(F.col("b").alias("lid"))).distinct())
     few = ids.count() <= broadcast_rows  # 8 bytes each: a checked size
-    texts = materialize(lines.join(F.broadcast(ids) if few else ids, "lid").groupBy("lid").agg(F.min("line").alias("line")))
+    lines = texts.mapInPandas(_line_texts(edit_chars), "lid long, line string")
+    lines = materialize(lines.join(F.broadcast(ids) if few else ids, "lid").groupBy("lid").agg(F.min("line").alias("line")))
 
     @F.pandas_udf(T.BooleanType())
     def verified(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([within(x, y, threshold) for x, y in zip(a, b)], dtype=bool)
-    one, two = (texts.select(F.col("lid").alias(x), F.col("line").alias(f"line_{x}")) for x in "ab")
+    one, two = (lines.select(F.col("lid").alias(x), F.col("line").alias(f"line_{x}")) for x in "ab")
     return pairs.join(one, "a").join(two, "b").where(verified(F.col("line_a"), F.col("line_b"))).select("a", "b")
 
 
@@ -319,11 +364,10 @@ def dedup_lines(documents: DataFrame, threshold: int = 2, min_chars: int = 10, e
     lines, the number of lines, the number and the list ``removed`` of line
     numbers (from 0) that went, and the share of its characters that is left."""
     text = whole_text(text_col)
-    rows = documents.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("row"), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
-    rows = rows.withColumn("line", normal_line(F.col("line"))).where(F.length("line") >= min_chars)
-    # two hashes name a line; the first alone names it in the edit join, which looks at texts
-    lines = materialize(rows.select("id", "row", "pos", F.xxhash64("line").alias("lid"), F.xxhash64(F.lit("line"), "line").alias("lid2")))
-    links = materialize(edit_links(rows.select(F.xxhash64("line").alias("lid"), "line"), threshold, edit_chars, group_rows, broadcast_rows))
+    rows = documents.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("row"), text.alias("text"))
+    fields = [*rows.schema.fields[:2], *(T.StructField(n, t) for n, t in (("pos", T.IntegerType()), ("lid", T.LongType()), ("lid2", T.LongType())))]
+    lines = materialize(rows.mapInArrow(_occurrences(min_chars), T.StructType(fields)))
+    links = materialize(edit_links(rows.select("text"), threshold, edit_chars, group_rows, broadcast_rows))
     roots = materialize(components(links))
     few = roots.count() <= broadcast_rows  # 16 bytes each: a checked size
     roots = roots.withColumnRenamed("node", "lid")
