@@ -121,11 +121,6 @@ def null_if(c, predicate: Column) -> Column:
     return F.when(F.coalesce(predicate, F.lit(False)), F.lit(None)).otherwise(_col(c))
 
 
-def null_if_before(c, ref) -> Column:
-    """CLN-13: null the value when it is earlier than ``ref``."""
-    return null_if(c, _col(c) < _col(ref))
-
-
 def days_between(end, start) -> Column:
     """CLN-14: whole elapsed days (floor), negative spans floor down.
 

@@ -372,18 +372,6 @@ def histograms(df: DataFrame, keys: Sequence[str], c: str, bins: int) -> DataFra
                     (F.col("_lo") + (F.col("bin") + 1) * F.col("_w")).alias("hi"), "n"))
 
 
-def pct_of_total(df: DataFrame, c: str, out: str, digits: int = 1) -> DataFrame:
-    """WIN-09: share of the column total, x100, rounded."""
-    tot = scalar(df, F.sum(c))
-    return df.withColumn(out, F.round(F.col(c) / tot * 100, digits))
-
-
-def minmax(df: DataFrame, c: str, out: str) -> DataFrame:
-    """WIN-08: min-max normalise over the table; constant column -> 1."""
-    lo, hi = scalar(df, F.min(c)), scalar(df, F.max(c))
-    return df.withColumn(out, F.when(hi - lo > 0, (F.col(c) - lo) / (hi - lo)).otherwise(F.lit(1.0)))
-
-
 def sample_n(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
     """TOP-04: deterministic sample of n rows without replacement."""
     return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)

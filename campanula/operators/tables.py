@@ -118,7 +118,3 @@ CLEANERS = {
     "sessions": clean_sessions,
     "transactions": clean_transactions,
 }
-
-
-def silver_tables(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {name: CLEANERS[name](df) for name, df in bronze.items()}
