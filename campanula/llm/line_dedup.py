@@ -156,6 +156,8 @@ def _matches(lid: np.ndarray, sig: np.ndarray, probe: np.ndarray, threshold: int
     ``block``: only across the two blocks)."""
     sig = np.ascontiguousarray(sig, np.int64).view(np.uint64)
     held = np.flatnonzero(~probe)
+    if not len(held) or lid[0] == lid[-1] and (lid == lid[0]).all():
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     left, right = [], []
     for i in held.tolist():
         ok = (lid != lid[i]) & _alike(sig, sig[i], threshold) & (probe | (np.arange(len(lid)) > i))
@@ -178,7 +180,7 @@ _FOUND = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.Lo
                        T.StructField("sig", T.LongType()), T.StructField("probe", T.BooleanType())])
 
 
-def _new_lines(texts: pd.Series, least: int, seen: set[int]) -> tuple[list[str], np.ndarray]:
+def _new_lines(texts: list[str | None], least: int, seen: set[int]) -> tuple[list[str], np.ndarray]:
     """Normal lines of at least ``least`` characters that are not in ``seen``
     yet, each once, and their ids; ``seen`` grows by them."""
     found = [x for t in texts if t for x in map(normal_line, t.split("\n")) if len(x) >= least]
@@ -194,11 +196,11 @@ def _new_lines(texts: pd.Series, least: int, seen: set[int]) -> tuple[list[str],
 
 
 def _line_texts(edit_chars: int):
-    def texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            lines, lids = _new_lines(batch["text"], edit_chars, seen)
-            yield pd.DataFrame({"lid": lids, "line": pd.Series(lines, dtype=object)})
+            lines, lids = _new_lines(batch.column("text").to_pylist(), edit_chars, seen)
+            yield pa.RecordBatch.from_arrays([pa.array(lids, pa.int64()), pa.array(lines, pa.string())], names=["lid", "line"])
     return texts
 
 
@@ -223,81 +225,89 @@ def _occurrences(min_chars: int):
 
 
 def _make_keys(threshold: int, edit_chars: int):
-    def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()                       # copies within a partition make their keys once
-        plans: dict[int, list[tuple[int, int, int, bool]]] = {}
-        digest = xxhash.xxh3_64_intdigest
-
-        def plan(n: int) -> list[tuple[int, int, int, bool]]:
-            out = [(n << 8 | k, at, at + size, False) for k, (at, size) in enumerate(segments(n, threshold + 1))]
-            held = {x[:3] for x in out}
-            for shorter in range(max(edit_chars, n - threshold), n + 1):
-                out += [(shorter << 8 | k, p, p + size, True) for k, p, size in probes(n, shorter, threshold)
-                        if (shorter << 8 | k, p, p + size) not in held]
-            return out
+        plans: dict[int, tuple[list[tuple[int, int, int]], np.ndarray]] = {}
+        digest = xxhash.xxh3_64_digest
+
+        def plan(n: int) -> tuple[list[tuple[int, int, int]], np.ndarray]:
+            """(seed, start, end) of the segments and then of the probes of a
+            line of ``n`` characters, and which of them are probes."""
+            held = [(n << 8 | k, at, at + size) for k, (at, size) in enumerate(segments(n, threshold + 1))]
+            asked = [(shorter << 8 | k, p, p + size) for shorter in range(max(edit_chars, n - threshold), n + 1)
+                     for k, p, size in probes(n, shorter, threshold)]
+            asked = [x for x in asked if x not in held]
+            return held + asked, np.arange(len(held) + len(asked)) >= len(held)
 
         for batch in batches:
-            lines, lids = _new_lines(batch["text"], edit_chars, seen)
-            for at in range(0, len(lines), 2000):
-                part, steps = lines[at:at + 2000], []
-                keys: list[int] = []
-                flags: list[bool] = []
+            lines, lids = _new_lines(batch.column("text").to_pylist(), edit_chars, seen)
+            for at in range(0, len(lines), 1000):
+                part = lines[at:at + 1000]
+                todo = []
                 for line in part:
                     n = len(line)
                     if n not in plans:
                         plans[n] = plan(n)
-                    keys += [digest(line[s:e], seed) for seed, s, e, _ in plans[n]]
-                    flags += [p for _, _, _, p in plans[n]]
-                    steps.append(len(plans[n]))
-                yield pd.DataFrame({"key": np.array(keys, np.uint64).view(np.int64), "lid": np.repeat(lids[at:at + 2000], steps),
-                                    "sig": np.repeat(signatures(part).view(np.int64), steps), "probe": flags})
+                    todo.append(plans[n])
+                keys = b"".join([digest(line[s:e], seed) for line, (steps, _) in zip(part, todo) for seed, s, e in steps])
+                count = [len(steps) for steps, _ in todo]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.frombuffer(keys, ">i8").astype(np.int64)), pa.array(np.repeat(lids[at:at + 1000], count)),
+                     pa.array(np.repeat(signatures(part).view(np.int64), count)), pa.array(np.concatenate([p for _, p in todo]))],
+                    names=["key", "lid", "sig", "probe"])
     return make
 
 
 def _match_stream(threshold: int, group_rows: int):
     """Rows sorted by key: pairs of a key, or the rows of a key with too many."""
-    def found(a, b, key=None, sig=None, probe=None):
-        n = len(a)
-        return pd.DataFrame({"a": a, "b": b if b is not None else pd.array([None] * n, "Int64"),
-                             "key": key if key is not None else pd.array([None] * n, "Int64"),
-                             "sig": sig if sig is not None else pd.array([None] * n, "Int64"),
-                             "probe": probe if probe is not None else pd.array([None] * n, "boolean")})
-
-    def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        open_ = None      # rows of the last key so far, fewer than group_rows
+    def table(pairs, hot):
+        """One batch: pairs (a, b), then rows of hot keys (lid, key, sig, probe)."""
+        a, b = (np.concatenate([p[k] for p in pairs]) if pairs else np.empty(0, np.int64) for k in range(2))
+        lid, key, sig = (np.concatenate([h[k] for h in hot]) if hot else np.empty(0, np.int64) for k in range(3))
+        probe = np.concatenate([h[3] for h in hot]) if hot else np.empty(0, bool)
+        some, none = len(a), len(lid)
+
+        def column(values, kind, before, after):
+            return pa.concat_arrays([pa.nulls(before, kind), pa.array(values, kind), pa.nulls(after, kind)])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([a, lid]), pa.int64()), column(b, pa.int64(), 0, none), column(key, pa.int64(), some, 0),
+             column(sig, pa.int64(), some, 0), column(probe, pa.bool_(), some, 0)], names=["a", "b", "key", "sig", "probe"])
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_ = None      # rows of the last key so far, at most group_rows
         hot = None        # a key that has shown more
         for batch in batches:
-            cols = [batch[c].to_numpy() for c in ("key", "lid", "sig", "probe")]
+            cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "lid", "sig", "probe")]
             if open_ is not None:
                 cols = [np.concatenate(x) for x in zip(open_, cols)]
                 open_ = None
-            key, lid, sig, probe = cols[0], cols[1], cols[2], cols[3].astype(bool)
-            starts = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1)) if len(key) else np.empty(0, np.int64)
-            ends = np.append(starts[1:], len(key)) if len(key) else starts
+            key, lid, sig, probe = cols
+            if not len(key):
+                continue
+            pairs, rows = [], []
+            starts = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1))
+            ends = np.append(starts[1:], len(key))
             for s, e in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist()):
-                last = e == len(key)
                 if key[s] == hot or e - s > group_rows:
                     hot = key[s]
-                    yield found(lid[s:e], None, key[s:e], sig[s:e], probe[s:e])
-                elif not last:
-                    yield from self_pairs(lid[s:e], sig[s:e], probe[s:e])
-            if len(key) and key[-1] != hot:
-                s = int(starts[-1])
-                open_ = [c[s:].copy() for c in (key, lid, sig, probe)]
-            elif len(key) and ends[-1] - starts[-1] == 1:  # one more row of a hot key
-                yield found(lid[-1:], None, key[-1:], sig[-1:], probe[-1:])
+                    rows.append((lid[s:e], key[s:e], sig[s:e], probe[s:e]))
+                elif e < len(key):
+                    pairs.append(of_key(lid[s:e], sig[s:e], probe[s:e]))
+            s = int(starts[-1])
+            if key[s] != hot:
+                open_ = [c[s:].copy() for c in cols]
+            elif len(key) - s == 1:  # one more row of a hot key
+                rows.append((lid[s:], key[s:], sig[s:], probe[s:]))
+            if pairs or rows:
+                yield table(pairs, rows)
         if open_ is not None and len(open_[0]) > 1:
-            yield from self_pairs(*open_[1:])
+            yield table([of_key(*open_[1:])], [])
 
-    def self_pairs(lid, sig, probe):
-        if probe.all():
-            return
-        if len(lid) > 2:
+    def of_key(lid, sig, probe):
+        if not probe.all() and len(lid) > 2:
             rows = np.unique(np.stack([lid, probe.astype(np.int64)]), axis=1, return_index=True)[1]
             lid, sig, probe = lid[rows], sig[rows], probe[rows]
-        a, b = _matches(lid, sig, probe, threshold)
-        if len(a):
-            yield found(a, b)
+        return _matches(lid, sig, probe, threshold)
     return match
 
 
@@ -313,8 +323,8 @@ def edit_links(texts: DataFrame, threshold: int = 2, edit_chars: int = 32, group
                broadcast_rows: int = 500_000) -> DataFrame:
     """Links ``(a, b)`` between (first) ids of the lines of the column ``text``
     that are within ``threshold`` edits of each other."""
-    keys = texts.mapInPandas(_make_keys(threshold, edit_chars), _KEYS)
-    found = materialize(keys.repartition("key").sortWithinPartitions("key").mapInPandas(_match_stream(threshold, group_rows), _FOUND))
+    keys = texts.mapInArrow(_make_keys(threshold, edit_chars), _KEYS)
+    found = materialize(keys.repartition("key").sortWithinPartitions("key").mapInArrow(_match_stream(threshold, group_rows), _FOUND))
     hot = found.where("b is null").select("key", "a", "sig", "probe").distinct()
     blocks = hot.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / group_rows).alias("n"))
     hot = (hot.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("a"), F.col("n")))
@@ -324,7 +334,7 @@ def edit_links(texts: DataFrame, threshold: int = 2, edit_chars: int = 32, group
     pairs = materialize(found.where("b is not null").select("a", "b").unionByName(more).distinct())
     ids = materialize(pairs.select(F.col("a").alias("lid")).unionByName(pairs.select(F.col("b").alias("lid"))).distinct())
     few = ids.count() <= broadcast_rows  # 8 bytes each: a checked size
-    lines = texts.mapInPandas(_line_texts(edit_chars), "lid long, line string")
+    lines = texts.mapInArrow(_line_texts(edit_chars), "lid long, line string")
     lines = materialize(lines.join(F.broadcast(ids) if few else ids, "lid").groupBy("lid").agg(F.min("line").alias("line")))
 
     @F.pandas_udf(T.BooleanType())
