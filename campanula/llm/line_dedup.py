@@ -384,7 +384,8 @@ def dedup_lines(documents: DataFrame, threshold: int = 2, min_chars: int = 10, e
     named = lines.join(F.broadcast(roots) if few else roots, "lid", "left").select(
         F.coalesce("root", "lid").alias("c1"), F.when(F.col("root").isNull(), F.col("lid2")).otherwise(0).alias("c2"),
         F.struct(F.col("id").isNull().alias("n"), "id", "row", "pos").alias("at"))
-    first = named.groupBy("c1", "c2").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    # written, so that the join below reads two plain shuffles and can split the rows of a hot class
+    first = materialize(named.groupBy("c1", "c2").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
     gone = (named.join(first, ["c1", "c2"]).where("at <> first")
             .groupBy(F.col("at.id").alias("__id"), F.col("at.row").alias("__row")).agg(F.collect_set("at.pos").alias("__gone")))
     kept = [F.col(f"d.`{c}`") for c in documents.columns]
