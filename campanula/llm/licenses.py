@@ -7,6 +7,11 @@ hash-joined with the digests of known licenses.  A license notice is the same
 thing one level down: an entire line whose canonical digest is that of a known
 notice.  There is no partial or fuzzy matching.
 
+Whole texts are looked up a second time in a form that doesn't know lines, so
+that wrapping makes no difference: list bullets go, and so does what stands
+before the first words of a known license if it is nothing but titles and
+copyright notices.  Nothing behind those first words is left out.
+
 The catalogue is a small table of fixed size and is canonicalised by the same
 expressions as the documents.  Built-in functions only.  Null texts count as
 empty and match nothing; repeated rows are looked up each on their own, rows
@@ -15,6 +20,8 @@ that repeat an id with the same text too.
 
 from __future__ import annotations
 
+from importlib import resources
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -108,9 +115,34 @@ NOTICES = {
     "CC0-1.0": ("Licensed under CC0 1.0.", "Dedicated to the public domain under CC0 1.0.", "SPDX-License-Identifier: CC0-1.0"),
     "all-rights-reserved": ("All rights reserved.",),
 }
+# --- fixed values: the form without lines (canonical words) ---
+#: more whole texts by license, beside LICENSES and the files of license_texts
+VARIANTS = (
+    ("MIT", LICENSES["MIT"].replace("this permission notice shall", "this permission notice (including the next paragraph) shall")),
+    ("ISC", LICENSES["ISC"].replace("and/or distribute", "and distribute")),
+)
+#: what follows is an appendix that copies of a license may do without
+APPENDIX = ("END OF TERMS AND CONDITIONS", "ADDENDUM: How to use this License")
+#: first words of the license itself
+OPENINGS = ("permission is hereby granted free of charge to any person", "redistribution and use in source and binary forms",
+            "permission to use copy modify and", "this software is provided as is without any express or implied",
+            "terms and conditions for use reproduction and distribution", "everyone is permitted to copy and distribute verbatim copies",
+            "definitions contributor means each individual or legal entity", "definitions commercial use means distribution",
+            "creative commons corporation is not a law firm", "statement of purpose the laws of most jurisdictions",
+            "preamble the intent of this document is to state")
+#: what may stand before them beside copyright notices
+TITLES = (r"(?<= )(?:(?:the )?(?:(?:mit|x11|expat|isc|zlib|libpng|bsd|0bsd|zero|[0-4]|clause|new|or|modified|simplified|revised|style) )+license (?:(?:mit|isc|x11|expat|bsd) )?"
+          r"|gnu (?:(?:library|lesser|affero|general|public|free|documentation) )+license (?:l?gpl )?version [0-9 ]+(?:[a-z]+ )?[0-9]{4} "
+          r"|apache license version 2 0 (?:january 2004 )?(?:http www apache org licenses (?:license 2 0 )?)?|mozilla public license version [12] [01] "
+          r"|creative commons legal code |cc0 1 0 universal |the artistic license |all rights reserved |license )")
+#: a list bullet: number, letter or small roman number with a full stop or bracket
+BULLET = r"(?<!\S)\(?(?:\d{1,2}(?:\.\d{1,2})*|[a-z]|[ivx]{1,4})[.)](?!\S)"
+#: words of one copyright notice; a longer passage is text
+NOTICE_WORDS = 40
 #: licenses under which a text is not free to use
 RESTRICTED = ("CC-BY-NC-4.0", "all-rights-reserved")
 COPYLEFT = ("GPL-2.0", "GPL-3.0", "CC-BY-SA-4.0")
+COPYLEFT_TEXTS = ("GPL-1.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "GFDL-1.2", "GFDL-1.3", "MPL-1.1", "MPL-2.0")
 # ---------------------------------------------------------------------------------
 
 
@@ -134,6 +166,44 @@ def _digest(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+def flat_text(text: Column) -> Column:
+    """Canonical words of a text in one line, a space at both ends, without list bullets."""
+    c = F.regexp_replace(F.lower(text), r"©|\(c\)", " copyright ")
+    c = F.regexp_replace(F.regexp_replace(c, BULLET, " "), r"[^\p{L}\p{N}]+", " ")
+    c = F.concat(F.lit(" "), F.trim(c), F.lit(" "))
+    for old, new in SPELLINGS:
+        c = F.replace(c, F.lit(f" {old} "), F.lit(f" {new} "))
+    return c
+
+
+def opening(flat: Column) -> Column:
+    """Where in a flat text the first words of a known license begin, null if nowhere."""
+    return F.least(*[F.nullif(F.instr(flat, f" {o} "), F.lit(0)) for o in OPENINGS])
+
+
+def license_body(flat: Column, at: Column) -> Column:
+    """A flat text from its opening on, if only titles and copyright notices stand before it."""
+    head = F.trim(F.regexp_replace(F.substring(flat, F.lit(1), at), TITLES, ""))
+    notices = head.startswith("copyright ") & F.forall(
+        F.split(head, r"\bcopyright\b"), lambda x: F.size(F.split(F.trim(x), " ")) <= NOTICE_WORDS)
+    return F.when((head == "") | notices, F.substring(flat, at, F.length(flat))).otherwise(flat)
+
+
+def whole_texts() -> list[tuple[str, str]]:
+    """(license, text) of all known whole texts, with and without appendix."""
+    files = sorted((f for f in resources.files(__package__).joinpath("license_texts").iterdir() if f.name.endswith(".txt")), key=lambda f: f.name)
+    texts = [*LICENSES.items(), *VARIANTS, *((f.name.removesuffix(".txt"), f.read_text(encoding="utf-8")) for f in files)]
+    texts += [(k, t[t.index("Statement of Purpose"):]) for k, t in texts if k == "CC0-1.0"]
+    short = [(k, t[:t.index(a) + n]) for k, t in texts for a in APPENDIX if a in t for n in (0, len(a) if a == APPENDIX[0] else 0)]
+    return list(dict.fromkeys(texts + short))
+
+
+def flat_catalogue(spark: SparkSession) -> DataFrame:
+    """Digests of the known whole texts in the form without lines."""
+    known = spark.createDataFrame(whole_texts(), "flat_license string, raw string").select("flat_license", flat_text(F.col("raw")).alias("flat"))
+    return known.select("flat_license", _digest(license_body(F.col("flat"), opening(F.col("flat")))).alias("flat_digest")).distinct()
+
+
 def catalogue(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
     """Digests of the known whole texts and of the known notices."""
     def table(pairs):
@@ -150,13 +220,16 @@ def scan_licenses(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     whole, notices = catalogue(documents.sparkSession)
     longest = max(len(n) for ns in NOTICES.values() for n in ns) + 40  # a canonical notice is shorter
     text = whole_text(text_col)
-    rows = documents.select(F.col(id_col).alias("__id"), F.xxhash64(text).alias("__row"), canonical_lines(text).alias("__lines"))
+    rows = documents.select(F.col(id_col).alias("__id"), F.xxhash64(text).alias("__row"), canonical_lines(text).alias("__lines"), flat_text(text).alias("__flat"))
+    rows = rows.withColumn("__at", opening(F.col("__flat")))
     # lines longer than any notice cannot be one; the short ones and the digest are written once and read twice
     short = F.array_distinct(F.filter("__lines", lambda x: F.length(x) <= longest))
-    rows = materialize(rows.select("__id", "__row", _digest(canonical_text(F.col("__lines"))).alias("digest"), short.alias("__short")))
+    body = F.when(F.col("__at").isNotNull(), _digest(license_body(F.col("__flat"), F.col("__at"))))
+    rows = materialize(rows.select("__id", "__row", _digest(canonical_text(F.col("__lines"))).alias("digest"), body.alias("flat_digest"), short.alias("__short")))
     found = (rows.select("__id", "__row", F.explode("__short").alias("line")).select("__id", "__row", _digest(F.col("line")).alias("digest"))
              .join(F.broadcast(notices), "digest").groupBy("__id", "__row").agg(F.array_sort(F.collect_set("license")).alias("__found")))
-    out = rows.select("__id", "__row", "digest").join(F.broadcast(whole), "digest", "left")
+    out = rows.select("__id", "__row", "digest", "flat_digest").join(F.broadcast(whole), "digest", "left")
+    out = out.join(F.broadcast(flat_catalogue(documents.sparkSession)), "flat_digest", "left").withColumn("license", F.coalesce("license", "flat_license"))
     found = found.withColumnRenamed("__id", "__id2").withColumnRenamed("__row", "__row2")
     out = out.join(found, F.col("__id").eqNullSafe(F.col("__id2")) & (F.col("__row") == F.col("__row2")), "left")
     held = F.coalesce("__found", F.array().cast("array<string>"))
@@ -164,7 +237,7 @@ def scan_licenses(documents: DataFrame, id_col: str = "doc_id", text_col: str =
 
     def any_of(names):
         return F.arrays_overlap(every, F.array(*map(F.lit, names)))
-    verdict = (F.when(F.size(every) == 0, "none").when(any_of(RESTRICTED), "restricted").when(any_of(COPYLEFT), "copyleft").otherwise("permissive"))
+    verdict = (F.when(F.size(every) == 0, "none").when(any_of(RESTRICTED), "restricted").when(any_of(COPYLEFT + COPYLEFT_TEXTS), "copyleft").otherwise("permissive"))
     return out.select(F.col("__id").alias(id_col), F.col("digest").alias("text_digest"), F.col("license").alias("license_id"),
                       F.size(held).cast("long").alias("n_notices"), F.array_join(held, ",").alias("notices"), verdict.alias("verdict"))
 
