@@ -4,10 +4,12 @@ Lines are compared in a normal form (lower case, white space runs as one space,
 none at the ends).  Lines shorter than ``min_chars`` are too
 common by nature and are left alone.  Equal lines are one class.  Lines of at
 least ``edit_chars`` characters that are within ``threshold`` edits of each
-other are linked as well, and linked lines are one class.  Of each class the
+other are linked as well, and so are, within one edit, pairs whose shorter line
+has ``short_chars`` to ``edit_chars`` - 1 characters (two edits change too much
+of a short line); linked lines are one class.  Of each class the
 first occurrence stays (smallest id, then row, then line number); the others go.
 
-*The edit join.*  A line is split into ``threshold + 1`` segments of nearly
+*The edit join.*  With the threshold of its length, a line is split into ``threshold + 1`` segments of nearly
 equal length; by the pigeonhole principle, of two lines within the threshold one
 has a whole segment of the other, shifted by no more than the threshold.  Each
 line puts its segments into an index by (length, segment number, text) and
@@ -108,6 +110,16 @@ def within(a: str, b: str, threshold: int) -> bool:
 
 # -- segments, probes and signatures -----------------------------------------
 
+#: lines from here on are compared by edits in the registered queries: all that the exact step takes
+SHORT_CHARS = 10
+
+
+def edits_of(length: int, threshold: int, edit_chars: int) -> int:
+    """Edits within which a line of ``length`` characters is linked with one
+    that is not shorter."""
+    return threshold if length >= edit_chars else min(threshold, 1)
+
+
 def segments(length: int, parts: int) -> list[tuple[int, int]]:
     """(start, size) of nearly equal parts, the longer ones last."""
     size, longer = divmod(length, parts)
@@ -195,11 +207,11 @@ def _new_lines(texts: list[str | None], least: int, seen: set[int]) -> tuple[lis
     return out, lids[keep]
 
 
-def _line_texts(edit_chars: int):
+def _line_texts(least: int):
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            lines, lids = _new_lines(batch.column("text").to_pylist(), edit_chars, seen)
+            lines, lids = _new_lines(batch.column("text").to_pylist(), least, seen)
             yield pa.RecordBatch.from_arrays([pa.array(lids, pa.int64()), pa.array(lines, pa.string())], names=["lid", "line"])
     return texts
 
@@ -224,23 +236,29 @@ def _occurrences(min_chars: int):
     return occur
 
 
-def _make_keys(threshold: int, edit_chars: int):
+#: the low bits of a key hold the threshold of its lines
+_EDITS = 31
+
+
+def _make_keys(threshold: int, edit_chars: int, least: int):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()                       # copies within a partition make their keys once
-        plans: dict[int, tuple[list[tuple[int, int, int]], np.ndarray]] = {}
+        plans: dict[int, tuple[list[tuple[int, int, int]], np.ndarray, np.ndarray]] = {}
         digest = xxhash.xxh3_64_digest
 
-        def plan(n: int) -> tuple[list[tuple[int, int, int]], np.ndarray]:
+        def plan(n: int) -> tuple[list[tuple[int, int, int]], np.ndarray, np.ndarray]:
             """(seed, start, end) of the segments and then of the probes of a
-            line of ``n`` characters, and which of them are probes."""
-            held = [(n << 8 | k, at, at + size) for k, (at, size) in enumerate(segments(n, threshold + 1))]
-            asked = [(shorter << 8 | k, p, p + size) for shorter in range(max(edit_chars, n - threshold), n + 1)
-                     for k, p, size in probes(n, shorter, threshold)]
+            line of ``n`` characters, which of them are probes, and their thresholds."""
+            edits = {m: edits_of(m, threshold, edit_chars) for m in range(max(least, n - threshold), n + 1)}
+            held = [(n << 8 | k, at, at + size) for k, (at, size) in enumerate(segments(n, edits[n] + 1))]
+            asked = [(shorter << 8 | k, p, p + size) for shorter, most in edits.items() if n - shorter <= most
+                     for k, p, size in probes(n, shorter, most)]
             asked = [x for x in asked if x not in held]
-            return held + asked, np.arange(len(held) + len(asked)) >= len(held)
+            steps = held + asked
+            return steps, np.arange(len(steps)) >= len(held), np.array([edits[seed >> 8] for seed, _, _ in steps], np.int64)
 
         for batch in batches:
-            lines, lids = _new_lines(batch.column("text").to_pylist(), edit_chars, seen)
+            lines, lids = _new_lines(batch.column("text").to_pylist(), least, seen)
             for at in range(0, len(lines), 1000):
                 part = lines[at:at + 1000]
                 todo = []
@@ -249,16 +267,17 @@ def _make_keys(threshold: int, edit_chars: int):
                     if n not in plans:
                         plans[n] = plan(n)
                     todo.append(plans[n])
-                keys = b"".join([digest(line[s:e], seed) for line, (steps, _) in zip(part, todo) for seed, s, e in steps])
-                count = [len(steps) for steps, _ in todo]
+                keys = b"".join([digest(line[s:e], seed) for line, (steps, _, _) in zip(part, todo) for seed, s, e in steps])
+                count = [len(steps) for steps, _, _ in todo]
+                keys = np.frombuffer(keys, ">i8").astype(np.int64) & ~_EDITS | np.concatenate([t for _, _, t in todo])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.frombuffer(keys, ">i8").astype(np.int64)), pa.array(np.repeat(lids[at:at + 1000], count)),
-                     pa.array(np.repeat(signatures(part).view(np.int64), count)), pa.array(np.concatenate([p for _, p in todo]))],
+                    [pa.array(keys), pa.array(np.repeat(lids[at:at + 1000], count)),
+                     pa.array(np.repeat(signatures(part).view(np.int64), count)), pa.array(np.concatenate([p for _, p, _ in todo]))],
                     names=["key", "lid", "sig", "probe"])
     return make
 
 
-def _match_stream(threshold: int, group_rows: int):
+def _match_stream(group_rows: int):
     """Rows sorted by key: pairs of a key, or the rows of a key with too many."""
     def table(pairs, hot):
         """One batch: pairs (a, b), then rows of hot keys (lid, key, sig, probe)."""
@@ -292,7 +311,7 @@ def _match_stream(threshold: int, group_rows: int):
                     hot = key[s]
                     rows.append((lid[s:e], key[s:e], sig[s:e], probe[s:e]))
                 elif e < len(key):
-                    pairs.append(of_key(lid[s:e], sig[s:e], probe[s:e]))
+                    pairs.append(of_key(key[s:e], lid[s:e], sig[s:e], probe[s:e]))
             s = int(starts[-1])
             if key[s] != hot:
                 open_ = [c[s:].copy() for c in cols]
@@ -301,45 +320,45 @@ def _match_stream(threshold: int, group_rows: int):
             if pairs or rows:
                 yield table(pairs, rows)
         if open_ is not None and len(open_[0]) > 1:
-            yield table([of_key(*open_[1:])], [])
+            yield table([of_key(*open_)], [])
 
-    def of_key(lid, sig, probe):
+    def of_key(key, lid, sig, probe):
         if not probe.all() and len(lid) > 2:
             rows = np.unique(np.stack([lid, probe.astype(np.int64)]), axis=1, return_index=True)[1]
             lid, sig, probe = lid[rows], sig[rows], probe[rows]
-        return _matches(lid, sig, probe, threshold)
+        return _matches(lid, sig, probe, int(key[0]) & _EDITS)
     return match
 
 
-def _match_blocks(threshold: int):
-    def match(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        lid, sig, probe, block = (rows[c].to_numpy() for c in ("a", "sig", "probe", "block"))
-        a, b = _matches(lid, sig, probe.astype(bool), threshold, None if key[1] == key[2] else block)
-        return pd.DataFrame({"a": a, "b": b})
-    return match
+def _match_blocks(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    lid, sig, probe, block = (rows[c].to_numpy() for c in ("a", "sig", "probe", "block"))
+    a, b = _matches(lid, sig, probe.astype(bool), int(key[0]) & _EDITS, None if key[1] == key[2] else block)
+    return pd.DataFrame({"a": a, "b": b})
 
 
 def edit_links(texts: DataFrame, threshold: int = 2, edit_chars: int = 32, group_rows: int = 1024,
-               broadcast_rows: int = 500_000) -> DataFrame:
+               broadcast_rows: int = 500_000, short_chars: int | None = None) -> DataFrame:
     """Links ``(a, b)`` between (first) ids of the lines of the column ``text``
-    that are within ``threshold`` edits of each other."""
-    keys = texts.mapInArrow(_make_keys(threshold, edit_chars), _KEYS)
-    found = materialize(keys.repartition("key").sortWithinPartitions("key").mapInArrow(_match_stream(threshold, group_rows), _FOUND))
+    that are within ``threshold`` edits of each other, or within one if the
+    shorter has ``short_chars`` to ``edit_chars`` - 1 characters (None: none such)."""
+    least = edit_chars if short_chars is None else min(short_chars, edit_chars)
+    keys = texts.mapInArrow(_make_keys(threshold, edit_chars, least), _KEYS)
+    found = materialize(keys.repartition("key").sortWithinPartitions("key").mapInArrow(_match_stream(group_rows), _FOUND))
     hot = found.where("b is null").select("key", "a", "sig", "probe").distinct()
     blocks = hot.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / group_rows).alias("n"))
     hot = (hot.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("a"), F.col("n")))
            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
            .withColumn("x", F.least("block", "other")).withColumn("y", F.greatest("block", "other")))
-    more = hot.groupBy("key", "x", "y").applyInPandas(_match_blocks(threshold), "a long, b long")
+    more = hot.groupBy("key", "x", "y").applyInPandas(_match_blocks, "a long, b long")
     pairs = materialize(found.where("b is not null").select("a", "b").unionByName(more).distinct())
     ids = materialize(pairs.select(F.col("a").alias("lid")).unionByName(pairs.select(F.col("b").alias("lid"))).distinct())
     few = ids.count() <= broadcast_rows  # 8 bytes each: a checked size
-    lines = texts.mapInArrow(_line_texts(edit_chars), "lid long, line string")
+    lines = texts.mapInArrow(_line_texts(least), "lid long, line string")
     lines = materialize(lines.join(F.broadcast(ids) if few else ids, "lid").groupBy("lid").agg(F.min("line").alias("line")))
 
     @F.pandas_udf(T.BooleanType())
     def verified(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([within(x, y, threshold) for x, y in zip(a, b)], dtype=bool)
+        return pd.Series([within(x, y, edits_of(min(len(x), len(y)), threshold, edit_chars)) for x, y in zip(a, b)], dtype=bool)
     one, two = (lines.select(F.col("lid").alias(x), F.col("line").alias(f"line_{x}")) for x in "ab")
     return pairs.join(one, "a").join(two, "b").where(verified(F.col("line_a"), F.col("line_b"))).select("a", "b")
 
@@ -369,7 +388,8 @@ def _without(texts: pd.Series, removed: pd.Series) -> pd.DataFrame:
 
 
 def dedup_lines(documents: DataFrame, threshold: int = 2, min_chars: int = 10, edit_chars: int = 32, id_col: str = "doc_id",
-                text_col: str = "text", group_rows: int = 1024, broadcast_rows: int = 500_000, out_col: str = "__dedup") -> DataFrame:
+                text_col: str = "text", group_rows: int = 1024, broadcast_rows: int = 500_000, out_col: str = "__dedup",
+                short_chars: int | None = None) -> DataFrame:
     """``documents`` with the struct ``out_col``: the text without repeated
     lines, the number of lines, the number and the list ``removed`` of line
     numbers (from 0) that went, and the share of its characters that is left."""
@@ -377,7 +397,7 @@ def dedup_lines(documents: DataFrame, threshold: int = 2, min_chars: int = 10, e
     rows = documents.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("row"), text.alias("text"))
     fields = [*rows.schema.fields[:2], *(T.StructField(n, t) for n, t in (("pos", T.IntegerType()), ("lid", T.LongType()), ("lid2", T.LongType())))]
     lines = materialize(rows.mapInArrow(_occurrences(min_chars), T.StructType(fields)))
-    links = materialize(edit_links(rows.select("text"), threshold, edit_chars, group_rows, broadcast_rows))
+    links = materialize(edit_links(rows.select("text"), threshold, edit_chars, group_rows, broadcast_rows, short_chars))
     roots = materialize(components(links))
     few = roots.count() <= broadcast_rows  # 16 bytes each: a checked size
     roots = roots.withColumnRenamed("node", "lid")
@@ -403,17 +423,18 @@ def keeps(dedup: Column, min_share: float = 0.2) -> Column:
 
 def line_dedup_digest(documents: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Per document: lines, removed lines, the text that is left, the verdict."""
-    out = dedup_lines(documents.select(id_col, "text"), id_col=id_col)
+    out = dedup_lines(documents.select(id_col, "text"), id_col=id_col, short_chars=SHORT_CHARS)
     d = F.col("__dedup")
     return out.select(F.col(id_col), d["n_lines"].alias("n_lines"), d["n_removed"].alias("n_removed"),
                       F.array_join(d["removed"].cast("array<string>"), ",").alias("removed"), F.coalesce(d["text"], F.lit("")).alias("text"), keeps(d).alias("kept"))
 
 
-def drop_repeated_lines(documents: DataFrame, text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
+def drop_repeated_lines(documents: DataFrame, text_col: str = "text", length_col: str | None = "n_chars",
+                        short_chars: int | None = None) -> DataFrame:
     """The documents without repeated lines, and without those of which little
     is left.  ``length_col``, if there is one, is set to the new length where
     lines went."""
-    out = dedup_lines(documents, text_col=text_col)
+    out = dedup_lines(documents, text_col=text_col, short_chars=short_chars)
     d = F.col("__dedup")
     out = out.where(keeps(d))
     if length_col in documents.columns:
