@@ -306,7 +306,9 @@ def _match_stream(group_rows: int):
             pairs, rows = [], []
             starts = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1))
             ends = np.append(starts[1:], len(key))
-            for s, e in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist()):
+            some = ends - starts > 1
+            some[0] |= key[0] == hot    # the last row of a hot key may open a batch on its own
+            for s, e in zip(starts[some].tolist(), ends[some].tolist()):
                 if key[s] == hot or e - s > group_rows:
                     hot = key[s]
                     rows.append((lid[s:e], key[s:e], sig[s:e], probe[s:e]))
@@ -315,8 +317,6 @@ def _match_stream(group_rows: int):
             s = int(starts[-1])
             if key[s] != hot:
                 open_ = [c[s:].copy() for c in cols]
-            elif len(key) - s == 1:  # one more row of a hot key
-                rows.append((lid[s:], key[s:], sig[s:], probe[s:]))
             if pairs or rows:
                 yield table(pairs, rows)
         if open_ is not None and len(open_[0]) > 1:
