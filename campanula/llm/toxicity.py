@@ -7,8 +7,9 @@ hardly any other.  They form a trie.
 *Misspellings.*  The Levenshtein automata of all terms, intersected with the
 trie, are one automaton: a state is a set of (trie node, edits so far).  States
 are determinised when they are first met and then remembered, so a word costs
-one lookup a character and most words end in the dead state after a few.  The
-first letter must be right; longer terms allow more edits; digits and signs that
+one lookup a character and most words end in the dead state after a few.  Any
+letter may be wrong, the first too, and two neighbours that changed places are
+one edit; longer terms allow more edits; digits and signs that
 stand for letters are folded first.  Words that clean documents use are never
 taken for misspellings.
 
@@ -50,14 +51,21 @@ PLAIN, MISSPELLED, STEM, MISSPELLED_STEM = range(4)
 
 
 def allowed_edits(length: int) -> int:
-    return 0 if length < 5 else 1 if length < 8 else 2
+    return 0 if length < 4 else 1 if length < 8 else 2
 
 
 class TrieAutomaton:
-    """Deterministic automaton of all words close to a term of the lexicon."""
+    """Deterministic automaton of all words close to a term of the lexicon.
 
-    def __init__(self, terms: dict[str, bool]) -> None:
-        """``terms``: term to whether it is a stem."""
+    A state maps trie nodes to fewest edits.  ``~node`` stands for a swapped
+    pair of letters of which the second has been read: the first leads to the node."""
+
+    def __init__(self, terms: dict[str, bool], whole: bool = False) -> None:
+        """``terms``: term to whether it is a stem.  ``whole``: edits at any
+        letter and swapped neighbours as one edit; otherwise the first letter
+        must be right and a swap counts as two edits."""
+        self.whole = whole
+        self.letter, self.parent = [""], [0]            # edge and node that lead to each node
         self.children: list[dict[str, int]] = [{}]
         self.ends: dict[int, tuple[int, bool]] = {}
         self.most = [0]
@@ -67,8 +75,10 @@ class TrieAutomaton:
                 self.most[node] = max(self.most[node], edits)
                 if c not in self.children[node]:
                     self.children[node][c] = len(self.children)
+                    self.parent.append(node)
                     self.children.append({})
                     self.most.append(0)
+                    self.letter.append(c)
                 node = self.children[node][c]
             self.most[node] = max(self.most[node], edits)
             self.ends[node] = (edits, stem)
@@ -79,6 +89,7 @@ class TrieAutomaton:
         self.stems: list[tuple[int, int] | None] = []   # (edits, node) of a stem that is complete in this state
         self.words: list[tuple[int, int] | None] = []   # (edits, node) of a term that is complete
         self.dead = self._state({})
+        self.root = self._state({0: 0})
         self.start = [self._state({n: 0}) for n in self.children[0].values()]
         self.first = dict(zip(self.children[0], self.start))
 
@@ -86,6 +97,8 @@ class TrieAutomaton:
         todo = list(nodes)
         while todo:  # letters of the term that the word leaves out
             n = todo.pop()
+            if n < 0:
+                continue
             for kid in self.children[n].values():
                 e = nodes[n] + 1
                 if e <= self.most[kid] and e < nodes.get(kid, 99):
@@ -104,21 +117,28 @@ class TrieAutomaton:
     def _move(self, state: int, c: str) -> int:
         nodes: dict[int, int] = {}
         for n, e in self.states[state].items():
+            if n < 0:
+                if self.letter[self.parent[~n]] == c:         # the other letter of a swapped pair
+                    nodes[~n] = min(nodes.get(~n, 99), e)
+                continue
             if e < self.most[n]:                              # a letter too many
                 nodes[n] = min(nodes.get(n, 99), e + 1)
             for letter, kid in self.children[n].items():      # the letter, or another in its place
                 cost = e + (letter != c)
                 if cost <= self.most[kid]:
                     nodes[kid] = min(nodes.get(kid, 99), cost)
+                far = self.children[kid].get(c) if self.whole and letter != c else None
+                if far is not None and e < self.most[far]:    # the letter after it
+                    nodes[~far] = min(nodes.get(~far, 99), e + 1)
         return self._state(nodes)
 
     def match(self, word: str) -> int | None:
         """PLAIN to MISSPELLED_STEM for the nearest term, None if there is none."""
-        state = self.first.get(word[:1])
+        state = self.root if self.whole else self.first.get(word[:1])
         if state is None:
             return None
         stem = self.stems[state]
-        for c in word[1:]:
+        for c in word if self.whole else word[1:]:
             c = c if c in self.letters else "\0"
             nxt = self.moves[state].get(c)
             if nxt is None:
@@ -155,7 +175,7 @@ class Scorer:
     MOST = 500_000
 
     def __init__(self, model: Model) -> None:
-        self.model, self.automaton, self.known = model, TrieAutomaton(model.terms), {}
+        self.model, self.automaton, self.known = model, TrieAutomaton(model.terms, whole=True), {}
         self.weights = np.array(model.weights)
 
     def kind(self, surface: str) -> int | None:
@@ -267,7 +287,7 @@ def learn_terms(rows: list[tuple[str, int]], chance: float = 1e-5, min_forms: in
 
 def learn_lexicon(rows: list[tuple[str, int]]) -> Model:
     model = Model(learn_terms(rows), frozenset())
-    automaton = TrieAutomaton(model.terms)
+    automaton = TrieAutomaton(model.terms, whole=True)
     vocabulary = {folded(w) for text, label in rows if not label for w in set(text.split())}
     model.clean = frozenset(w for w in vocabulary if automaton.match(w) in (MISSPELLED, MISSPELLED_STEM))
     return model
