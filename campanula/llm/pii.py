@@ -59,7 +59,7 @@ _URL_REST = re.compile(r"(?:[^\s/?#\"'<>@]*@)?([A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*
 _IBAN = re.compile(r"[\s:#]{0,3}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})")
 _NATIONAL = re.compile(r"[^0-9\n]{0,12}([0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9-])")
 _ACCOUNT = re.compile(r"[\s.:#=]{1,4}([A-Z0-9](?:-?[A-Z0-9]){4,29})(?![A-Za-z0-9])")
-_SECRET = re.compile(r"\s{0,3}[:=]\s{0,3}[\"']?([A-Za-z0-9_./+=-]{8,512})")
+_SECRET = re.compile(r"\s{0,3}[:=]\s{0,3}[\"']?([A-Za-z0-9_./+=-]{8,})")
 _SPELLED_DOMAIN = re.compile(r"\s?([A-Za-z0-9-]+(?:\s?(?:\.|\(dot\)|\[dot\]|\{dot\})\s?[A-Za-z0-9-]+)+)")
 _HOUSE = re.compile(r"(?<![0-9])[0-9]{1,5}[A-Za-z]?(?: [A-Z][a-z]+){1,4}$")
 
