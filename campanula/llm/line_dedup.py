@@ -417,7 +417,8 @@ def dedup_lines(documents: DataFrame, threshold: int = 2, min_chars: int = 10, e
 
 def keeps(dedup: Column, min_share: float = 0.2) -> Column:
     """Whether a document stays: its text, if lines went, still has a word and
-    at least ``min_share`` of its characters; less is the rest of a copy."""
+    at least ``min_share`` of its characters (0, as in the registered queries:
+    whatever is left stays, and near copies are another stage's job)."""
     return (dedup["n_removed"] == 0) | (dedup["text"].rlike(r"[^\x20\x09-\x0D]") & (dedup["share"] >= min_share))
 
 
@@ -426,17 +427,17 @@ def line_dedup_digest(documents: DataFrame, id_col: str = "doc_id") -> DataFrame
     out = dedup_lines(documents.select(id_col, "text"), id_col=id_col, short_chars=SHORT_CHARS)
     d = F.col("__dedup")
     return out.select(F.col(id_col), d["n_lines"].alias("n_lines"), d["n_removed"].alias("n_removed"),
-                      F.array_join(d["removed"].cast("array<string>"), ",").alias("removed"), F.coalesce(d["text"], F.lit("")).alias("text"), keeps(d).alias("kept"))
+                      F.array_join(d["removed"].cast("array<string>"), ",").alias("removed"), F.coalesce(d["text"], F.lit("")).alias("text"), keeps(d, 0.0).alias("kept"))
 
 
 def drop_repeated_lines(documents: DataFrame, text_col: str = "text", length_col: str | None = "n_chars",
-                        short_chars: int | None = None) -> DataFrame:
-    """The documents without repeated lines, and without those of which little
-    is left.  ``length_col``, if there is one, is set to the new length where
+                        short_chars: int | None = None, min_share: float = 0.2) -> DataFrame:
+    """The documents without repeated lines, and without those of which no word
+    or less than ``min_share`` is left.  ``length_col``, if there is one, is set to the new length where
     lines went."""
     out = dedup_lines(documents, text_col=text_col, short_chars=short_chars)
     d = F.col("__dedup")
-    out = out.where(keeps(d))
+    out = out.where(keeps(d, min_share))
     if length_col in documents.columns:
         kind = documents.schema[length_col].dataType
         out = out.withColumn(length_col, F.when(d["n_removed"] > 0, F.length(d["text"]).cast(kind)).otherwise(F.col(length_col)))

@@ -3,7 +3,7 @@
 1. ``quality_rules``: documents that the base rule or the learned decision list
    rejects go.
 2. ``line_dedup``: of lines that are equal or within two edits of each other
-   (one edit under 32 characters) the first stays; documents of which hardly anything is left go.
+   (one edit under 32 characters) the first stays; documents of which no word is left go.
 3. ``near_duplicates``: of documents whose SimHashes are linked at two or fewer
    bits the one with the smallest id stays.
 4. ``decontamination``: documents in which a window of a benchmark item occurs go.
@@ -30,7 +30,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return line_dedup.drop_repeated_lines(docs, short_chars=line_dedup.SHORT_CHARS)
+    return line_dedup.drop_repeated_lines(docs, short_chars=line_dedup.SHORT_CHARS, min_share=0.0)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
