@@ -172,7 +172,13 @@ def _cv_aucs(est, data: DataFrame, folds: int, evaluator) -> list[float]:
 
 
 def score_with(frame: DataFrame, num: Sequence[str], cat: Sequence[str], estimator) -> DataFrame:
-    """EVA-07 with a fitted model: probability and priority tier per row."""
+    """EVA-07 with a fitted model: probability and priority tier per row.  If
+    only one class occurs there is nothing to fit: each row's probability is
+    that class."""
+    classes = [r[0] for r in frame.select(F.col("label").cast("double")).distinct().limit(2).collect()]
+    if len(classes) < 2:
+        p = F.lit(classes[0] if classes else None).cast("double")
+        return frame.withColumns({"predicted_prob": p, "priority_tier": EV.priority_tier(p)})
     pipe = Pipeline(stages=feature_stages(num, cat) + [estimator]).fit(
         frame.withColumn("weight", balanced_weight(frame)))
     pred = _prob(pipe.transform(frame))

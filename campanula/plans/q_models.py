@@ -149,18 +149,19 @@ def q_boot(spark, sf_dir):
 def q_clv_model(spark, sf_dir):
     """EVA-10 with a fitted repeat model (logistic regression on the first
     order and the customer profile), not the frequency table."""
+    num = ["age", "total_acquisition_cost", "total_revenue", "total_sessions", "total_add_to_cart", "avg_pages_viewed"]
+    cat = ["gender", "income_band", "loyalty_tier", "region", "product_category", "payment_type"]
     from pyspark.ml.classification import LogisticRegression
     t = tables(spark, sf_dir)
     rt = t.repeat_target.select("customer_id", "repeat_90d", "product_category", "payment_type")
     f = (t.abt.join(rt, "customer_id")
-         .select("customer_id", "total_revenue", "total_orders", "total_acquisition_cost",
+         .select("customer_id", "total_orders",
                  F.col("repeat_90d").cast("double").alias("label"),
                  *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
-                   for c in ("age", "total_sessions", "avg_engagement_score", "total_add_to_cart")],
+                   for c in num],
                  *[F.coalesce(F.col(c), F.lit("Unknown")).alias(c)
-                   for c in ("product_category", "payment_type", "loyalty_tier")]))
-    scored = M.score_with(f, ["age", "total_sessions", "avg_engagement_score", "total_add_to_cart"],
-                          ["product_category", "payment_type", "loyalty_tier"],
+                   for c in cat]))
+    scored = M.score_with(f, num, cat,
                           LogisticRegression(maxIter=200, weightCol="weight"))
     return EV.project_clv(scored.withColumnRenamed("predicted_prob", "prob_repeat_90d")) \
              .select("customer_id", "prob_repeat_90d", "projected_orders_6m", "projected_clv_6m")
