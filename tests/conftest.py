@@ -8,17 +8,9 @@ for p in (REPO, os.path.join(REPO, "tests")):
     if p not in sys.path:
         sys.path.insert(0, p)
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = "/root/testdata/sf0.01"
-
-
 @pytest.fixture(scope="session")
 def spark():
     from campanula.session import get_session
 
     s = get_session("local[*]", shuffle_partitions=8)
     yield s
-
-
-def rows(df):
-    return [r.asDict() for r in df.collect()]

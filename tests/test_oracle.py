@@ -4,7 +4,7 @@ the driver contract (entry / queries / oracle_sql)."""
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from harness import SF_SMALL
 from harness import compare, duck
 
 ORACLE = E.oracle_sql()

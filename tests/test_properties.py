@@ -3,7 +3,7 @@
 import numpy as np
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from harness import SF_SMALL
 
 Q = E.queries()
 

@@ -5,7 +5,7 @@ import tempfile
 
 from campanula.sources.files import RAW_COLUMNS, read_raw
 from campanula.sources.testdata import bronze_campaigns
-from conftest import SF_SMALL
+from harness import SF_SMALL
 from harness import compare
 
 

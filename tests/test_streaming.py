@@ -9,7 +9,7 @@ from campanula.operators.abt import tx_per_customer
 from campanula.operators.tables import clean_transactions
 from campanula.sources.testdata import bronze_transactions
 from campanula.streaming.rollup import latest_totals, start_rollup
-from conftest import SF_SMALL
+from harness import SF_SMALL
 from harness import compare
 
 
