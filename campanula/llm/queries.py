@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, licenses, line_dedup, packing, pii, quality_cnn, quality_rules, sharding, simhash, toxicity
+from . import (decontaminate, licenses, line_dedup, packing, periodic_runs, pii, quality_cnn, quality_rules, sharding, simhash,
+               toxicity)
 from .common import read_table
 
 
@@ -48,6 +49,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.runs_digest(read_table(spark, sf_dir, "documents"))
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.json")
@@ -59,5 +64,5 @@ def default_ranks() -> str:
 
 
 QUERIES = {f.__name__: f for f in (op1_pii, op2_sharding, op3_packing, op4_licenses, op5_simhash, op6_quality_rules,
-                                   op7_quality_cnn, op8_line_dedup, op9_decontamination, op10_toxicity)}
+                                   op7_quality_cnn, op8_line_dedup, op9_decontamination, op10_toxicity, op13_periodic_runs)}
 ORACLE_SQL: dict[str, str] = {"op4_licenses": licenses.oracle_sql()}
