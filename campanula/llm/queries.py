@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (decontaminate, licenses, line_dedup, packing, periodic_runs, pii, quality_cnn, quality_rules, sharding, simhash,
-               toxicity)
+from . import (decontaminate, licenses, line_dedup, packing, periodic_runs, pii, prefix_trie, quality_cnn, quality_rules, sharding,
+               simhash, toxicity, warc)
 from .common import read_table
 
 
@@ -49,6 +49,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_digest(spark, read_table(spark, sf_dir, "pages"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.runs_digest(read_table(spark, sf_dir, "documents"))
 
@@ -64,5 +72,7 @@ def default_ranks() -> str:
 
 
 QUERIES = {f.__name__: f for f in (op1_pii, op2_sharding, op3_packing, op4_licenses, op5_simhash, op6_quality_rules,
-                                   op7_quality_cnn, op8_line_dedup, op9_decontamination, op10_toxicity, op13_periodic_runs)}
-ORACLE_SQL: dict[str, str] = {"op4_licenses": licenses.oracle_sql()}
+                                   op7_quality_cnn, op8_line_dedup, op9_decontamination, op10_toxicity, op11_prefix_trie,
+                                   op12_warc, op13_periodic_runs)}
+ORACLE_SQL: dict[str, str] = {"op4_licenses": licenses.oracle_sql(), "op11_prefix_trie": prefix_trie.oracle_sql(),
+                              "op12_warc": warc.oracle_sql()}
