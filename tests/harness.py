@@ -31,7 +31,7 @@ def duck(sf_dir: str):
 
 
 def _norm_value(v):
-    if v is None or v is pd.NaT:
+    if v is None or v is pd.NaT or v is pd.NA:
         return None
     if isinstance(v, float):
         if math.isnan(v):
