@@ -291,9 +291,8 @@ def cohort_matrix(long: DataFrame, months: int = 12, value: str = "retained_vs_m
 def rfm_scores(abt: DataFrame, q: int = 5) -> DataFrame:
     """WIN-04 + CLN-22: R (recency, reversed), F, M quintiles and the tier."""
     df = abt.select("customer_id", "recency_days", "total_orders", "total_revenue")
-    df = RK.qcut_rank(df, "recency_days", ["customer_id"], q, "R_score", reverse=True)
-    df = RK.qcut_rank(df, "total_orders", ["customer_id"], q, "F_score")
-    df = RK.qcut_rank(df, "total_revenue", ["customer_id"], q, "M_score")
+    df = RK.qcut_scores(df, {"R_score": ("recency_days", True), "F_score": ("total_orders", False),
+                             "M_score": ("total_revenue", False)}, "customer_id", q)
     return df.withColumn("RFM_Tier", C.rfm_tier("R_score", "F_score", "M_score"))
 
 

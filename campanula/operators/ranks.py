@@ -186,6 +186,88 @@ def qcut_rank(df: DataFrame, value: str, tiebreak: Sequence[str], q: int, out: s
     return r.withColumn(out, b.cast("int")).drop("_rn", "_n")
 
 
+def qcut_boundaries(df: DataFrame, values: Sequence[str], key: str, q: int, bins: int = 1024) -> dict[str, list[tuple[float, str | None]]]:
+    """WIN-04 without ordering any rows: for each value column the ``q - 1`` tuples
+    (value, key) that end the first ``q - 1`` of ``q`` equal-frequency buckets.
+
+    Multi-pass selection.  A pass counts the rows of each still open interval in
+    ``bins`` equal parts (one scan and one map-side aggregate for all columns and
+    boundaries together) and goes on with the parts that hold the wanted ranks,
+    between the least and greatest value that occur there, until such a part holds
+    a single value.  Where that value is shared by rows on both sides of the
+    boundary, the key is selected among them likewise, two characters a pass.  The
+    driver sees counts only: at most ``bins`` a boundary and pass, whatever the
+    number of rows.  A key of None means that all rows with the value are inside.
+
+    Values are finite; nulls have no rank.  ``key`` is a unique string.
+    """
+    cols = {v: F.col(v).cast("double") + F.lit(0.0) for v in values}
+    first = df.agg(*[f(c).alias(f"{n}{i}") for i, c in enumerate(cols.values()) for n, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]).first()
+    open_, done = {}, {}
+    for i, v in enumerate(values):
+        n = first[f"n{i}"]
+        for k in range(1, q) if n else ():
+            # the bucket of rank r is at most k exactly when r <= k (n - 1) / q + 1
+            open_[v, k] = (first[f"lo{i}"], first[f"hi{i}"], k * (n - 1) // q + 1, n)
+    while open_:
+        spans = sorted({(v, lo, hi) for (v, _), (lo, hi, _, _) in open_.items() if lo < hi})
+        done |= {t: state for t, state in open_.items() if state[0] == state[1]}
+        open_ = {t: state for t, state in open_.items() if t not in done}
+        if not spans:
+            break
+        parts = [F.when(cols[v].between(lo, hi), F.struct(
+            F.lit(i).alias("span"), F.least(F.floor((cols[v] - lo) / (hi - lo) * bins), F.lit(bins - 1)).cast("int").alias("bin"),
+            cols[v].alias("v"))) for i, (v, lo, hi) in enumerate(spans)]
+        counts = (df.select(F.explode(F.array(*parts)).alias("p")).filter(F.col("p").isNotNull()).select("p.*")
+                  .groupBy("span", "bin").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect())
+        counts.sort(key=lambda r: (r.span, r.bin))
+        for (v, k), (lo, hi, rank, _) in list(open_.items()):
+            for r in counts:
+                if spans[r.span] == (v, lo, hi):
+                    if rank <= r.n:
+                        open_[v, k] = (r.lo, r.hi, rank, r.n)
+                        break
+                    rank -= r.n
+    ties = {t: ("", rank) for t, (_, _, rank, n) in done.items() if rank < n}
+    keys: dict[tuple[str, int], str] = {}
+    width = 0
+    while ties:
+        width += 2
+        named = sorted(ties)
+        parts = [F.when((cols[v] == done[v, k][0]) & F.col(key).startswith(ties[v, k][0]),
+                        F.struct(F.lit(i).alias("at"), F.substring(key, 1, width).alias("prefix"))) for i, (v, k) in enumerate(named)]
+        counts = (df.select(key, F.explode(F.array(*parts)).alias("p")).filter(F.col("p").isNotNull()).select(key, "p.*")
+                  .groupBy("at", "prefix").agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("least")).collect())
+        counts.sort(key=lambda r: (r.at, r.prefix.encode()))
+        for i, t in enumerate(named):
+            rank = ties[t][1]
+            for r in counts:
+                if r.at == i:
+                    if rank <= r.n:
+                        ties[t] = (r.prefix, rank)
+                        if r.n == 1:
+                            keys[t] = r.least
+                            del ties[t]
+                        break
+                    rank -= r.n
+    return {v: [(done[v, k][0], keys.get((v, k))) for k in range(1, q) if (v, k) in done] for v in values}
+
+
+def qcut_scores(df: DataFrame, scores: dict[str, tuple[str, bool]], key: str, q: int) -> DataFrame:
+    """WIN-04: rank-first equal-frequency labels 1..q of several columns, ties by
+    ``key``; ``scores`` names (value column, reversed).  Rows are compared with the
+    boundaries where they are: no shuffle."""
+    found = qcut_boundaries(df, sorted({v for v, _ in scores.values()}), key, q)
+    out = {}
+    for name, (v, reverse) in scores.items():
+        x, bucket = F.col(v).cast("double"), F.lit(1)
+        for value, last in found[v]:
+            above = x > value if last is None else (x > value) | ((x == value) & (F.col(key) > last))
+            bucket = bucket + above.cast("int")
+        out[name] = F.when(x.isNotNull(), (F.lit(q + 1) - bucket) if reverse else bucket).cast("int")
+    return df.withColumns(out)
+
+
 def gini(df: DataFrame, value: str) -> DataFrame:
     """STA-10: Gini of max(x, 0) via the rank-sum closed form on distinct values.
 

@@ -2,8 +2,10 @@
 
 Every test reduces the data with grouped aggregates (partial, map-side)
 to a handful of numbers per group, then finishes with arithmetic on a tiny
-table.  Rank tests rank *distinct values* with the range-partitioned
-prefix sum in ``ranks`` (no single-partition window over data rows).
+table.  Tests of a kind are *stacked*: their aggregates go into one table with
+a ``test`` column, and every later step (margins, ranks, sums) is done once for
+all tests.  Rank tests rank distinct values of all tests in one ordered pass
+over (test, value) ranges (no single-partition window over data rows).
 Statistic rows carry ``dist``/``df1``/``df2`` so ``with_p_values`` can add
 tail probabilities afterwards.
 """
@@ -17,9 +19,7 @@ from pyspark.sql import functions as F
 
 from campanula.functions import clean as C
 from campanula.functions.pvalues import p_value
-from campanula.operators import ranks as RK
-from campanula.operators.abt import scalar
-from campanula.session import materialize, small
+from campanula.session import materialize, shuffle_partitions
 
 _D = "double"
 
@@ -48,92 +48,152 @@ def _stat_row(df_one: DataFrame, test: str, statistic: Column, n: Column, dist:
     return df_one.select(*cols)
 
 
-def chi2_flag(df: DataFrame, a: str, flag: Column, test: str, yates: bool = True) -> DataFrame:
-    """STA-01 + STA-02: Pearson chi-square of a categorical x a boolean flag.
+def contingency(df: DataFrame, tables: dict[str, tuple[str | Column, str | Column]]) -> DataFrame:
+    """STA-01: the non-empty cells ``(test, a, b, o)`` of any number of two-way
+    tables over one input, from one scan; rows with a null in either are left out."""
+    def pair(test, a, b):
+        a, b = (F.col(c) if isinstance(c, str) else c for c in (a, b))
+        return F.struct(F.lit(test).alias("test"), a.cast("string").alias("a"), b.cast("string").alias("b"))
+    pairs = F.explode(F.array(*[pair(t, a, b) for t, (a, b) in tables.items()]))
+    return (df.select(pairs.alias("_c")).select("_c.*").filter(F.col("a").isNotNull() & F.col("b").isNotNull())
+            .groupBy("test", "a", "b").agg(F.count(F.lit(1)).alias("o")))
+
+
+def chi2_from_cells(cells: DataFrame, yates: bool = True) -> DataFrame:
+    """STA-01 + STA-02: Pearson chi-square and Cramer's V of r x c tables given by
+    their non-empty cells; no dense grid is built, so levels may be many.
 
-    The contingency table is built wide (one row per category with both
-    cells, zeros included), so Yates' correction (applied when dof = 1, as
-    in the reference) sees every cell.  Returns chi2, dof, n, Cramer's V.
+    A cell that does not occur adds its expected count, so all of them together
+    add n minus the expected counts of those that do occur.  With one degree of
+    freedom Yates' correction applies (as in the reference): all four cells
+    deviate by the same amount, which the margins give.  A test without cells has
+    no row; one with a single row or column has 0 degrees and a null V.
     """
-    f = F.coalesce(flag, F.lit(False))
-    wide = (df.filter(F.col(a).isNotNull()).groupBy(a)
-            .agg(F.count_if(f).alias("o1"), F.count_if(~f).alias("o0")))
-    # margins over the k category rows (a window over the tiny table)
-    allrows = Window.partitionBy()
-    wide = wide.select("*", F.sum(F.col("o1") + F.col("o0")).over(allrows).alias("n"),
-                       F.sum("o1").over(allrows).alias("c1"), F.sum("o0").over(allrows).alias("c0"),
-                       F.count(F.lit(1)).over(allrows).alias("r"))
-    dof = F.col("r") - 1
-    row = F.col("o1") + F.col("o0")
-
-    def term(o, c):
-        e = row * c / F.col("n")
-        d = F.abs(o - e)
-        if yates:
-            d = F.when(dof == 1, d - F.least(F.lit(0.5), d)).otherwise(d)
-        return _div(d * d, e)
-
-    chi = wide.agg(F.sum(term(F.col("o1"), F.col("c1")) + term(F.col("o0"), F.col("c0"))).alias("chi2"),
-                   F.first("n").alias("n"), F.first("r").alias("r"))
-    v = F.sqrt(_div(F.col("chi2"), F.col("n") * (F.least(F.col("r"), F.lit(2)) - 1)))
-    return _stat_row(chi, test, F.col("chi2"), F.col("n"), "chi2", (F.col("r") - 1).cast(_D),
-                     extra={"cramers_v": v})
-
-
-def _groups_over_one(df: DataFrame, group: str, value: str) -> DataFrame:
-    """FIL-03: keep rows of groups with more than one non-null value."""
-    base = df.filter(F.col(group).isNotNull() & F.col(value).isNotNull()).select(group, value)
-    keep = base.groupBy(group).agg(F.count(F.lit(1)).alias("_g")).filter(F.col("_g") > 1).select(group)
-    return base.join(keep, group, "left_semi")
-
-
-def _group_value_counts(df: DataFrame, group: Column | str, value: str, min_n: int = 2) -> DataFrame:
-    """One pass over the input: (group, value, count) with FIL-03 applied
-    (groups with fewer than ``min_n`` values dropped).  Every later step of a
-    rank test reads this aggregate, never the input rows again."""
-    g = F.col(group) if isinstance(group, str) else group
-    gv = (df.filter(g.isNotNull() & F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-          .groupBy(g.alias("_g"), F.col(value).alias(value)).agg(F.count(F.lit(1)).alias("_c")))
-    gv = materialize(gv)  # read by 3-4 consumers; written once, nothing pinned in executor memory
-    if min_n > 1:
-        keep = gv.groupBy("_g").agg(F.sum("_c").alias("_n")).filter(F.col("_n") >= min_n).select("_g")
-        gv = gv.join(keep, "_g", "left_semi")
-    return gv
+    cells = materialize(cells)  # read for both margins and for the sums
+    rows = cells.groupBy("test", "a").agg(F.sum("o").cast(_D).alias("r"))
+    cols = cells.groupBy("test", "b").agg(F.sum("o").cast(_D).alias("c"))
+    row_sums = rows.groupBy("test").agg(F.sum("r").alias("n"), F.count(F.lit(1)).alias("nr"), F.sum(F.col("r") * F.col("r")).alias("rr"))
+    col_sums = cols.groupBy("test").agg(F.count(F.lit(1)).alias("nc"), F.sum(F.col("c") * F.col("c")).alias("cc"))
+    totals = row_sums.join(col_sums, "test")
+    e = F.col("r") * F.col("c") / F.col("n")
+    n, dof = F.col("n"), (F.col("nr") - 1) * (F.col("nc") - 1)
+    sums = (cells.join(rows, ["test", "a"]).join(cols, ["test", "b"]).join(totals, "test")
+            .groupBy("test", "n", "nr", "nc", "rr", "cc")
+            .agg(F.sum(F.pow(F.col("o") - e, 2) / e).alias("full"), F.sum(e).alias("e"), F.count(F.lit(1)).alias("k")))
+    plain = F.col("full") + F.when(F.col("k") < F.col("nr") * F.col("nc"), n - F.col("e")).otherwise(0.0)
+    # 2 x 2: the products of both margins are (n^2 - sum of squares) / 2
+    product = (n * n - F.col("rr")) * (n * n - F.col("cc")) / 4.0
+    off = F.sqrt(plain * product / F.pow(n, 3))
+    corrected = F.pow(off - F.least(F.lit(0.5), off), 2) * F.pow(n, 3) / product
+    out = sums.withColumn("chi2", F.when(dof == 1, corrected).otherwise(plain) if yates else plain)
+    v = F.sqrt(_div(F.col("chi2"), n * (F.least("nr", "nc") - 1)))
+    return out.select("test", F.col("chi2").alias("statistic"), n.cast("bigint").alias("n"), F.lit("chi2").alias("dist"),
+                      dof.cast(_D).alias("df1"), _lit(None).alias("df2"), v.alias("cramers_v"))
 
 
-def _rank_sums(gv: DataFrame, value: str) -> tuple[DataFrame, Column]:
-    """Per-group (n_g, rank sum r_g) and the tie term sum(t^3 - t)."""
-    ranks = RK.ranks_from_counts(gv.groupBy(value).agg(F.sum("_c").alias("_t")), value, "_t")
-    per = (gv.join(ranks.select(value, "rank"), value)
-           .groupBy("_g").agg(F.sum("_c").alias("n_g"), F.sum(F.col("_c") * F.col("rank")).alias("r_g")))
-    ties = scalar(ranks, F.sum(F.pow(F.col("_cnt").cast(_D), 3) - F.col("_cnt")))
-    return per, ties
+def chi2_flag(df: DataFrame, a: str, flag: Column, test: str, yates: bool = True) -> DataFrame:
+    """STA-01 + STA-02 of a category and a flag (null: false)."""
+    return chi2_from_cells(contingency(df, {test: (a, F.coalesce(flag, F.lit(False)))}), yates)
 
 
-def kruskal(df: DataFrame, group: str, value: str, test: str) -> DataFrame:
-    """STA-03: Kruskal-Wallis H with tie correction over k groups."""
-    per, ties = _rank_sums(_group_value_counts(df, group, value), value)
-    agg = per.agg(F.sum("n_g").cast(_D).alias("N"), F.count(F.lit(1)).alias("k"),
-                  F.sum(F.col("r_g") * F.col("r_g") / F.col("n_g")).alias("S"))
+def _tests(spark, names: Sequence[str]) -> DataFrame:
+    """One row a declared test, so that a test without data still has its (null) row."""
+    return spark.createDataFrame([(n,) for n in names], "test string")
+
+
+def stacked_counts(tests: dict[str, tuple[DataFrame, str | Column, str | Column]], min_n: int = 1) -> DataFrame:
+    """(test, _g, _v, _c) of all tests, written once: group, value, multiplicity.
+
+    Null groups and null or NaN values are left out; groups with fewer than
+    ``min_n`` values too (FIL-03)."""
+    parts = []
+    for test, (df, g, v) in tests.items():
+        g, v = (F.col(c) if isinstance(c, str) else c for c in (g, v))
+        kept = df.select(g.cast("string").alias("_g"), v.cast(_D).alias("_v")).filter(
+            F.col("_g").isNotNull() & F.col("_v").isNotNull() & ~F.isnan("_v"))
+        parts.append(kept.groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_c")).withColumn("test", F.lit(test)))
+    counts = materialize(union_all(parts))
+    if min_n > 1:
+        keep = counts.groupBy("test", "_g").agg(F.sum("_c").alias("_n")).filter(F.col("_n") >= min_n).select("test", "_g")
+        counts = counts.join(keep, ["test", "_g"], "left_semi")
+    return counts
+
+
+def stacked_ranks(counts: DataFrame) -> DataFrame:
+    """Average ranks within each test, in one ordered pass for all tests: adds
+    ``rank`` and ``_t`` (the number of rows tied at the value).
+
+    Ranges of (test, value) keep the rows of one value together (at most one a
+    group), so ranks and ties are local sums plus one offset a (test, range)."""
+    n = shuffle_partitions(counts.sparkSession)
+    parted = materialize(counts.repartitionByRange(n, "test", "_v").withColumn("_pid", F.spark_partition_id()))
+    upto = Window.partitionBy("_pid", "test").orderBy("_v").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    peers = Window.partitionBy("_pid", "test", "_v")
+    local = parted.withColumn("_upto", F.sum("_c").over(upto)).withColumn("_t", F.sum("_c").over(peers))
+    before = Window.partitionBy("test").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    offsets = parted.groupBy("test", "_pid").agg(F.sum("_c").alias("_s")) \
+                    .select("test", "_pid", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_off"))
+    return (local.join(F.broadcast(offsets), ["test", "_pid"])  # at most ranges + tests rows
+            .withColumn("rank", F.col("_off") + F.col("_upto") - F.col("_t") + (F.col("_t") + 1) / 2.0)
+            .drop("_pid", "_upto", "_off"))
+
+
+def _rank_sums(counts: DataFrame) -> DataFrame:
+    """Per (test, group): n_g, rank sum r_g and its part of the tie term sum(t^3 - t)."""
+    t = F.col("_t").cast(_D)
+    return stacked_ranks(counts).groupBy("test", "_g").agg(
+        F.sum("_c").alias("n_g"), F.sum(F.col("_c") * F.col("rank")).alias("r_g"), F.sum(F.col("_c") * (t * t - 1)).alias("ties"))
+
+
+def _stats(df: DataFrame, statistic: Column, n: Column, dist: str | Column, df1: Column | None = None,
+           df2: Column | None = None, extra: dict | None = None) -> DataFrame:
+    """Statistic rows of a table with a ``test`` column."""
+    none = _lit(None)
+    cols = ["test", statistic.cast(_D).alias("statistic"), n.cast("bigint").alias("n"),
+            (F.lit(dist) if isinstance(dist, str) else dist).alias("dist"),
+            (none if df1 is None else df1).cast(_D).alias("df1"), (none if df2 is None else df2).cast(_D).alias("df2")]
+    return df.select(*cols, *[v.cast(_D).alias(k) for k, v in (extra or {}).items()])
+
+
+def kruskal_tests(tests: dict[str, tuple[DataFrame, str | Column, str | Column]]) -> DataFrame:
+    """STA-03: Kruskal-Wallis H with tie correction, for any number of
+    (frame, group, value) tests in one ordered pass."""
+    per = _rank_sums(stacked_counts(tests, min_n=2))
+    agg = per.groupBy("test").agg(F.sum("n_g").cast(_D).alias("N"), F.count(F.lit(1)).alias("k"), F.sum("ties").alias("ties"),
+                                  F.sum(F.col("r_g") * F.col("r_g") / F.col("n_g")).alias("S"))
     n = F.col("N")
     h0 = F.lit(12.0) / (n * (n + 1)) * F.col("S") - 3.0 * (n + 1)
-    corr = 1.0 - _div(ties, F.pow(n, 3) - n)
-    return _stat_row(agg, test, _div(h0, corr), n, "chi2", (F.col("k") - 1).cast(_D))
+    corr = 1.0 - _div(F.col("ties"), F.pow(n, 3) - n)
+    return _stats(_tests(per.sparkSession, list(tests)).join(agg, "test", "left"), _div(h0, corr), n, "chi2", F.col("k") - 1)
 
 
-def anova(df: DataFrame, group: str, value: str, test: str) -> DataFrame:
-    """STA-04: one-way ANOVA F from per-group count, mean, variance."""
-    base = _groups_over_one(df, group, value)
-    per = base.groupBy(group).agg(F.count(F.lit(1)).alias("n_g"), F.avg(value).alias("m_g"),
-                                  F.var_samp(value).alias("v_g"))
-    per = small(per)
-    n = scalar(per, F.sum("n_g"))
-    k = scalar(per, F.count(F.lit(1)))
-    grand = scalar(per, F.sum(F.col("n_g") * F.col("m_g")) / F.sum("n_g"))
-    agg = per.agg(F.sum(F.col("n_g") * F.pow(F.col("m_g") - grand, 2)).alias("ssb"),
-                  F.sum((F.col("n_g") - 1) * F.col("v_g")).alias("ssw"))
+def kruskal(df: DataFrame, group: str, value: str, test: str) -> DataFrame:
+    """STA-03, one test."""
+    return kruskal_tests({test: (df, group, value)})
+
+
+def anova_tests(tests: dict[str, tuple[DataFrame, str | Column, str | Column]]) -> DataFrame:
+    """STA-04: one-way ANOVA F of any number of (frame, group, value) tests from
+    per-group count, mean and variance (mergeable, one aggregate a test)."""
+    parts = []
+    for test, (df, g, v) in tests.items():
+        g, v = (F.col(c) if isinstance(c, str) else c for c in (g, v))
+        kept = df.select(g.alias("_g"), v.cast(_D).alias("_v")).filter(F.col("_g").isNotNull() & F.col("_v").isNotNull() & ~F.isnan("_v"))
+        parts.append(kept.groupBy("_g").agg(F.count(F.lit(1)).alias("n_g"), F.avg("_v").alias("m_g"), F.var_samp("_v").alias("v_g"))
+                     .filter(F.col("n_g") > 1).select(F.lit(test).alias("test"), "n_g", "m_g", "v_g"))
+    whole = Window.partitionBy("test")  # one row a group
+    grand = F.sum(F.col("n_g") * F.col("m_g")).over(whole) / F.sum("n_g").over(whole)
+    agg = union_all(parts).withColumn("_gm", grand).groupBy("test").agg(
+        F.sum("n_g").alias("n"), F.count(F.lit(1)).alias("k"),
+        F.sum(F.col("n_g") * F.pow(F.col("m_g") - F.col("_gm"), 2)).alias("ssb"), F.sum((F.col("n_g") - 1) * F.col("v_g")).alias("ssw"))
+    k, n = F.col("k"), F.col("n")
     fstat = _div(_div(F.col("ssb"), k - 1), _div(F.col("ssw"), n - k))
-    return _stat_row(agg, test, fstat, n, "f", (k - 1).cast(_D), (n - k).cast(_D))
+    return _stats(_tests(agg.sparkSession, list(tests)).join(agg, "test", "left"), fstat, n, "f", k - 1, n - k)
+
+
+def anova(df: DataFrame, group: str, value: str, test: str) -> DataFrame:
+    """STA-04, one test."""
+    return anova_tests({test: (df, group, value)})
 
 
 def _two_groups(df: DataFrame, flag: Column, value: str) -> DataFrame:
@@ -141,25 +201,30 @@ def _two_groups(df: DataFrame, flag: Column, value: str) -> DataFrame:
             .select(flag.cast("boolean").alias("_x"), F.col(value).alias(value)))
 
 
-def mann_whitney(df: DataFrame, flag: Column, value: str, test: str, alternative: str = "two-sided") -> DataFrame:
-    """STA-05: Mann-Whitney U of the ``flag`` group vs the rest; normal
+def mann_whitney_tests(tests: dict[str, tuple], alternative: str = "two-sided") -> DataFrame:
+    """STA-05: Mann-Whitney U of the ``flag`` group vs the rest for any number of
+    (frame, flag, value[, alternative]) tests in one ordered pass; normal
     approximation with tie and continuity correction (as scipy's default)."""
-    gv = _group_value_counts(df, flag.cast("boolean"), value, min_n=1)
-    per, ties = _rank_sums(gv, value)
-    agg = per.agg(F.sum(F.when(F.col("_g"), F.col("n_g"))).cast(_D).alias("n1"),
-                  F.sum(F.when(F.col("_g"), F.col("r_g"))).alias("r1"),
-                  F.sum(F.when(~F.col("_g"), F.col("n_g"))).cast(_D).alias("n2"))
+    per = _rank_sums(stacked_counts({k: (t[0], t[1].cast("boolean"), t[2]) for k, t in tests.items()}))
+    yes = F.col("_g") == "true"
+    agg = per.groupBy("test").agg(
+        F.coalesce(F.sum(F.when(yes, F.col("n_g"))), F.lit(0)).cast(_D).alias("n1"), F.sum(F.when(yes, F.col("r_g"))).alias("r1"),
+        F.coalesce(F.sum(F.when(~yes, F.col("n_g"))), F.lit(0)).cast(_D).alias("n2"), F.sum("ties").alias("ties"))
     n1, r1, n2 = F.col("n1"), F.col("r1"), F.col("n2")
     n = n1 + n2
     u1 = r1 - n1 * (n1 + 1) / 2.0
     u2 = n1 * n2 - u1
     mu = n1 * n2 / 2.0
-    sigma = F.sqrt(n1 * n2 / 12.0 * ((n + 1) - _div(ties, n * (n - 1))))
-    if alternative == "greater":
-        z, dist = _div(u1 - mu - 0.5, sigma), "norm1"
-    else:
-        z, dist = _div(F.greatest(u1, u2) - mu - 0.5, sigma), "norm2"
-    return _stat_row(agg, test, u1, n, dist, extra={"z": z, "n1": n1, "n2": n2})
+    sigma = F.sqrt(n1 * n2 / 12.0 * ((n + 1) - _div(F.col("ties"), n * (n - 1))))
+    one_sided = F.col("test").isin(*[k for k, t in tests.items() if (t[3] if len(t) > 3 else alternative) == "greater"])
+    z = _div(F.when(one_sided, u1).otherwise(F.greatest(u1, u2)) - mu - 0.5, sigma)
+    rows = _tests(per.sparkSession, list(tests)).join(agg, "test", "left")
+    return _stats(rows, u1, n, F.when(one_sided, F.lit("norm1")).otherwise(F.lit("norm2")), extra={"z": z, "n1": n1, "n2": n2})
+
+
+def mann_whitney(df: DataFrame, flag: Column, value: str, test: str, alternative: str = "two-sided") -> DataFrame:
+    """STA-05, one test."""
+    return mann_whitney_tests({test: (df, flag, value, alternative)})
 
 
 def welch_t(df: DataFrame, flag: Column, value: str, test: str) -> DataFrame:
@@ -187,27 +252,41 @@ def point_biserial(df: DataFrame, flag: Column, value: Column, test: str) -> Dat
     return _stat_row(g, test, F.col("r"), F.col("n"), "t2", (F.col("n") - 2).cast(_D), extra={"t": t})
 
 
-def spearman(df: DataFrame, x: str, y: str, test: str) -> DataFrame:
-    """STA-08: Pearson correlation of average ranks (pairs with both values)."""
-    base = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
-        F.col(x).cast(_D).alias("_x"), F.col(y).cast(_D).alias("_y"))
-    # Reduce to distinct (x, y) pairs with multiplicity before joining ranks.
-    pairs = materialize(base.groupBy("_x", "_y").agg(F.count(F.lit(1)).alias("_c")))
-    rx = RK.ranks_from_counts(pairs.groupBy("_x").agg(F.sum("_c").alias("_t")), "_x", "_t") \
-        .select("_x", F.col("rank").alias("_rx"))
-    ry = RK.ranks_from_counts(pairs.groupBy("_y").agg(F.sum("_c").alias("_t")), "_y", "_t") \
-        .select("_y", F.col("rank").alias("_ry"))
-    j = pairs.join(rx, "_x").join(ry, "_y")
+def spearman_tests(tests: dict[str, tuple[DataFrame, str | Column, str | Column]]) -> DataFrame:
+    """STA-08: Pearson correlation of average ranks (pairs with both values) for
+    any number of (frame, x, y) tests: the values of all x and y are ranked in
+    one ordered pass."""
+    parts = []
+    for test, (df, x, y) in tests.items():
+        x, y = (F.col(c) if isinstance(c, str) else c for c in (x, y))
+        kept = df.select(x.cast(_D).alias("_x"), y.cast(_D).alias("_y")).filter(
+            F.col("_x").isNotNull() & F.col("_y").isNotNull() & ~F.isnan("_x") & ~F.isnan("_y"))
+        parts.append(kept.groupBy("_x", "_y").agg(F.count(F.lit(1)).alias("_c")).withColumn("_pair", F.lit(test)))
+    pairs = materialize(union_all(parts))  # distinct pairs with multiplicity
+    axes = [pairs.groupBy(F.concat(F.lit(axis), "_pair").alias("test"), F.col(f"_{axis}").alias("_v")).agg(F.sum("_c").alias("_c"))
+            for axis in "xy"]
+    ranks = materialize(stacked_ranks(axes[0].unionByName(axes[1])).select("test", "_v", "rank"))
+    j = pairs
+    for axis in "xy":
+        r = ranks.filter(F.col("test").startswith(axis)).select(
+            F.substring("test", 2, 1 << 20).alias("_pair"), F.col("_v").alias(f"_{axis}"), F.col("rank").alias(f"_r{axis}"))
+        j = j.join(r, ["_pair", f"_{axis}"])
     w = F.col("_c").cast(_D)
-    g = j.agg(F.sum(w).alias("n"), F.sum(w * F.col("_rx")).alias("sx"), F.sum(w * F.col("_ry")).alias("sy"),
-              F.sum(w * F.col("_rx") * F.col("_rx")).alias("sxx"), F.sum(w * F.col("_ry") * F.col("_ry")).alias("syy"),
-              F.sum(w * F.col("_rx") * F.col("_ry")).alias("sxy"))
+    g = j.groupBy(F.col("_pair").alias("test")).agg(
+        F.sum(w).alias("n"), F.sum(w * F.col("_rx")).alias("sx"), F.sum(w * F.col("_ry")).alias("sy"),
+        F.sum(w * F.col("_rx") * F.col("_rx")).alias("sxx"), F.sum(w * F.col("_ry") * F.col("_ry")).alias("syy"),
+        F.sum(w * F.col("_rx") * F.col("_ry")).alias("sxy"))
     n = F.col("n")
     cov = F.col("sxy") - F.col("sx") * F.col("sy") / n
     rho = _div(cov, F.sqrt((F.col("sxx") - F.col("sx") * F.col("sx") / n)
                            * (F.col("syy") - F.col("sy") * F.col("sy") / n)))
     t = rho * F.sqrt(_div(n - 2, 1 - rho * rho))
-    return _stat_row(g, test, rho, n, "t2", n - 2, extra={"t": t})
+    return _stats(_tests(g.sparkSession, list(tests)).join(g, "test", "left"), rho, n, "t2", n - 2, extra={"t": t})
+
+
+def spearman(df: DataFrame, x: str, y: str, test: str) -> DataFrame:
+    """STA-08, one test."""
+    return spearman_tests({test: (df, x, y)})
 
 
 def slr(df: DataFrame, x: Column, y: Column, model: str, min_n: int = 5) -> DataFrame:

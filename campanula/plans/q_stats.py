@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from campanula.operators import describe as D
 from campanula.operators import stats as S
 from campanula.plans.registry import register, tables
-from campanula.plans.q_describe import aov_last_touch
+from campanula.plans.q_describe import aov_last_touch, converted_leads
 
 G = "stats"
 
@@ -30,8 +30,8 @@ def _acq(t):
 
 
 _BRACKET_SQL = """(SELECT *, CASE WHEN d > -1 AND d <= 0 THEN '0%' WHEN d > 0 AND d <= 10 THEN '1-10%'
-   WHEN d > 10 AND d <= 15 THEN '11-15%' WHEN d > 15 AND d <= 20 THEN '16-20%' WHEN d > 20 AND d <= 100 THEN '>20%' END
-   AS disc_bracket FROM (SELECT *, COALESCE(discount_offered_pct, 0.0) AS d FROM leads) x)"""
+   WHEN d > 10 AND d <= 15 THEN '11-15%' WHEN d > 15 AND d <= 20 THEN '16-20%' WHEN d > 20 AND d <= 100 THEN '>20%'
+   ELSE 'invalid' END AS disc_bracket FROM (SELECT *, COALESCE(discount_offered_pct, 0.0) AS d FROM leads) x)"""
 
 _ACQ_SQL = """(SELECT a.*, c.acquisition_channel FROM abt a LEFT JOIN acq_channel c ON a.customer_id = c.customer_id)"""
 
@@ -50,6 +50,10 @@ GROUP_TESTS = {
                                   f"SELECT acquisition_channel AS g, \"CLV_proxy\" AS v FROM {_ACQ_SQL} q"),
     "last_touch_channel_x_aov": (lambda t: (aov_last_touch(t), "channel", "cust_aov"),
                                  "SELECT channel AS g, cust_aov AS v FROM aov_last_touch"),
+    "loyalty_tier_x_ltv": (lambda t: (t.abt, "loyalty_tier", "CLV_proxy"),
+                           "SELECT loyalty_tier AS g, \"CLV_proxy\" AS v FROM abt"),
+    "channel_x_days_to_convert": (lambda t: (converted_leads(t), "channel", "days_to_convert"),
+                                  "SELECT channel AS g, CAST(days_to_convert AS DOUBLE) AS v FROM converted_leads"),
 }
 
 
@@ -80,20 +84,14 @@ FROM (SELECT sum(n_g) AS n, count(*) AS k,
 
 def _group_query(kind: str):
     names = list(GROUP_TESTS) if kind == "kruskal" else ["region_x_revenue", "loyalty_tier_x_revenue",
-                                                          "acquisition_channel_x_ltv", "last_touch_channel_x_aov"]
+                                                          "acquisition_channel_x_ltv", "last_touch_channel_x_aov",
+                                                          "loyalty_tier_x_ltv", "channel_x_days_to_convert"]
     sql = " UNION ALL ".join((_kruskal_sql if kind == "kruskal" else _anova_sql)(n, GROUP_TESTS[n][1])
                              for n in names)
 
     def run(spark, sf_dir):
         t = tables(spark, sf_dir)
-        fn = S.kruskal if kind == "kruskal" else S.anova
-        parts = []
-        for n in names:
-            df, g, v = GROUP_TESTS[n][0](t)
-            if n == "acquisition_channel_x_ltv":
-                df = df.filter(F.col("acquisition_channel").isNotNull())
-            parts.append(fn(df, g, v, n))
-        return S.union_all(parts)
+        return (S.kruskal_tests if kind == "kruskal" else S.anova_tests)({n: GROUP_TESTS[n][0](t) for n in names})
     return sql, run
 
 
@@ -102,43 +100,84 @@ for _kind in ("kruskal", "anova"):
     register(f"{_kind}_tests", _sql, group=G)(_run)
 
 
-# --- chi-square: categorical x flag -------------------------------------------
-CHI2 = {
-    "channel_x_converted": (lambda t: (_lc(t), "channel"), "SELECT channel AS a, converted_30d AS f FROM leads_camp"),
-    "objective_x_converted": (lambda t: (_lc(t), "objective"),
-                              "SELECT objective AS a, converted_30d AS f FROM leads_camp"),
-    "landing_page_x_converted": (lambda t: (t.leads, "landing_page"),
-                                 "SELECT landing_page AS a, converted_30d AS f FROM leads"),
-    "discounted_x_converted": (lambda t: (t.leads.withColumn("discounted", F.coalesce(
-        F.col("discount_offered_pct") > 0, F.lit(False))), "discounted"),
-        "SELECT COALESCE(discount_offered_pct > 0, false) AS a, converted_30d AS f FROM leads"),
+# --- chi-square: two-way tables, one scan a source ------------------------------
+# test: (Spark column a, Spark column b, SQL a, SQL b); one source table for all of them
+def _flag(c):
+    return F.coalesce(F.col(c), F.lit(False))
+
+
+LEAD_TABLES = {
+    "channel_x_converted": ("channel", _flag, "channel"),
+    "objective_x_converted": ("objective", _flag, "objective"),
+    "landing_page_x_converted": ("landing_page", _flag, "landing_page"),
+    "discounted_x_converted": (lambda: F.coalesce(F.col("discount_offered_pct") > 0, F.lit(False)), _flag,
+                               "COALESCE(discount_offered_pct > 0, false)"),
 }
 
 
 def _chi2_sql(name: str, src: str) -> str:
-    term = ("(CASE WHEN dof = 1 THEN abs({o} - e{s}) - least(0.5, abs({o} - e{s})) ELSE abs({o} - e{s}) END)")
-    t1, t0 = term.format(o="o1", s="1"), term.format(o="o0", s="0")
+    """All r x c cells as a dense grid; Yates' correction with one degree of freedom."""
     return f"""SELECT '{name}' AS test, chi2 AS statistic, CAST(n AS BIGINT) AS n, 'chi2' AS dist,
-  CAST(dof AS DOUBLE) AS df1, CAST(NULL AS DOUBLE) AS df2,
-  sqrt(chi2 / (n * (least(r, 2) - 1))) AS cramers_v
-FROM (SELECT sum({t1} * {t1} / e1 + {t0} * {t0} / e0) AS chi2, max(n) AS n, max(dof) AS dof, max(r) AS r
-      FROM (SELECT w.*, (o1 + o0) * c1 / n AS e1, (o1 + o0) * c0 / n AS e0, tot.n, tot.r - 1 AS dof, tot.r
-            FROM (SELECT a, CAST(count_if(COALESCE(f, false)) AS DOUBLE) AS o1,
-                         CAST(count_if(NOT COALESCE(f, false)) AS DOUBLE) AS o0
-                  FROM ({src}) s WHERE a IS NOT NULL GROUP BY a) w,
-                 (SELECT CAST(count(*) AS DOUBLE) AS n, CAST(count_if(COALESCE(f, false)) AS DOUBLE) AS c1,
-                         CAST(count_if(NOT COALESCE(f, false)) AS DOUBLE) AS c0, count(DISTINCT a) AS r
-                  FROM ({src}) s2 WHERE a IS NOT NULL) tot) x) y"""
-
-
-@register("chi2_tests", " UNION ALL ".join(_chi2_sql(n, s) for n, (_, s) in CHI2.items()), group=G)
+  CAST((nr - 1) * (nc - 1) AS DOUBLE) AS df1, CAST(NULL AS DOUBLE) AS df2,
+  CASE WHEN least(nr, nc) > 1 THEN sqrt(chi2 / (n * (least(nr, nc) - 1))) END AS cramers_v
+FROM (SELECT sum(pow(CASE WHEN nr = 2 AND nc = 2 THEN abs(o - e) - least(0.5, abs(o - e)) ELSE o - e END, 2) / e) AS chi2,
+        max(n) AS n, max(nr) AS nr, max(nc) AS nc
+      FROM (SELECT COALESCE(k.o, 0) AS o, ra.n * cb.n / tot.n AS e, tot.n, tot.nr, tot.nc
+            FROM (SELECT a, CAST(count(*) AS DOUBLE) AS n FROM ({src}) s1 WHERE a IS NOT NULL AND b IS NOT NULL GROUP BY a) ra
+            CROSS JOIN (SELECT b, CAST(count(*) AS DOUBLE) AS n FROM ({src}) s2 WHERE a IS NOT NULL AND b IS NOT NULL GROUP BY b) cb
+            CROSS JOIN (SELECT CAST(count(*) AS DOUBLE) AS n, count(DISTINCT a) AS nr, count(DISTINCT b) AS nc
+                        FROM ({src}) s3 WHERE a IS NOT NULL AND b IS NOT NULL) tot
+            LEFT JOIN (SELECT a, b, count(*) AS o FROM ({src}) s4 GROUP BY a, b) k ON k.a = ra.a AND k.b = cb.b) g) x"""
+
+
+@register("chi2_tests", " UNION ALL ".join(
+    _chi2_sql(n, f"SELECT {sql} AS a, COALESCE(converted_30d, false) AS b FROM leads_camp") for n, (_, _, sql) in LEAD_TABLES.items()), group=G)
 def q_chi2(spark, sf_dir):
     t = tables(spark, sf_dir)
-    parts = []
-    for name, (fn, _) in CHI2.items():
-        df, a = fn(t)
-        parts.append(S.chi2_flag(df, a, F.col("converted_30d"), name))
-    return S.union_all(parts)
+    pairs = {n: (a if isinstance(a, str) else a(), flag("converted_30d")) for n, (a, flag, _) in LEAD_TABLES.items()}
+    return S.chi2_from_cells(S.contingency(_lc(t), pairs))
+
+
+# general r x c tables: (source frame, {test: (a, b)}), {test: SQL with columns a, b}
+def _unknown(c):
+    return F.coalesce(F.col(c), F.lit("Unknown"))
+
+
+def _lead_profile(t):
+    return t.leads.join(t.abt.select("customer_id", "preferred_device"), "customer_id", "left")
+
+
+def _repeat_profile(t):
+    return t.abt.join(t.repeat_target.select("customer_id", "repeat_90d"), "customer_id")
+
+
+TABLE_TESTS = [
+    (lambda t: t.customers, {"income_band_x_loyalty_tier": ("income_band", "loyalty_tier"), "region_x_device": ("region", "preferred_device")}),
+    (_lead_profile, {"device_x_converted": ("preferred_device", "converted_30d"),
+                     "lead_source_x_converted": (lambda: _unknown("lead_source"), "converted_30d"),
+                     "lead_source_x_landing_page": ("lead_source", "landing_page")}),
+    (_repeat_profile, {"loyalty_tier_x_repeat_90d": (lambda: _unknown("loyalty_tier"), "repeat_90d")}),
+    (lambda t: t.transactions, {"category_x_channel": ("product_category", "marketing_channel_last_touch")}),
+]
+TABLE_SQL = {
+    "income_band_x_loyalty_tier": "SELECT income_band AS a, loyalty_tier AS b FROM customers",
+    "region_x_device": "SELECT region AS a, preferred_device AS b FROM customers",
+    "device_x_converted": "SELECT p.preferred_device AS a, l.converted_30d AS b FROM leads l LEFT JOIN abt p ON l.customer_id = p.customer_id",
+    "lead_source_x_converted": "SELECT COALESCE(lead_source, 'Unknown') AS a, converted_30d AS b FROM leads",
+    "lead_source_x_landing_page": "SELECT lead_source AS a, landing_page AS b FROM leads",
+    "loyalty_tier_x_repeat_90d": "SELECT COALESCE(c.loyalty_tier, 'Unknown') AS a, r.repeat_90d AS b "
+                                 "FROM abt c JOIN repeat_target r ON c.customer_id = r.customer_id",
+    "category_x_channel": "SELECT product_category AS a, marketing_channel_last_touch AS b FROM transactions",
+}
+
+
+@register("chi2_table_tests", " UNION ALL ".join(_chi2_sql(n, s) for n, s in TABLE_SQL.items()), group=G)
+def q_chi2_tables(spark, sf_dir):
+    """STA-01 / STA-02 over general two-way tables: the cells of all tests in one table."""
+    t = tables(spark, sf_dir)
+    parts = [S.contingency(source(t), {n: tuple(c if isinstance(c, str) else c() for c in pair) for n, pair in pairs.items()})
+             for source, pairs in TABLE_TESTS]
+    return S.chi2_from_cells(S.union_all(parts))
 
 
 # --- two-group tests ----------------------------------------------------------
@@ -157,10 +196,11 @@ TWO = {
 }
 
 
-def _mw_sql(name: str, src: str) -> str:
-    return f"""SELECT '{name}' AS test, u1 AS statistic, CAST(n1 + n2 AS BIGINT) AS n, 'norm2' AS dist,
+def _mw_sql(name: str, src: str, alternative: str = "two-sided") -> str:
+    u, dist = ("u1", "norm1") if alternative == "greater" else ("greatest(u1, n1 * n2 - u1)", "norm2")
+    return f"""SELECT '{name}' AS test, u1 AS statistic, CAST(n1 + n2 AS BIGINT) AS n, '{dist}' AS dist,
   CAST(NULL AS DOUBLE) AS df1, CAST(NULL AS DOUBLE) AS df2,
-  (greatest(u1, n1 * n2 - u1) - n1 * n2 / 2.0 - 0.5)
+  ({u} - n1 * n2 / 2.0 - 0.5)
     / sqrt(n1 * n2 / 12.0 * ((n1 + n2 + 1) - t / ((n1 + n2) * (n1 + n2 - 1)))) AS z,
   n1, n2
 FROM (SELECT r1 - n1 * (n1 + 1) / 2.0 AS u1, n1, n2, t FROM (
@@ -185,7 +225,30 @@ FROM (SELECT *, v1 / n1 AS a, v2 / n2 AS b FROM (
 @register("mann_whitney_tests", " UNION ALL ".join(_mw_sql(n, s) for n, (_, s) in TWO.items()), group=G)
 def q_mw(spark, sf_dir):
     t = tables(spark, sf_dir)
-    return S.union_all([S.mann_whitney(*fn(t), name) for name, (fn, _) in TWO.items()])
+    return S.mann_whitney_tests({name: fn(t) for name, (fn, _) in TWO.items()})
+
+
+# one-sided forms: the flag group's values are the greater ones
+GREATER = {
+    "converters_add_to_cart_greater": (
+        lambda t: (t.leads.join(t.abt.select("customer_id", "total_add_to_cart"), "customer_id", "left"),
+                   F.col("converted_30d"), F.coalesce(F.col("total_add_to_cart").cast("double"), F.lit(0.0)), "greater"),
+        "SELECT l.converted_30d AS x, CAST(COALESCE(a.total_add_to_cart, 0) AS DOUBLE) AS v "
+        "FROM leads l LEFT JOIN abt a ON l.customer_id = a.customer_id"),
+    "repeaters_revenue_greater": (
+        lambda t: (_repeat_profile(t), F.col("repeat_90d") == 1, "total_revenue", "greater"),
+        "SELECT r.repeat_90d = 1 AS x, a.total_revenue AS v FROM abt a JOIN repeat_target r ON a.customer_id = r.customer_id"),
+    "repeaters_acquisition_cost": (
+        lambda t: (_repeat_profile(t), F.col("repeat_90d") == 1, "total_acquisition_cost", "two-sided"),
+        "SELECT r.repeat_90d = 1 AS x, a.total_acquisition_cost AS v FROM abt a JOIN repeat_target r ON a.customer_id = r.customer_id"),
+}
+
+
+@register("mann_whitney_one_sided_tests", " UNION ALL ".join(
+    _mw_sql(n, s, "greater" if n.endswith("_greater") else "two-sided") for n, (_, s) in GREATER.items()), group=G)
+def q_mw_greater(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return S.mann_whitney_tests({name: fn(t) for name, (fn, _) in GREATER.items()})
 
 
 @register("welch_tests", " UNION ALL ".join(_welch_sql(n, s) for n, (_, s) in TWO.items()), group=G)
@@ -240,7 +303,7 @@ FROM (SELECT corr(rx, ry) AS rho, count(*) AS n FROM (
 @register("spearman_tests", " UNION ALL ".join(_spear_sql(n, s) for n, (_, s) in SPEAR.items()), group=G)
 def q_spear(spark, sf_dir):
     t = tables(spark, sf_dir)
-    return S.union_all([S.spearman(*fn(t), name) for name, (fn, _) in SPEAR.items()])
+    return S.spearman_tests({name: fn(t) for name, (fn, _) in SPEAR.items()})
 
 
 # --- simple linear regressions (8 declared pairs) --------------------------------
@@ -277,7 +340,7 @@ def _slr_sql(name: str, src: str) -> str:
   CASE WHEN n >= 5 THEN r * sqrt((n - 2) / (1 - r * r)) END AS t, CAST(n - 2 AS DOUBLE) AS df1
 FROM (SELECT count(*) AS n, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept, corr(x, y) AS r
       FROM (SELECT CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y FROM ({src}) s0) s
-      WHERE x IS NOT NULL AND y IS NOT NULL AND NOT isnan(x) AND NOT isnan(y)) g"""
+      WHERE x IS NOT NULL AND y IS NOT NULL AND isfinite(x) AND isfinite(y)) g"""
 
 
 @register("slr_results", "WITH lpc AS (SELECT c.campaign_id, c.spend_usd, COALESCE(n.n_leads, 0) AS n_leads "
@@ -295,8 +358,8 @@ def q_all_p(spark, sf_dir):
     from campanula.plans.registry import queries
     qs = queries()
     parts = []
-    for n in ("chi2_tests", "kruskal_tests", "anova_tests", "mann_whitney_tests", "welch_tests",
-              "point_biserial_tests", "spearman_tests"):
+    for n in ("chi2_tests", "chi2_table_tests", "kruskal_tests", "anova_tests", "mann_whitney_tests",
+              "mann_whitney_one_sided_tests", "welch_tests", "point_biserial_tests", "spearman_tests"):
         df = qs[n](spark, sf_dir)
         # the tail probability is taken on z (Mann-Whitney) or t (correlations)
         ps = F.col("z") if "z" in df.columns else F.col("t") if "t" in df.columns else F.col("statistic")

@@ -85,3 +85,26 @@ def test_exact_quantiles_equal_numpy(spark):
         for k, q in qs.items():
             assert got[g][k] == pytest.approx(np.quantile(part["v"], q))
     assert "none" not in got and len(got) == 4
+
+
+def test_boundaries_against_sorted_ranks(spark):
+    """Equal-frequency labels by selection: ties across boundaries, skew, nulls, wide ranges, few rows."""
+    rng = np.random.default_rng(5)
+    n = 3000
+    pdf = pd.DataFrame({"id": [f"k{rng.integers(1e9)}-{i}" for i in range(n)], "few": rng.integers(0, 4, n).astype(float),
+                        "hot": np.where(rng.random(n) < 0.4, 7.0, rng.normal(size=n) * 10.0 ** rng.integers(-8, 9, n)),
+                        "same": 1.0, "none": np.nan, "some": np.where(rng.random(n) < 0.3, np.nan, rng.integers(0, 50, n))})
+    names = ["few", "hot", "same", "some", "none"]
+    for size, q, bins in ((n, 5, 1024), (n, 7, 3), (1, 5, 8), (3, 5, 8), (0, 5, 8)):
+        part = pdf.iloc[:size]
+        df = spark.createDataFrame(part.astype(object).where(part.notna(), None), "id string, few double, hot double, same double, none double, some double")
+        found = RK.qcut_boundaries(df, names, "id", q, bins)
+        got = RK.qcut_scores(df, {v: (v, False) for v in names[:-1]} | {"back": ("some", True)}, "id", q).toPandas().set_index("id")
+        for v in names[:-1]:
+            kept = part[part[v].notna()].sort_values([v, "id"])
+            ranks = np.arange(len(kept))
+            want = pd.Series(np.maximum(1, -(-ranks * q // max(len(kept) - 1, 1))), index=kept.id)
+            assert got[v].dropna().astype(int).to_dict() == want.to_dict(), (size, q, v)
+            assert len(found[v]) == (q - 1 if len(kept) else 0)
+        assert found["none"] == [] and ((got["back"] + got["some"]).dropna() == q + 1).all()
+        assert got["back"].isna().sum() == part["some"].isna().sum()

@@ -116,3 +116,45 @@ def test_p_value_functions():
     assert round(t_sf2(2.0, 10), 4) == 0.0734
     assert round(f_sf(3.0, 2, 20), 4) == 0.0725
     assert round(chi2_sf(0.5, 1), 4) == 0.4795
+
+
+def test_chi2_of_general_tables(spark):
+    """r x c tables from their non-empty cells against the dense grid; golden value of the published landing-page table."""
+    rng = np.random.default_rng(11)
+    pdf = pd.DataFrame({"a": rng.choice(list("pqrst"), 800), "b": rng.choice(list("xyz"), 800, p=[.7, .25, .05]),
+                        "many": rng.integers(0, 400, 800).astype(str), "one": "only", "f": rng.random(800) < 0.3})
+    pdf.loc[pdf.a == "p", "b"] = "x"  # empty cells
+    df = spark.createDataFrame(pdf).withColumn("null", F.lit(None).cast("string"))
+    pairs = {"ab": ("a", "b"), "many": ("many", "a"), "one": ("one", "b"), "af": ("a", "f"), "null": ("null", "a"),
+             "2x2": (F.col("a") == "q", F.col("f"))}
+    got = {r.test: r for r in S.chi2_from_cells(S.contingency(df, pairs)).collect()}
+    pdf["2"] = (pdf.a == "q").astype(str)
+    for name, a, b in (("ab", "a", "b"), ("many", "many", "a"), ("af", "a", "f"), ("2x2", "2", "f")):
+        o = pd.crosstab(pdf[a], pdf[b]).values.astype(float)
+        e = o.sum(1, keepdims=True) * o.sum(0, keepdims=True) / o.sum()
+        d = np.abs(o - e)
+        d = d - np.minimum(0.5, d) if o.shape == (2, 2) else d
+        chi2 = (d * d / e).sum()
+        assert math.isclose(got[name].statistic, chi2, rel_tol=1e-9) and got[name].df1 == (o.shape[0] - 1) * (o.shape[1] - 1)
+        assert math.isclose(got[name].cramers_v, math.sqrt(chi2 / (800 * (min(o.shape) - 1))), rel_tol=1e-9)
+    assert got["one"].df1 == 0 and got["one"].cramers_v is None and abs(got["one"].statistic) < 1e-9 and "null" not in got
+    r = S.chi2_from_cells(S.contingency(_from_counts(spark, LANDING_COUNTS), {"t": ("a", "y")})).collect()[0]
+    assert round(r.statistic, 3) == 10.221 and round(r.cramers_v, 3) == 0.044
+
+
+def test_stacked_rank_tests(spark):
+    """Several tests in one ordered pass: average ranks, groups of one value, no data, one-sided form."""
+    df, pdf = _rank_fixture(spark)
+    neg = df.withColumn("v", -F.col("v"))
+    ranks = S.stacked_ranks(S.stacked_counts({"a": (df, "g", "v"), "b": (neg, F.lit("all"), "v")})).toPandas()
+    for test, values in (("a", pdf.v), ("b", -pdf.v)):
+        want = dict(zip(values, values.rank()))
+        part = ranks[ranks.test == test]
+        assert dict(zip(part._v, part["rank"])) == want and part._c.sum() == len(pdf)
+    lone = df.unionByName(spark.createDataFrame([("z", 5.0), (None, 1.0), ("a", None), ("a", float("nan"))], "g string, v double"))
+    out = {r.test: r for r in S.kruskal_tests({"t": (df, "g", "v"), "lone": (lone, "g", "v"), "none": (df.filter("1=0"), "g", "v")}).collect()}
+    assert math.isclose(out["t"].statistic, out["lone"].statistic, rel_tol=1e-12) and out["none"].statistic is None
+    mw = {r.test: r for r in S.mann_whitney_tests({"two": (df, F.col("g") == "a", "v"), "up": (df, F.col("g") == "a", "v", "greater"),
+                                                   "down": (df, F.col("g") != "a", "v", "greater")}).collect()}
+    assert mw["up"].dist == mw["down"].dist == "norm1" and mw["two"].dist == "norm2"
+    assert math.isclose(max(mw["up"].z, mw["down"].z), mw["two"].z, rel_tol=1e-12)
