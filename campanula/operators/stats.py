@@ -101,17 +101,23 @@ def _tests(spark, names: Sequence[str]) -> DataFrame:
     return spark.createDataFrame([(n,) for n in names], "test string")
 
 
+def _group_values(tests: dict[str, tuple[DataFrame, str | Column, str | Column]]) -> list[DataFrame]:
+    """Per input frame the rows (test, _g, _v) of all its tests, from one scan;
+    null groups and null or NaN values are left out."""
+    frames: dict[int, tuple[DataFrame, list[Column]]] = {}
+    for test, (df, g, v) in tests.items():
+        g, v = (F.col(c) if isinstance(c, str) else c for c in (g, v))
+        row = F.struct(F.lit(test).alias("test"), g.cast("string").alias("_g"), v.cast(_D).alias("_v"))
+        frames.setdefault(id(df), (df, []))[1].append(row)
+    return [df.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
+            .filter(F.col("_g").isNotNull() & F.col("_v").isNotNull() & ~F.isnan("_v")) for df, rows in frames.values()]
+
+
 def stacked_counts(tests: dict[str, tuple[DataFrame, str | Column, str | Column]], min_n: int = 1) -> DataFrame:
     """(test, _g, _v, _c) of all tests, written once: group, value, multiplicity.
 
-    Null groups and null or NaN values are left out; groups with fewer than
-    ``min_n`` values too (FIL-03)."""
-    parts = []
-    for test, (df, g, v) in tests.items():
-        g, v = (F.col(c) if isinstance(c, str) else c for c in (g, v))
-        kept = df.select(g.cast("string").alias("_g"), v.cast(_D).alias("_v")).filter(
-            F.col("_g").isNotNull() & F.col("_v").isNotNull() & ~F.isnan("_v"))
-        parts.append(kept.groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_c")).withColumn("test", F.lit(test)))
+    Groups with fewer than ``min_n`` values are left out (FIL-03)."""
+    parts = [kept.groupBy("test", "_g", "_v").agg(F.count(F.lit(1)).alias("_c")) for kept in _group_values(tests)]
     counts = materialize(union_all(parts))
     if min_n > 1:
         keep = counts.groupBy("test", "_g").agg(F.sum("_c").alias("_n")).filter(F.col("_n") >= min_n).select("test", "_g")
@@ -174,13 +180,9 @@ def kruskal(df: DataFrame, group: str, value: str, test: str) -> DataFrame:
 
 def anova_tests(tests: dict[str, tuple[DataFrame, str | Column, str | Column]]) -> DataFrame:
     """STA-04: one-way ANOVA F of any number of (frame, group, value) tests from
-    per-group count, mean and variance (mergeable, one aggregate a test)."""
-    parts = []
-    for test, (df, g, v) in tests.items():
-        g, v = (F.col(c) if isinstance(c, str) else c for c in (g, v))
-        kept = df.select(g.alias("_g"), v.cast(_D).alias("_v")).filter(F.col("_g").isNotNull() & F.col("_v").isNotNull() & ~F.isnan("_v"))
-        parts.append(kept.groupBy("_g").agg(F.count(F.lit(1)).alias("n_g"), F.avg("_v").alias("m_g"), F.var_samp("_v").alias("v_g"))
-                     .filter(F.col("n_g") > 1).select(F.lit(test).alias("test"), "n_g", "m_g", "v_g"))
+    per-group count, mean and variance (mergeable, one aggregate a frame)."""
+    parts = [kept.groupBy("test", "_g").agg(F.count(F.lit(1)).alias("n_g"), F.avg("_v").alias("m_g"), F.var_samp("_v").alias("v_g"))
+             .filter(F.col("n_g") > 1) for kept in _group_values(tests)]
     whole = Window.partitionBy("test")  # one row a group
     grand = F.sum(F.col("n_g") * F.col("m_g")).over(whole) / F.sum("n_g").over(whole)
     agg = union_all(parts).withColumn("_gm", grand).groupBy("test").agg(

@@ -5,14 +5,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from campanula.functions import clean as C
 from campanula.operators import describe as D
 from campanula.operators import stats as S
 from campanula.plans.registry import register, tables
-from campanula.plans.q_describe import aov_last_touch, converted_leads
+from campanula.plans.q_describe import aov_last_touch
 
 G = "stats"
 
-# --- sources: (name, spark builder(t) -> (df, group/flag, value), SQL yielding g, v) -------------
+# --- group tests ------------------------------------------------------------------------------
 _CONVERTED = "CAST(converted_30d AS INTEGER)"
 
 
@@ -20,13 +21,16 @@ def _lc(t):
     return D.leads_with_campaign(t.leads, t.campaigns)
 
 
-def _bracket_leads(t):
-    return t.leads.withColumn("disc_bracket", D.discount_bracket(F.col("discount_offered_pct"))) \
-                  .withColumn("conv_i", F.col("converted_30d").cast("int"))
+def _lead_groups(t):
+    """Leads with all the groups and values that the group tests take from them."""
+    known = F.col("converted_30d") & F.col("conversion_date").isNotNull() & F.col("lead_date").isNotNull()
+    return _lc(t).select("channel", F.col("converted_30d").cast("int").alias("conv_i"),
+                         D.discount_bracket(F.col("discount_offered_pct")).alias("disc_bracket"),
+                         F.when(known, C.days_between("conversion_date", "lead_date")).alias("days_to_convert"))
 
 
 def _acq(t):
-    return t.abt.join(D.acquisition_channel(t.leads, t.campaigns), "customer_id", "left")
+    return t.abt.join(D.acquisition_channel(t.leads, t.campaigns), "customer_id")
 
 
 _BRACKET_SQL = """(SELECT *, CASE WHEN d > -1 AND d <= 0 THEN '0%' WHEN d > 0 AND d <= 10 THEN '1-10%'
@@ -35,24 +39,19 @@ _BRACKET_SQL = """(SELECT *, CASE WHEN d > -1 AND d <= 0 THEN '0%' WHEN d > 0 AN
 
 _ACQ_SQL = """(SELECT a.*, c.acquisition_channel FROM abt a LEFT JOIN acq_channel c ON a.customer_id = c.customer_id)"""
 
+# each source is read once for all the tests on it
+GROUP_SOURCES = {"leads": _lead_groups, "abt": lambda t: t.abt, "acquired": _acq, "last_touch": aov_last_touch}
 GROUP_TESTS = {
-    # name: (spark (df, group, value), SQL source with columns g, v)
-    "channel_x_converted": (lambda t: (_lc(t).withColumn("conv_i", F.col("converted_30d").cast("int")),
-                                       "channel", "conv_i"),
-                            f"SELECT channel AS g, {_CONVERTED} AS v FROM leads_camp"),
-    "region_x_revenue": (lambda t: (t.abt, "region", "total_revenue"),
-                         "SELECT region AS g, total_revenue AS v FROM abt"),
-    "discount_bracket_x_converted": (lambda t: (_bracket_leads(t), "disc_bracket", "conv_i"),
-                                     f"SELECT disc_bracket AS g, {_CONVERTED} AS v FROM {_BRACKET_SQL} b"),
-    "loyalty_tier_x_revenue": (lambda t: (t.abt, "loyalty_tier", "total_revenue"),
-                               "SELECT loyalty_tier AS g, total_revenue AS v FROM abt"),
-    "acquisition_channel_x_ltv": (lambda t: (_acq(t), "acquisition_channel", "CLV_proxy"),
+    # name: (source, group, value, SQL with columns g, v)
+    "channel_x_converted": ("leads", "channel", "conv_i", f"SELECT channel AS g, {_CONVERTED} AS v FROM leads_camp"),
+    "region_x_revenue": ("abt", "region", "total_revenue", "SELECT region AS g, total_revenue AS v FROM abt"),
+    "discount_bracket_x_converted": ("leads", "disc_bracket", "conv_i", f"SELECT disc_bracket AS g, {_CONVERTED} AS v FROM {_BRACKET_SQL} b"),
+    "loyalty_tier_x_revenue": ("abt", "loyalty_tier", "total_revenue", "SELECT loyalty_tier AS g, total_revenue AS v FROM abt"),
+    "acquisition_channel_x_ltv": ("acquired", "acquisition_channel", "CLV_proxy",
                                   f"SELECT acquisition_channel AS g, \"CLV_proxy\" AS v FROM {_ACQ_SQL} q"),
-    "last_touch_channel_x_aov": (lambda t: (aov_last_touch(t), "channel", "cust_aov"),
-                                 "SELECT channel AS g, cust_aov AS v FROM aov_last_touch"),
-    "loyalty_tier_x_ltv": (lambda t: (t.abt, "loyalty_tier", "CLV_proxy"),
-                           "SELECT loyalty_tier AS g, \"CLV_proxy\" AS v FROM abt"),
-    "channel_x_days_to_convert": (lambda t: (converted_leads(t), "channel", "days_to_convert"),
+    "last_touch_channel_x_aov": ("last_touch", "channel", "cust_aov", "SELECT channel AS g, cust_aov AS v FROM aov_last_touch"),
+    "loyalty_tier_x_ltv": ("abt", "loyalty_tier", "CLV_proxy", "SELECT loyalty_tier AS g, \"CLV_proxy\" AS v FROM abt"),
+    "channel_x_days_to_convert": ("leads", "channel", "days_to_convert",
                                   "SELECT channel AS g, CAST(days_to_convert AS DOUBLE) AS v FROM converted_leads"),
 }
 
@@ -86,12 +85,14 @@ def _group_query(kind: str):
     names = list(GROUP_TESTS) if kind == "kruskal" else ["region_x_revenue", "loyalty_tier_x_revenue",
                                                           "acquisition_channel_x_ltv", "last_touch_channel_x_aov",
                                                           "loyalty_tier_x_ltv", "channel_x_days_to_convert"]
-    sql = " UNION ALL ".join((_kruskal_sql if kind == "kruskal" else _anova_sql)(n, GROUP_TESTS[n][1])
+    sql = " UNION ALL ".join((_kruskal_sql if kind == "kruskal" else _anova_sql)(n, GROUP_TESTS[n][3])
                              for n in names)
 
     def run(spark, sf_dir):
         t = tables(spark, sf_dir)
-        return (S.kruskal_tests if kind == "kruskal" else S.anova_tests)({n: GROUP_TESTS[n][0](t) for n in names})
+        sources = {k: GROUP_SOURCES[k](t) for k in {GROUP_TESTS[n][0] for n in names}}
+        tests = {n: (sources[GROUP_TESTS[n][0]], *GROUP_TESTS[n][1:3]) for n in names}
+        return (S.kruskal_tests if kind == "kruskal" else S.anova_tests)(tests)
     return sql, run
 
 
