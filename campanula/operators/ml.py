@@ -11,8 +11,10 @@ table into two tasks).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, NaiveBayes,
                                        RandomForestClassifier)
@@ -21,11 +23,11 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvalu
 from pyspark.ml.feature import (OneHotEncoder, PCA, StandardScaler, StringIndexer,
                                 VectorAssembler)
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from campanula.operators import evaluate as EV
+from campanula.operators import gram as GR
 from campanula.operators import ranks as RK
 from campanula.operators.abt import scalar
 from campanula.session import materialize, small
@@ -312,59 +314,62 @@ def pca_2d(x: DataFrame, key: str = "customer_id") -> DataFrame:
     return p.select(key, arr[0].alias("pc1"), arr[1].alias("pc2"))
 
 
-def _standardised(df: DataFrame, num: Sequence[str], cat: Sequence[str]):
-    """Rows with ``features`` (numbers and dummies) and the feature names;
-    null categories are a level of their own."""
-    d = df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("Unknown")) for c in cat}) if cat else df
-    enc = Pipeline(stages=feature_stages(num, cat)).fit(d)
-    raw = enc.transform(d).withColumnRenamed("features", "raw")
-    attrs = raw.schema["raw"].metadata.get("ml_attr", {})
-    n = attrs.get("num_attrs", len(num))
-    return raw, _feature_names({"ml_attr": attrs}, n)
+def mlr_rows(df: DataFrame, y: str, num: Sequence[str], key: str, cat: Sequence[str] = (), seed: int = SEED) -> DataFrame:
+    """Rows of a regression with their part: 0 train (75 %), 1 holdout, by the key's hash."""
+    return materialize(GR.frame(df, y, num, cat, F.when(GR.md5_unit(F.col(key), seed) < 0.75, 0).otherwise(1)))
 
 
 def mlr(df: DataFrame, y: str, num: Sequence[str], name: str, key: str, cat: Sequence[str] = (), seed: int = SEED) -> DataFrame:
-    """ML-14: standardised linear regression, 75/25 hash split, holdout R2,
-    adjusted R2 on the test n, strongest standardised coefficient."""
-    d = df.select(key, F.col(y).cast("double").alias("y"), *[F.col(c).cast("double").alias(c) for c in num], *cat) \
-          .dropna(subset=["y", *num])
-    u = (F.abs(F.xxhash64(F.col(key).cast("string"), F.lit(seed))) % 10000) / 10000.0
-    raw, names = _standardised(materialize(d.withColumn("_u", u)), num, cat)
-    train, test = raw.filter(F.col("_u") < 0.75), raw.filter(F.col("_u") >= 0.75)
-    sc = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(train)
-    lr = LinearRegression(featuresCol="features", labelCol="y", solver="normal").fit(sc.transform(train))
-    pred = lr.transform(sc.transform(test))
-    g = pred.agg(F.count(F.lit(1)).alias("n_test"), F.sum(F.pow(F.col("y") - F.col("prediction"), 2)).alias("sse"),
-                 F.var_pop("y").alias("vy"))
-    k = len(names)
-    coefs = [abs(c) for c in lr.coefficients.toArray().tolist()]
-    top = names[max(range(k), key=lambda i: coefs[i])] if k else None
-    n_train = train.count()
-    r2 = 1 - F.col("sse") / (F.col("vy") * F.col("n_test"))
-    adj = F.when(F.col("n_test") > k + 1, 1 - (1 - r2) * (F.col("n_test") - 1) / (F.col("n_test") - k - 1))
-    return g.select(F.lit(name).alias("model"), r2.alias("R2"), adj.alias("Adj_R2"),
-                    F.lit(n_train).cast("bigint").alias("n_train"), F.col("n_test"),
-                    F.lit(top).alias("top_predictor"))
+    """ML-14: linear regression, 75/25 hash split, holdout R2, adjusted R2 on the
+    test n, strongest standardised coefficient; train and holdout sums come from
+    one pass.  Null where there are no rows, or y is constant."""
+    rows = mlr_rows(df, y, num, key, cat, seed)
+    d = GR.design(rows, num, cat)
+    sums = GR.gram(rows, d)
+    n_train, n_test = (int(round(sums[p][0, 0])) if p in sums else 0 for p in (0, 1))
+    r2 = adj = top = None
+    if n_train:
+        coefs, standard = GR.least_squares(sums[0])
+        k = len(d.names)
+        if k and np.max(np.abs(standard)) > 0:
+            top = d.names[int(np.argmax(np.abs(standard)))]
+        if n_test:
+            spread = sums[1][-1, -1] - sums[1][0, -1] ** 2 / n_test
+            if spread > 1e-12 * max(n_test * d.shift[-1] ** 2, 1e-300):
+                r2 = 1.0 - GR.squared_error(sums[1], coefs) / spread
+                adj = 1.0 - (1.0 - r2) * (n_test - 1) / (n_test - k - 1) if n_test > k + 1 else None
+    number = lambda v: None if v is None else float(v)
+    return df.sparkSession.createDataFrame([(name, number(r2), number(adj), n_train, n_test, top)],
+                                           "model string, R2 double, Adj_R2 double, n_train bigint, n_test bigint, top_predictor string")
+
+
+def gram_table(df: DataFrame, y: str, num: Sequence[str], name: str, key: str, cat: Sequence[str] = (), seed: int = SEED) -> DataFrame:
+    """The sums behind ``mlr``: per part and pair of columns (all levels) the sum of products that are not zero."""
+    rows = mlr_rows(df, y, num, key, cat, seed)
+    d = GR.design(rows, num, cat, drop_first=False)
+    names = ["1", *d.names, "y"]
+    out = [(name, "holdout" if part else "train", *sorted((names[i], names[j])), float(v))
+           for part, g in GR.gram(rows, d).items() for (i, j), v in np.ndenumerate(GR.raw_sums(g, d)) if i <= j and (abs(v) > 1e-9 or g[i, j])]
+    return df.sparkSession.createDataFrame(out, "model string, part string, a string, b string, total double")
 
 
 def logit_table(df: DataFrame, y: str, num: Sequence[str], cat: Sequence[str] = ()) -> DataFrame:
-    """ML-15: binomial GLM on standardised features with real p-values; one row
-    per number and per level but the first of each category."""
-    d = df.select(F.col(y).cast("double").alias("y"), *[F.col(c).cast("double").alias(c) for c in num], *cat).dropna(subset=["y", *num])
-    raw, names = _standardised(d, num, cat)
-    x = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(raw).transform(raw)
-    m = GeneralizedLinearRegression(family="binomial", link="logit", labelCol="y", featuresCol="features").fit(x)
-    pv = m.summary.pValues
-    rows = [(f, float(c), float(p)) for f, c, p in zip(names, m.coefficients.toArray().tolist(), pv[:len(names)])]
-    return df.sparkSession.createDataFrame(rows, "feature string, scaled_coef double, p_value double")
+    """ML-15: logistic regression on standardised features with the reference's ridge
+    and all levels; one row per number and level, with the p-value of coefficient
+    over standard error.  Nulls where only one class occurs."""
+    fit = GR.fit_logit(materialize(GR.frame(df, y, num, cat)), num, cat)
+    rows = [(f, None, None, None) for f in fit.design.names] if fit.scaled is None else [
+        (f, float(b), float(s), math.erfc(abs(b) / s / math.sqrt(2.0)) if s > 0 else None)
+        for f, b, s in zip(fit.design.names, fit.scaled, fit.std_error)]
+    return df.sparkSession.createDataFrame(rows, "feature string, scaled_coef double, std_error double, p_value double")
 
 
 def propensity_scores(df: DataFrame, treat: str, num: Sequence[str], cat: Sequence[str] = ()) -> DataFrame:
-    """CAU-01: logistic propensity of treatment given standardised covariates."""
-    raw, _ = _standardised(df.withColumn("_t", F.col(treat).cast("double")).dropna(subset=list(num)), num, cat)
-    x = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(raw).transform(raw)
-    m = LogisticRegression(labelCol="_t", featuresCol="features", maxIter=200).fit(x)
-    return m.transform(x).withColumn("ps", vector_to_array("probability")[1]).select(*df.columns, "ps")
+    """CAU-01: logistic propensity of treatment given the covariates as they are
+    (the reference's ridge, all levels); scored by a row expression.  Null where
+    nobody or everybody is treated."""
+    fit = GR.fit_logit(materialize(GR.frame(df, treat, num, cat)), num, cat, standardise=False)
+    return df.dropna(subset=list(num)).withColumn("ps", fit.score())
 
 
 def bootstrap_mean_ci(df: DataFrame, value: str, key: str, n_boot: int = 2000, seed: int = SEED,
