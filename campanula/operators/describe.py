@@ -373,7 +373,8 @@ def histograms(df: DataFrame, keys: Sequence[str], c: str, bins: int) -> DataFra
 
 def sample_n(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
     """TOP-04: deterministic sample of n rows without replacement."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")).cast("binary"))
+    return df.orderBy(digest, F.col(key)).limit(n)
 
 
 def id_list(key: str, sep: str = ", ") -> Column:

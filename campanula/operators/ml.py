@@ -26,6 +26,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from campanula.functions import clean as C
 from campanula.operators import evaluate as EV
 from campanula.operators import gram as GR
 from campanula.operators import ranks as RK
@@ -36,8 +37,8 @@ from campanula.session import materialize, small
 SEED = 42
 LEAD_NUM = ("discount_pct", "lead_score", "age", "avg_pages_viewed", "avg_time_on_site",
             "total_add_to_cart", "total_checkout_started", "total_sessions")
-LEAD_CAT = ("lead_source", "landing_page", "region", "gender", "income_band", "loyalty_tier", "preferred_device")
-CAUSAL_NUM, CAUSAL_CAT = ("lead_score",), ("region", "lead_source")
+LEAD_CAT = ("lead_source", "landing_page", "observed_region", "gender", "income_band", "loyalty_tier", "preferred_device")
+CAUSAL_NUM, CAUSAL_CAT = ("lead_score",), ("observed_region", "lead_source")
 SEGMENT_FEATURES = ("age", "total_revenue", "total_orders", "total_sessions", "total_leads",
                     "total_add_to_cart", "total_checkout_started")
 SEGMENT_NAMES = ("Champions", "Core Buyers", "Engaged Browsers", "Dormant / At Risk")
@@ -53,7 +54,7 @@ def lead_frame(leads: DataFrame, abt: DataFrame) -> DataFrame:
     categorical 'Unknown'-fill; label = converted."""
     prof = abt.select("customer_id", "age", "gender", "income_band", "loyalty_tier", "avg_pages_viewed",
                       "avg_time_on_site", "total_add_to_cart", "total_checkout_started", "total_sessions",
-                      "total_revenue", "preferred_device", "region")
+                      "total_revenue", "preferred_device")
     df = (leads.withColumnRenamed("discount_offered_pct", "discount_pct")
           .join(prof, "customer_id", "left")
           .withColumn("label", F.col("converted_30d").cast("double")))
@@ -63,6 +64,15 @@ def lead_frame(leads: DataFrame, abt: DataFrame) -> DataFrame:
     return df
 
 
+def causal_frame(leads: DataFrame) -> DataFrame:
+    """Frame of the discount effect (ML-15, CAU-01): missing discount 0, missing score
+    the median score, missing region and source a level of their own."""
+    df = leads.select("lead_id", F.col("converted_30d").cast("double").alias("label"),
+                      F.coalesce("discount_offered_pct", F.lit(0.0)).alias("discount_pct"), "lead_score",
+                      *[F.coalesce(F.col(c), F.lit("unknown")).alias(c) for c in CAUSAL_CAT])
+    return C.fill_median(df, ["lead_score"]).withColumn("treated", (F.col("discount_pct") > 0).cast("double"))
+
+
 def stratified_rank(df: DataFrame, label: str, key: str, seed: int = SEED) -> DataFrame:
     """Per-stratum position of each row in a seeded hash order, and the
     stratum size: ``_pos`` in 1..``_n_s``.  Used for splits and folds."""
@@ -117,6 +127,14 @@ def feature_stages(num: Sequence[str], cat: Sequence[str], scale: bool = False):
     return stages
 
 
+def split_levels(df: DataFrame, cat: Sequence[str]) -> list[str]:
+    """Categories with two levels at least; one level has no dummy column (ML-03)."""
+    if not cat:
+        return []
+    r = df.agg(*[F.coalesce(F.min(c) != F.max(c), F.lit(False)).alias(c) for c in cat]).first()
+    return [c for c in cat if r[c]]
+
+
 def classifiers(weight_col: str | None = "weight") -> dict:
     """ML-09..ML-12 with the reference's settings."""
     return {
@@ -139,6 +157,13 @@ def compare_models(frame: DataFrame, num: Sequence[str], cat: Sequence[str], key
     (1 + folds) fits and collects only metric rows.
     """
     spark = frame.sparkSession
+    models = models or classifiers()
+    schema = ("model string, accuracy double, auc_test double, cv_auc double, f1 double, precision double, "
+              "recall double")
+    if len(_classes(frame)) < 2:  # nothing to compare: every model without figures, none selected
+        none = spark.createDataFrame([(m, *[None] * 6) for m in models], schema)
+        return none.withColumn("selected", F.lit(False))
+    cat = split_levels(frame, cat)
     feats = Pipeline(stages=feature_stages(num, cat, scale=False)).fit(frame)
     data = feats.transform(frame).withColumn("weight", balanced_weight(frame))
     data = data.select(key, "label", "features", "weight")
@@ -147,7 +172,7 @@ def compare_models(frame: DataFrame, num: Sequence[str], cat: Sequence[str], key
     evaluator = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="probability",
                                               metricName="areaUnderROC")
     out = []
-    for name, est in (models or classifiers()).items():
+    for name, est in models.items():
         m = est.fit(train)
         pred = _prob(m.transform(test)).select("label", "score", "prediction")
         met = EV.binary_metrics(pred).collect()[0]
@@ -155,12 +180,16 @@ def compare_models(frame: DataFrame, num: Sequence[str], cat: Sequence[str], key
         cv = _cv_aucs(est, data, folds, evaluator)
         out.append((name, float(met["accuracy"]), float(auc), float(sum(cv) / len(cv)), float(met["f1"]),
                     float(met["precision"]), float(met["recall"])))
-    res = spark.createDataFrame(out, "model string, accuracy double, auc_test double, cv_auc double, "
-                                     "f1 double, precision double, recall double")
+    res = spark.createDataFrame(out, schema)
     best = scalar(res, F.max_by("model", F.struct("cv_auc", "model")))
     return res.withColumn("selected", F.col("model") == best)
 
 
+def _classes(frame: DataFrame) -> list[float]:
+    """Up to two of the labels that occur."""
+    return [r[0] for r in frame.select(F.col("label").cast("double")).distinct().limit(2).collect()]
+
+
 def _cv_aucs(est, data: DataFrame, folds: int, evaluator) -> list[float]:
     """Fit the k fold models concurrently (as ``CrossValidator(parallelism=k)``
     does) on the checkpointed fold table; returns the held-out AUCs."""
@@ -177,10 +206,11 @@ def score_with(frame: DataFrame, num: Sequence[str], cat: Sequence[str], estimat
     """EVA-07 with a fitted model: probability and priority tier per row.  If
     only one class occurs there is nothing to fit: each row's probability is
     that class."""
-    classes = [r[0] for r in frame.select(F.col("label").cast("double")).distinct().limit(2).collect()]
+    classes = _classes(frame)
     if len(classes) < 2:
         p = F.lit(classes[0] if classes else None).cast("double")
         return frame.withColumns({"predicted_prob": p, "priority_tier": EV.priority_tier(p)})
+    cat = split_levels(frame, cat)
     pipe = Pipeline(stages=feature_stages(num, cat) + [estimator]).fit(
         frame.withColumn("weight", balanced_weight(frame)))
     pred = _prob(pipe.transform(frame))
@@ -190,6 +220,7 @@ def score_with(frame: DataFrame, num: Sequence[str], cat: Sequence[str], estimat
 
 def importance_table(frame: DataFrame, num: Sequence[str], cat: Sequence[str], top: int = 15) -> DataFrame:
     """ML-16: random-forest feature importances with assembled feature names."""
+    cat = split_levels(frame, cat)
     pipe = Pipeline(stages=feature_stages(num, cat) + [
         RandomForestClassifier(numTrees=TREES, seed=SEED, weightCol="weight")]).fit(
         frame.withColumn("weight", balanced_weight(frame)))
@@ -218,6 +249,8 @@ def permutation_importance(frame: DataFrame, num: Sequence[str], cat: Sequence[s
     order (two prefix-sum rankings and one equi-join on the rank), so it is
     a 1:1 distributed shuffle of the column, not a driver-side reorder.
     """
+    cat = split_levels(frame, cat)
+    columns = [c for c in columns if c in (*num, *cat)]  # a constant category cannot matter
     enc = Pipeline(stages=feature_stages(num, cat)).fit(frame)
     train, fw = stratified_split(frame, "label", key)
     fit = enc.transform(train.withColumn("weight", balanced_weight(train)))
@@ -372,30 +405,33 @@ def propensity_scores(df: DataFrame, treat: str, num: Sequence[str], cat: Sequen
     return df.dropna(subset=list(num)).withColumn("ps", fit.score())
 
 
-def bootstrap_mean_ci(df: DataFrame, value: str, key: str, n_boot: int = 2000, seed: int = SEED,
-                      ci: float = 0.95) -> DataFrame:
-    """STA-11: percentile CI of the mean by the Poisson bootstrap.
+def blocked_bootstrap_ci(df: DataFrame, value: str, key: str, n_boot: int = 2000, seed: int = SEED,
+                         ci: float = 0.95, blocks: int = 1024) -> DataFrame:
+    """STA-11: percentile CI of the mean by a bootstrap over hash blocks.
 
-    Each row gets a Poisson(1) multiplicity per replicate from a seeded
-    hash (inverse CDF), and replicate means are sum(w x) / sum(w).  The
-    (row, replicate) pairs are generated inside the aggregation and
-    combined map-side (B partial sums per partition), so nothing of size
-    rows x replicates is ever shuffled or stored.
+    One pass reduces the rows to (sum, count) of ``blocks`` blocks, by the hash of
+    the key.  A replicate draws as many blocks with replacement (multinomial
+    weights) and divides the drawn sum by the drawn count.  The work after the pass
+    is ``n_boot * blocks`` draws whatever the number of rows.  Hashes are MD5 of
+    (seed, replicate, draw), eight draws a digest, so any engine can repeat them;
+    ``blocks`` is a power of two from 8 to 65,536.
     """
-    cdf, acc, p, k = [], 0.0, 0.36787944117144233, 0
-    while acc < 1 - 1e-12 and k < 20:      # Poisson(1) CDF thresholds
-        acc += p
-        cdf.append(acc)
-        k += 1
-        p = p / k
-    base = df.filter(F.col(value).isNotNull()).select(F.col(key).cast("string").alias("_k"),
-                                                      F.col(value).cast("double").alias("_x"))
-    reps = base.withColumn("_b", F.explode(F.sequence(F.lit(1), F.lit(n_boot))))
-    u = (F.abs(F.xxhash64("_k", "_b", F.lit(seed))) % 1000000007) / 1000000007.0
-    w = sum((u >= F.lit(c)).cast("int") for c in cdf)
-    means = (reps.withColumn("_w", w).groupBy("_b")
-             .agg(F.try_divide(F.sum(F.col("_w") * F.col("_x")), F.sum("_w")).alias("m")))  # no row drawn: null
+    if blocks & (blocks - 1) or not 8 <= blocks <= 1 << 16:
+        raise ValueError("blocks must be a power of two from 8 to 65536")
+
+    def chunk(digest: Column, at: int) -> Column:
+        return F.conv(F.substring(digest, 1 + 4 * at, 4), 16, 10).cast("int") % blocks
+
+    def md5(*parts: Column) -> Column:
+        return F.md5(F.concat_ws(":", *[p.cast("string") for p in parts]).cast("binary"))
+    x = F.col(value).cast("double")
+    sums = small(df.filter(x.isNotNull() & ~F.isnan(x)).groupBy(chunk(md5(F.col(key), F.lit(seed)), 0).alias("block"))
+                 .agg(F.sum(x).alias("s"), F.count(F.lit(1)).alias("n")))
+    draws = df.sparkSession.range(n_boot).withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(blocks // 8 - 1))))
+    draws = draws.withColumn("digest", md5(F.lit(seed), F.col("id"), F.col("draw")))
+    draws = draws.select("id", F.explode(F.array(*[chunk(F.col("digest"), k) for k in range(8)])).alias("block"))
+    means = (draws.join(F.broadcast(sums), "block").groupBy("id")  # at most ``blocks`` rows
+             .agg(F.try_divide(F.sum("s"), F.sum("n")).alias("m")))
     lo, hi = (1 - ci) / 2, (1 + ci) / 2
-    point = scalar(base, F.avg("_x"))
-    return means.agg(point.alias("mean"), F.percentile("m", lo).alias("ci_low"),
-                     F.percentile("m", hi).alias("ci_high"), F.count(F.lit(1)).alias("n_boot"))
+    return means.agg(scalar(sums, F.try_divide(F.sum("s"), F.sum("n"))).alias("mean"), F.percentile("m", lo).alias("ci_low"),
+                     F.percentile("m", hi).alias("ci_high"), F.lit(n_boot).cast("bigint").alias("n_boot"))

@@ -76,6 +76,7 @@ def clean_leads(bronze: DataFrame) -> DataFrame:
         "landing_page",
         C.clean_percent("discount_offered_pct").alias("discount_offered_pct"),
         C.to_number("lead_score").alias("lead_score"),
+        C.map_label("observed_region", C.REGION_MAP).alias("observed_region"),
         C.parse_bool("converted_30d").alias("converted_30d"),
         C.clean_currency("acquisition_cost_usd").alias("acquisition_cost_usd"),
     )
@@ -89,6 +90,7 @@ def clean_sessions(bronze: DataFrame) -> DataFrame:
         C.parse_date("session_date").alias("session_date"),
         C.norm_label("device").alias("device"),
         C.map_label("channel_group", C.CHANNEL_MAP).alias("channel_group"),
+        C.map_label("geo_region", C.REGION_MAP).alias("geo_region"),
         C.null_if(pages, pages <= 0).alias("pages_viewed"),
         C.null_if(tos, (tos <= 0) | (tos > 86400)).alias("time_on_site_sec"),
         C.parse_bool("bounce").alias("bounce"),

@@ -14,6 +14,7 @@ from campanula.operators import campaign as CP
 from campanula.operators import describe as D
 from campanula.operators import evaluate as EV
 from campanula.operators import ml as M
+from campanula.operators import stats as S
 from campanula.plans.registry import register, tables
 
 G = "models"
@@ -50,7 +51,9 @@ def q_perm(spark, sf_dir):
                                     [*M.LEAD_NUM, *M.LEAD_CAT])
 
 
-@register("lead_split_sizes", None, group=G)
+@register("lead_split_sizes", """
+SELECT part, label, CAST(CASE WHEN part = 'train' THEN floor(n * 0.75) ELSE n - floor(n * 0.75) END AS BIGINT) AS n
+FROM (SELECT CAST(converted_30d AS DOUBLE) AS label, count(*) AS n FROM leads GROUP BY 1) c CROSS JOIN (VALUES ('train'), ('test')) v(part)""", group=G)
 def q_split(spark, sf_dir):
     train, test = M.stratified_split(_lead_frame(tables(spark, sf_dir)), "label", "lead_id")
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test"))) \
@@ -105,43 +108,100 @@ def q_camp_groups(spark, sf_dir):
     return g.join(prof.select("Group", "Group_Label"), "Group")
 
 
-@register("mlr_results", None, group=G)
-def q_mlr(spark, sf_dir):
-    t = tables(spark, sf_dir)
-    a = M.mlr(t.abt, "CLV_proxy", M.LTV_FEATURES, "A: Predict Customer LTV", "customer_id")
+def _mlr_inputs(t):
+    """ML-14's three models: frame, y, numbers, key, categories."""
     from campanula.functions.clean import fill_median
+    from campanula.plans.q_describe import converted_leads
     tx = fill_median(t.transactions.filter(F.col("revenue_usd").isNotNull()), ["units", "discount_pct"])
     tx = tx.withColumn("_k", F.concat_ws("|", "order_id", "product_category", "revenue_usd"))
-    b = M.mlr(tx, "revenue_usd", ["units", "discount_pct"], "B: Predict Revenue/Transaction", "_k",
-              ["product_category", "marketing_channel_last_touch"])
-    from campanula.plans.q_describe import converted_leads
-    conv = converted_leads(t).join(t.customers.select("customer_id", "region"), "customer_id", "left")
-    c = M.mlr(conv, "days_to_convert", ["lead_score", "discount_offered_pct", "acquisition_cost_usd"],
-              "C: Predict Days-to-Convert", "lead_id", ["lead_source", "region"])
-    return a.unionByName(b).unionByName(c)
+    return {
+        "A: Predict Customer LTV": (t.abt, "CLV_proxy", M.LTV_FEATURES, "customer_id", ()),
+        "B: Predict Revenue/Transaction": (tx, "revenue_usd", ("units", "discount_pct"), "_k",
+                                           ("product_category", "marketing_channel_last_touch")),
+        "C: Predict Days-to-Convert": (converted_leads(t), "days_to_convert", ("lead_score", "discount_offered_pct", "acquisition_cost_usd"),
+                                       "lead_id", ("lead_source", "observed_region")),
+    }
+
+
+@register("mlr_results", None, group=G)
+def q_mlr(spark, sf_dir):
+    return S.union_all([M.mlr(df, y, num, name, key, cat) for name, (df, y, num, key, cat) in _mlr_inputs(tables(spark, sf_dir)).items()])
+
+
+def _gram_sql(name: str, source: str, key: str, y: str, num, cat) -> str:
+    """The sums of products, from one (row, column, value) table joined with itself."""
+    known = " AND ".join(f'"{c}" IS NOT NULL' for c in (y, *num))
+    cells = " UNION ALL ".join(
+        [f"SELECT r, part, '{n}' AS c, CAST({e} AS DOUBLE) AS v FROM rows_" for n, e in [("1", "1"), ("y", f'"{y}"'), *((c, f'"{c}"') for c in num)]]
+        + [f"SELECT r, part, '{c}_' || COALESCE({c}, 'Unknown'), 1.0 FROM rows_" for c in cat])
+    return f"""SELECT '{name}' AS model, part, a, b, total FROM (
+  WITH rows_ AS (SELECT *, row_number() OVER () AS r,
+    CASE WHEN CAST('0x' || substr(md5(CAST({key} AS VARCHAR) || ':42'), 1, 8) AS BIGINT) % 10000 < 7500 THEN 'train' ELSE 'holdout' END AS part
+    FROM ({source}) s WHERE {known}),
+  cells AS ({cells})
+  SELECT x.part, x.c AS a, z.c AS b, sum(x.v * z.v) AS total FROM cells x JOIN cells z ON x.r = z.r AND x.c <= z.c
+  GROUP BY x.part, x.c, z.c HAVING sum(x.v * z.v) <> 0) g"""
+
+
+_MLR_SQL = {
+    "A: Predict Customer LTV": ("SELECT * FROM abt", "customer_id"),
+    "B: Predict Revenue/Transaction": ("""SELECT order_id || '|' || product_category || '|' || CAST(revenue_usd AS VARCHAR) AS _k, revenue_usd,
+      COALESCE(units, (SELECT median(units) FROM transactions WHERE revenue_usd IS NOT NULL)) AS units,
+      COALESCE(discount_pct, (SELECT median(discount_pct) FROM transactions WHERE revenue_usd IS NOT NULL)) AS discount_pct,
+      product_category, marketing_channel_last_touch FROM transactions WHERE revenue_usd IS NOT NULL""", "_k"),
+    "C: Predict Days-to-Convert": ("SELECT * FROM converted_leads", "lead_id"),
+}
+_MLR_COLUMNS = {
+    "A: Predict Customer LTV": ("CLV_proxy", M.LTV_FEATURES, ()),
+    "C: Predict Days-to-Convert": ("days_to_convert", ("lead_score", "discount_offered_pct", "acquisition_cost_usd"), ("lead_source", "observed_region")),
+}
+
+
+@register("mlr_gram_sums", " UNION ALL ".join(_gram_sql(n, *_MLR_SQL[n], *c) for n, c in _MLR_COLUMNS.items()), group=G)
+def q_mlr_sums(spark, sf_dir):
+    """ML-14's Gram sums of models A and C, train and holdout: what the fits are solved from."""
+    inputs = _mlr_inputs(tables(spark, sf_dir))
+    return S.union_all([M.gram_table(df, y, num, name, key, cat) for name, (df, y, num, key, cat) in inputs.items() if name in _MLR_COLUMNS])
+
+
+def _causal_frame(t):
+    if not hasattr(t, "_causal_frame"):
+        from campanula.session import materialize
+        t._causal_frame = materialize(M.causal_frame(t.leads))
+    return t._causal_frame
 
 
 @register("discount_logit_table", None, group=G)
 def q_logit(spark, sf_dir):
-    t = tables(spark, sf_dir)
-    f = _lead_frame(t)
-    return M.logit_table(f, "label", ["discount_pct", *M.CAUSAL_NUM], M.CAUSAL_CAT)
+    return M.logit_table(_causal_frame(tables(spark, sf_dir)), "label", ["discount_pct", *M.CAUSAL_NUM], M.CAUSAL_CAT)
 
 
 @register("iptw_discount_ate_logit", None, group=G)
 def q_iptw_logit(spark, sf_dir):
-    f = _lead_frame(tables(spark, sf_dir)).withColumn("treated", (F.col("discount_pct") > 0).cast("double"))
-    ps = M.propensity_scores(f, "treated", M.CAUSAL_NUM, M.CAUSAL_CAT)
+    ps = M.propensity_scores(_causal_frame(tables(spark, sf_dir)), "treated", M.CAUSAL_NUM, M.CAUSAL_CAT)
     return EV.iptw_ate(ps, "treated", "label", "ps")
 
 
-@register("bootstrap_ci", None, group=G)
+def _boot_sql(metric: str, source: str, value: str, key: str, n_boot: int = 2000, blocks: int = 1024) -> str:
+    return f"""SELECT '{metric}' AS metric, (SELECT sum(x) / count(*) FROM (SELECT {value} AS x FROM {source}) v WHERE x IS NOT NULL) AS mean,
+  quantile_cont(m, 0.025) AS ci_low, quantile_cont(m, 0.975) AS ci_high, CAST({n_boot} AS BIGINT) AS n_boot
+FROM (SELECT r, sum(s) / sum(n) AS m
+      FROM (SELECT r, CAST('0x' || substr(md5('42:' || r || ':' || d), 1 + 4 * k, 4) AS INTEGER) % {blocks} AS block
+            FROM range({n_boot}) a(r), range({blocks // 8}) b(d), range(8) c(k)) draws
+      JOIN (SELECT CAST('0x' || substr(md5({key} || ':42'), 1, 4) AS INTEGER) % {blocks} AS block, sum(x) AS s, count(*) AS n
+            FROM (SELECT {key}, {value} AS x FROM {source}) v WHERE x IS NOT NULL GROUP BY 1) sums ON sums.block = draws.block
+      GROUP BY r) means"""
+
+
+@register("bootstrap_ci", " UNION ALL ".join([
+    _boot_sql("customer_aov", "abt WHERE total_orders > 0", "total_revenue / total_orders", "customer_id"),
+    _boot_sql("campaign_roas", "camp_features", '"ROAS"', "campaign_id")]), group=G)
 def q_boot(spark, sf_dir):
+    from campanula.plans.q_campaign import features
     t = tables(spark, sf_dir)
     cust = t.abt.filter(F.col("total_orders") > 0).withColumn("cust_aov", F.col("total_revenue") / F.col("total_orders"))
-    aov = M.bootstrap_mean_ci(cust, "cust_aov", "customer_id").withColumn("metric", F.lit("customer_aov"))
-    from campanula.plans.q_campaign import features
-    roas = M.bootstrap_mean_ci(features(t), "ROAS", "campaign_id").withColumn("metric", F.lit("campaign_roas"))
+    aov = M.blocked_bootstrap_ci(cust, "cust_aov", "customer_id").withColumn("metric", F.lit("customer_aov"))
+    roas = M.blocked_bootstrap_ci(features(t), "ROAS", "campaign_id").withColumn("metric", F.lit("campaign_roas"))
     return aov.unionByName(roas)
 
 

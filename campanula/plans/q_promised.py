@@ -331,7 +331,9 @@ def q_deceptive_ids(spark, sf_dir):
     return q.agg(F.count(F.lit(1)).alias("n_deceptive"), D.id_list("campaign_id").alias("ids"))
 
 
-@register("customer_aov_sample", None, group="describe")
+@register("customer_aov_sample", """
+SELECT customer_id, total_revenue / total_orders AS cust_aov, total_sessions FROM abt WHERE total_orders > 0
+ORDER BY md5(customer_id || ':42'), customer_id LIMIT 500""", group="describe")
 def q_sample(spark, sf_dir):
     """TOP-04: a seeded sample of 500 customers (the reference's scatter sample);
     the limit is the feature."""

@@ -178,6 +178,7 @@ SELECT CAST(k AS VARCHAR) AS lead_id,
   {percent('((k // 7) % 6) * 5', '(k // 6) % 4')} AS discount_offered_pct,
   CASE WHEN k % 37 = 0 THEN 'high'
        ELSE CAST((k * 37) % 60 + CASE WHEN o_orderstatus = 'F' THEN 30 ELSE 0 END AS VARCHAR) END AS lead_score,
+  CASE WHEN k % 23 <> 0 THEN {pick('(CASE WHEN k % 7 = 0 THEN k % 3 ELSE (k * 5) % 6 END)', TD.OBSERVED_REGIONS)} END AS observed_region,
   {booltext("o_orderstatus = 'F'", 'k % 5')} AS converted_30d,
   {money('(500 + (k * 7) % 4000)', 'CASE WHEN k % 3 = 2 THEN 3 ELSE k % 3 END')} AS acquisition_cost_usd
 FROM (SELECT o.*, o.o_orderkey AS k, f.min_supp, f.min_ship FROM orders o
@@ -191,6 +192,7 @@ SELECT CAST(k AS VARCHAR) AS session_id,
   {datetext('ts', 'k % 5')} AS session_date,
   {pick('k % 3', TD.DEVICES)} AS device,
   {channeltext('(k * 3 + user_id) % 7', 'k % 2')} AS channel_group,
+  CASE WHEN k % 31 <> 0 THEN {pick('(k + user_id) % 6', TD.OBSERVED_REGIONS)} END AS geo_region,
   json_extract_string(props, '$.k') AS pages_viewed,
   CASE WHEN k % 53 = 0 THEN '90000' WHEN k % 29 = 0 THEN '-1'
        ELSE CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) END AS time_on_site_sec,
@@ -250,23 +252,25 @@ FROM (SELECT campaign_id, campaign_name,
 cte("leads", f"""
 SELECT lead_id, customer_id, campaign_id, lead_date,
   CASE WHEN conversion_date < lead_date THEN NULL ELSE conversion_date END AS conversion_date,
-  lead_source, landing_page, discount_offered_pct, lead_score, converted_30d, acquisition_cost_usd
+  lead_source, landing_page, discount_offered_pct, lead_score, observed_region, converted_30d, acquisition_cost_usd
 FROM (SELECT lead_id, customer_id, campaign_id,
         {date('lead_date')} AS lead_date, {date('conversion_date')} AS conversion_date,
         {norm('lead_source')} AS lead_source, landing_page,
         {pct('discount_offered_pct')} AS discount_offered_pct,
         {to_number('lead_score')} AS lead_score,
+        {mapped('observed_region', C.REGION_MAP)} AS observed_region,
         {boolean('converted_30d')} AS converted_30d,
         {currency('acquisition_cost_usd')} AS acquisition_cost_usd
       FROM b_leads) t""")
 
 cte("sessions", f"""
-SELECT session_id, customer_id, campaign_id, session_date, device, channel_group,
+SELECT session_id, customer_id, campaign_id, session_date, device, channel_group, geo_region,
   CASE WHEN pages_viewed <= 0 THEN NULL ELSE pages_viewed END AS pages_viewed,
   CASE WHEN time_on_site_sec <= 0 OR time_on_site_sec > 86400 THEN NULL ELSE time_on_site_sec END AS time_on_site_sec,
   bounce, add_to_cart, checkout_started
 FROM (SELECT session_id, customer_id, campaign_id, {date('session_date')} AS session_date,
         {norm('device')} AS device, {mapped('channel_group', C.CHANNEL_MAP)} AS channel_group,
+        {mapped('geo_region', C.REGION_MAP)} AS geo_region,
         {to_number('pages_viewed')} AS pages_viewed, {to_number('time_on_site_sec')} AS time_on_site_sec,
         {boolean('bounce')} AS bounce, {boolean('add_to_cart')} AS add_to_cart,
         {boolean('checkout_started')} AS checkout_started
