@@ -1,8 +1,8 @@
 """Line dedup by a segment-partition edit join.
 
 Lines are compared in a normal form (lower case, white space runs as one space,
-none at the ends).  Lines shorter than ``min_chars`` are too
-common by nature and are left alone.  Equal lines are one class.  Lines of at
+none at the ends).  Empty ones are left alone; all others, however short, are one
+class with their equals.  Lines of at
 least ``edit_chars`` characters that are within ``threshold`` edits of each
 other are linked as well, and so are, within one edit, pairs whose shorter line
 has ``short_chars`` to ``edit_chars`` - 1 characters (two edits change too much
@@ -20,9 +20,17 @@ signature (parities of characters and of character pairs, which a few edits can
 change in a few bits only) removes most false matches on the spot; the others
 are verified with the texts by a banded bit-parallel edit distance.
 
-Keys with more than ``group_rows`` lines leave the stream.  They are cut into
-blocks, and pairs of blocks are matched as groups of their own, of at most twice
-``group_rows`` lines: exact, and no task gets a whole hot key.
+Lines are normalised, numbered and hashed once; what follows reads that table,
+in which a line's text stands once a partition.
+
+*Hot keys.*  A sample of the lines shows which keys hold so many rows that one
+task would feel it (at most a few a partition); their rows are dealt out by line
+instead of by key.  These and all other keys with more than ``group_rows`` lines
+are cut into blocks, and pairs of blocks are matched as groups of their own, of at
+most twice ``block_rows`` lines.  A group has its texts, verifies on the spot and
+reports a spanning forest of the links, so lines that are all alike (numbered
+templates) cost about one comparison each, not one a pair.  All this is exact: the
+sample only decides where rows go.
 
 Null texts have no lines.  Rows that repeat an id with the same text count as
 one document and get the same result.  Null ids come after all others.
@@ -40,16 +48,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from campanula.session import materialize
+from campanula.session import materialize, shuffle_partitions
 
 from .common import whole_text
 from .simhash import components
 
 
-def normal_line(line: str) -> str:
-    return " ".join(line.lower().split())
-
-
 def line_ids(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Two 64-bit hashes of each line; both together name it."""
     both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, lines)), ">i8").reshape(-1, 2).astype(np.int64)
@@ -162,10 +166,8 @@ def _alike(a: np.ndarray, b: np.ndarray, threshold: int) -> np.ndarray:
     return (np.bitwise_count(x & low) <= 2 * threshold) & (np.bitwise_count(x >> np.uint64(32)) <= 4 * threshold)
 
 
-def _matches(lid: np.ndarray, sig: np.ndarray, probe: np.ndarray, threshold: int,
-             block: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one key: indexed lines with indexed or probing ones (with
-    ``block``: only across the two blocks)."""
+def _matches(lid: np.ndarray, sig: np.ndarray, probe: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of one key: indexed lines with indexed or probing ones."""
     sig = np.ascontiguousarray(sig, np.int64).view(np.uint64)
     held = np.flatnonzero(~probe)
     if not len(held) or lid[0] == lid[-1] and (lid == lid[0]).all():
@@ -173,8 +175,6 @@ def _matches(lid: np.ndarray, sig: np.ndarray, probe: np.ndarray, threshold: int
     left, right = [], []
     for i in held.tolist():
         ok = (lid != lid[i]) & _alike(sig, sig[i], threshold) & (probe | (np.arange(len(lid)) > i))
-        if block is not None:
-            ok &= block != block[i]
         j = np.flatnonzero(ok)
         left.append(np.full(len(j), lid[i]))
         right.append(lid[j])
@@ -186,181 +186,204 @@ def _matches(lid: np.ndarray, sig: np.ndarray, probe: np.ndarray, threshold: int
 
 # -- the join ----------------------------------------------------------------
 
-_KEYS = T.StructType([T.StructField("key", T.LongType()), T.StructField("lid", T.LongType()),
-                      T.StructField("sig", T.LongType()), T.StructField("probe", T.BooleanType())])
-_FOUND = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType()), T.StructField("key", T.LongType()),
-                       T.StructField("sig", T.LongType()), T.StructField("probe", T.BooleanType())])
-
-
-def _new_lines(texts: list[str | None], least: int, seen: set[int]) -> tuple[list[str], np.ndarray]:
-    """Normal lines of at least ``least`` characters that are not in ``seen``
-    yet, each once, and their ids; ``seen`` grows by them."""
-    found = [x for t in texts if t for x in map(normal_line, t.split("\n")) if len(x) >= least]
-    if not found:
-        return [], np.empty(0, np.int64)
-    lids, out, keep = line_ids(found)[0], [], []
-    for k, lid in enumerate(lids.tolist()):
-        if lid not in seen:
-            seen.add(lid)
-            out.append(found[k])
-            keep.append(k)
-    return out, lids[keep]
-
-
-def _line_texts(least: int):
-    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            lines, lids = _new_lines(batch.column("text").to_pylist(), least, seen)
-            yield pa.RecordBatch.from_arrays([pa.array(lids, pa.int64()), pa.array(lines, pa.string())], names=["lid", "line"])
-    return texts
+_KEYS = T.StructType([T.StructField(c, T.LongType()) for c in ("key", "lid", "sig")])
+_FOUND = T.StructType([T.StructField(c, T.LongType()) for c in ("a", "b", "key", "sig")])
 
 
-def _occurrences(min_chars: int):
-    """Rows (id, row, pos, lid, lid2) of all lines of (id, row, text); Arrow
-    keeps ids of any type whole beside nulls."""
+def _occurrences(min_chars: int, least: int):
+    """Rows (id, row, pos, lid, lid2, line) of all lines of (id, row, text); the
+    normal text of a line of at least ``least`` characters stands at its first row
+    in the partition.  Arrow keeps ids of any type whole beside nulls."""
     def occur(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             at, pos, lines = [], [], []
             for k, t in enumerate(batch.column("text").to_pylist()):
                 for n, line in enumerate(t.split("\n")):
-                    x = normal_line(line)
+                    x = " ".join(line.lower().split())
                     if len(x) >= min_chars:
                         at.append(k)
                         pos.append(n)
                         lines.append(x)
             one, two = line_ids(lines)
+            texts: list[str | None] = []
+            for lid, x in zip(one.tolist(), lines):
+                new = len(x) >= least and lid not in seen
+                if new:
+                    seen.add(lid)
+                texts.append(x if new else None)
             where = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("id").take(where), batch.column("row").take(where), pa.array(pos, pa.int32()),
-                                              pa.array(one, pa.int64()), pa.array(two, pa.int64())], names=["id", "row", "pos", "lid", "lid2"])
+                                              pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(texts, pa.string())],
+                                             names=["id", "row", "pos", "lid", "lid2", "line"])
     return occur
 
 
-#: the low bits of a key hold the threshold of its lines
+#: a key ends in the threshold of its lines (five bits) and a bit for probes, so
+#: that the rows of a key stand together when sorted, indexed lines first
 _EDITS = 31
 
 
 def _make_keys(threshold: int, edit_chars: int, least: int):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()                       # copies within a partition make their keys once
-        plans: dict[int, tuple[list[tuple[int, int, int]], np.ndarray, np.ndarray]] = {}
+        plans: dict[int, tuple[list[tuple[int, int, int]], np.ndarray]] = {}
         digest = xxhash.xxh3_64_digest
 
-        def plan(n: int) -> tuple[list[tuple[int, int, int]], np.ndarray, np.ndarray]:
-            """(seed, start, end) of the segments and then of the probes of a
-            line of ``n`` characters, which of them are probes, and their thresholds."""
+        def plan(n: int) -> tuple[list[tuple[int, int, int]], np.ndarray]:
+            """(seed, start, end) of the segments and then of the probes of a line
+            of ``n`` characters, and the low bits of their keys."""
             edits = {m: edits_of(m, threshold, edit_chars) for m in range(max(least, n - threshold), n + 1)}
             held = [(n << 8 | k, at, at + size) for k, (at, size) in enumerate(segments(n, edits[n] + 1))]
             asked = [(shorter << 8 | k, p, p + size) for shorter, most in edits.items() if n - shorter <= most
                      for k, p, size in probes(n, shorter, most)]
-            asked = [x for x in asked if x not in held]
-            steps = held + asked
-            return steps, np.arange(len(steps)) >= len(held), np.array([edits[seed >> 8] for seed, _, _ in steps], np.int64)
+            steps = held + [x for x in asked if x not in held]
+            low = [edits[seed >> 8] << 1 | (i >= len(held)) for i, (seed, _, _) in enumerate(steps)]
+            return steps, np.array(low, np.int64)
 
         for batch in batches:
-            lines, lids = _new_lines(batch.column("text").to_pylist(), least, seen)
-            for at in range(0, len(lines), 1000):
-                part = lines[at:at + 1000]
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                lines, lids = part.column("line").to_pylist(), part.column("lid").to_numpy(zero_copy_only=False)
                 todo = []
-                for line in part:
+                for line in lines:
                     n = len(line)
                     if n not in plans:
                         plans[n] = plan(n)
                     todo.append(plans[n])
-                keys = b"".join([digest(line[s:e], seed) for line, (steps, _, _) in zip(part, todo) for seed, s, e in steps])
-                count = [len(steps) for steps, _, _ in todo]
-                keys = np.frombuffer(keys, ">i8").astype(np.int64) & ~_EDITS | np.concatenate([t for _, _, t in todo])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys), pa.array(np.repeat(lids[at:at + 1000], count)),
-                     pa.array(np.repeat(signatures(part).view(np.int64), count)), pa.array(np.concatenate([p for _, p, _ in todo]))],
-                    names=["key", "lid", "sig", "probe"])
+                keys = b"".join([digest(line[s:e], seed) for line, (steps, _) in zip(lines, todo) for seed, s, e in steps])
+                count = [len(steps) for steps, _ in todo]
+                keys = np.frombuffer(keys, ">i8").astype(np.int64) & ~(_EDITS << 1 | 1) | np.concatenate([t for _, t in todo])
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(lids, count)),
+                                                  pa.array(np.repeat(signatures(lines).view(np.int64), count))], names=["key", "lid", "sig"])
     return make
 
 
-def _match_stream(group_rows: int):
-    """Rows sorted by key: pairs of a key, or the rows of a key with too many."""
+def _match_stream(group_rows: int, heavy: list[int]):
+    """Rows sorted by key: pairs of a key, or the rows of a key with too many (or a heavy one)."""
+    heavy_keys = np.array(sorted(heavy), np.int64)
+
     def table(pairs, hot):
-        """One batch: pairs (a, b), then rows of hot keys (lid, key, sig, probe)."""
+        """One batch: pairs (a, b), then rows of hot keys (lid, key, sig)."""
         a, b = (np.concatenate([p[k] for p in pairs]) if pairs else np.empty(0, np.int64) for k in range(2))
         lid, key, sig = (np.concatenate([h[k] for h in hot]) if hot else np.empty(0, np.int64) for k in range(3))
-        probe = np.concatenate([h[3] for h in hot]) if hot else np.empty(0, bool)
         some, none = len(a), len(lid)
 
-        def column(values, kind, before, after):
-            return pa.concat_arrays([pa.nulls(before, kind), pa.array(values, kind), pa.nulls(after, kind)])
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([a, lid]), pa.int64()), column(b, pa.int64(), 0, none), column(key, pa.int64(), some, 0),
-             column(sig, pa.int64(), some, 0), column(probe, pa.bool_(), some, 0)], names=["a", "b", "key", "sig", "probe"])
+        def column(values, before, after):
+            return pa.concat_arrays([pa.nulls(before, pa.int64()), pa.array(values, pa.int64()), pa.nulls(after, pa.int64())])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([a, lid]), pa.int64()), column(b, 0, none), column(key, some, 0),
+                                           column(sig, some, 0)], names=["a", "b", "key", "sig"])
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_ = None      # rows of the last key so far, at most group_rows
         hot = None        # a key that has shown more
         for batch in batches:
-            cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "lid", "sig", "probe")]
+            cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "lid", "sig")]
+            pairs, rows = [], []
+            if len(heavy_keys):
+                known = np.isin(cols[0] >> 1, heavy_keys)
+                if known.any():
+                    key, lid, sig = (c[known] for c in cols)
+                    rows.append((lid, key, sig))
+                    cols = [c[~known] for c in cols]
             if open_ is not None:
                 cols = [np.concatenate(x) for x in zip(open_, cols)]
                 open_ = None
-            key, lid, sig, probe = cols
-            if not len(key):
-                continue
-            pairs, rows = [], []
-            starts = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1))
-            ends = np.append(starts[1:], len(key))
-            some = ends - starts > 1
-            some[0] |= key[0] == hot    # the last row of a hot key may open a batch on its own
-            for s, e in zip(starts[some].tolist(), ends[some].tolist()):
-                if key[s] == hot or e - s > group_rows:
-                    hot = key[s]
-                    rows.append((lid[s:e], key[s:e], sig[s:e], probe[s:e]))
-                elif e < len(key):
-                    pairs.append(of_key(key[s:e], lid[s:e], sig[s:e], probe[s:e]))
-            s = int(starts[-1])
-            if key[s] != hot:
-                open_ = [c[s:].copy() for c in cols]
+            key, lid, sig = cols
+            if len(key):
+                name = key >> 1
+                starts = np.concatenate(([0], np.flatnonzero(name[1:] != name[:-1]) + 1))
+                ends = np.append(starts[1:], len(key))
+                some = ends - starts > 1
+                some[0] |= name[0] == hot    # the last row of a hot key may open a batch on its own
+                for s, e in zip(starts[some].tolist(), ends[some].tolist()):
+                    if name[s] == hot or e - s > group_rows:
+                        hot = name[s]
+                        rows.append((lid[s:e], key[s:e], sig[s:e]))
+                    elif e < len(key):
+                        pairs.append(of_key(key[s:e], lid[s:e], sig[s:e]))
+                s = int(starts[-1])
+                if name[s] != hot:
+                    open_ = [c[s:].copy() for c in cols]
             if pairs or rows:
                 yield table(pairs, rows)
         if open_ is not None and len(open_[0]) > 1:
             yield table([of_key(*open_)], [])
 
-    def of_key(key, lid, sig, probe):
-        if not probe.all() and len(lid) > 2:
-            rows = np.unique(np.stack([lid, probe.astype(np.int64)]), axis=1, return_index=True)[1]
-            lid, sig, probe = lid[rows], sig[rows], probe[rows]
-        return _matches(lid, sig, probe, int(key[0]) & _EDITS)
+    def of_key(key, lid, sig):
+        if len(lid) > 2 and not key[0] & 1:
+            rows = np.unique(np.stack([lid, key & 1]), axis=1, return_index=True)[1]
+            key, lid, sig = key[rows], lid[rows], sig[rows]
+        return _matches(lid, sig, (key & 1).astype(bool), int(key[0]) >> 1 & _EDITS)
     return match
 
 
-def _match_blocks(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    lid, sig, probe, block = (rows[c].to_numpy() for c in ("a", "sig", "probe", "block"))
-    a, b = _matches(lid, sig, probe.astype(bool), int(key[0]) & _EDITS, None if key[1] == key[2] else block)
-    return pd.DataFrame({"a": a, "b": b})
+def _verify_blocks(threshold: int, edit_chars: int):
+    """A forest of the verified links across two blocks of a hot key (or within one)."""
+    def verify(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        lid, probe, block = (rows[c].to_numpy() for c in ("lid", "probe", "block"))
+        sig = np.ascontiguousarray(rows["sig"].to_numpy(), np.int64).view(np.uint64)
+        lines, edits, probe = rows["line"].tolist(), int(key[0]) & _EDITS, probe.astype(bool)
+        label = np.arange(len(lid))   # the tree that a line is in
+        links = []
+        across, places = key[1] != key[2], np.arange(len(lid))
+        for i in np.flatnonzero(~probe).tolist():
+            ok = _alike(sig, sig[i], edits) & (probe | (places > i)) & (label != label[i])
+            if across:
+                ok &= block != block[i]
+            for j in np.flatnonzero(ok).tolist():
+                if label[i] != label[j] and within(lines[i], lines[j], edits_of(min(len(lines[i]), len(lines[j])), threshold, edit_chars)):
+                    label[label == label[j]] = label[i]
+                    links.append((lid[i], lid[j]))
+        return pd.DataFrame(links, columns=["a", "b"], dtype=np.int64)
+    return verify
+
+
+#: one line in so many shows which keys are heavy
+SAMPLE = 64
+
+
+def heavy_keys(texts: DataFrame, make, rows: int) -> list[int]:
+    """Keys that hold about ``rows`` rows or more and a share of all rows that one
+    task would feel; at most four a shuffle partition."""
+    sample = materialize(texts.where(F.pmod("lid", F.lit(SAMPLE)) == 0).mapInArrow(make, _KEYS).select(F.shiftright("key", 1).alias("key")))
+    parts = shuffle_partitions(texts.sparkSession)
+    least = max(rows // SAMPLE, sample.count() // (4 * parts), 1)
+    return [r.key for r in sample.groupBy("key").count().where(F.col("count") >= least).select("key").collect()]
 
 
 def edit_links(texts: DataFrame, threshold: int = 2, edit_chars: int = 32, group_rows: int = 1024,
-               broadcast_rows: int = 500_000, short_chars: int | None = None) -> DataFrame:
-    """Links ``(a, b)`` between (first) ids of the lines of the column ``text``
-    that are within ``threshold`` edits of each other, or within one if the
-    shorter has ``short_chars`` to ``edit_chars`` - 1 characters (None: none such)."""
+               broadcast_rows: int = 500_000, short_chars: int | None = None, block_rows: int | None = None) -> DataFrame:
+    """Links ``(a, b)`` between the ids of lines ``(lid, line)`` that are within
+    ``threshold`` edits of each other, or within one if the shorter has
+    ``short_chars`` to ``edit_chars`` - 1 characters (None: none such); those of a
+    hot key as a forest.  ``texts`` is read more than once, so give a written table."""
     least = edit_chars if short_chars is None else min(short_chars, edit_chars)
-    keys = texts.mapInArrow(_make_keys(threshold, edit_chars, least), _KEYS)
-    found = materialize(keys.repartition("key").sortWithinPartitions("key").mapInArrow(_match_stream(group_rows), _FOUND))
-    hot = found.where("b is null").select("key", "a", "sig", "probe").distinct()
-    blocks = hot.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / group_rows).alias("n"))
-    hot = (hot.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("a"), F.col("n")))
-           .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    block_rows = block_rows or 2 * group_rows
+    make = _make_keys(threshold, edit_chars, least)
+    heavy = heavy_keys(texts, make, 20 * group_rows)
+    keys = texts.mapInArrow(make, _KEYS)
+    name = F.shiftright("key", 1)
+    route = F.when(name.isin(heavy), F.xxhash64("lid")).otherwise(name) if heavy else name
+    found = materialize(keys.repartition(route).sortWithinPartitions("key").mapInArrow(_match_stream(group_rows, heavy), _FOUND))
+    hot = (found.where("b is null").groupBy(F.shiftright("key", 1).alias("key"), F.col("a").alias("lid"))
+           .agg(F.min("sig").alias("sig"), F.min(F.col("key").bitwiseAND(1)).alias("probe")))
+    blocks = hot.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("n"))
+    hot = materialize(hot.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("lid"), F.col("n"))))
+    hot_lines = texts.join(hot.select("lid").distinct(), "lid", "left_semi").groupBy("lid").agg(F.min("line").alias("line"))
+    hot = (hot.join(hot_lines, "lid").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
            .withColumn("x", F.least("block", "other")).withColumn("y", F.greatest("block", "other")))
-    more = hot.groupBy("key", "x", "y").applyInPandas(_match_blocks, "a long, b long")
-    pairs = materialize(found.where("b is not null").select("a", "b").unionByName(more).distinct())
+    forest = hot.groupBy("key", "x", "y").applyInPandas(_verify_blocks(threshold, edit_chars), "a long, b long")
+    pairs = materialize(found.where("b is not null").select("a", "b").distinct())
     ids = materialize(pairs.select(F.col("a").alias("lid")).unionByName(pairs.select(F.col("b").alias("lid"))).distinct())
     few = ids.count() <= broadcast_rows  # 8 bytes each: a checked size
-    lines = texts.mapInArrow(_line_texts(least), "lid long, line string")
-    lines = materialize(lines.join(F.broadcast(ids) if few else ids, "lid").groupBy("lid").agg(F.min("line").alias("line")))
+    lines = materialize(texts.join(F.broadcast(ids) if few else ids, "lid").groupBy("lid").agg(F.min("line").alias("line")))
 
     @F.pandas_udf(T.BooleanType())
     def verified(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([within(x, y, edits_of(min(len(x), len(y)), threshold, edit_chars)) for x, y in zip(a, b)], dtype=bool)
     one, two = (lines.select(F.col("lid").alias(x), F.col("line").alias(f"line_{x}")) for x in "ab")
-    return pairs.join(one, "a").join(two, "b").where(verified(F.col("line_a"), F.col("line_b"))).select("a", "b")
+    links = pairs.join(one, "a").join(two, "b").where(verified(F.col("line_a"), F.col("line_b"))).select("a", "b")
+    return links.unionByName(forest)
 
 
 # -- documents ---------------------------------------------------------------
@@ -387,17 +410,19 @@ def _without(texts: pd.Series, removed: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["text", "n_lines", "n_removed", "share"])
 
 
-def dedup_lines(documents: DataFrame, threshold: int = 2, min_chars: int = 10, edit_chars: int = 32, id_col: str = "doc_id",
+def dedup_lines(documents: DataFrame, threshold: int = 2, min_chars: int = 1, edit_chars: int = 32, id_col: str = "doc_id",
                 text_col: str = "text", group_rows: int = 1024, broadcast_rows: int = 500_000, out_col: str = "__dedup",
                 short_chars: int | None = None) -> DataFrame:
     """``documents`` with the struct ``out_col``: the text without repeated
     lines, the number of lines, the number and the list ``removed`` of line
-    numbers (from 0) that went, and the share of its characters that is left."""
+    numbers (from 0) that went, and the share of its characters that is left.
+    Lines with fewer than ``min_chars`` characters (1: empty ones) stay."""
     text = whole_text(text_col)
     rows = documents.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("row"), text.alias("text"))
-    fields = [*rows.schema.fields[:2], *(T.StructField(n, t) for n, t in (("pos", T.IntegerType()), ("lid", T.LongType()), ("lid2", T.LongType())))]
-    lines = materialize(rows.mapInArrow(_occurrences(min_chars), T.StructType(fields)))
-    links = materialize(edit_links(rows.select("text"), threshold, edit_chars, group_rows, broadcast_rows, short_chars))
+    fields = [*rows.schema.fields[:2], *(T.StructField(n, t) for n, t in (("pos", T.IntegerType()), ("lid", T.LongType()), ("lid2", T.LongType()), ("line", T.StringType())))]
+    least = edit_chars if short_chars is None else min(short_chars, edit_chars)
+    lines = materialize(rows.mapInArrow(_occurrences(min_chars, least), T.StructType(fields)))
+    links = materialize(edit_links(lines.where("line is not null").select("lid", "line"), threshold, edit_chars, group_rows, broadcast_rows, short_chars))
     roots = materialize(components(links))
     few = roots.count() <= broadcast_rows  # 16 bytes each: a checked size
     roots = roots.withColumnRenamed("node", "lid")

@@ -28,12 +28,12 @@ def normal(line):
     return re.sub(r"\s+", " ", line.lower()).strip()
 
 
-def brute(rows, threshold=2, min_chars=10, edit_chars=32):
+def brute(rows, threshold=2, edit_chars=32):
     """Removed line numbers by (id, text), comparing all pairs of lines."""
     at = defaultdict(list)
     for i, t in rows:
         for k, line in enumerate((t or "").split("\n")):
-            if len(normal(line)) >= min_chars:
+            if normal(line):
                 at[normal(line)].append((i, t, k))
     lines = sorted(at, key=len)
     parent = {x: x for x in lines}
@@ -95,11 +95,46 @@ def test_edit_links_with_a_hot_segment(spark):
     rng = random.Random(9)
     lines = sorted({edited(rng, "this line begins alike in all of them and ends " + f"{rng.randrange(40):04d}", rng.randrange(3), "xyz") for _ in range(150)})
     lids = L.line_ids(lines)[0].tolist()
-    df = spark.createDataFrame([(x,) for x in lines] + [("\n".join(lines),), (None,)], "text string")
+    df = spark.createDataFrame(list(zip(lids, lines)) * 2, "lid long, line string")
     want = {tuple(sorted((lids[i], lids[j]))) for i in range(len(lines)) for j in range(i + 1, len(lines)) if dist(lines[i], lines[j]) <= 2}
-    for group_rows in (5, 4096):
-        assert {(r.a, r.b) for r in L.edit_links(df, 2, 32, group_rows).collect()} == want
-    assert len(want) > 50
+    assert {(r.a, r.b) for r in L.edit_links(df, 2, 32, 4096).collect()} == want and len(want) > 50
+    # hot keys, with and without heavy ones: links of the right pairs, and all that hangs together
+    for sample in (1, 1 << 40):
+        L.SAMPLE, before = sample, L.SAMPLE
+        try:
+            got = {tuple(sorted((r.a, r.b))) for r in L.edit_links(df, 2, 32, 5).collect()}
+        finally:
+            L.SAMPLE = before
+        assert got <= want and trees(got, lids) == trees(want, lids)
+
+
+def trees(links, nodes):
+    parent = {n: n for n in nodes}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a, b in links:
+        parent[max(root(a), root(b))] = min(root(a), root(b))
+    return {n: root(n) for n in nodes}
+
+
+def test_numbered_template_lines(spark):
+    """Lines that share a segment and are nearly all alike: one class, without all pairs being written."""
+    n = 20_000
+    lines = [f"page {k:05d} of a very long document whose pages are all numbered" for k in range(n)]
+    lids = L.line_ids(lines)[0].tolist()
+    df = spark.createDataFrame(list(zip(lids, lines)), "lid long, line string").repartition(4)
+    links = L.materialize(L.edit_links(L.materialize(df)))
+    assert len(set(trees([tuple(r) for r in links.collect()], lids).values())) == 1
+    assert links.count() < 60 * n
+
+
+def test_short_lines_are_one_class_with_their_equals(spark):
+    rows = [(1, "Home\nAbout us\n\n-"), (2, "home\n  about   US\nother words\n\n-"), (3, "hom\n\n")]
+    out = {r.doc_id: r.removed for r in L.line_dedup_digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == {1: "", 2: "0,1,4", 3: ""}
 
 
 def test_within_and_probes_random():

@@ -3,13 +3,14 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
-from test_line_dedup import dist, edited
+from test_line_dedup import dist, edited, trees
 
 from campanula.llm import line_dedup as L
 
 
+@pytest.mark.parametrize("heavy", [[], [7]])
 @pytest.mark.parametrize("sizes", [(4, 4), (4, 1, 3), (4, 2, 2), (4, 1), (1, 1, 1, 1, 1, 3), (8,)])
-def test_no_row_of_a_hot_key_is_lost(sizes):
+def test_no_row_of_a_hot_key_is_lost(sizes, heavy):
     """Five rows of key 7 (hot from the fourth on) and three others, whatever the batch borders."""
     keys, lids = [7] * 5 + [9] * 3, list(range(1, 9))
     batches, at = [], 0
@@ -17,10 +18,10 @@ def test_no_row_of_a_hot_key_is_lost(sizes):
         part = slice(at, at + n)
         size = len(keys[part])
         batches.append(pa.RecordBatch.from_arrays(
-            [pa.array(keys[part], pa.int64()), pa.array(lids[part], pa.int64()), pa.array(np.zeros(size, np.int64)), pa.array(np.zeros(size, bool))],
-            names=["key", "lid", "sig", "probe"]))
+            [pa.array([k << 1 for k in keys[part]], pa.int64()), pa.array(lids[part], pa.int64()), pa.array(np.zeros(size, np.int64))],
+            names=["key", "lid", "sig"]))
         at += n
-    out = [r for b in L._match_stream(3)(iter(batches)) for r in b.to_pylist()]
+    out = [r for b in L._match_stream(3, heavy)(iter(batches)) for r in b.to_pylist()]
     seen = sum(sizes)
     assert sorted(r["a"] for r in out if r["b"] is None) == [1, 2, 3, 4, 5][:seen]
     assert {(r["a"], r["b"]) for r in out if r["b"] is not None} == ({(6, 7), (6, 8), (7, 8)} if seen == 8 else set())
@@ -36,7 +37,7 @@ def test_links_with_small_arrow_batches(spark, records):
     before = spark.conf.get(name)
     spark.conf.set(name, str(records))
     try:
-        got = {(r.a, r.b) for r in L.edit_links(spark.createDataFrame([(x,) for x in lines], "text string"), 2, 32, 3).collect()}
+        got = {tuple(sorted((r.a, r.b))) for r in L.edit_links(spark.createDataFrame(list(zip(lids, lines)), "lid long, line string"), 2, 32, 3).collect()}
     finally:
         spark.conf.set(name, before)
-    assert got == want and len(want) > 20
+    assert got <= want and trees(got, lids) == trees(want, lids) and len(want) > 20
