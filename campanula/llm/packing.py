@@ -49,12 +49,14 @@ class TextIds:
 
     With ``ranks_file``, the same byte-level vocabulary as a list of ranks,
     texts of plain characters are encoded by the faster library for that form;
-    all others go to the tokenizer itself."""
+    all others, and those with the text of an added (special) token in them, go
+    to the tokenizer itself."""
 
     def __init__(self, tokenizer_file: str, ranks_file: str | None = None) -> None:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
         self.fast = None
         if ranks_file:
             import public_tokenizers
@@ -65,7 +67,7 @@ class TextIds:
 
     def __call__(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        if self.fast is not None and _PLAIN.fullmatch(text):
+        if self.fast is not None and _PLAIN.fullmatch(text) and not self.added.search(text):
             return self.fast.encode_to_numpy(text).astype("<u4", copy=False).tobytes()
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 

@@ -12,9 +12,7 @@ from campanula.llm.queries import default_ranks, default_tokenizer
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(default_tokenizer())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(default_tokenizer())
 
 
 def check(docs, pieces, tokenizer, window):
@@ -92,3 +90,11 @@ def test_odd_input(empty, edge):
     out = packing.pack(edge, default_tokenizer(), with_ids=True)
     assert out.where(f"doc_id = {large}").count() == 1
     assert out.where("doc_id is null").count() >= 1 and out.where("length * 4 <> octet_length(ids)").count() == 0
+
+
+@pytest.mark.parametrize("text", ["<|endoftext|>", "a <|endoftext|> b", "plain<|endoftext|><|endoftext|>\u4e2d", "<|endoftext", "x <|endoftext|>\n\n y"])
+def test_texts_of_special_tokens(tokenizer, text):
+    """As the contract's call encodes them: the text of an added token is that token."""
+    ids = np.frombuffer(packing.TextIds(default_tokenizer(), default_ranks())(text), "<u4").tolist()
+    assert ids == tokenizer.encode(text, add_special_tokens=False).ids
+    assert (50256 in ids) == ("<|endoftext|>" in text)
