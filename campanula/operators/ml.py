@@ -18,8 +18,7 @@ import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, NaiveBayes,
                                        RandomForestClassifier)
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import (OneHotEncoder, PCA, StandardScaler, StringIndexer,
                                 VectorAssembler)
 from pyspark.ml.functions import vector_to_array
@@ -29,6 +28,7 @@ from pyspark.sql import functions as F
 from campanula.functions import clean as C
 from campanula.operators import evaluate as EV
 from campanula.operators import gram as GR
+from campanula.operators import kmeans as KM
 from campanula.operators import ranks as RK
 from campanula.operators.abt import scalar
 from campanula.session import materialize, small
@@ -288,29 +288,14 @@ def segment_matrix(abt: DataFrame, feats: Sequence[str] = SEGMENT_FEATURES) -> D
     return sc.transform(x).select("customer_id", "total_revenue", "email_opt_in", "features")
 
 
-def kmeans_sweep(x: DataFrame, ks: Sequence[int], seed: int = SEED) -> DataFrame:
-    """ML-04 / ML-06: inertia and silhouette per k (distributed fits)."""
-    ev = ClusteringEvaluator(featuresCol="features", predictionCol="prediction",
-                             distanceMeasure="squaredEuclidean")
-    from concurrent.futures import ThreadPoolExecutor
-
-    def one(k):
-        m = KMeans(k=k, seed=seed, featuresCol="features").fit(x)
-        return (int(k), float(m.summary.trainingCost), float(ev.evaluate(m.transform(x))))
-    # independent fits on the materialised matrix, run from parallel driver threads
-    with ThreadPoolExecutor(max_workers=min(8, len(ks))) as ex:
-        rows = list(ex.map(one, list(ks)))
-    return x.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
+def kmeans_sweep(x: DataFrame, ks: Sequence[int], key: str = "customer_id", restarts: int = 10, seed: int = SEED) -> DataFrame:
+    """ML-04 / ML-06: inertia and silhouette per k, all fits in shared scans."""
+    return KM.sweep(x, list(ks), key, restarts, seed)[1]
 
 
-def best_kmeans(x: DataFrame, k: int, restarts: int = 10, seed: int = SEED):
+def best_kmeans(x: DataFrame, k: int, key: str = "customer_id", restarts: int = 10, seed: int = SEED) -> KM.Model:
     """ML-04: k-means with restarts, keep the lowest cost."""
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=min(8, restarts)) as ex:
-        models = list(ex.map(lambda r: KMeans(k=k, seed=seed + r, featuresCol="features").fit(x),
-                             range(restarts)))
-    # lowest cost, first restart on ties (same choice as a sequential loop)
-    return min(enumerate(models), key=lambda im: (im[1].summary.trainingCost, im[0]))[1]
+    return KM.fit(x, [k], key, restarts, seed)[k]
 
 
 def segment_customers(abt: DataFrame, k: int = 4) -> DataFrame:
@@ -326,18 +311,20 @@ def segment_customers(abt: DataFrame, k: int = 4) -> DataFrame:
     return seg.join(F.broadcast(lab), "Segment")
 
 
-def group_campaigns(features: DataFrame, ks: Sequence[int] = (2, 3, 4, 5), seed: int = SEED) -> DataFrame:
-    """ML-05: standardised campaign features, k chosen by best silhouette."""
+def group_campaigns(features: DataFrame, ks: Sequence[int] = (2, 3, 4, 5), restarts: int = 10, seed: int = SEED) -> DataFrame:
+    """ML-05: standardised campaign features, ten restarts for each k, k chosen by best silhouette."""
     x0 = features.select("campaign_id", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
                                           for c in CAMPAIGN_FEATURES])
     raw = VectorAssembler(inputCols=list(CAMPAIGN_FEATURES), outputCol="raw").transform(x0)
     x = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(raw).transform(raw)
     x = materialize(x)
     n = x.count()  # model selection control flow: one number to the driver
-    sweep = kmeans_sweep(x, [k for k in ks if k < n], seed)
-    best_k = sweep.orderBy(F.col("silhouette").desc(), "k").first()["k"]
-    m = KMeans(k=int(best_k), seed=seed, featuresCol="features").fit(x)
-    return m.transform(x).select("campaign_id", F.col("prediction").alias("Group"))
+    models, table = KM.sweep(x, [k for k in ks if k < n], "campaign_id", restarts, seed)
+    scores = {r.k: r.silhouette for r in table.collect() if r.silhouette is not None}  # one row per k
+    if not scores:  # too few or equal campaigns: one group
+        return x.select("campaign_id", F.lit(0).alias("Group"))
+    best = max(scores, key=lambda k: (scores[k], -k))
+    return models[best].transform(x, "Group").select("campaign_id", "Group")
 
 
 def pca_2d(x: DataFrame, key: str = "customer_id") -> DataFrame:

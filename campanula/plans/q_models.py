@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from campanula.functions import clean as C
 from campanula.operators import campaign as CP
 from campanula.operators import describe as D
 from campanula.operators import evaluate as EV
@@ -84,7 +85,9 @@ def q_seg_profile(spark, sf_dir):
     s = _segments(t).select("customer_id", "Segment_Name").join(t.abt, "customer_id")
     feats = list(M.SEGMENT_FEATURES) + ["avg_pages_viewed", "avg_time_on_site"]
     return s.groupBy("Segment_Name").agg(F.count(F.lit(1)).alias("n"),
-                                         *[F.avg(c).alias(c) for c in feats])
+                                         *[F.avg(c).alias(c) for c in feats],
+                                         C.money_sum("total_revenue").alias("revenue_of_segment"),
+                                         F.sum("total_orders").alias("orders_of_segment"), F.sum("total_sessions").alias("sessions_of_segment"))
 
 
 @register("segment_optin_gap", None, group=G)

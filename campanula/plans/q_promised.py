@@ -285,7 +285,7 @@ def q_migration(spark, sf_dir):
     t = tables(spark, sf_dir)
     x = materialize(M.segment_matrix(t.abt))
     model = M.best_kmeans(x, 4)
-    centres = [np.asarray(c) for c in model.clusterCenters()]   # k vectors: model output
+    centres = list(model.centres)   # k vectors: model output
     seg = materialize(model.transform(x).select("customer_id", F.col("prediction").alias("Segment"))
                       .join(t.abt.select("customer_id", "total_revenue", "total_orders", "total_checkout_started"),
                             "customer_id"))
