@@ -364,12 +364,12 @@ def mlr(df: DataFrame, y: str, num: Sequence[str], name: str, key: str, cat: Seq
 
 
 def gram_table(df: DataFrame, y: str, num: Sequence[str], name: str, key: str, cat: Sequence[str] = (), seed: int = SEED) -> DataFrame:
-    """The sums behind ``mlr``: per part and pair of columns (all levels) the sum of products that are not zero."""
+    """The sums behind ``mlr``: per part and pair of columns (all levels) the sums of products that are not zero (beyond rounding)."""
     rows = mlr_rows(df, y, num, key, cat, seed)
     d = GR.design(rows, num, cat, drop_first=False)
     names = ["1", *d.names, "y"]
     out = [(name, "holdout" if part else "train", *sorted((names[i], names[j])), float(v))
-           for part, g in GR.gram(rows, d).items() for (i, j), v in np.ndenumerate(GR.raw_sums(g, d)) if i <= j and (abs(v) > 1e-9 or g[i, j])]
+           for part, g in GR.gram(rows, d).items() for (i, j), v in np.ndenumerate(GR.raw_sums(g, d)) if i <= j and abs(v) > 1e-6]
     return df.sparkSession.createDataFrame(out, "model string, part string, a string, b string, total double")
 
 

@@ -143,7 +143,7 @@ def _gram_sql(name: str, source: str, key: str, y: str, num, cat) -> str:
     FROM ({source}) s WHERE {known}),
   cells AS ({cells})
   SELECT x.part, x.c AS a, z.c AS b, sum(x.v * z.v) AS total FROM cells x JOIN cells z ON x.r = z.r AND x.c <= z.c
-  GROUP BY x.part, x.c, z.c HAVING sum(x.v * z.v) <> 0) g"""
+  GROUP BY x.part, x.c, z.c HAVING abs(sum(x.v * z.v)) > 1e-6) g"""
 
 
 _MLR_SQL = {
