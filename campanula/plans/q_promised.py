@@ -230,6 +230,36 @@ def q_corr(spark, sf_dir):
     return X.correlation_matrix(tables(spark, sf_dir).abt, _CORR_COLS)
 
 
+# the fit by its definition: the greatest over starts of the least over ends of the mean label
+cte("isotonic_cells", """
+SELECT score, row_number() OVER (ORDER BY score) AS i, sum(n) OVER (ORDER BY score) AS cn, sum(s) OVER (ORDER BY score) AS cs, n, s
+FROM (SELECT score, count(*) AS n, count_if(label) AS s FROM scored GROUP BY score) c""")
+cte("isotonic_fit", """
+SELECT score, n, max(least_mean) AS value FROM (
+  SELECT x.score, x.n, a.i AS j, min(CAST(z.cs - a.cs + a.s AS DOUBLE) / (z.cn - a.cn + a.n)) AS least_mean
+  FROM isotonic_cells x JOIN isotonic_cells a ON a.i <= x.i JOIN isotonic_cells z ON z.i >= x.i GROUP BY x.score, x.n, a.i) m
+GROUP BY score, n""")
+
+
+@register("isotonic_blocks", """
+SELECT min(score) AS lo, max(score) AS hi, CAST(sum(n) AS DOUBLE) AS weight, value FROM isotonic_fit GROUP BY value""", group=G)
+def q_isotonic(spark, sf_dir):
+    """P-12: the steps that recalibrate the lead score, from all scored leads."""
+    from campanula.operators import isotonic as IS
+    from campanula.plans.q_eval import scored
+    return IS.fit(scored(tables(spark, sf_dir)))
+
+
+@register("isotonic_lead_scores", """
+SELECT s.lead_id, s.label, s.score, f.value AS calibrated FROM scored s JOIN isotonic_fit f ON s.score = f.score""", group=G)
+def q_isotonic_scores(spark, sf_dir):
+    """P-12: every scored lead with its recalibrated probability."""
+    from campanula.operators import isotonic as IS
+    from campanula.plans.q_eval import scored
+    s = scored(tables(spark, sf_dir))
+    return IS.apply(s, IS.fit(s))
+
+
 @register("recalibration", None, group=G)
 def q_recal(spark, sf_dir):
     """P-12: Platt and isotonic recalibration of the lead score (fitted on a
@@ -237,18 +267,16 @@ def q_recal(spark, sf_dir):
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
-    from pyspark.ml.regression import IsotonicRegression
+    from campanula.operators import isotonic as IS
     from campanula.operators import ml as M
     from campanula.plans.q_eval import scored
     s = scored(tables(spark, sf_dir)).withColumn("label", F.col("label").cast("double"))
     train, test = M.stratified_split(s, "label", "lead_id")
     va = VectorAssembler(inputCols=["score"], outputCol="f")
     platt = LogisticRegression(featuresCol="f", labelCol="label").fit(va.transform(train))
-    iso = IsotonicRegression(featuresCol="f", labelCol="label").fit(va.transform(train))
-    t = va.transform(test)
-    t = platt.transform(t).withColumn("p_platt", vector_to_array("probability")[1]) \
+    t = platt.transform(va.transform(test)).withColumn("p_platt", vector_to_array("probability")[1]) \
              .drop("rawPrediction", "probability", "prediction")
-    t = iso.transform(t).withColumnRenamed("prediction", "p_isotonic")
+    t = IS.apply(t, IS.fit(train), out="p_isotonic")
     out = None
     for name, col in (("raw", "score"), ("platt", "p_platt"), ("isotonic", "p_isotonic")):
         c = EV.calibration(t.select("label", F.col(col).alias("score"))).withColumn("method", F.lit(name))
