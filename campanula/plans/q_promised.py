@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from campanula.operators import cube as CU
 from campanula.operators import describe as D
 from campanula.operators import evaluate as EV
 from campanula.operators import extended as X
@@ -212,6 +213,44 @@ def q_kpi_region(spark, sf_dir):
     return X.kpi_slices(tables(spark, sf_dir).abt, "region")
 
 
+# rows of all facts with their own measures; one cube over all of them
+cte("kpi_rows", """
+SELECT COALESCE(strftime(l.lead_date, '%Y-%m'), 'Unknown') AS month, COALESCE(c.channel, 'Unknown') AS channel,
+  COALESCE(l.observed_region, 'Unknown') AS region, 1 AS leads, CAST(COALESCE(l.converted_30d, false) AS INTEGER) AS conversions,
+  COALESCE(l.acquisition_cost_usd, 0.0) AS acquisition_cost, 0 AS sessions, 0 AS checkouts, 0 AS orders, 0.0 AS units, 0.0 AS revenue, 0 AS returns
+FROM leads l LEFT JOIN campaigns c ON l.campaign_id = c.campaign_id
+UNION ALL
+SELECT COALESCE(strftime(session_date, '%Y-%m'), 'Unknown'), COALESCE(channel_group, 'Unknown'), COALESCE(geo_region, 'Unknown'),
+  0, 0, 0.0, 1, CAST(COALESCE(checkout_started, false) AS INTEGER), 0, 0.0, 0.0, 0 FROM sessions
+UNION ALL
+SELECT COALESCE(strftime(t.order_date, '%Y-%m'), 'Unknown'), COALESCE(t.marketing_channel_last_touch, 'Unknown'), COALESCE(c.region, 'Unknown'),
+  0, 0, 0.0, 0, 0, 1, COALESCE(t.units, 0.0), COALESCE(t.revenue_usd, 0.0), CAST(COALESCE(t.returned_flag, false) AS INTEGER)
+FROM transactions t LEFT JOIN customers c ON t.customer_id = c.customer_id""")
+
+
+@register("kpi_cube", """
+SELECT month, channel, region, level, leads, conversions, acquisition_cost, sessions, checkouts, orders, units, revenue, returns,
+  lcr, lcr / NULLIF(o, 0) AS lift, acquisition_cost / NULLIF(leads, 0) AS cost_per_lead, revenue / NULLIF(orders, 0) AS aov,
+  CAST(checkouts AS DOUBLE) / NULLIF(sessions, 0) AS checkout_rate, CAST(returns AS DOUBLE) / NULLIF(orders, 0) AS return_rate,
+  CASE WHEN lcr >= o THEN 'green' WHEN lcr >= o * 0.9 THEN 'amber' WHEN lcr IS NOT NULL THEN 'red' END AS band
+FROM (SELECT CASE WHEN grouping(month) = 1 THEN 'all' ELSE month END AS month, CASE WHEN grouping(channel) = 1 THEN 'all' ELSE channel END AS channel,
+        CASE WHEN grouping(region) = 1 THEN 'all' ELSE region END AS region,
+        CAST(4 * grouping(month) + 2 * grouping(channel) + grouping(region) AS INTEGER) AS level,
+        CAST(sum(leads) AS BIGINT) AS leads, CAST(sum(conversions) AS BIGINT) AS conversions, CAST(sum(acquisition_cost) AS DOUBLE) AS acquisition_cost,
+        CAST(sum(sessions) AS BIGINT) AS sessions, CAST(sum(checkouts) AS BIGINT) AS checkouts, CAST(sum(orders) AS BIGINT) AS orders,
+        CAST(sum(units) AS DOUBLE) AS units, CAST(sum(revenue) AS DOUBLE) AS revenue, CAST(sum(returns) AS BIGINT) AS returns,
+        CAST(sum(conversions) AS DOUBLE) / NULLIF(sum(leads), 0) AS lcr,
+        (SELECT CAST(sum(conversions) AS DOUBLE) / NULLIF(sum(leads), 0) FROM kpi_rows) AS o
+      FROM kpi_rows GROUP BY CUBE (month, channel, region)) g""", group=G)
+def q_kpi_cube(spark, sf_dir):
+    """P-20: KPIs of every month, channel and region, alone and together."""
+    t = tables(spark, sf_dir)
+    if not hasattr(t, "_kpi_cells"):
+        from campanula.session import materialize
+        t._kpi_cells = materialize(CU.kpi_cells(t.leads, t.sessions, t.transactions, t.campaigns, t.customers))
+    return CU.kpi_cube(t._kpi_cells)
+
+
 _CORR_COLS = ("avg_pages_viewed", "avg_time_on_site", "total_add_to_cart", "total_checkout_started",
               "avg_engagement_score", "total_sessions")
 
