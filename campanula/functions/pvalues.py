@@ -1,162 +1,44 @@
-"""P-values from test statistics (STA-*).
-
-Neither Spark SQL nor the SQL oracle has error / incomplete-gamma /
-incomplete-beta functions, so the tail probabilities are a small
-vectorised pandas UDF applied to *statistic rows* (one row per test, never
-per data row).  The special functions are the standard series and
-continued-fraction expansions (Abramowitz & Stegun 6.5, 26.5; Lentz's
-method), with ``math.lgamma`` / ``math.erfc`` from the standard library.
+"""P-values from test statistics (STA-*), as column expressions.
+
+Chi-square, normal, t and F tails are one integral.  On the log scale the density
+of a gamma variable is ``exp(a v - e^v)`` and that of a ratio of two such variables
+``e^(a v) / (1 + e^v)^(a + b)``, up to a constant; chi-square and z^2 are the first
+kind, F and t^2 the second.  With T the area right of the statistic and H the area
+left of it, the tail probability is ``1 / (1 + H / T)``: the constant cancels, so no
+gamma function is needed.
+
+Both areas are taken relative to the density at the statistic and start there, so
+small tails keep their relative accuracy.  The distance from the statistic is
+``s = exp(u - exp(-u))``, which covers every scale of decay with evenly spaced u.
 """
 
 from __future__ import annotations
 
-import math
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-_EPS = 1e-15
-_TINY = 1e-300
-_MAX_IT = 500
-
-
-def _gammainc_lower_series(a: float, x: float) -> float:
-    term = 1.0 / a
-    total = term
-    n = a
-    for _ in range(_MAX_IT):
-        n += 1.0
-        term *= x / n
-        total += term
-        if abs(term) < abs(total) * _EPS:
-            break
-    return total * math.exp(-x + a * math.log(x) - math.lgamma(a))
-
-
-def _gammainc_upper_cf(a: float, x: float) -> float:
-    b = x + 1.0 - a
-    c = 1.0 / _TINY
-    d = 1.0 / b
-    h = d
-    for i in range(1, _MAX_IT):
-        an = -i * (i - a)
-        b += 2.0
-        d = an * d + b
-        d = _TINY if abs(d) < _TINY else d
-        c = b + an / c
-        c = _TINY if abs(c) < _TINY else c
-        d = 1.0 / d
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < _EPS:
-            break
-    return math.exp(-x + a * math.log(x) - math.lgamma(a)) * h
-
-
-def gammaincc(a: float, x: float) -> float:
-    """Regularised upper incomplete gamma Q(a, x)."""
-    if x is None or a is None or math.isnan(x) or math.isnan(a) or a <= 0:
-        return float("nan")
-    if x <= 0:
-        return 1.0
-    if x < a + 1.0:
-        return max(0.0, 1.0 - _gammainc_lower_series(a, x))
-    return _gammainc_upper_cf(a, x)
-
-
-def _betacf(a: float, b: float, x: float) -> float:
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c = 1.0
-    d = 1.0 - qab * x / qap
-    d = _TINY if abs(d) < _TINY else d
-    d = 1.0 / d
-    h = d
-    for m in range(1, _MAX_IT):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = _TINY if abs(d) < _TINY else d
-        c = 1.0 + aa / c
-        c = _TINY if abs(c) < _TINY else c
-        d = 1.0 / d
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = _TINY if abs(d) < _TINY else d
-        c = 1.0 + aa / c
-        c = _TINY if abs(c) < _TINY else c
-        d = 1.0 / d
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < _EPS:
-            break
-    return h
-
-
-def betainc(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta I_x(a, b)."""
-    if any(v is None or math.isnan(v) for v in (a, b, x)) or a <= 0 or b <= 0:
-        return float("nan")
-    if x <= 0:
-        return 0.0
-    if x >= 1:
-        return 1.0
-    lbt = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
-    bt = math.exp(lbt)
-    if x < (a + 1.0) / (a + b + 2.0):
-        return bt * _betacf(a, b, x) / a
-    return 1.0 - bt * _betacf(b, a, 1.0 - x) / b
-
-
-def chi2_sf(x: float, k: float) -> float:
-    return gammaincc(k / 2.0, x / 2.0)
-
-
-def norm_sf(z: float) -> float:
-    return 0.5 * math.erfc(z / math.sqrt(2.0))
-
-
-def t_sf2(t: float, df: float) -> float:
-    """Two-sided p of Student t."""
-    if any(v is None or math.isnan(v) for v in (t, df)) or df <= 0:
-        return float("nan")
-    return betainc(df / 2.0, 0.5, df / (df + t * t))
-
-
-def f_sf(f: float, d1: float, d2: float) -> float:
-    if any(v is None or math.isnan(v) for v in (f, d1, d2)) or d1 <= 0 or d2 <= 0:
-        return float("nan")
-    if f <= 0:
-        return 1.0
-    return betainc(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f))
 
+# steps a unit of u, and the range of u: s from about 1e-25 to 400
+STEPS, FIRST, LAST = 64, -4, 6
 
-def _nan(v):
-    return v is None or (isinstance(v, float) and math.isnan(v))
 
+def _share_right(a: Column, b: Column, y: Column, rest: Column) -> Column:
+    """Share of the density right of the statistic.
 
-def _p_row(dist: str, stat: float, df1: float, df2: float) -> float:
-    if _nan(stat):
-        return float("nan")
-    if dist == "chi2":
-        return chi2_sf(stat, df1)
-    if dist == "norm2":
-        return 2.0 * norm_sf(abs(stat))
-    if dist == "norm1":
-        return norm_sf(stat)
-    if dist == "t2":
-        return t_sf2(stat, df1)
-    if dist == "f":
-        return f_sf(stat, df1, df2)
-    return float("nan")
+    ``b`` null: gamma kind, ``y`` = e^v.  Else ratio kind, ``y`` = e^v / (1 + e^v) and
+    ``rest`` = 1 - ``y``, given apart because it may be tiny."""
+    def density(s: Column) -> Column:  # at distance s from the statistic, relative to the density there
+        ratio = F.when(y < 0.5, F.log1p(y * F.expm1(s))).otherwise(F.log(rest + y * F.exp(s)))
+        return F.exp(a * s - F.when(b.isNull(), y * F.expm1(s)).otherwise((a + b) * ratio))
 
+    def step(areas: Column, i: Column) -> Column:
+        u = i / F.lit(float(STEPS))
+        s = F.exp(u - F.exp(-u))
+        width = s * (F.exp(-u) + 1.0)
+        return F.struct((areas["right"] + width * density(s)).alias("right"), (areas["left"] + width * density(-s)).alias("left"))
 
-@F.pandas_udf(T.DoubleType())
-def _p_value_udf(dist: pd.Series, stat: pd.Series, df1: pd.Series, df2: pd.Series) -> pd.Series:
-    out = [_p_row(d, s, a, b) for d, s, a, b in zip(dist, stat, df1, df2)]
-    return pd.Series(out, dtype="float64")
+    return F.aggregate(F.sequence(F.lit(FIRST * STEPS), F.lit(LAST * STEPS)),
+                       F.struct(F.lit(0.0).alias("right"), F.lit(0.0).alias("left")), step,
+                       lambda areas: 1.0 / (1.0 + areas["left"] / areas["right"]))
 
 
 def p_value(dist: Column | str, stat: Column | str, df1: Column | str | None = None,
@@ -164,13 +46,27 @@ def p_value(dist: Column | str, stat: Column | str, df1: Column | str | None = N
     """Tail probability for a statistic column.
 
     ``dist``: ``chi2`` (df1), ``norm2`` (two-sided z), ``norm1`` (upper z),
-    ``t2`` (two-sided t, df1), ``f`` (df1, df2).
-    """
-    def c(x, default):
-        if x is None:
-            return F.lit(default).cast("double")
-        return (F.col(x) if isinstance(x, str) else x).cast("double")
+    ``t2`` (two-sided t, df1), ``f`` (df1, df2).  Null where the statistic or a
+    needed degree of freedom is null, NaN, or not above zero (degrees)."""
+    def number(x):
+        x = F.lit(None) if x is None else F.col(x) if isinstance(x, str) else x
+        return F.nanvl(x.cast("double"), F.lit(None).cast("double"))
 
-    d = F.lit(dist) if isinstance(dist, str) and dist in ("chi2", "norm2", "norm1", "t2", "f") else (
+    kind = F.lit(dist) if isinstance(dist, str) and dist in ("chi2", "norm2", "norm1", "t2", "f") else (
         F.col(dist) if isinstance(dist, str) else dist)
-    return _p_value_udf(d, c(stat, None), c(df1, float("nan")), c(df2, float("nan")))
+    x, d1, d2 = number(stat), number(df1), number(df2)
+    normal, squared = kind.isin("norm1", "norm2"), kind.isin("norm1", "norm2", "t2")
+    # degrees of the two kinds: a z or t squared has one in the numerator
+    top = F.when(squared, F.lit(1.0)).when(d1 > 0, d1)
+    under = F.when(kind == "t2", d1).when(kind == "f", d2)
+    under = F.when(under > 0, under)
+    ratio_kind = kind.isin("t2", "f")
+    size = F.when(squared, x * x).otherwise(x)
+    scaled = F.when(ratio_kind, top * size).otherwise(size / 2.0)  # the gamma kind's e^v is half a chi-square
+    y = F.when(ratio_kind, scaled / (scaled + under)).otherwise(scaled)
+    share = _share_right(top / 2.0, under / 2.0, y, under / (scaled + under))
+    infinite = scaled == float("inf")
+    whole = F.when(size <= 0, 1.0).when(infinite, 0.0).otherwise(share)
+    known = x.isNotNull() & top.isNotNull() & (~ratio_kind | under.isNotNull()) & (normal | ratio_kind | (kind == "chi2"))
+    one_sided = F.when(x > 0, whole / 2.0).otherwise(1.0 - whole / 2.0)
+    return F.when(known, F.when(kind == "norm1", one_sided).otherwise(whole))
