@@ -45,19 +45,38 @@ def null_counts(df: DataFrame, cols: Sequence[str], table: str | None = None) ->
     return out
 
 
-def match_rate(fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:
-    """AUD-06: percentage of fact rows whose key exists in the dimension.
-
-    The dimension is reduced to its distinct keys first (no fan-out); null
-    fact keys count as unmatched.  The join is planned by AQE: a broadcast
-    hash join when the distinct key set is measured small, else sort-merge.
-    """
-    dk = dim_key or key
-    keys = dim.select(F.col(dk).alias("_k")).filter(F.col("_k").isNotNull()).distinct() \
-              .withColumn("_hit", F.lit(1))
-    j = fact.select(F.col(key).alias("_k")).join(keys, "_k", "left")
-    return j.agg((F.avg(F.col("_hit").isNotNull().cast("double")) * 100).alias("match_rate_pct"),
-                 F.count(F.lit(1)).alias("n_rows"))
+def match_rates(relations: Mapping[str, tuple[DataFrame, str, DataFrame, str]]) -> DataFrame:
+    """AUD-06: percentage of fact rows whose key exists in a dimension, of all
+    ``relation -> (fact, key, dimension, dimension key)`` together.
+
+    A fact table is scanned once for all of its keys, a dimension once for each of
+    its key columns.  Rows are counted per key before the shuffle and meet the
+    distinct keys of the dimensions as counts, so a hot key is a few rows.  Null
+    keys, never matched, become one row a task and relation the same way.  A
+    relation over an empty fact table has no rate."""
+    facts: dict[int, tuple[DataFrame, list[tuple[str, str]]]] = {}
+    dims: dict[tuple[int, str], tuple[DataFrame, list[str]]] = {}
+    for name, (fact, key, dim, dim_key) in relations.items():
+        facts.setdefault(id(fact), (fact, []))[1].append((name, key))
+        dims.setdefault((id(dim), dim_key), (dim, []))[1].append(name)
+
+    def keys(df: DataFrame, named: Sequence[tuple[str, str]]) -> DataFrame:
+        pairs = F.array(*[F.struct(F.lit(n).alias("relation"), F.col(k).cast("string").alias("k")) for n, k in named])
+        return df.select(F.explode(pairs).alias("p")).select("p.*")
+
+    def union(parts: list[DataFrame]) -> DataFrame:
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    counts = union([keys(*f) for f in facts.values()]).groupBy("relation", "k").agg(F.count(F.lit(1)).alias("n"))
+    known = union([keys(dim.select(k).filter(F.col(k).isNotNull()).distinct(), [(n, k) for n in names]) for (_, k), (dim, names) in dims.items()])
+    met = counts.join(known.withColumn("hit", F.lit(True)), ["relation", "k"], "left")
+    rates = met.groupBy("relation").agg(F.sum("n").alias("_n"), F.sum(F.when(F.col("hit"), F.col("n")).otherwise(0)).alias("_hit"))
+    every = counts.sparkSession.createDataFrame([(n,) for n in relations], "relation string")
+    return every.join(F.broadcast(rates), "relation", "left").select(  # one row per relation
+        "relation", (F.try_divide("_hit", "_n") * 100).alias("match_rate_pct"), F.coalesce("_n", F.lit(0)).cast("bigint").alias("n_rows"))
 
 
 def quality_row(df: DataFrame, table: str, a: Column, b: Column) -> DataFrame:

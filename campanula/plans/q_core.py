@@ -226,15 +226,11 @@ FROM leads s LEFT JOIN (SELECT DISTINCT campaign_id FROM campaigns WHERE campaig
 """, group="audit")
 def q_match(spark, sf_dir):
     t = tables(spark, sf_dir)
-    rel = [("sessions_to_customers", t.sessions, t.customers, "customer_id"),
-           ("sessions_to_campaigns", t.sessions, t.campaigns, "campaign_id"),
-           ("transactions_to_customers", t.transactions, t.customers, "customer_id"),
-           ("leads_to_campaigns", t.leads, t.campaigns, "campaign_id")]
-    out = None
-    for name, fact, dim, key in rel:
-        part = AU.match_rate(fact, dim, key).select(F.lit(name).alias("relation"), "match_rate_pct", "n_rows")
-        out = part if out is None else out.unionByName(part)
-    return out
+    sessions, transactions, leads, customers, campaigns = t.sessions, t.transactions, t.leads, t.customers, t.campaigns
+    return AU.match_rates({"sessions_to_customers": (sessions, "customer_id", customers, "customer_id"),
+                           "sessions_to_campaigns": (sessions, "campaign_id", campaigns, "campaign_id"),
+                           "transactions_to_customers": (transactions, "customer_id", customers, "customer_id"),
+                           "leads_to_campaigns": (leads, "campaign_id", campaigns, "campaign_id")})
 
 
 @register("quality_scores", """

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from campanula.functions import clean as C
 from campanula.operators import describe as D
 from campanula.operators import stats as S
-from campanula.plans.registry import register, tables
+from campanula.plans.registry import oracle_body, register, tables
 from campanula.plans.q_describe import aov_last_touch
 
 G = "stats"
@@ -353,18 +353,42 @@ def q_slr(spark, sf_dir):
     return S.union_all([S.slr(*fn(t), name) for name, (fn, _) in SLR.items()])
 
 
-# --- p-values (rows-only: tail probabilities are not expressible in the oracle SQL) ---
-@register("hypothesis_tests_with_p", None, group=G)
+# --- p-values ------------------------------------------------------------------
+_P_SOURCES = {"chi2_tests": "statistic", "chi2_table_tests": "statistic", "kruskal_tests": "statistic", "anova_tests": "statistic",
+              "mann_whitney_tests": "z", "mann_whitney_one_sided_tests": "z", "welch_tests": "statistic",
+              "point_biserial_tests": "t", "spearman_tests": "t"}  # the tail is taken on z or t
+
+
+def _p_sql() -> str:
+    """Tails by plain sums on an even grid of ln(distance from the statistic)."""
+    parts = [f"SELECT test, statistic, {p} AS p_stat, n, dist, df1, df2 FROM ({oracle_body(name)}) {name}_"
+             for name, p in _P_SOURCES.items()]
+    parts.append(f"SELECT 'slr: ' || model, slope, t, n, 't2', df1, NULL FROM ({oracle_body('slr_results')}) slr_")
+    return f"""SELECT test, statistic, p_stat, n, dist, df1, df2, p_value,
+  CASE WHEN p_value < 0.001 THEN '***' WHEN p_value < 0.01 THEN '**' WHEN p_value < 0.05 THEN '*' ELSE 'ns' END AS significance
+FROM (SELECT test, statistic, p_stat, n, dist, df1, df2,
+        CASE WHEN dist <> 'norm1' THEN share WHEN p_stat > 0 THEN share / 2 ELSE 1 - share / 2 END AS p_value
+  FROM (SELECT r, any_value(test) AS test, any_value(statistic) AS statistic, any_value(p_stat) AS p_stat, any_value(n) AS n, any_value(dist) AS dist,
+          any_value(df1) AS df1, any_value(df2) AS df2,
+          CASE WHEN any_value(x) <= 0 THEN 1.0 ELSE sum(s * exp(least(a * s - fall_right, 700.0)))
+            / (sum(s * exp(least(a * s - fall_right, 700.0))) + sum(s * exp(least(-a * s - fall_left, 700.0)))) END AS share
+    FROM (SELECT *, CASE WHEN b IS NULL THEN x / 2 * (exp(s) - 1) ELSE (a + b) * ln((b + a * x * exp(s)) / (b + a * x)) END AS fall_right,
+            CASE WHEN b IS NULL THEN x / 2 * (exp(-s) - 1) ELSE (a + b) * ln((b + a * x * exp(-s)) / (b + a * x)) END AS fall_left
+      FROM (SELECT *, CASE WHEN dist IN ('norm1', 'norm2', 't2') THEN p_stat * p_stat ELSE p_stat END AS x,
+              CASE WHEN dist IN ('norm1', 'norm2', 't2') THEN 0.5 ELSE df1 / 2 END AS a,
+              CASE dist WHEN 't2' THEN df1 / 2 WHEN 'f' THEN df2 / 2 END AS b
+            FROM (SELECT *, row_number() OVER () AS r FROM ({" UNION ALL ".join(parts)}) u) v) w,
+           (SELECT exp(k / 50.0) AS s FROM range(-2250, 300) g(k)) grid) d
+    GROUP BY r) e) f"""
+
+
+@register("hypothesis_tests_with_p", _p_sql(), group=G)
 def q_all_p(spark, sf_dir):
     from campanula.plans.registry import queries
     qs = queries()
     parts = []
-    for n in ("chi2_tests", "chi2_table_tests", "kruskal_tests", "anova_tests", "mann_whitney_tests",
-              "mann_whitney_one_sided_tests", "welch_tests", "point_biserial_tests", "spearman_tests"):
-        df = qs[n](spark, sf_dir)
-        # the tail probability is taken on z (Mann-Whitney) or t (correlations)
-        ps = F.col("z") if "z" in df.columns else F.col("t") if "t" in df.columns else F.col("statistic")
-        parts.append(df.select("test", "statistic", ps.alias("p_stat"), "n", "dist", "df1", "df2"))
+    for name, p in _P_SOURCES.items():
+        parts.append(qs[name](spark, sf_dir).select("test", "statistic", F.col(p).alias("p_stat"), "n", "dist", "df1", "df2"))
     slr = qs["slr_results"](spark, sf_dir).select(
         F.concat(F.lit("slr: "), F.col("model")).alias("test"), F.col("slope").alias("statistic"),
         F.col("t").alias("p_stat"), "n", F.lit("t2").alias("dist"), "df1", F.lit(None).cast("double").alias("df2"))

@@ -42,6 +42,11 @@ def oracle() -> dict[str, str]:
     return {k: sql_with(v) for k, v in _ORACLE.items()}
 
 
+def oracle_body(name: str) -> str:
+    """The SQL of a query registered before, without the tables it refers to."""
+    return _ORACLE[name]
+
+
 def groups() -> dict[str, str]:
     _load()
     return dict(_GROUPS)
