@@ -12,13 +12,14 @@ table into two tasks).
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, NaiveBayes,
                                        RandomForestClassifier)
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import (OneHotEncoder, PCA, StandardScaler, StringIndexer,
                                 VectorAssembler)
 from pyspark.ml.functions import vector_to_array
@@ -31,13 +32,16 @@ from campanula.operators import gram as GR
 from campanula.operators import kmeans as KM
 from campanula.operators import ranks as RK
 from campanula.operators.abt import scalar
-from campanula.session import materialize, small
+from campanula.session import checkpoint_dir, materialize, small
 
 # --- fixed values: model settings of the reference --------------------------
 SEED = 42
 LEAD_NUM = ("discount_pct", "lead_score", "age", "avg_pages_viewed", "avg_time_on_site",
             "total_add_to_cart", "total_checkout_started", "total_sessions")
 LEAD_CAT = ("lead_source", "landing_page", "observed_region", "gender", "income_band", "loyalty_tier", "preferred_device")
+RETENTION_NUM = ("age", "total_acquisition_cost", "total_revenue", "total_sessions", "total_add_to_cart", "avg_pages_viewed")
+RETENTION_CAT = ("gender", "income_band", "loyalty_tier", "region", "product_category", "payment_type")
+RETENTION_MODELS = ("Logistic Regression", "Random Forest", "Gradient Boosting")
 CAUSAL_NUM, CAUSAL_CAT = ("lead_score",), ("observed_region", "lead_source")
 SEGMENT_FEATURES = ("age", "total_revenue", "total_orders", "total_sessions", "total_leads",
                     "total_add_to_cart", "total_checkout_started")
@@ -73,6 +77,15 @@ def causal_frame(leads: DataFrame) -> DataFrame:
     return C.fill_median(df, ["lead_score"]).withColumn("treated", (F.col("discount_pct") > 0).cast("double"))
 
 
+def retention_frame(repeat_target: DataFrame, abt: DataFrame) -> DataFrame:
+    """ML-21: customers with an order, their profile and first order; numbers 0-filled,
+    categories 'Unknown'-filled; label = a second order within 90 days."""
+    first = repeat_target.select("customer_id", F.col("repeat_90d").cast("double").alias("label"), "product_category", "payment_type")
+    return abt.join(first, "customer_id").select(
+        "customer_id", "total_orders", "label", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in RETENTION_NUM],
+        *[F.coalesce(F.col(c), F.lit("Unknown")).alias(c) for c in RETENTION_CAT])
+
+
 def stratified_rank(df: DataFrame, label: str, key: str, seed: int = SEED) -> DataFrame:
     """Per-stratum position of each row in a seeded hash order, and the
     stratum size: ``_pos`` in 1..``_n_s``.  Used for splits and folds."""
@@ -149,40 +162,89 @@ def _prob(df: DataFrame) -> DataFrame:
     return df.withColumn("score", vector_to_array("probability")[1])
 
 
-def compare_models(frame: DataFrame, num: Sequence[str], cat: Sequence[str], key: str,
-                   models: dict | None = None, folds: int = 5, seed: int = SEED) -> DataFrame:
-    """ML-22 (+EVA-01/02, ML-08): per model test metrics and k-fold CV AUC.
+@dataclass
+class Selection:
+    """The comparison (ML-22) and the model with the best cross-validated AUC, fitted on
+    the training part and stored.  ``model`` is None where only one class occurs, and every
+    row's probability is then that class; a class of a single row leaves it null."""
+    table: DataFrame
+    model: PipelineModel | None
+    only_class: float | None
+    holdout: DataFrame  # keys of the rows no stored model was fitted on
+    key: str
+
 
-    Models are fitted on Spark; the driver loops over <= 4 configurations x
-    (1 + folds) fits and collects only metric rows.
+def select_model(frame: DataFrame, num: Sequence[str], cat: Sequence[str], key: str,
+                 models: dict | None = None, folds: int = 5, seed: int = SEED) -> Selection:
+    """ML-22 (+EVA-01/02, ML-08): per model test metrics and k-fold CV AUC, and the
+    selected model, stored under the checkpoint folder and read back.
+
+    Models are fitted on Spark; the driver loops over <= 4 configurations x (1 + folds)
+    fits and collects only metric rows.  All held-out predictions, of every fold and of
+    the test part, are one table; their exact AUCs are one ordered pass.
     """
     spark = frame.sparkSession
     models = models or classifiers()
     schema = ("model string, accuracy double, auc_test double, cv_auc double, f1 double, precision double, "
               "recall double")
-    if len(_classes(frame)) < 2:  # nothing to compare: every model without figures, none selected
-        none = spark.createDataFrame([(m, *[None] * 6) for m in models], schema)
-        return none.withColumn("selected", F.lit(False))
+    def nothing(only_class):  # every model without figures, none selected
+        none = spark.createDataFrame([(m, *[None] * 6) for m in models], schema).withColumn("selected", F.lit(False))
+        return Selection(none, None, only_class, frame.select(key).limit(0), key)
+
+    classes = _classes(frame)
+    if len(classes) < 2:
+        return nothing(classes[0] if classes else None)
     cat = split_levels(frame, cat)
     feats = Pipeline(stages=feature_stages(num, cat, scale=False)).fit(frame)
     data = feats.transform(frame).withColumn("weight", balanced_weight(frame))
     data = data.select(key, "label", "features", "weight")
     train, test = stratified_split(data, "label", key, 0.75, seed)   # 75/25 holdout
+    if len(_classes(train)) < 2:  # a class of a single row
+        return nothing(None)
     data = materialize(with_folds(data, "label", key, folds, seed))  # k-fold CV over all rows
-    evaluator = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="probability",
-                                              metricName="areaUnderROC")
-    out = []
+    fitted, predicted = {}, None
     for name, est in models.items():
-        m = est.fit(train)
-        pred = _prob(m.transform(test)).select("label", "score", "prediction")
-        met = EV.binary_metrics(pred).collect()[0]
-        auc = EV.auc(pred).collect()[0]["auc"]
-        cv = _cv_aucs(est, data, folds, evaluator)
-        out.append((name, float(met["accuracy"]), float(auc), float(sum(cv) / len(cv)), float(met["f1"]),
+        fitted[name] = est.fit(train)
+        parts = [(-1, fitted[name], test), *((f, m, data.filter(F.col("fold") == f)) for f, m in enumerate(_fold_models(est, data, folds)))]
+        for fold, m, rows in parts:
+            p = _prob(m.transform(rows)).select(F.lit(name).alias("model"), F.lit(fold).alias("fold"), "label", "score")
+            predicted = p if predicted is None else predicted.unionByName(p)
+    predicted = materialize(predicted)
+    aucs = {(r["model"], r["fold"]): r["auc"] for r in EV.auc(predicted, by=["model", "fold"]).collect()}
+    out = []
+    for name in models:
+        met = EV.binary_metrics(predicted.filter((F.col("model") == name) & (F.col("fold") == -1))).first()
+        cv = [a for f in range(folds) if (a := aucs.get((name, f))) is not None]  # a fold without both classes has none
+        out.append((name, float(met["accuracy"]), aucs.get((name, -1)), sum(cv) / len(cv) if cv else None, float(met["f1"]),
                     float(met["precision"]), float(met["recall"])))
-    res = spark.createDataFrame(out, schema)
-    best = scalar(res, F.max_by("model", F.struct("cv_auc", "model")))
-    return res.withColumn("selected", F.col("model") == best)
+    best = max(out, key=lambda r: (-1.0 if r[3] is None else r[3], r[0]))[0]
+    table = spark.createDataFrame(out, schema).withColumn("selected", F.col("model") == best)
+    return Selection(table, _stored(spark, PipelineModel([*feats.stages, fitted[best]])), None, materialize(test.select(key).distinct()), key)
+
+
+def _stored(spark: SparkSession, model: PipelineModel) -> PipelineModel:
+    """Write a fitted model below the shared checkpoint folder and read it back."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/campanula_models/{uuid.uuid4().hex}"
+    model.write().overwrite().save(path)
+    return PipelineModel.load(path)
+
+
+def compare_models(frame: DataFrame, num: Sequence[str], cat: Sequence[str], key: str,
+                   models: dict | None = None, folds: int = 5, seed: int = SEED) -> DataFrame:
+    """The comparison of ``select_model`` alone."""
+    return select_model(frame, num, cat, key, models, folds, seed).table
+
+
+def score_selected(chosen: Selection, frame: DataFrame) -> DataFrame:
+    """EVA-07: probability and priority tier of every row by the selected model, and
+    whether the row was held out from its fit."""
+    if chosen.model is None:
+        scored = frame.withColumn("predicted_prob", F.lit(chosen.only_class).cast("double"))
+    else:
+        scored = _prob(chosen.model.transform(frame)).select(*frame.columns, F.col("score").alias("predicted_prob"))
+    held = chosen.holdout.withColumn("holdout", F.lit(True))
+    return scored.withColumn("priority_tier", EV.priority_tier(F.col("predicted_prob"))).join(held, chosen.key, "left") \
+                 .withColumn("holdout", F.coalesce("holdout", F.lit(False)))
 
 
 def _classes(frame: DataFrame) -> list[float]:
@@ -190,16 +252,13 @@ def _classes(frame: DataFrame) -> list[float]:
     return [r[0] for r in frame.select(F.col("label").cast("double")).distinct().limit(2).collect()]
 
 
-def _cv_aucs(est, data: DataFrame, folds: int, evaluator) -> list[float]:
+def _fold_models(est, data: DataFrame, folds: int) -> list:
     """Fit the k fold models concurrently (as ``CrossValidator(parallelism=k)``
-    does) on the checkpointed fold table; returns the held-out AUCs."""
+    does) on the stored fold table."""
     from concurrent.futures import ThreadPoolExecutor
 
-    def one(f):
-        mf = est.copy().fit(data.filter(F.col("fold") != f))
-        return evaluator.evaluate(mf.transform(data.filter(F.col("fold") == f)))
     with ThreadPoolExecutor(max_workers=folds) as ex:
-        return list(ex.map(one, range(folds)))
+        return list(ex.map(lambda f: est.copy().fit(data.filter(F.col("fold") != f)), range(folds)))
 
 
 def score_with(frame: DataFrame, num: Sequence[str], cat: Sequence[str], estimator) -> DataFrame:

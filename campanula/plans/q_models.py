@@ -28,17 +28,68 @@ def _lead_frame(t):
     return t._lead_frame
 
 
+def _selected(t, name, build):
+    """The comparison and its stored model, fitted once a session and folder."""
+    if name not in t.selections:
+        t.selections[name] = build()
+    return t.selections[name]
+
+
+def _lead_selection(t):
+    return _selected(t, "lead", lambda: M.select_model(_lead_frame(t), M.LEAD_NUM, M.LEAD_CAT, "lead_id"))
+
+
 @register("lead_model_comparison", None, group=G)
 def q_lead_models(spark, sf_dir):
-    return M.compare_models(_lead_frame(tables(spark, sf_dir)), M.LEAD_NUM, M.LEAD_CAT, "lead_id")
+    return _lead_selection(tables(spark, sf_dir)).table
 
 
 @register("lead_scores_model", None, group=G)
 def q_lead_scores_model(spark, sf_dir):
-    from pyspark.ml.classification import LogisticRegression
-    f = _lead_frame(tables(spark, sf_dir))
-    return M.score_with(f, M.LEAD_NUM, M.LEAD_CAT, LogisticRegression(maxIter=1000, weightCol="weight")) \
-            .select("lead_id", "label", "predicted_prob", "priority_tier")
+    """EVA-07: every lead scored by the selected model; ``holdout`` marks leads it has not seen."""
+    t = tables(spark, sf_dir)
+    return M.score_selected(_lead_selection(t), _lead_frame(t)).select("lead_id", "label", "predicted_prob", "priority_tier", "holdout")
+
+
+@register("lead_tiers_model", None, group=G)
+def q_lead_tiers_model(spark, sf_dir):
+    """EVA-09 on the leads the selected model has not seen."""
+    t = tables(spark, sf_dir)
+    held = M.score_selected(_lead_selection(t), _lead_frame(t)).filter("holdout")
+    return EV.tier_stats(held, "label", "predicted_prob")
+
+
+def _retention_frame(t):
+    if not hasattr(t, "_retention_frame"):
+        from campanula.session import materialize
+        t._retention_frame = materialize(M.retention_frame(t.repeat_target, t.abt))
+    return t._retention_frame
+
+
+def _retention_selection(t):
+    models = {k: m for k, m in M.classifiers().items() if k in M.RETENTION_MODELS}
+    return _selected(t, "retention", lambda: M.select_model(_retention_frame(t), M.RETENTION_NUM, M.RETENTION_CAT, "customer_id", models))
+
+
+@register("retention_model_comparison", None, group=G)
+def q_retention_models(spark, sf_dir):
+    """ML-21/22: three models of a second order within 90 days."""
+    return _retention_selection(tables(spark, sf_dir)).table
+
+
+@register("retention_feature_importance", None, group=G)
+def q_retention_importance(spark, sf_dir):
+    return M.importance_table(_retention_frame(tables(spark, sf_dir)), M.RETENTION_NUM, M.RETENTION_CAT)
+
+
+@register("retention_frame", """
+SELECT a.customer_id, CAST(a.total_orders AS BIGINT) AS total_orders, CAST(r.repeat_90d AS DOUBLE) AS label,
+  """+", ".join(f"COALESCE(CAST(a.{c} AS DOUBLE), 0.0) AS {c}" for c in M.RETENTION_NUM)+",\n  "
+          + ", ".join(f"COALESCE({'r' if c in ('product_category', 'payment_type') else 'a'}.{c}, 'Unknown') AS {c}" for c in M.RETENTION_CAT) + """
+FROM abt a JOIN repeat_target r ON a.customer_id = r.customer_id""", group=G)
+def q_retention_frame(spark, sf_dir):
+    """ML-21: the rows and features the retention models are fitted on."""
+    return _retention_frame(tables(spark, sf_dir))
 
 
 @register("lead_feature_importance", None, group=G)
@@ -210,21 +261,8 @@ def q_boot(spark, sf_dir):
 
 @register("clv_projection_model", None, group=G)
 def q_clv_model(spark, sf_dir):
-    """EVA-10 with a fitted repeat model (logistic regression on the first
-    order and the customer profile), not the frequency table."""
-    num = ["age", "total_acquisition_cost", "total_revenue", "total_sessions", "total_add_to_cart", "avg_pages_viewed"]
-    cat = ["gender", "income_band", "loyalty_tier", "region", "product_category", "payment_type"]
-    from pyspark.ml.classification import LogisticRegression
+    """EVA-10 with the selected retention model, not the frequency table."""
     t = tables(spark, sf_dir)
-    rt = t.repeat_target.select("customer_id", "repeat_90d", "product_category", "payment_type")
-    f = (t.abt.join(rt, "customer_id")
-         .select("customer_id", "total_orders",
-                 F.col("repeat_90d").cast("double").alias("label"),
-                 *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
-                   for c in num],
-                 *[F.coalesce(F.col(c), F.lit("Unknown")).alias(c)
-                   for c in cat]))
-    scored = M.score_with(f, num, cat,
-                          LogisticRegression(maxIter=200, weightCol="weight"))
+    scored = M.score_selected(_retention_selection(t), _retention_frame(t))
     return EV.project_clv(scored.withColumnRenamed("predicted_prob", "prob_repeat_90d")) \
              .select("customer_id", "prob_repeat_90d", "projected_orders_6m", "projected_clv_6m")

@@ -76,6 +76,7 @@ class Tables:
         self.sf_dir = sf_dir
         self.staged = staged
         self._stages: dict[str, DataFrame] = {}
+        self.selections: dict = {}  # fitted and stored models by name
         self.exports: set[str] = set()  # CSV exports written below the stage folder
         self._lock = threading.RLock()
 
