@@ -23,7 +23,11 @@ REGION_MAP = {
     "south east": "south east", "north east": "north east",
     "south": "south", "north": "north", "east": "east", "west": "west",
 }
-TARGET_REGION_MAP = {"all": "nationwide", "nationwide": "nationwide"}
+# labels that occur in the exports but stay unmapped in the rules above
+REGION_MAP |= {"south-west": "south west", "s/south": "south", "s/s": "south", "n central": "north central",
+               "north cntrl": "north central", "north c.": "north central"}
+DEVICE_MAP = {"phone": "mobile", "tab": "tablet"}
+TARGET_REGION_MAP = {**REGION_MAP, "all": "nationwide", "nationwide": "nationwide"}
 CHANNEL_MAP = {"e-mail": "email", "paid-social": "paid social", "influencers": "influencer"}
 CATEGORY_MAP = {"baby care": "baby", "personal-care": "personal care", "beverage": "beverages"}
 # Mixed-format date parsing order: month-first wins when ambiguous.

@@ -12,7 +12,7 @@ from campanula.functions import clean as C
 from campanula.functions.pvalues import p_value
 from campanula.operators import ranks as RK
 from campanula.operators.abt import scalar
-from campanula.session import small
+from campanula.session import materialize, small
 
 
 def linear_attribution(sessions: DataFrame, tx: DataFrame) -> DataFrame:
@@ -122,20 +122,22 @@ def loss_making_by_channel(clv: DataFrame, acq: DataFrame) -> DataFrame:
 
 
 def landing_page_ranking(leads: DataFrame, abt: DataFrame, perf: DataFrame) -> DataFrame:
-    """P-18: landing pages by LCR, customer AOV and bounce (ranks over the
-    page table, one row per page)."""
+    """P-18: landing pages by LCR, customer AOV and bounce (equal values share a rank)."""
     lp = (leads.filter(F.col("landing_page").isNotNull())
           .join(abt.select("customer_id", "AOV"), "customer_id", "left")
           .groupBy("landing_page").agg(F.count("lead_id").alias("n_leads"),
                                        F.avg(F.col("converted_30d").cast("double")).alias("lcr"),
                                        F.avg("AOV").alias("avg_customer_aov")))
-    t = small(lp.join(perf.select("landing_page", "bounce_rate"), "landing_page", "left"))  # one row per page
-    return t.select("*",
-                    F.rank().over(Window.orderBy(F.col("lcr").desc())).cast("bigint").alias("rank_lcr"),
-                    F.rank().over(Window.orderBy(F.col("avg_customer_aov").desc_nulls_last())).cast("bigint")
-                    .alias("rank_aov"),
-                    F.rank().over(Window.orderBy(F.col("bounce_rate").asc_nulls_last())).cast("bigint")
-                    .alias("rank_bounce"))
+    t = materialize(lp.join(perf.select("landing_page", "bounce_rate"), "landing_page", "left"))
+    # all metrics in one ordered pass over their distinct values, best first, missing last
+    metrics = {"lcr": -F.col("lcr"), "aov": -F.col("avg_customer_aov"), "bounce": F.col("bounce_rate")}
+    long = t.select("landing_page", F.explode(F.array(*[F.struct(F.lit(m).alias("m"), v.isNull().alias("none"), F.coalesce(v, F.lit(0.0)).alias("v"))
+                                                      for m, v in metrics.items()])).alias("x")).select("landing_page", "x.*")
+    values = RK.prefix_sum(long.groupBy("m", "none", "v").agg(F.count(F.lit(1)).alias("_n")), ["m", "none", "v"], "_n")
+    pages = scalar(t, F.count(F.lit(1)))  # every page has a place in every metric, so a metric starts at a multiple
+    ranked = long.join(values, ["m", "none", "v"]).withColumn("r", (F.col("_cum_before") % pages + 1).cast("bigint"))
+    ranks = ranked.groupBy("landing_page").agg(*[F.max(F.when(F.col("m") == m, F.col("r"))).alias(f"rank_{m}") for m in metrics])
+    return t.join(ranks, "landing_page")
 
 
 def pairwise_welch_holm(df: DataFrame, group: str, value: str) -> DataFrame:

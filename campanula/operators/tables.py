@@ -38,7 +38,7 @@ def clean_customers(bronze: DataFrame) -> DataFrame:
         "city",
         C.map_label("region", C.REGION_MAP).alias("region"),
         C.parse_date("signup_date").alias("signup_date"),
-        C.norm_label("preferred_device").alias("preferred_device"),
+        C.map_label("preferred_device", C.DEVICE_MAP).alias("preferred_device"),
         C.parse_bool("email_opt_in").alias("email_opt_in"),
         C.norm_label("loyalty_tier").alias("loyalty_tier"),
         "income_band",
@@ -88,7 +88,7 @@ def clean_sessions(bronze: DataFrame) -> DataFrame:
     return bronze.select(
         "session_id", "customer_id", "campaign_id",
         C.parse_date("session_date").alias("session_date"),
-        C.norm_label("device").alias("device"),
+        C.map_label("device", C.DEVICE_MAP).alias("device"),
         C.map_label("channel_group", C.CHANNEL_MAP).alias("channel_group"),
         C.map_label("geo_region", C.REGION_MAP).alias("geo_region"),
         C.null_if(pages, pages <= 0).alias("pages_viewed"),

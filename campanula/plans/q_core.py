@@ -121,6 +121,7 @@ SELECT table_name, check_name, CAST(n AS BIGINT) AS n FROM (
   UNION ALL SELECT 'campaigns', 'duplicate_ids',
          count(*) - count(DISTINCT campaign_id) - max(CAST(campaign_id IS NULL AS BIGINT)) FROM b_campaigns
   UNION ALL SELECT 'campaigns', 'negative_spend', count_if({currency('spend_usd')} < 0) FROM b_campaigns
+  UNION ALL SELECT 'campaigns', 'spend_gt_budget_deduped', count_if(spend_usd > budget_usd) FROM campaigns
   UNION ALL SELECT 'campaigns', 'clicks_gt_impressions', count_if(clicks > impressions) FROM campaigns
   UNION ALL SELECT 'campaigns', 'end_before_start', count_if(end_date < start_date) FROM campaigns
   UNION ALL SELECT 'leads', 'anonymous', count_if(customer_id IS NULL) FROM b_leads
@@ -161,6 +162,7 @@ def q_audit(spark, sf_dir):
                  .unpivot([], ["duplicate_ids", "negative_spend"], "check_name", "n")
                  .select(F.lit("campaigns").alias("table_name"), "check_name", "n"))
     parts.append(AU.rule_counts(t.campaigns, {
+        "spend_gt_budget_deduped": F.col("spend_usd") > F.col("budget_usd"),
         "clicks_gt_impressions": F.col("clicks") > F.col("impressions"),
         "end_before_start": F.col("end_date") < F.col("start_date")}, "campaigns"))
     parts.append(AU.rule_counts(b["leads"], {

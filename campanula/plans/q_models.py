@@ -20,6 +20,12 @@ from campanula.plans.registry import register, tables
 
 G = "models"
 
+# --- fixed values: the names of the three regressions -------------------------
+MODEL_A = "A: Predict Customer LTV"
+MODEL_B = "B: Predict Revenue/Transaction"
+MODEL_C = "C: Predict Days-to-Convert"
+# -----------------------------------------------------------------------------
+
 
 def _lead_frame(t):
     if not hasattr(t, "_lead_frame"):
@@ -169,10 +175,10 @@ def _mlr_inputs(t):
     tx = fill_median(t.transactions.filter(F.col("revenue_usd").isNotNull()), ["units", "discount_pct"])
     tx = tx.withColumn("_k", F.concat_ws("|", "order_id", "product_category", "revenue_usd"))
     return {
-        "A: Predict Customer LTV": (t.abt, "CLV_proxy", M.LTV_FEATURES, "customer_id", ()),
-        "B: Predict Revenue/Transaction": (tx, "revenue_usd", ("units", "discount_pct"), "_k",
+        MODEL_A: (t.abt, "CLV_proxy", M.LTV_FEATURES, "customer_id", ()),
+        MODEL_B: (tx, "revenue_usd", ("units", "discount_pct"), "_k",
                                            ("product_category", "marketing_channel_last_touch")),
-        "C: Predict Days-to-Convert": (converted_leads(t), "days_to_convert", ("lead_score", "discount_offered_pct", "acquisition_cost_usd"),
+        MODEL_C: (converted_leads(t), "days_to_convert", ("lead_score", "discount_offered_pct", "acquisition_cost_usd"),
                                        "lead_id", ("lead_source", "observed_region")),
     }
 
@@ -198,16 +204,16 @@ def _gram_sql(name: str, source: str, key: str, y: str, num, cat) -> str:
 
 
 _MLR_SQL = {
-    "A: Predict Customer LTV": ("SELECT * FROM abt", "customer_id"),
-    "B: Predict Revenue/Transaction": ("""SELECT order_id || '|' || product_category || '|' || CAST(revenue_usd AS VARCHAR) AS _k, revenue_usd,
+    MODEL_A: ("SELECT * FROM abt", "customer_id"),
+    MODEL_B: ("""SELECT order_id || '|' || product_category || '|' || CAST(revenue_usd AS VARCHAR) AS _k, revenue_usd,
       COALESCE(units, (SELECT median(units) FROM transactions WHERE revenue_usd IS NOT NULL)) AS units,
       COALESCE(discount_pct, (SELECT median(discount_pct) FROM transactions WHERE revenue_usd IS NOT NULL)) AS discount_pct,
       product_category, marketing_channel_last_touch FROM transactions WHERE revenue_usd IS NOT NULL""", "_k"),
-    "C: Predict Days-to-Convert": ("SELECT * FROM converted_leads", "lead_id"),
+    MODEL_C: ("SELECT * FROM converted_leads", "lead_id"),
 }
 _MLR_COLUMNS = {
-    "A: Predict Customer LTV": ("CLV_proxy", M.LTV_FEATURES, ()),
-    "C: Predict Days-to-Convert": ("days_to_convert", ("lead_score", "discount_offered_pct", "acquisition_cost_usd"), ("lead_source", "observed_region")),
+    MODEL_A: ("CLV_proxy", M.LTV_FEATURES, ()),
+    MODEL_C: ("days_to_convert", ("lead_score", "discount_offered_pct", "acquisition_cost_usd"), ("lead_source", "observed_region")),
 }
 
 

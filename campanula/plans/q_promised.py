@@ -8,6 +8,7 @@ from campanula.operators import cube as CU
 from campanula.operators import describe as D
 from campanula.operators import evaluate as EV
 from campanula.operators import extended as X
+from campanula.plans.q_stats import p_sql
 from campanula.plans.registry import register, tables
 from campanula.plans.sqlbase import cte
 
@@ -195,7 +196,21 @@ def q_lp_rank(spark, sf_dir):
     return X.landing_page_ranking(t.leads, t.abt, D.landing_perf(t.sessions, t.leads))
 
 
-@register("pairwise_welch_aov_by_channel", None, group=G)
+_PAIR_TESTS = """SELECT a.channel AS group_1, b.channel AS group_2, a.m - b.m AS mean_diff, (a.m - b.m) / NULLIF(sqrt(a.e + b.e), 0) AS t,
+  (a.e + b.e) * (a.e + b.e) / NULLIF(a.e * a.e / (a.n - 1) + b.e * b.e / (b.n - 1), 0) AS df
+FROM (SELECT channel, count(*) AS n, avg(cust_aov) AS m, var_samp(cust_aov) / count(*) AS e FROM aov_last_touch
+      WHERE channel IS NOT NULL AND cust_aov IS NOT NULL GROUP BY channel HAVING count(*) > 1) a
+JOIN (SELECT channel, count(*) AS n, avg(cust_aov) AS m, var_samp(cust_aov) / count(*) AS e FROM aov_last_touch
+      WHERE channel IS NOT NULL AND cust_aov IS NOT NULL GROUP BY channel HAVING count(*) > 1) b ON a.channel < b.channel"""
+
+
+@register("pairwise_welch_aov_by_channel", f"""
+SELECT group_1, group_2, mean_diff, t, df, p_value, p_holm, p_holm < 0.05 AS significant
+FROM (SELECT *, max(least(1.0, (m - i + 1) * p_value)) OVER (ORDER BY i) AS p_holm
+      FROM (SELECT w.*, p.p_value, row_number() OVER (ORDER BY p.p_value, w.group_1, w.group_2) AS i, count(*) OVER () AS m
+            FROM ({_PAIR_TESTS}) w
+            JOIN ({p_sql(f"SELECT group_1 || '|' || group_2 AS test, t AS statistic, t AS p_stat, 0 AS n, 't2' AS dist, df AS df1, CAST(NULL AS DOUBLE) AS df2 FROM ({_PAIR_TESTS}) v")}) p
+              ON p.test = w.group_1 || '|' || w.group_2) x) y""", group=G)
 def q_pairwise(spark, sf_dir):
     from campanula.plans.q_describe import aov_last_touch
     return X.pairwise_welch_holm(aov_last_touch(tables(spark, sf_dir)), "channel", "cust_aov")

@@ -309,21 +309,21 @@ def q_spear(spark, sf_dir):
 
 # --- simple linear regressions (8 declared pairs) --------------------------------
 SLR = {
-    "Campaign Spend -> Leads": (lambda t: (_lpc(t), F.col("spend_usd"), F.col("n_leads")),
+    "leads_on_spend": (lambda t: (_lpc(t), F.col("spend_usd"), F.col("n_leads")),
                                 "SELECT spend_usd AS x, n_leads AS y FROM lpc"),
-    "Lead Score -> Revenue": (lambda t: (t.abt, F.col("avg_lead_score"), F.col("total_revenue")),
+    "revenue_on_lead_score": (lambda t: (t.abt, F.col("avg_lead_score"), F.col("total_revenue")),
                               "SELECT avg_lead_score AS x, total_revenue AS y FROM abt"),
-    "Time on Site -> Conversion": (lambda t: (t.abt, F.col("avg_time_on_site"), F.col("LCR")),
+    "conversion_on_time_on_site": (lambda t: (t.abt, F.col("avg_time_on_site"), F.col("LCR")),
                                    "SELECT avg_time_on_site AS x, \"LCR\" AS y FROM abt"),
-    "Pages Viewed -> Add-to-Cart": (lambda t: (t.abt, F.col("avg_pages_viewed"), F.col("total_add_to_cart")),
+    "add_to_cart_on_pages": (lambda t: (t.abt, F.col("avg_pages_viewed"), F.col("total_add_to_cart")),
                                     "SELECT avg_pages_viewed AS x, total_add_to_cart AS y FROM abt"),
-    "Discount % -> Revenue": (lambda t: (t.transactions, F.col("discount_pct"), F.col("revenue_usd")),
+    "revenue_on_discount": (lambda t: (t.transactions, F.col("discount_pct"), F.col("revenue_usd")),
                               "SELECT discount_pct AS x, revenue_usd AS y FROM transactions"),
-    "Acquisition Cost -> LTV": (lambda t: (t.abt, F.col("total_acquisition_cost"), F.col("CLV_proxy")),
+    "value_on_acquisition_cost": (lambda t: (t.abt, F.col("total_acquisition_cost"), F.col("CLV_proxy")),
                                 "SELECT total_acquisition_cost AS x, \"CLV_proxy\" AS y FROM abt"),
-    "Impressions -> Clicks": (lambda t: (t.campaigns, F.col("impressions"), F.col("clicks")),
+    "clicks_on_impressions": (lambda t: (t.campaigns, F.col("impressions"), F.col("clicks")),
                               "SELECT impressions AS x, clicks AS y FROM campaigns"),
-    "Session Quality -> Repeat": (lambda t: (t.abt, F.col("avg_engagement_score"),
+    "repeat_on_engagement": (lambda t: (t.abt, F.col("avg_engagement_score"),
                                              (F.col("total_orders") >= 2).cast("int")),
                                   "SELECT avg_engagement_score AS x, CAST(total_orders >= 2 AS INTEGER) AS y FROM abt"),
 }
@@ -359,11 +359,9 @@ _P_SOURCES = {"chi2_tests": "statistic", "chi2_table_tests": "statistic", "krusk
               "point_biserial_tests": "t", "spearman_tests": "t"}  # the tail is taken on z or t
 
 
-def _p_sql() -> str:
-    """Tails by plain sums on an even grid of ln(distance from the statistic)."""
-    parts = [f"SELECT test, statistic, {p} AS p_stat, n, dist, df1, df2 FROM ({oracle_body(name)}) {name}_"
-             for name, p in _P_SOURCES.items()]
-    parts.append(f"SELECT 'slr: ' || model, slope, t, n, 't2', df1, NULL FROM ({oracle_body('slr_results')}) slr_")
+def p_sql(rows: str) -> str:
+    """``rows`` (test, statistic, p_stat, n, dist, df1, df2) with p-values: tails by plain
+    sums on an even grid of ln(distance from the statistic)."""
     return f"""SELECT test, statistic, p_stat, n, dist, df1, df2, p_value,
   CASE WHEN p_value < 0.001 THEN '***' WHEN p_value < 0.01 THEN '**' WHEN p_value < 0.05 THEN '*' ELSE 'ns' END AS significance
 FROM (SELECT test, statistic, p_stat, n, dist, df1, df2,
@@ -377,12 +375,19 @@ FROM (SELECT test, statistic, p_stat, n, dist, df1, df2,
       FROM (SELECT *, CASE WHEN dist IN ('norm1', 'norm2', 't2') THEN p_stat * p_stat ELSE p_stat END AS x,
               CASE WHEN dist IN ('norm1', 'norm2', 't2') THEN 0.5 ELSE df1 / 2 END AS a,
               CASE dist WHEN 't2' THEN df1 / 2 WHEN 'f' THEN df2 / 2 END AS b
-            FROM (SELECT *, row_number() OVER () AS r FROM ({" UNION ALL ".join(parts)}) u) v) w,
+            FROM (SELECT *, row_number() OVER () AS r FROM ({rows}) u) v) w,
            (SELECT exp(k / 50.0) AS s FROM range(-2250, 300) g(k)) grid) d
     GROUP BY r) e) f"""
 
 
-@register("hypothesis_tests_with_p", _p_sql(), group=G)
+def _all_tests_sql() -> str:
+    parts = [f"SELECT test, statistic, {p} AS p_stat, n, dist, df1, df2 FROM ({oracle_body(name)}) {name}_"
+             for name, p in _P_SOURCES.items()]
+    parts.append(f"SELECT 'slr: ' || model, slope, t, n, 't2', df1, NULL FROM ({oracle_body('slr_results')}) slr_")
+    return p_sql(" UNION ALL ".join(parts))
+
+
+@register("hypothesis_tests_with_p", _all_tests_sql(), group=G)
 def q_all_p(spark, sf_dir):
     from campanula.plans.registry import queries
     qs = queries()

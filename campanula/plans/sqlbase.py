@@ -23,7 +23,16 @@ _SPARK_TO_STRF = {
     "MMM dd, yyyy": "%b %d, %Y", "MMM d, yyyy": "%b %-d, %Y",
     "yyyy-MM-dd HH:mm:ss": "%Y-%m-%d %H:%M:%S",
 }
-NUMERIC_RE = C.NUMERIC_RE
+NUMERIC_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# synonyms, stated apart from the library's so that a wrong entry there shows
+_SHORT = {"n": "north", "s": "south"}
+_REGIONS = {f"{a}{b[0]}": f"{long} {b}" for a, long in _SHORT.items() for b in ("west", "east")} | {
+    "south-west": "south west", "s/south": "south", "s/s": "south", **{x: "north central" for x in ("n central", "north cntrl", "north c.")}}
+_TARGETS = _REGIONS | {"all": "nationwide"}
+_DEVICES = {"phone": "mobile", "tab": "tablet"}
+_GENDERS = {"m": "male", "f": "female"}
+_CHANNELS = {"e-mail": "email", "paid-social": "paid social", "influencers": "influencer"}
+_CATEGORIES = {"baby care": "baby", "personal-care": "personal care", "beverage": "beverages"}
 
 
 def q(s: str | None) -> str:
@@ -81,14 +90,14 @@ def to_number(s: str, strip=()) -> str:
 
 
 def currency(s: str) -> str:
-    return to_number(s, C.CURRENCY_TOKENS)
+    return to_number(s, ('$', ',', 'USD'))
 
 
 def pct(s: str) -> str:
-    return to_number(f"lower({s})", C.PERCENT_TOKENS)
+    return to_number(f"lower({s})", ('%', 'percent'))
 
 
-def boolean(s: str, truthy=C.TRUTHY) -> str:
+def boolean(s: str, truthy=('yes', 'true', '1', '1.0')) -> str:
     return f"COALESCE(lower(trim({s})) IN ({', '.join(q(t) for t in truthy)}), false)"
 
 
@@ -137,7 +146,7 @@ SELECT CAST(k AS VARCHAR) AS customer_id,
   CASE WHEN k % 19 = 0 THEN NULL ELSE n_name END AS city,
   CASE WHEN k % 3 = 0 THEN r_name WHEN k % 3 = 1 THEN lower(r_name) ELSE '  ' || r_name || ' ' END AS region,
   {datetext("(DATE '1995-01-01' + CAST(k % 700 AS INTEGER))", 'k % 5')} AS signup_date,
-  {pick('k % 3', TD.DEVICES)} AS preferred_device,
+  {pick('k % 5', TD.DEVICES)} AS preferred_device,
   CASE WHEN c_acctbal < 0 THEN 'Bronze' WHEN c_acctbal < 3000 THEN 'silver '
        WHEN c_acctbal < 7000 THEN 'GOLD' ELSE 'Platinum' END AS loyalty_tier,
   {booltext('k % 3 <> 0', 'k % 5')} AS email_opt_in,
@@ -178,7 +187,7 @@ SELECT CAST(k AS VARCHAR) AS lead_id,
   {percent('((k // 7) % 6) * 5', '(k // 6) % 4')} AS discount_offered_pct,
   CASE WHEN k % 37 = 0 THEN 'high'
        ELSE CAST((k * 37) % 60 + CASE WHEN o_orderstatus = 'F' THEN 30 ELSE 0 END AS VARCHAR) END AS lead_score,
-  CASE WHEN k % 23 <> 0 THEN {pick('(CASE WHEN k % 7 = 0 THEN k % 3 ELSE (k * 5) % 6 END)', TD.OBSERVED_REGIONS)} END AS observed_region,
+  CASE WHEN k % 23 <> 0 THEN {pick('(CASE WHEN k % 7 = 0 THEN k % 3 ELSE (k * 7) % 10 END)', TD.OBSERVED_REGIONS)} END AS observed_region,
   {booltext("o_orderstatus = 'F'", 'k % 5')} AS converted_30d,
   {money('(500 + (k * 7) % 4000)', 'CASE WHEN k % 3 = 2 THEN 3 ELSE k % 3 END')} AS acquisition_cost_usd
 FROM (SELECT o.*, o.o_orderkey AS k, f.min_supp, f.min_ship FROM orders o
@@ -190,9 +199,9 @@ SELECT CAST(k AS VARCHAR) AS session_id,
   CASE WHEN k % 40 = 0 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS customer_id,
   CAST((k * 7 + user_id) % 100 AS VARCHAR) AS campaign_id,
   {datetext('ts', 'k % 5')} AS session_date,
-  {pick('k % 3', TD.DEVICES)} AS device,
+  {pick('k % 5', TD.DEVICES)} AS device,
   {channeltext('(k * 3 + user_id) % 7', 'k % 2')} AS channel_group,
-  CASE WHEN k % 31 <> 0 THEN {pick('(k + user_id) % 6', TD.OBSERVED_REGIONS)} END AS geo_region,
+  CASE WHEN k % 31 <> 0 THEN {pick('(k + user_id) % 10', TD.OBSERVED_REGIONS)} END AS geo_region,
   json_extract_string(props, '$.k') AS pages_viewed,
   CASE WHEN k % 53 = 0 THEN '90000' WHEN k % 29 = 0 THEN '-1'
        ELSE CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) END AS time_on_site_sec,
@@ -220,12 +229,12 @@ FROM (SELECT l.*, l.l_orderkey AS ok, l.l_linenumber AS ln, o.o_custkey, o.o_ord
 
 cte("customers", f"""
 SELECT customer_id,
-  {mapped('gender', C.GENDER_MAP)} AS gender,
+  {mapped('gender', _GENDERS)} AS gender,
   {nullif_pred(to_number('age'), f"{to_number('age')} < 0 OR {to_number('age')} > 120")} AS age,
   city,
-  {mapped('region', C.REGION_MAP)} AS region,
+  {mapped('region', _REGIONS)} AS region,
   {date('signup_date')} AS signup_date,
-  {norm('preferred_device')} AS preferred_device,
+  {mapped('preferred_device', _DEVICES)} AS preferred_device,
   {boolean('email_opt_in')} AS email_opt_in,
   {norm('loyalty_tier')} AS loyalty_tier,
   income_band
@@ -238,11 +247,11 @@ SELECT campaign_id, campaign_name, channel, objective, start_date, end_date,
   budget_usd, {nullif_pred('spend_usd', 'spend_usd < 0')} AS spend_usd,
   target_region, creative_type, impressions, clicks
 FROM (SELECT campaign_id, campaign_name,
-        {mapped('channel', C.CHANNEL_MAP)} AS channel,
+        {mapped('channel', _CHANNELS)} AS channel,
         trim(objective) AS objective,
         {date('start_date')} AS start_date, {date('end_date')} AS end_date,
         {currency('budget_usd')} AS budget_usd, {currency('spend_usd')} AS spend_usd,
-        {mapped('target_region', C.TARGET_REGION_MAP)} AS target_region,
+        {mapped('target_region', _TARGETS)} AS target_region,
         trim(creative_type) AS creative_type,
         CAST({to_number('impressions', (',',))} AS BIGINT) AS impressions,
         CAST({to_number('clicks', (',',))} AS BIGINT) AS clicks
@@ -258,7 +267,7 @@ FROM (SELECT lead_id, customer_id, campaign_id,
         {norm('lead_source')} AS lead_source, landing_page,
         {pct('discount_offered_pct')} AS discount_offered_pct,
         {to_number('lead_score')} AS lead_score,
-        {mapped('observed_region', C.REGION_MAP)} AS observed_region,
+        {mapped('observed_region', _REGIONS)} AS observed_region,
         {boolean('converted_30d')} AS converted_30d,
         {currency('acquisition_cost_usd')} AS acquisition_cost_usd
       FROM b_leads) t""")
@@ -269,8 +278,8 @@ SELECT session_id, customer_id, campaign_id, session_date, device, channel_group
   CASE WHEN time_on_site_sec <= 0 OR time_on_site_sec > 86400 THEN NULL ELSE time_on_site_sec END AS time_on_site_sec,
   bounce, add_to_cart, checkout_started
 FROM (SELECT session_id, customer_id, campaign_id, {date('session_date')} AS session_date,
-        {norm('device')} AS device, {mapped('channel_group', C.CHANNEL_MAP)} AS channel_group,
-        {mapped('geo_region', C.REGION_MAP)} AS geo_region,
+        {mapped('device', _DEVICES)} AS device, {mapped('channel_group', _CHANNELS)} AS channel_group,
+        {mapped('geo_region', _REGIONS)} AS geo_region,
         {to_number('pages_viewed')} AS pages_viewed, {to_number('time_on_site_sec')} AS time_on_site_sec,
         {boolean('bounce')} AS bounce, {boolean('add_to_cart')} AS add_to_cart,
         {boolean('checkout_started')} AS checkout_started
@@ -278,13 +287,13 @@ FROM (SELECT session_id, customer_id, campaign_id, {date('session_date')} AS ses
 
 cte("transactions", f"""
 SELECT order_id, customer_id, {date('order_date')} AS order_date,
-  {mapped('product_category', C.CATEGORY_MAP)} AS product_category,
+  {mapped('product_category', _CATEGORIES)} AS product_category,
   {to_number('units')} AS units,
   {currency('revenue_usd')} AS revenue_usd,
   {pct('discount_pct')} AS discount_pct,
   {norm('payment_type')} AS payment_type,
   {boolean('returned_flag')} AS returned_flag,
-  {mapped('marketing_channel_last_touch', C.CHANNEL_MAP)} AS marketing_channel_last_touch
+  {mapped('marketing_channel_last_touch', _CHANNELS)} AS marketing_channel_last_touch
 FROM b_transactions""")
 
 

@@ -37,8 +37,8 @@ OBJECTIVES = ("Lead Gen", "Awareness", "Retention", "Conversion")
 CREATIVES = ("Video", "Carousel", "Promo", "Static", "Testimonial", "UGC")
 LANDING_PAGES = ("/landing-a", "/landing-b", "/bundle-offer", "/new-arrivals", "/quiz", "/promo-summer")
 GENDERS = ("M", " female", "Male ", "F", "unknown")  # position 5 of 6 -> null
-DEVICES = ("Mobile", "desktop ", "Tablet")
-OBSERVED_REGIONS = ("SW", " South West", "ne", "North East ", "WEST", "east")
+DEVICES = ("Mobile", "desktop ", "Tablet", "phone", " Tab")
+OBSERVED_REGIONS = ("SW", " South West", "ne", "North East ", "WEST", "east", "south-west", "S/South", "N Central", "north cntrl")
 PAYMENTS = ("Card", "paypal ", "CASH", "Gift Card")
 LEAD_SOURCES = {
     "1-URGENT": "Google", "2-HIGH": " meta", "3-MEDIUM": "CRM",
@@ -135,7 +135,7 @@ def bronze_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 19 == 0, F.lit(None).cast("string")).otherwise(F.col("n_name")).alias("city"),
         region.alias("region"),
         date_text(signup, k % 5).alias("signup_date"),
-        _pick(k % 3, DEVICES).alias("preferred_device"),
+        _pick(k % 5, DEVICES).alias("preferred_device"),
         tier.alias("loyalty_tier"),
         bool_text(k % 3 != 0, k % 5).alias("email_opt_in"),
         F.col("c_mktsegment").alias("income_band"),
@@ -197,7 +197,7 @@ def bronze_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
         percent_text((((k - k % 7) / 7) % 6).cast("bigint") * 5,
                      (((k - k % 6) / 6) % 4).cast("bigint")).alias("discount_offered_pct"),
         F.when(k % 37 == 0, F.lit("high")).otherwise(score.cast("string")).alias("lead_score"),
-        F.when(k % 23 != 0, _pick(F.when(k % 7 == 0, k % 3).otherwise((k * 5) % 6), OBSERVED_REGIONS)).alias("observed_region"),
+        F.when(k % 23 != 0, _pick(F.when(k % 7 == 0, k % 3).otherwise((k * 7) % 10), OBSERVED_REGIONS)).alias("observed_region"),
         bool_text(status_f, k % 5).alias("converted_30d"),
         money_text(F.lit(500) + (k * 7) % 4000, F.when(k % 3 == 2, F.lit(3)).otherwise(k % 3)).alias("acquisition_cost_usd"),
     )
@@ -215,9 +215,9 @@ def bronze_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 40 == 0, F.lit(None).cast("string")).otherwise(u.cast("string")).alias("customer_id"),
         ((k * 7 + u) % 100).cast("string").alias("campaign_id"),
         date_text(F.col("ts"), k % 5).alias("session_date"),
-        _pick(k % 3, DEVICES).alias("device"),
+        _pick(k % 5, DEVICES).alias("device"),
         channel_text((k * 3 + u) % 7, k % 2).alias("channel_group"),
-        F.when(k % 31 != 0, _pick((k + u) % 6, OBSERVED_REGIONS)).alias("geo_region"),
+        F.when(k % 31 != 0, _pick((k + u) % 10, OBSERVED_REGIONS)).alias("geo_region"),
         F.get_json_object("props", "$.k").alias("pages_viewed"),
         tos.alias("time_on_site_sec"),
         bool_text(et == "error", k % 5).alias("bounce"),
