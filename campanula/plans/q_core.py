@@ -245,7 +245,8 @@ def _csv_sql(table: str) -> str:
     cols = FI.RAW_COLUMNS[table]
     mark = f"substr(md5({cols[0]}), 1, 2)"
     chars = " + ".join(f"length(COALESCE({c}, ''))" for c in cols)
-    return f"""SELECT '{table}' AS table_name, count_if({mark} NOT IN ('0a', '0b')) AS n_rows, count_if({mark} IN ('0a', '0b')) AS n_quarantined,
+    return f"""SELECT '{table}' AS table_name, CAST(count_if({mark} NOT IN ('0a', '0b')) AS BIGINT) AS n_rows,
+  CAST(count_if({mark} IN ('0a', '0b')) AS BIGINT) AS n_quarantined,
   CAST(sum(CASE WHEN {mark} NOT IN ('0a', '0b') THEN {chars} END) AS BIGINT) AS n_chars,
   count(DISTINCT CASE WHEN {mark} IN ('0a', '0b') THEN {cols[0]} END) AS n_quarantined_keys FROM b_{table}"""
 
