@@ -74,8 +74,10 @@ def campaign_quality(features: DataFrame, leads: DataFrame, abt: DataFrame) -> D
     (null -> 0 for the median) is below median and known."""
     q = features.join(campaign_downstream(leads, abt), "campaign_id", "left")
     q = materialize(q)
-    roas_med = RK.quantile(q, "ROAS", 0.5)
-    rr_med = RK.quantile(q, F.coalesce(F.col("repeat_rate"), F.lit(0.0)), 0.5)
+    both = q.select(F.explode(F.array(F.struct(F.lit("roas").alias("f"), F.col("ROAS").cast("double").alias("x")),
+                                      F.struct(F.lit("repeat").alias("f"), F.coalesce(F.col("repeat_rate"), F.lit(0.0)).alias("x")))).alias("v"))
+    medians = small(RK.exact_quantiles(both.select("v.*"), "x", {"m": 0.5}, ["f"]))  # two rows, from one ordered pass
+    roas_med, rr_med = (scalar(medians.filter(F.col("f") == f), F.first("m")) for f in ("roas", "repeat"))
     dec = ((F.col("ROAS") > roas_med)
            & (F.coalesce(F.col("repeat_rate"), F.lit(0.0)) < rr_med)
            & F.col("repeat_rate").isNotNull())
