@@ -10,6 +10,10 @@ Results per text are spans ``(kind, start, end)`` in code points, end
 exclusive, sorted by the order of ``KINDS`` and then by start.  Spans of one
 kind never overlap; spans of different kinds may.
 
+Cues are in the corpus's languages (English, German, French, Spanish) and match
+in lower, upper, capitalised and title case.  A value is taken up to its own
+boundary, however long it is, so that no tail of it stays behind.
+
 Null text gives no spans, like the empty text.  Repeated rows and repeated ids
 are scanned each on their own; other columns of the input pass through.  An
 empty table gives an empty result.
@@ -38,13 +42,26 @@ SPANS = T.ArrayType(T.StructType([
 ]), False)
 
 # --- fixed values: cues that announce an identifier, by the parser they call ---
-ACCOUNT_CUES = ("account no", "account number", "acct", "passport no", "passport number", "member id",
-                "customer id", "patient id", "licence number", "license number")
+ACCOUNT_CUES = (
+    "account no", "account number", "acct", "passport no", "passport number", "member id", "customer id", "patient id",
+    "licence number", "license number",
+    "konto-nr", "konto nr", "kontonummer", "kundennummer", "kunden-nr", "ausweisnummer", "ausweis-nr", "reisepass-nr",
+    "numéro de compte", "n° de compte", "compte n°", "numéro client", "numéro de passeport", "passeport n°",
+    "número de cuenta", "n.º de cuenta", "cuenta n.º", "número de cliente", "número de pasaporte", "pasaporte n.º",
+)
 NATIONAL_CUES = ("ssn", "social security")
-SECRET_CUES = ("token", "api_key", "api key", "apikey", "password", "passwd", "secret", "access_key")
+INSEE_CUES = ("numéro de sécurité sociale", "n° de sécurité sociale", "sécu", "nir")
+DNI_CUES = ("dni", "nif", "nie")
+SECRET_CUES = ("token", "api_key", "api key", "apikey", "api-key", "password", "passwd", "secret", "access_key",
+               "passwort", "kennwort", "mot de passe", "contraseña")
+TOKEN_HEADS = ("ghp_", "gho_", "ghs_", "github_pat_", "glpat-", "xoxb-", "xoxp-", "sk_live_", "AKIA", "AIza")
 SPELLED_AT = ("(at)", "[at]", "{at}")
 STREET_CUES = (" Street", " Avenue", " Road", " Boulevard", " Lane", " Drive", " Square")
-IBAN_CUES = ("IBAN", "iban")
+STREET_ENDINGS = ("straße", "strasse", "Straße", "Strasse", "gasse", "allee", "Allee", "platz", "Platz")
+STREET_HEADS = ("rue ", "avenue ", "boulevard ", "chemin ", "impasse ", "Calle ", "Avenida ", "Plaza ", "Paseo ")
+STREET_LINKS = ("de la ", "de los ", "de las ", "de l'", "de ", "du ", "des ", "del ", "d'", "la ", "le ", "les ", "el ")
+IBAN_CUES = ("iban",)
+DNI_LETTERS = "TRWAGMYFPDXBNJZSQVHLCKE"
 # -------------------------------------------------------------------------------
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -56,12 +73,17 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _SCHEME_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+.-")
 _URL_REST = re.compile(r"(?:[^\s/?#\"'<>@]*@)?([A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*|\[[0-9A-Fa-f:.]+\])(?::[0-9]{1,5})?(?:[/?#][^\s\"'<>]*)?")
-_IBAN = re.compile(r"[\s:#]{0,3}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})")
+_IBAN = re.compile(r"[\s:#]{0,3}([A-Za-z]{2}[0-9]{2}(?: ?[A-Za-z0-9]){11,30})")
 _NATIONAL = re.compile(r"[^0-9\n]{0,12}([0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9-])")
-_ACCOUNT = re.compile(r"[\s.:#=]{1,4}([A-Z0-9](?:-?[A-Z0-9]){4,29})(?![A-Za-z0-9])")
-_SECRET = re.compile(r"\s{0,3}[:=]\s{0,3}[\"']?([A-Za-z0-9_./+=-]{8,})")
+_INSEE = re.compile(r"[\s.:#=]{0,4}([12](?: ?[0-9]){4} ?(?:[0-9] ?[0-9]|2 ?[AB])(?: ?[0-9]){6} ?[0-9] ?[0-9])(?![0-9])")
+_DNI = re.compile(r"[\s.:#=/-]{0,4}((?:[0-9]{8}|[XYZxyz]-?[0-9]{7})-?[A-Za-z])(?![A-Za-z0-9])")
+# blocks of digits between single spaces or hyphens, or one token of letters, digits and single hyphens, to its end
+_ACCOUNT = re.compile(r"[\s.:#=]{1,4}([0-9]{2,}(?:[ -][0-9]{2,})+(?![A-Za-z0-9]|-[A-Za-z0-9])|[A-Za-z0-9](?:-?[A-Za-z0-9]){4,}+)")
+_SECRET = re.compile(r"(\s{0,3}[:=]\s{0,3})[\"']?([A-Za-z0-9_./+=-]{8,})")
+_TOKEN = re.compile(r"[A-Za-z0-9_-]{16,}")
 _SPELLED_DOMAIN = re.compile(r"\s?([A-Za-z0-9-]+(?:\s?(?:\.|\(dot\)|\[dot\]|\{dot\})\s?[A-Za-z0-9-]+)+)")
-_HOUSE = re.compile(r"(?<![0-9])[0-9]{1,5}[A-Za-z]?(?: [A-Z][a-z]+){1,4}$")
+_HOUSE_AFTER = re.compile(r",? ([0-9]{1,5}[A-Za-z]?)(?![A-Za-z0-9])")
+_CAPITALISED = re.compile(r"[^\W\d_a-z][^\W\d_]*(?:['-][^\W\d_]+)*")
 
 
 def _luhn(digits: str) -> bool:
@@ -84,14 +106,45 @@ def _iban(value: str) -> bool:
     return int("".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97 == 1
 
 
+def _insee(value: str) -> bool:
+    """French number: the two last digits are 97 less the rest modulo 97 (Corsica: 2A is 19, 2B is 18)."""
+    value = value.replace(" ", "").replace("2A", "19").replace("2B", "18")
+    return 97 - int(value[:-2]) % 97 == int(value[-2:])
+
+
+def _dni(value: str) -> bool:
+    """Spanish number: the letter is the number modulo 23 (foreigners: X, Y, Z stand for 0, 1, 2)."""
+    value = value.replace("-", "").upper()
+    digits = value[:-1].translate(str.maketrans("XYZ", "012"))
+    return DNI_LETTERS[int(digits) % 23] == value[-1]
+
+
+def _capitalised(word: str) -> bool:
+    return word.isalpha() and word[0].isupper() and (len(word) == 1 or word[1:].islower())
+
+
+def _house_before(text: str, at: int, floor: int) -> int | None:
+    """Start of a house number (one to five digits, perhaps a letter) that ends at ``at``."""
+    k = at
+    if k > floor and text[k - 1].isascii() and text[k - 1].isalpha():
+        k -= 1
+    start = k
+    while start > floor and k - start < 6 and "0" <= text[start - 1] <= "9":
+        start -= 1
+    return start if 1 <= k - start <= 5 and not (start and text[start - 1].isalnum()) else None
+
+
 def build_anchors() -> ahocorasick.Automaton:
     """The automaton over all anchors; values are parser names."""
     found: dict[str, str] = {"@": "email", "+": "phone", "://": "url"}
     found |= {d: "digit" for d in "0123456789"}
-    for cues, parser in ((ACCOUNT_CUES, "account"), (NATIONAL_CUES, "national_id"), (SECRET_CUES, "secret")):
+    for cues, parser in ((ACCOUNT_CUES, "account"), (NATIONAL_CUES, "national_id"), (INSEE_CUES, "insee"), (DNI_CUES, "dni"),
+                         (SECRET_CUES, "secret"), (IBAN_CUES, "iban")):
         for cue in cues:
             found |= {form: parser for form in (cue, cue.capitalize(), cue.title(), cue.upper())}
-    found |= dict.fromkeys(SPELLED_AT, "spelled_email") | dict.fromkeys(STREET_CUES, "street") | dict.fromkeys(IBAN_CUES, "iban")
+    found |= dict.fromkeys(SPELLED_AT, "spelled_email") | dict.fromkeys(TOKEN_HEADS, "token")
+    found |= (dict.fromkeys(STREET_CUES, "street") | dict.fromkeys(STREET_ENDINGS, "street_then_house")
+              | dict.fromkeys(STREET_HEADS, "street_named"))
     a = ahocorasick.Automaton()
     for cue, parser in found.items():
         a.add_word(cue, (parser, len(cue)))
@@ -108,7 +161,7 @@ class Scanner:
     def spans(self, text: str) -> list[tuple[str, int, int]]:
         out: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
         #: up to where each kind has consumed the text, matches that failed validation included
-        done = dict.fromkeys(KINDS, 0)
+        done = dict.fromkeys((*KINDS, "token"), 0)
         for last, (parser, size) in self.anchors.iter(text):
             if parser == "digit":
                 if last >= done["ip"]:
@@ -207,20 +260,104 @@ class Scanner:
     def _national_id(self, text, at, after, done, out):
         self._after_cue("national_id", _NATIONAL, text, at, after, done, out)
 
+    def _insee(self, text, at, after, done, out):
+        self._after_cue("national_id", _INSEE, text, at, after, done, out, _insee)
+
+    def _dni(self, text, at, after, done, out):
+        self._after_cue("national_id", _DNI, text, at, after, done, out, _dni)
+
     def _account(self, text, at, after, done, out):
         self._after_cue("account", _ACCOUNT, text, at, after, done, out, lambda v: sum(c.isdigit() for c in v) >= 5)
 
-    def _secret(self, text, at, after, done, out):
-        self._after_cue("secret", _SECRET, text, at, after, done, out, lambda v: any(c.isdigit() for c in v))
+    @staticmethod
+    def _secret(text, at, after, done, out):
+        if after < done["secret"] or (at and _WORD.match(text, at - 1)) or (m := _SECRET.match(text, after)) is None:
+            return
+        # a bare assignment (``password=...``) needs no digit; after a colon or spaces a word may be prose
+        if m[1] == "=" or any(c.isdigit() for c in m[2]):
+            done["secret"] = m.end(2)
+            out["secret"].append(m.span(2))
+
+    @staticmethod
+    def _token(text, at, after, done, out):
+        """A token that its own head gives away, with or without a cue."""
+        if at < max(done["secret"], done["token"]) or (at and _WORD.match(text, at - 1)) or (m := _TOKEN.match(text, at)) is None:
+            return
+        done["token"] = m.end()
+        if any(c.isdigit() for c in text[after:m.end()]):
+            done["secret"] = m.end()
+            out["secret"].append(m.span())
 
     @staticmethod
     def _street(text, at, after, done, out):
+        """``12 Long Street``: at most four capitalised words, however long, after a house number."""
         if after < len(text) and text[after].isalnum():
             return
-        m = _HOUSE.search(text, max(done["street"], at - 80), at)
-        if m is not None:
-            done["street"] = after
-            out["street"].append((m.start(), after))
+        stop = at
+        for _ in range(4):
+            start = stop
+            while start > done["street"] and text[start - 1].isalpha():
+                start -= 1
+            if start == stop or start <= done["street"] or text[start - 1] != " " or not _capitalised(text[start:stop]):
+                return
+            stop = start - 1
+            house = _house_before(text, stop, done["street"])
+            if house is not None:
+                done["street"] = after
+                out["street"].append((house, after))
+                return
+
+    @staticmethod
+    def _street_then_house(text, at, after, done, out):
+        """``Hauptstraße 12``, ``Lange Straße 3a``: a capitalised name, then the house number."""
+        if at < done["street"] or (m := _HOUSE_AFTER.match(text, after)) is None:
+            return
+        start = at
+        while start > done["street"] and (text[start - 1].isalpha() or text[start - 1] == "-"):
+            start -= 1
+        if start == at:  # the word stands alone: the one before it is its name
+            if start <= done["street"] or text[start - 1] != " ":
+                return
+            start -= 1
+            while start > done["street"] and (text[start - 1].isalpha() or text[start - 1] == "-"):
+                start -= 1
+        if text[start].isupper():
+            done["street"] = m.end()
+            out["street"].append((start, m.end()))
+
+    @staticmethod
+    def _street_named(text, at, after, done, out):
+        """``12 rue de la Paix``, ``Calle Mayor 5``: a name of up to four capitalised words and
+        small words between, and a house number on either side."""
+        if at < done["street"] or (at and _WORD.match(text, at - 1)):
+            return
+        end, pos = None, after
+        for _ in range(4):
+            for link in STREET_LINKS:
+                if text.startswith(link, pos):
+                    pos += len(link)
+                    break
+            m = _CAPITALISED.match(text, pos)
+            if m is None:
+                break
+            end = m.end()
+            if not text.startswith(" ", end):
+                break
+            pos = end + 1
+        if end is None:
+            return
+        stop = at
+        for gap in (", ", " "):
+            if text.endswith(gap, 0, at):
+                stop = at - len(gap)
+                break
+        house = _house_before(text, stop, done["street"]) if stop < at else None
+        behind = _HOUSE_AFTER.match(text, end)
+        if house is None and behind is None:
+            return
+        start, end = (house, end) if house is not None else (at, behind.end())
+        done["street"] = end
+        out["street"].append((start, end))
 
 
 def _find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
