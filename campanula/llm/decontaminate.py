@@ -13,14 +13,22 @@ id is null can hit words but is not listed.  Repeated rows are handled each on
 their own, repeated item ids count once.
 
 The benchmark is a stated query set.  It is cut into blocks of at most
-``block_chars`` pattern characters; there is one automaton a block and at most
-one block in a worker's memory, so a benchmark of any size is handled.
+``block_chars`` pattern characters (an automaton takes about 47 bytes a
+character: 190 MB at the default); an item longer than that is a block of its
+own.  Blocks are read one at a time, each is released after its pass, and a
+Python worker builds the automaton of a block once and holds no other, so a
+benchmark of any number of items is handled.  Every block after the first is
+one more pass over the documents.
+
+An empty benchmark, or one without words, hits nothing.  Empty tables give empty
+results; very long texts are read whole; other columns pass through.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
@@ -107,23 +115,39 @@ def original_spans(text: str, runs: list[tuple[int, int]]) -> list[tuple[int, in
     return [(at[a][0], at[b][1]) for a, b in runs]
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_chars: int) -> list[list[tuple[str | None, str]]]:
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_chars: int) -> Iterator[list[tuple[str | None, str]]]:
+    """The items, in blocks that are made one at a time; at least one block."""
     rows = benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t")).where("t is not null").distinct()
-    blocks: list[list[tuple[str | None, str]]] = [[]]
+    block: list[tuple[str | None, str]] = []
     used = 0
-    for r in rows.orderBy("i", "t").toLocalIterator():
+    for r in materialize(rows).toLocalIterator():
         size = len(r["t"]) * window
-        if blocks[-1] and used + size > block_chars:
-            blocks.append([])
-            used = 0
-        blocks[-1].append((r["i"], r["t"]))
+        if block and used + size > block_chars:
+            yield block
+            block, used = [], 0
+        block.append((r["i"], r["t"]))
         used += size
-    return blocks
+    yield block
+
+
+#: the automaton that this Python worker holds, with the name of its block
+_held: tuple[str, Matcher] | None = None
+
+
+def _matcher(shared, name: str, window: int) -> Matcher:
+    """The automaton of a block, built once a worker process; the one before it goes first."""
+    global _held
+    if _held is None or _held[0] != name:
+        _held = None
+        _held = (name, Matcher(shared.value, window))
+    return _held[1]
 
 
 def _finder(shared, window: int):
+    name = uuid.uuid4().hex
+
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        matcher = Matcher(shared.value, window)
+        matcher = _matcher(shared, name, window)
         for texts in batches:
             got = [matcher.find(t or "") for t in texts]
             yield pd.DataFrame({"n_words": [g[0] for g in got],
@@ -133,21 +157,24 @@ def _finder(shared, window: int):
 
 
 def find_contamination(documents: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
-                       item_text_col: str = "text", window: int = 10, block_chars: int = 20_000_000,
+                       item_text_col: str = "text", window: int = 10, block_chars: int = 4_000_000,
                        out_col: str = "contamination") -> DataFrame:
     """``documents`` with ``struct<n_words, runs, items>`` of each whole text:
     the number of words, the merged runs of hit words and the ids (as text,
     sorted) of the items whose windows occur."""
-    blocks = _blocks(benchmark, item_col, item_text_col, window, block_chars)
     sc = documents.sparkSession.sparkContext
-    out = documents
-    for k, block in enumerate(blocks):
+    out, shared = documents, None
+    for block in _blocks(benchmark, item_col, item_text_col, window, block_chars):
+        if shared is None:
+            shared = sc.broadcast(block)
+            out = out.withColumn(out_col, F.pandas_udf(_finder(shared, window), FOUND)(F.col(text_col).cast("string")))
+            continue
+        # a later block: its own pass, so that two automata never share a worker; the written rows need no earlier block
+        out = materialize(out)
+        shared.destroy()
         shared = sc.broadcast(block)
         found = F.pandas_udf(_finder(shared, window), FOUND)(F.col(text_col).cast("string"))
-        if k == 0:
-            out = out.withColumn(out_col, found)
-        else:  # a later block: its own pass, so that two automata never share a worker
-            out = materialize(out).withColumn("__more", found).withColumn(out_col, _united(out_col, "__more")).drop("__more")
+        out = out.withColumn("__more", found).withColumn(out_col, _united(out_col, "__more")).drop("__more")
     return out
 
 
