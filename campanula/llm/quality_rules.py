@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import whole_text
+from .common import smallest_hashes, whole_text
 
 _SPACES = r"[\x20\x09-\x0D]+"
 _SYMBOLS = "#*$%&|<>"
@@ -186,15 +186,16 @@ def learn_rules(rows: list[tuple[dict, int]], max_rules: int = 12, max_condition
 def labelled_stats(documents: DataFrame, labels: DataFrame, per_class: int = 2000, id_col: str = "doc_id",
                    text_col: str = "text", label: str = "quality") -> list[tuple[dict, int]]:
     """Statistics and label of at most ``2 * per_class`` labelled documents,
-    those with the smallest hash of their id."""
+    those with the smallest hash of their id among those whose document is
+    there.  An id on several documents counts once, with its least statistics."""
     lab = (labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull())
            .groupBy(F.col(id_col).alias("__id")).agg(F.max(label).alias("__label"), F.min(label).alias("__least"))
            .where(F.col("__label") == F.col("__least")))
-    order = [F.xxhash64(F.col("__id").cast("string"), F.lit("rules")), F.col("__id")]
-    parts = [lab.where(F.col("__label") == v).orderBy(*order).limit(per_class) for v in (0, 1)]
-    chosen = parts[0].unionByName(parts[1]).select("__id", "__label")
-    rows = documents.select(F.col(id_col).alias("__id"), F.col(text_col)).join(F.broadcast(chosen), "__id")
-    got = with_text_stats(rows, text_col).select("__id", "__label", "__stats.*").collect()
+    docs = documents.select(F.col(id_col).alias("__id"), F.col(text_col))
+    chosen = smallest_hashes(lab.join(docs.select("__id"), "__id", "left_semi"), per_class, "rules")
+    got = (with_text_stats(docs.join(F.broadcast(chosen), "__id"), text_col)
+           .groupBy("__id", "__label").agg(F.min("__stats").alias("__stats"))
+           .select("__id", "__label", "__stats.*").collect())
     got.sort(key=lambda r: (str(r["__id"])[::-1], r["n_words"], r["word_chars"]))  # an order that doesn't follow the ids
     return [({f: r[f] for f in FEATURES}, int(r["__label"])) for r in got]
 
