@@ -78,6 +78,14 @@ def parse_bool(c, truthy: Sequence[str] = TRUTHY) -> Column:
     return F.coalesce(F.lower(F.trim(_col(c).cast("string"))).isin(list(truthy)), F.lit(False))
 
 
+def parse_flag(c) -> Column:
+    """CLN-06: 1 for the wider truth set; any other number is cut to its whole
+    part (``1.0`` is 1, ``0.9`` is 0, ``2`` is 2); null, prose and numbers
+    beyond 64 bits are 0."""
+    s = F.lower(F.trim(_col(c).cast("string")))
+    return F.when(s.isin(list(TRUTHY_WIDE)), F.lit(1).cast("bigint")).otherwise(F.coalesce(to_number(s).try_cast("bigint"), F.lit(0).cast("bigint")))
+
+
 def date_shape(fmt: str) -> str:
     """Anchored regex covering every string a (fixed-width) Spark date
     pattern can parse: ``yyyy`` 4 digits, ``MM``/``dd``/``HH``/``mm``/``ss``

@@ -377,6 +377,18 @@ def sample_n(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
     return df.orderBy(digest, F.col(key)).limit(n)
 
 
+def id_list_blocks(df: DataFrame, key: str, per_block: int = 1000, sep: str = ", ") -> DataFrame:
+    """AGG-30 for any number of ids: the distinct ids in order, cut into blocks
+    of ``per_block`` (the last may be shorter).  The lists of the blocks, one
+    after another, are the whole list; no task or row holds more than one
+    block.  Null ids are left out; an empty table has no block."""
+    from campanula.operators import ranks as RK
+    ids = df.select(F.col(key).cast("string").alias("id")).filter(F.col("id").isNotNull()).distinct()
+    at = RK.prefix_sum(ids, ["id"]).select("id", F.floor((F.col("_cum") - 1) / per_block).cast("bigint").alias("block"))
+    return at.groupBy("block").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.count(F.lit(1)).alias("n"),
+                                   id_list("id", sep).alias("ids"))
+
+
 def id_list(key: str, sep: str = ", ") -> Column:
     """AGG-30: aggregate expression collecting ids into one sorted delimited
     string (applied to a filtered, campaign-grain table)."""

@@ -172,6 +172,45 @@ def project_clv(df: DataFrame, prob: str = "prob_repeat_90d") -> DataFrame:
                      (F.col("total_revenue") + aov * orders).alias("projected_clv_6m"))
 
 
+def covariate_balance(df: DataFrame, treat: str, nums: Sequence[str], cats: Sequence[str], weight: str | None = None) -> DataFrame:
+    """CAU-01: is the treated group like the control group?  One row a number
+    and one a level of each category: (weighted) means or shares of both
+    groups and their standardised difference, the gap over the root of the
+    mean of both variances (null without spread or with one group empty).
+
+    Rows are reduced to sums a group and level before anything meets; a level
+    that one group lacks counts as share 0 there.  Null numbers are left out
+    of their own row, a null level is the level ``unknown``."""
+    w = F.col(weight) if weight else F.lit(1.0)
+    base = df.filter(F.col(treat).isNotNull()).select("*", F.col(treat).cast("double").alias("_t"), w.cast("double").alias("_bw"))
+    one, zero = F.col("_t") == 1, F.col("_t") == 0
+
+    def sums(rows):
+        return rows.groupBy("covariate", "level").agg(*[
+            F.sum(F.when(side, expr)).alias(f"{name}{k}") for k, side in (("1", one), ("0", zero))
+            for name, expr in (("w", F.col("_bw")), ("x", F.col("_bw") * F.col("_x")), ("q", F.col("_bw") * F.col("_x") * F.col("_x")))])
+
+    out = []
+    if nums:
+        long = base.select("_t", "_bw", F.explode(F.array(*[F.struct(F.lit(c).alias("covariate"), F.col(c).cast("double").alias("_x")) for c in nums])).alias("v"))
+        out.append(sums(long.select("_t", "_bw", "v.*", F.lit(None).cast("string").alias("level")).filter(F.col("_x").isNotNull())))
+    if cats:
+        totals = small(base.agg(*[F.sum(F.when(side, F.col("_bw"))).alias(f"t{k}") for k, side in (("1", one), ("0", zero))]))
+        long = base.select("_t", "_bw", F.explode(F.array(*[
+            F.struct(F.lit(c).alias("covariate"), F.coalesce(F.col(c).cast("string"), F.lit("unknown")).alias("level")) for c in cats])).alias("v"))
+        levels = sums(long.select("_t", "_bw", "v.*", F.lit(1.0).alias("_x")))
+        out.append(levels.select("covariate", "level", *[
+            e.alias(f"{name}{k}") for k in "10" for name, e in
+            (("w", scalar(totals, F.first(f"t{k}"))), ("x", F.coalesce(f"x{k}", F.lit(0.0))), ("q", F.coalesce(f"q{k}", F.lit(0.0))))]))
+    rows = out[0] if len(out) == 1 else out[0].unionByName(out[1])
+    means = rows.select("covariate", "level", *[c for k in "10" for c in (
+        C.safe_div(f"x{k}", f"w{k}").alias(f"m{k}"), C.safe_div(f"q{k}", f"w{k}").alias(f"s{k}"))])
+    spread = F.sqrt(F.greatest((F.col("s1") - F.col("m1") * F.col("m1") + F.col("s0") - F.col("m0") * F.col("m0")) / 2, F.lit(0.0)))
+    known = F.col("m1").isNotNull() & F.col("m0").isNotNull()
+    return means.select("covariate", "level", F.col("m1").alias("treated_mean"), F.col("m0").alias("control_mean"),
+                        F.when(known, C.safe_div(F.col("m1") - F.col("m0"), spread)).alias("std_diff"))
+
+
 def loss_making(clv: DataFrame) -> DataFrame:
     """EVA-11: share of customers whose acquisition cost exceeds projected CLV."""
     return clv.agg(F.avg((F.col("total_acquisition_cost") > F.col("projected_clv_6m")).cast("double"))

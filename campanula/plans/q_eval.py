@@ -190,6 +190,66 @@ def q_iptw(spark, sf_dir):
     return EV.iptw_ate(b.join(ps, "channel"), "t", "y", "ps")
 
 
+# --- balance of treated and control leads, before and after weighting by channel ---
+def _balance_sql(source: str, w: str) -> str:
+    def row(name, level, frame, x):
+        return f"""SELECT '{name}' AS covariate, {level} AS level,
+  sum(CASE WHEN t = 1 THEN {w} * {x} END) / sum(CASE WHEN t = 1 THEN {w} END) AS m1, sum(CASE WHEN t = 0 THEN {w} * {x} END) / sum(CASE WHEN t = 0 THEN {w} END) AS m0,
+  sum(CASE WHEN t = 1 THEN {w} * {x} * {x} END) / sum(CASE WHEN t = 1 THEN {w} END) AS s1, sum(CASE WHEN t = 0 THEN {w} * {x} * {x} END) / sum(CASE WHEN t = 0 THEN {w} END) AS s0
+FROM {frame}"""
+    def by_level(c):
+        frame = f"{source} f JOIN (SELECT DISTINCT COALESCE({c}, 'unknown') AS lv FROM {source}) l ON true GROUP BY lv"
+        return row(c, "lv", frame, f"CAST(COALESCE({c}, 'unknown') = lv AS DOUBLE)")
+    rows = " UNION ALL ".join([row("lead_score", "CAST(NULL AS VARCHAR)", source, "score"), by_level("observed_region"), by_level("lead_source")])
+    return f"""SELECT covariate, level, m1 AS treated_mean, m0 AS control_mean,
+  (m1 - m0) / nullif(sqrt(greatest((s1 - m1 * m1 + s0 - m0 * m0) / 2, 0.0)), 0.0) AS std_diff FROM ({rows}) r"""
+
+
+cte("treatment_frame", f"""
+SELECT lead_id, CAST(COALESCE(discount_offered_pct > 0, false) AS DOUBLE) AS t, observed_region, lead_source, channel,
+  COALESCE(lead_score, (SELECT quantile_cont(lead_score, 0.5) FROM leads)) AS score FROM leads_camp WHERE channel IS NOT NULL""")
+cte("treatment_weighted", """
+SELECT f.*, t / least(greatest(ps, 1e-6), 1 - 1e-6) + (1 - t) / (1 - least(greatest(ps, 1e-6), 1 - 1e-6)) AS w
+FROM treatment_frame f JOIN (SELECT channel, avg(t) AS ps FROM treatment_frame GROUP BY channel) p ON f.channel = p.channel""")
+
+
+def treatment_frame(t):
+    """Leads with a channel: treated (any discount), score with the median of all leads for the missing ones (CLN-16)."""
+    from campanula.functions.clean import fill_median
+    leads = fill_median(t.leads, ["lead_score"])
+    return (D.leads_with_campaign(leads, t.campaigns).filter(F.col("channel").isNotNull())
+            .select("channel", "lead_source", "observed_region", "lead_score",
+                    F.coalesce(F.col("discount_offered_pct") > 0, F.lit(False)).cast("double").alias("t")))
+
+
+@register("discount_balance", _balance_sql("treatment_frame", "1.0"), group=G)
+def q_balance(spark, sf_dir):
+    """CAU-01: covariates of discounted and other leads before weighting."""
+    return EV.covariate_balance(treatment_frame(tables(spark, sf_dir)), "t", ["lead_score"], ["observed_region", "lead_source"])
+
+
+@register("discount_balance_weighted", _balance_sql("treatment_weighted", "w"), group=G)
+def q_balance_weighted(spark, sf_dir):
+    """CAU-01: the same after inverse-propensity weights of the stratified model."""
+    b = treatment_frame(tables(spark, sf_dir))
+    ps = F.least(F.greatest(F.col("ps"), F.lit(1e-6)), F.lit(1 - 1e-6))
+    weighted = (b.join(b.groupBy("channel").agg(F.avg("t").alias("ps")), "channel")
+                .withColumn("w", F.col("t") / ps + (1 - F.col("t")) / (1 - ps)))
+    return EV.covariate_balance(weighted, "t", ["lead_score"], ["observed_region", "lead_source"], "w")
+
+
+# --- the encodings of a conversion flag and what both truth sets make of them ---
+@register("conversion_flag_encodings", """
+SELECT raw, n, COALESCE(lower(trim(raw)) IN ('yes', 'true', '1', '1.0'), false) AS strict,
+  CASE WHEN lower(trim(raw)) IN ('1', 'true', 'yes', 'y', 't') THEN 1 ELSE COALESCE(TRY_CAST(trunc(TRY_CAST(trim(raw) AS DOUBLE)) AS BIGINT), 0) END AS flag
+FROM (SELECT converted_30d AS raw, count(*) AS n FROM b_leads GROUP BY converted_30d) x""", group="audit")
+def q_flag_encodings(spark, sf_dir):
+    """CLN-05/06: every raw spelling of ``converted_30d`` with its count, the strict and the wide reading."""
+    from campanula.functions import clean as C
+    raw = tables(spark, sf_dir).bronze_table("leads").groupBy(F.col("converted_30d").alias("raw")).agg(F.count(F.lit(1)).alias("n"))
+    return raw.select("raw", "n", C.parse_bool("raw").alias("strict"), C.parse_flag("raw").alias("flag"))
+
+
 # --- Kaplan-Meier: time from first to second order, censored at the last order date ---
 cte("km_input", """
 SELECT r.customer_id, a.loyalty_tier,

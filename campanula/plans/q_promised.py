@@ -413,6 +413,16 @@ def q_deceptive_ids(spark, sf_dir):
     return q.agg(F.count(F.lit(1)).alias("n_deceptive"), D.id_list("campaign_id").alias("ids"))
 
 
+@register("deceptive_campaign_id_blocks", """
+SELECT block, min(campaign_id) AS first_id, max(campaign_id) AS last_id, count(*) AS n, string_agg(campaign_id, ', ' ORDER BY campaign_id) AS ids
+FROM (SELECT campaign_id, CAST((row_number() OVER (ORDER BY campaign_id) - 1) // 50 AS BIGINT) AS block
+      FROM (SELECT DISTINCT campaign_id FROM camp_quality WHERE deceptive_efficiency) d) x GROUP BY block""", group="campaign")
+def q_deceptive_blocks(spark, sf_dir):
+    """AGG-30 for any number of campaigns: the same list in blocks of 50 ids."""
+    from campanula.plans.q_campaign import quality
+    return D.id_list_blocks(quality(tables(spark, sf_dir)).filter(F.col("deceptive_efficiency")), "campaign_id", 50)
+
+
 @register("customer_aov_sample", """
 SELECT customer_id, total_revenue / total_orders AS cust_aov, total_sessions FROM abt WHERE total_orders > 0
 ORDER BY md5(customer_id || ':42'), customer_id LIMIT 500""", group="describe")
