@@ -150,13 +150,27 @@ class Tables:
         return self.stage("abt", lambda: build_abt(self.customers, self.leads, self.sessions, self.transactions))
 
 
-_CTX: dict[tuple[str, str], Tables] = {}
+_CTX: dict[tuple[str, str], tuple[tuple, Tables]] = {}
 _CTX_LOCK = threading.Lock()
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
+    """The context of a data folder.  Stages are reused within the session as
+    long as the folder holds the same files; replaced files get new stages."""
+    from campanula.session import folder_state
     key = (spark.sparkContext.applicationId, sf_dir)
+    state = folder_state(spark, sf_dir)
     with _CTX_LOCK:
-        if key not in _CTX:
-            _CTX[key] = Tables(spark, sf_dir)
-        return _CTX[key]
+        if key not in _CTX or _CTX[key][0] != state:
+            _CTX[key] = (state, Tables(spark, sf_dir))
+        return _CTX[key][1]
+
+
+def release(spark: SparkSession) -> None:
+    """Forget the application's contexts and remove all stages and
+    intermediate tables it wrote.  Results that were not yet computed can't be afterwards."""
+    from campanula.session import remove_intermediates
+    with _CTX_LOCK:
+        for key in [k for k in _CTX if k[0] == spark.sparkContext.applicationId]:
+            del _CTX[key]
+        remove_intermediates(spark)

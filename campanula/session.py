@@ -87,6 +87,33 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def folder_state(spark: SparkSession, folder: str) -> tuple:
+    """Name, time, size and number of files of each entry of a folder (a table
+    is one file or a folder of files); empty where there is no such folder."""
+    fs, path = _file_system(spark, folder)
+    if not fs.exists(path):
+        return ()
+    out = []
+    for s in fs.listStatus(path):
+        inside = fs.getContentSummary(s.getPath()) if s.isDirectory() else None
+        out.append((s.getPath().getName(), s.getModificationTime(), inside.getLength() if inside else s.getLen(), inside.getFileCount() if inside else 1))
+    return tuple(sorted(out))
+
+
+def remove_intermediates(spark: SparkSession) -> None:
+    """Delete the stages and ``materialize`` tables of this application (its
+    checkpoint folder has a name of its own, so no other application's)."""
+    for name in ("campanula_stages", "campanula_materialized"):
+        fs, path = _file_system(spark, f"{checkpoint_dir(spark).rstrip('/')}/{name}")
+        fs.delete(path, True)
+    spark.catalog.clearCache()
+
+
 def small(df: DataFrame) -> DataFrame:
     """Keep a small table (bounded by a group or class count) for reuse by
     several scalar subqueries.  A deterministic plan is cached: recomputing
