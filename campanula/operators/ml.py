@@ -99,11 +99,56 @@ def stratified_rank(df: DataFrame, label: str, key: str, seed: int = SEED) -> Da
             .drop("_cum", "_cum_before", "_w", "_first", "_h"))
 
 
+def stratum_cuts(df: DataFrame, label: str, key: str, train_frac: float, seed: int = SEED) -> dict:
+    """Per stratum (hash, rows): the hash of the last training row in the seeded hash
+    order, and how many rows with this hash belong to the training part.
+
+    Multi-pass selection, ten bits of the hash a pass: a pass counts the rows that
+    share the bits found so far by their next ones, until a single hash is left.
+    The driver sees at most 1,024 counts a stratum and pass; no row is moved."""
+    h = F.xxhash64(F.col(key).cast("string"), F.lit(seed))
+    rows = df.filter(F.col(label).isNotNull()).select(F.col(label).alias("label"), h.alias("h"))
+    sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a stratum
+    open_ = {v: (None, math.floor(n * train_frac)) for v, n in sizes.items()}
+    cuts = {v: (None, 0) for v, (_, rank) in open_.items() if not rank}
+    shift = 64
+    while open_ := {v: state for v, state in open_.items() if v not in cuts}:
+        before, shift = shift, max(shift - 10, 0)
+        inside = F.lit(False)
+        for v, (prefix, _) in open_.items():
+            same = F.col("label").eqNullSafe(F.lit(v))
+            inside = inside | (same if prefix is None else same & (F.shiftright("h", before) == prefix))
+        counts = (rows.filter(inside).groupBy("label", F.shiftright("h", shift).alias("prefix"))
+                  .agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi")).collect())
+        counts.sort(key=lambda r: r["prefix"])
+        for v, (_, rank) in open_.items():
+            for r in counts:
+                if r["label"] == v or (v != v and r["label"] != r["label"]):
+                    if rank <= r["n"]:
+                        open_[v] = (r["prefix"], rank)
+                        if r["lo"] == r["hi"]:
+                            cuts[v] = (r["lo"], rank)
+                        break
+                    rank -= r["n"]
+    return cuts
+
+
 def stratified_split(df: DataFrame, label: str, key: str, train_frac: float = 0.75, seed: int = SEED):
-    """ML-07: exact per-class train/test split by seeded hash rank."""
-    r = materialize(stratified_rank(df, label, key, seed))
-    is_train = F.col("_pos") <= F.floor(F.col("_n_s") * train_frac)
-    return (r.filter(is_train).drop("_pos", "_n_s"), r.filter(~is_train).drop("_pos", "_n_s"))
+    """ML-07: exact per-class train/test split by seeded hash rank.
+
+    Rows are compared with the last training row's hash where they are: no order and
+    no copy of the rows.  Only rows that share this hash (a repeated key) are ranked.
+    ``df`` is read by both parts: give a written table."""
+    h = F.xxhash64(F.col(key).cast("string"), F.lit(seed))
+    below, at, quota = F.lit(False), F.lit(False), F.lit(0)
+    for v, (cut, rank) in stratum_cuts(df, label, key, train_frac, seed).items():
+        if cut is not None:
+            same = F.col(label).eqNullSafe(F.lit(v))
+            below, at, quota = below | (same & (h < cut)), at | (same & (h == cut)), F.when(same, F.lit(rank)).otherwise(quota)
+    known = df.filter(F.col(label).isNotNull())
+    tied = materialize(stratified_rank(known.filter(at), label, key, seed).withColumn("_train", F.col("_pos") <= quota)).select(*df.columns, "_train")
+    return (known.filter(below).unionByName(tied.filter("_train").drop("_train")),
+            known.filter(~below & ~at).unionByName(tied.filter("not _train").drop("_train")))
 
 
 def with_folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int = SEED) -> DataFrame:
@@ -197,7 +242,7 @@ def select_model(frame: DataFrame, num: Sequence[str], cat: Sequence[str], key:
     cat = split_levels(frame, cat)
     feats = Pipeline(stages=feature_stages(num, cat, scale=False)).fit(frame)
     data = feats.transform(frame).withColumn("weight", balanced_weight(frame))
-    data = data.select(key, "label", "features", "weight")
+    data = materialize(data.select(key, "label", "features", "weight"))
     train, test = stratified_split(data, "label", key, 0.75, seed)   # 75/25 holdout
     if len(_classes(train)) < 2:  # a class of a single row
         return nothing(None)

@@ -20,3 +20,27 @@ def test_impossible_dates_have_no_shape(spark):
     assert all(r.a == r.b for r in df.select(C.parse_date("x").cast("string").alias("a"), plain.cast("string").alias("b")).collect())
     day_first = spark.createDataFrame([("31/12/1995",), ("12/31/1995",)], "x string")
     assert [r[0] for r in day_first.select(F.col("x").rlike(C.date_shape("MM/dd/yyyy"))).collect()] == [False, True]
+
+
+def test_split_is_exact_and_moves_no_rows(spark):
+    rows = [(i, float(i % 3 == 0), f"v{i}") for i in range(997)] + [(None, 1.0, f"n{i}") for i in range(50)] + [(5, 0.0, f"d{i}") for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, label double, v string").unionByName(
+        spark.createDataFrame([(1, None, "no label")], "id long, label double, v string"))
+    train, test = M.stratified_split(df, "label", "id")
+    for label, n in ((0.0, 664 + 40), (1.0, 333 + 50)):
+        assert train.filter(F.col("label") == label).count() == n * 3 // 4
+        assert train.unionByName(test).filter(F.col("label") == label).select("v").distinct().count() == n
+    h = F.xxhash64(F.col("id").cast("string"), F.lit(M.SEED))
+    w = Window.partitionBy("label").orderBy(h)
+    want = df.filter("label is not null").withColumn("lo", F.rank().over(w)).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("label")))
+    sure = {r.v for r in want.withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("label", h))).filter("lo + k - 1 <= floor(n * 0.75)").collect()}
+    assert sure <= {r.v for r in train.collect()}
+    assert "RepartitionByExpression" not in _plan(train)
+
+
+def test_split_of_tiny_strata(spark):
+    df = spark.createDataFrame([(1, 0.0), (2, 1.0), (3, 1.0)], "id long, label double")
+    train, test = M.stratified_split(df, "label", "id")
+    assert train.count() == 1 and test.count() == 2
+    empty = [p.count() for p in M.stratified_split(df.limit(0), "label", "id")]
+    assert empty == [0, 0]
