@@ -306,6 +306,14 @@ def _fold_models(est, data: DataFrame, folds: int) -> list:
         return list(ex.map(lambda f: est.copy().fit(data.filter(F.col("fold") != f)), range(folds)))
 
 
+def _dealt(rows: DataFrame, per_task: int = 250_000) -> DataFrame:
+    """Rows for a forest, at most about ``per_task`` a task: a forest holds several
+    hundred bytes a row (one number a tree), so a task's share of a compact file can
+    be some GB.  Rows that are few enough stay where they are."""
+    n = -(-rows.count() // per_task)
+    return rows if rows.rdd.getNumPartitions() >= n else rows.repartition(n)
+
+
 def score_with(frame: DataFrame, num: Sequence[str], cat: Sequence[str], estimator) -> DataFrame:
     """EVA-07 with a fitted model: probability and priority tier per row.  If
     only one class occurs there is nothing to fit: each row's probability is
@@ -327,7 +335,7 @@ def importance_table(frame: DataFrame, num: Sequence[str], cat: Sequence[str], t
     cat = split_levels(frame, cat)
     pipe = Pipeline(stages=feature_stages(num, cat) + [
         RandomForestClassifier(numTrees=TREES, seed=SEED, weightCol="weight")]).fit(
-        frame.withColumn("weight", balanced_weight(frame)))
+        _dealt(frame.select("label", *num, *cat)).withColumn("weight", balanced_weight(frame)))
     model = pipe.stages[-1]
     names = _feature_names(pipe.transform(frame.limit(1)).schema["features"].metadata, model.numFeatures)
     imp = model.featureImportances.toArray().tolist()

@@ -44,3 +44,9 @@ def test_split_of_tiny_strata(spark):
     assert train.count() == 1 and test.count() == 2
     empty = [p.count() for p in M.stratified_split(df.limit(0), "label", "id")]
     assert empty == [0, 0]
+
+
+def test_forest_rows_are_dealt_over_tasks(spark):
+    df = spark.range(1000).coalesce(1)
+    assert M._dealt(df, per_task=10).rdd.getNumPartitions() == 100
+    assert M._dealt(df).rdd.getNumPartitions() == 1
