@@ -151,6 +151,14 @@ def stratified_split(df: DataFrame, label: str, key: str, train_frac: float = 0.
             known.filter(~below & ~at).unionByName(tied.filter("not _train").drop("_train")))
 
 
+def ranked_split(df: DataFrame, label: str, key: str, train_frac: float = 0.75, seed: int = SEED):
+    """The parts of ``stratified_split``, written in hash order: a forest draws its
+    rows by their place, so its fit depends on how its training part is laid out."""
+    r = materialize(stratified_rank(df, label, key, seed))
+    is_train = F.col("_pos") <= F.floor(F.col("_n_s") * train_frac)
+    return (r.filter(is_train).drop("_pos", "_n_s"), r.filter(~is_train).drop("_pos", "_n_s"))
+
+
 def with_folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int = SEED) -> DataFrame:
     """ML-08: stratified fold id 0..k-1 (round robin over the hash order)."""
     r = stratified_rank(df, label, key, seed)
@@ -242,18 +250,17 @@ def select_model(frame: DataFrame, num: Sequence[str], cat: Sequence[str], key:
     cat = split_levels(frame, cat)
     feats = Pipeline(stages=feature_stages(num, cat, scale=False)).fit(frame)
     data = feats.transform(frame).withColumn("weight", balanced_weight(frame))
-    data = materialize(data.select(key, "label", "features", "weight"))
-    train, test = stratified_split(data, "label", key, 0.75, seed)   # 75/25 holdout
+    data = data.select(key, "label", "features", "weight")
+    train, test = ranked_split(data, "label", key, 0.75, seed)   # 75/25 holdout
     if len(_classes(train)) < 2:  # a class of a single row
         return nothing(None)
     data = materialize(with_folds(data, "label", key, folds, seed))  # k-fold CV over all rows
-    fitted, predicted = {}, None
-    for name, est in models.items():
-        fitted[name] = est.fit(train)
-        parts = [(-1, fitted[name], test), *((f, m, data.filter(F.col("fold") == f)) for f, m in enumerate(_fold_models(est, data, folds)))]
-        for fold, m, rows in parts:
-            p = _prob(m.transform(rows)).select(F.lit(name).alias("model"), F.lit(fold).alias("fold"), "label", "score")
-            predicted = p if predicted is None else predicted.unionByName(p)
+    parts = {-1: (train, test), **{f: (data.filter(F.col("fold") != f), data.filter(F.col("fold") == f)) for f in range(folds)}}
+    trained = _fit_all(models, {f: fit for f, (fit, _) in parts.items()})
+    fitted, predicted = {name: trained[name, -1] for name in models}, None
+    for (name, fold), m in trained.items():
+        p = _prob(m.transform(parts[fold][1])).select(F.lit(name).alias("model"), F.lit(fold).alias("fold"), "label", "score")
+        predicted = p if predicted is None else predicted.unionByName(p)
     predicted = materialize(predicted)
     aucs = {(r["model"], r["fold"]): r["auc"] for r in EV.auc(predicted, by=["model", "fold"]).collect()}
     out = []
@@ -297,15 +304,6 @@ def _classes(frame: DataFrame) -> list[float]:
     return [r[0] for r in frame.select(F.col("label").cast("double")).distinct().limit(2).collect()]
 
 
-def _fold_models(est, data: DataFrame, folds: int) -> list:
-    """Fit the k fold models concurrently (as ``CrossValidator(parallelism=k)``
-    does) on the stored fold table."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    with ThreadPoolExecutor(max_workers=folds) as ex:
-        return list(ex.map(lambda f: est.copy().fit(data.filter(F.col("fold") != f)), range(folds)))
-
-
 def _dealt(rows: DataFrame, per_task: int = 250_000) -> DataFrame:
     """Rows for a forest, at most about ``per_task`` a task: a forest holds several
     hundred bytes a row (one number a tree), so a task's share of a compact file can
@@ -314,6 +312,31 @@ def _dealt(rows: DataFrame, per_task: int = 250_000) -> DataFrame:
     return rows if rows.rdd.getNumPartitions() >= n else rows.repartition(n)
 
 
+def _fit_all(models: dict, parts: dict, few: int = 1_000_000) -> dict:
+    """Fit every model on every part.  A fit is a long chain of short jobs, so fits run
+    together: over at most ``few`` rows a part all of them, the longest chains first, with
+    the parts held in memory; over more rows one model's at a time."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    short = all(rows.count() <= few for rows in parts.values())
+    held = {p: rows.select("label", "features", "weight") for p, rows in parts.items()}
+    order = sorted(models, key=lambda m: not isinstance(models[m], GBTClassifier))
+    done = {}
+    if short:
+        for rows in held.values():
+            rows.persist()
+    try:
+        for batch in [order] if short else [[name] for name in order]:
+            tasks = [(name, p) for name in batch for p in parts]
+            with ThreadPoolExecutor(max_workers=len(tasks)) as ex:
+                done.update(zip(tasks, ex.map(lambda t: models[t[0]].copy().fit(held[t[1]]), tasks)))
+    finally:
+        if short:
+            for rows in held.values():
+                rows.unpersist()
+    return {(name, p): done[name, p] for name in models for p in parts}
+
+
 def score_with(frame: DataFrame, num: Sequence[str], cat: Sequence[str], estimator) -> DataFrame:
     """EVA-07 with a fitted model: probability and priority tier per row.  If
     only one class occurs there is nothing to fit: each row's probability is

@@ -50,3 +50,25 @@ def test_forest_rows_are_dealt_over_tasks(spark):
     df = spark.range(1000).coalesce(1)
     assert M._dealt(df, per_task=10).rdd.getNumPartitions() == 100
     assert M._dealt(df).rdd.getNumPartitions() == 1
+
+
+class _Slow:
+    """An estimator that meets its fellows: its fit ends when all of them have begun."""
+
+    def __init__(self, gate):
+        self.gate = gate
+
+    def copy(self):
+        return self
+
+    def fit(self, rows):
+        self.gate.wait(timeout=60)
+        return rows.count()
+
+
+def test_all_models_are_fitted_together(spark):
+    import threading
+    gate = threading.Barrier(4)
+    rows = spark.range(30).selectExpr("cast(id % 2 as double) as label", "id as features", "1.0 as weight", "id")
+    parts = {f: rows.filter(F.col("id") % 2 != f) for f in (0, 1)}
+    assert set(M._fit_all({"a": _Slow(gate), "b": _Slow(gate)}, parts).values()) == {15}
