@@ -146,16 +146,22 @@ def probes(length: int, shorter: int, threshold: int) -> list[tuple[int, int, in
     return out
 
 
-def signatures(lines: list[str]) -> np.ndarray:
+def _codes(lines: list[str]) -> np.ndarray:
+    """The code points of all lines, one after the other."""
+    return np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32).astype(np.uint64)
+
+
+def signatures(lines: list[str], codes: np.ndarray | None = None) -> np.ndarray:
     """Per line 32 parities of hashed characters and 32 of character pairs."""
-    codes = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    codes = (_codes(lines) if codes is None else codes).astype(np.uint32)
     starts = np.concatenate(([0], np.cumsum([len(x) for x in lines])))
-    spread = np.uint64(0x9E3779B97F4A7C15)
-    single = np.uint64(1) << ((codes * spread) >> np.uint64(59))
+    one, spread, bits = np.uint32(1), np.uint32(0x9E3779B1), np.uint32(27)
+    single = one << (codes * spread >> bits)
     pairs = np.zeros_like(codes)
-    pairs[:-1] = np.uint64(1) << (np.uint64(32) + (((codes[:-1] * np.uint64(1 << 21) + codes[1:]) * spread) >> np.uint64(59)))
+    pairs[:-1] = one << ((codes[:-1] * np.uint32(0x85EBCA6B) + codes[1:]) * spread >> bits)
     pairs[starts[1:] - 1] = 0  # no pair across lines
-    return np.bitwise_xor.reduceat(single ^ pairs, starts[:-1])
+    single, pairs = (np.bitwise_xor.reduceat(x, starts[:-1]).astype(np.uint64) for x in (single, pairs))
+    return single | pairs << np.uint64(32)
 
 
 def _alike(a: np.ndarray, b: np.ndarray, threshold: int) -> np.ndarray:
@@ -190,6 +196,10 @@ _KEYS = T.StructType([T.StructField(c, T.LongType()) for c in ("key", "lid", "si
 _FOUND = T.StructType([T.StructField(c, T.LongType()) for c in ("a", "b", "key", "sig")])
 
 
+#: documents whose texts a worker holds as Python strings at a time
+SLICE = 500
+
+
 def _occurrences(min_chars: int, least: int):
     """Rows (id, row, pos, lid, lid2, line) of all lines of (id, row, text); the
     normal text of a line of at least ``least`` characters stands at its first row
@@ -197,25 +207,29 @@ def _occurrences(min_chars: int, least: int):
     def occur(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            at, pos, lines = [], [], []
-            for k, t in enumerate(batch.column("text").to_pylist()):
-                for n, line in enumerate(t.split("\n")):
-                    x = " ".join(line.lower().split())
-                    if len(x) >= min_chars:
-                        at.append(k)
-                        pos.append(n)
-                        lines.append(x)
-            one, two = line_ids(lines)
-            texts: list[str | None] = []
-            for lid, x in zip(one.tolist(), lines):
-                new = len(x) >= least and lid not in seen
-                if new:
-                    seen.add(lid)
-                texts.append(x if new else None)
-            where = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("id").take(where), batch.column("row").take(where), pa.array(pos, pa.int32()),
-                                              pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(texts, pa.string())],
-                                             names=["id", "row", "pos", "lid", "lid2", "line"])
+            for first in range(0, batch.num_rows, SLICE):
+                yield of_slice(batch.slice(first, SLICE), seen)
+
+    def of_slice(batch: pa.RecordBatch, seen: set[int]) -> pa.RecordBatch:
+        at, pos, lines = [], [], []
+        for k, t in enumerate(batch.column("text").to_pylist()):
+            for n, line in enumerate(t.lower().split("\n")):
+                x = " ".join(line.split())
+                if len(x) >= min_chars:
+                    at.append(k)
+                    pos.append(n)
+                    lines.append(x)
+        one, two = line_ids(lines)
+        texts: list[str | None] = []
+        for lid, x in zip(one.tolist(), lines):
+            new = len(x) >= least and lid not in seen
+            if new:
+                seen.add(lid)
+            texts.append(x if new else None)
+        where = pa.array(at, pa.int64())
+        return pa.RecordBatch.from_arrays([batch.column("id").take(where), batch.column("row").take(where), pa.array(pos, pa.int32()),
+                                           pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(texts, pa.string())],
+                                          names=["id", "row", "pos", "lid", "lid2", "line"])
     return occur
 
 
@@ -224,37 +238,72 @@ def _occurrences(min_chars: int, least: int):
 _EDITS = 31
 
 
+_MULTIPLIER = 0x9E3779B97F4A7C15
+_INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """base ** 0 .. base ** (n - 1), modulo 2 ** 64."""
+    out = np.full(max(n, 1), np.uint64(base))
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
+
+
+class _Pieces:
+    """64-bit hashes of pieces of texts that stand one after the other: a
+    polynomial in the code points, from running sums, so that a piece costs the
+    same however long it is, and equal pieces have equal hashes wherever they stand."""
+
+    def __init__(self) -> None:
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def hashes(self, codes: np.ndarray, seeds: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        if len(self.up) <= len(codes):
+            n = 2 * len(codes) + 1
+            self.up, self.down = _powers(_MULTIPLIER, n), _powers(_INVERSE, n)
+        sums = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum((codes + np.uint64(1)) * self.up[:len(codes)], out=sums[1:])
+        return _mixed((sums[ends] - sums[starts]) * self.down[starts] ^ seeds)
+
+
 def _make_keys(threshold: int, edit_chars: int, least: int):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plans: dict[int, tuple[list[tuple[int, int, int]], np.ndarray]] = {}
-        digest = xxhash.xxh3_64_digest
+        plans: dict[int, np.ndarray] = {}
+        pieces = _Pieces()
 
-        def plan(n: int) -> tuple[list[tuple[int, int, int]], np.ndarray]:
-            """(seed, start, end) of the segments and then of the probes of a line
-            of ``n`` characters, and the low bits of their keys."""
+        def plan(n: int) -> np.ndarray:
+            """Columns (seed, start, end, low bits of the key) of the segments and
+            then of the probes of a line of ``n`` characters."""
             edits = {m: edits_of(m, threshold, edit_chars) for m in range(max(least, n - threshold), n + 1)}
             held = [(n << 8 | k, at, at + size) for k, (at, size) in enumerate(segments(n, edits[n] + 1))]
             asked = [(shorter << 8 | k, p, p + size) for shorter, most in edits.items() if n - shorter <= most
                      for k, p, size in probes(n, shorter, most)]
             steps = held + [x for x in asked if x not in held]
-            low = [edits[seed >> 8] << 1 | (i >= len(held)) for i, (seed, _, _) in enumerate(steps)]
-            return steps, np.array(low, np.int64)
+            columns = np.array([(*x, edits[x[0] >> 8] << 1 | (i >= len(held))) for i, x in enumerate(steps)], np.int64)
+            columns[:, 0] = _mixed(columns[:, 0].astype(np.uint64)).view(np.int64)
+            return columns
 
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 lines, lids = part.column("line").to_pylist(), part.column("lid").to_numpy(zero_copy_only=False)
-                todo = []
-                for line in lines:
-                    n = len(line)
-                    if n not in plans:
-                        plans[n] = plan(n)
-                    todo.append(plans[n])
-                keys = b"".join([digest(line[s:e], seed) for line, (steps, _) in zip(lines, todo) for seed, s, e in steps])
-                count = [len(steps) for steps, _ in todo]
-                keys = np.frombuffer(keys, ">i8").astype(np.int64) & ~(_EDITS << 1 | 1) | np.concatenate([t for _, t in todo])
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(lids, count)),
-                                                  pa.array(np.repeat(signatures(lines).view(np.int64), count))], names=["key", "lid", "sig"])
+                sizes = np.array([len(x) for x in lines], np.int64)
+                for n in set(sizes.tolist()) - plans.keys():
+                    plans[n] = plan(n)
+                todo = [plans[n] for n in sizes.tolist()]
+                count = [len(p) for p in todo]
+                seeds, starts, ends, low = np.ascontiguousarray(np.concatenate(todo).T)
+                begin = np.repeat(np.cumsum(sizes) - sizes, count)
+                codes = _codes(lines)
+                keys = pieces.hashes(codes, seeds.view(np.uint64), begin + starts, begin + ends).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(keys & ~(_EDITS << 1 | 1) | low), pa.array(np.repeat(lids, count)),
+                                                  pa.array(np.repeat(signatures(lines, codes).view(np.int64), count))], names=["key", "lid", "sig"])
     return make
 
 
@@ -293,7 +342,9 @@ def _match_stream(group_rows: int, heavy: list[int]):
                 name = key >> 1
                 starts = np.concatenate(([0], np.flatnonzero(name[1:] != name[:-1]) + 1))
                 ends = np.append(starts[1:], len(key))
-                some = ends - starts > 1
+                # of the groups only those with an indexed row (these stand first) and two lines can have pairs
+                some = (ends - starts > 1) & (key[starts] & 1 == 0) & (np.minimum.reduceat(lid, starts) != np.maximum.reduceat(lid, starts))
+                some |= ends - starts > group_rows
                 some[0] |= name[0] == hot    # the last row of a hot key may open a batch on its own
                 for s, e in zip(starts[some].tolist(), ends[some].tolist()):
                     if name[s] == hot or e - s > group_rows:
@@ -392,22 +443,31 @@ _RESULT = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_
                         T.StructField("n_removed", T.LongType()), T.StructField("share", T.DoubleType())])
 
 
-@F.pandas_udf(_RESULT)
-def _without(texts: pd.Series, removed: pd.Series) -> pd.DataFrame:
-    rows = []
-    for text, gone in zip(texts, removed):
-        if text is None:
-            rows.append((None, 0, 0, 1.0))
-            continue
-        lines = text.split("\n")
-        if gone is None or not len(gone):
-            rows.append((text, len(lines), 0, 1.0))
-            continue
-        out = set(int(x) for x in gone)
-        kept = [x for i, x in enumerate(lines) if i not in out]
-        before, after = (sum(len("".join(x.split())) for x in part) for part in (lines, kept))
-        rows.append(("\n".join(kept), len(lines), len(out), after / before if before else 1.0))
-    return pd.DataFrame(rows, columns=["text", "n_lines", "n_removed", "share"])
+_ARROW = pa.struct([("text", pa.string()), ("n_lines", pa.int64()), ("n_removed", pa.int64()), ("share", pa.float64())])
+
+
+def _left(text: str | None, gone: list[int] | None) -> tuple[str | None, int, int, float]:
+    if text is None:
+        return None, 0, 0, 1.0
+    if not gone:
+        return text, text.count("\n") + 1, 0, 1.0
+    lines, out = text.split("\n"), set(gone)
+    kept = "\n".join(x for i, x in enumerate(lines) if i not in out)
+    before, after = (len("".join(x.split())) for x in (text, kept))
+    return kept, len(lines), len(out), after / before if before else 1.0
+
+
+def _without_lines(texts: pa.Array, removed: pa.Array) -> pa.Array:
+    parts = []
+    for at in range(0, len(texts), SLICE):
+        rows = zip(*map(_left, texts.slice(at, SLICE).to_pylist(), removed.slice(at, SLICE).to_pylist()))
+        parts.append(pa.StructArray.from_arrays([pa.array(x, f.type) for x, f in zip(rows, _ARROW)], fields=list(_ARROW)))
+    return pa.concat_arrays(parts) if parts else pa.array([], _ARROW)
+
+
+#: called nondeterministic, so that a filter on the result stays above it: pushed
+#: below, it would call the function a second time, by a second worker
+_without = F.arrow_udf(_without_lines, _RESULT).asNondeterministic()
 
 
 def dedup_lines(documents: DataFrame, threshold: int = 2, min_chars: int = 1, edit_chars: int = 32, id_col: str = "doc_id",
