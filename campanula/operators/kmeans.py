@@ -65,23 +65,26 @@ _SUMS = T.StructType([T.StructField("model", T.IntegerType()), T.StructField("cl
 
 def _pass(points: DataFrame, models: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
     """Per model the sums by cluster: rows, squared distances, squared norms, then the coordinates."""
+    stacked, ends = np.concatenate(list(models.values())), np.cumsum([len(c) for c in models.values()])
+    spans = list(zip(ends - [len(c) for c in models.values()], ends))
+
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = {m: np.zeros((len(c), c.shape[1] + 3)) for m, c in models.items()}
+        total = np.zeros((len(stacked), stacked.shape[1] + 3))
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = _points(batch)
-            norms = (x * x).sum(1)
-            for m, centres in models.items():
-                d = _distances(x, centres)
-                near = d.argmin(1)
-                hot = np.zeros((len(x), len(centres)))
-                hot[np.arange(len(x)), near] = 1.0
-                total[m] += hot.T @ np.column_stack((np.ones(len(x)), d[np.arange(len(x)), near], norms, x))
-        for m, t in total.items():
-            i, j = np.nonzero(t)
+            points_ = _points(batch) if batch.num_rows else ()
+            for at in range(0, len(points_), 1000):  # the distances to all centres stay in the cache
+                x = points_[at:at + 1000]
+                d = _distances(x, stacked)
+                hot = np.zeros_like(d)
+                row = np.arange(len(x))
+                for a, b in spans:
+                    hot[row, a + d[:, a:b].argmin(1)] = 1.0
+                total[:, 1] += np.einsum("ij,ij->j", hot, d)
+                total[:, [0, *range(2, total.shape[1])]] += hot.T @ np.column_stack((np.ones(len(x)), (x * x).sum(1), x))
+        for m, (a, b) in zip(models, spans):
+            i, j = np.nonzero(total[a:b])
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(i), m), pa.int32()), pa.array(i, pa.int32()), pa.array(j, pa.int32()),
-                                              pa.array(t[i, j])], names=_SUMS.names)
+                                              pa.array(total[a:b][i, j])], names=_SUMS.names)
 
     out = {m: np.zeros((len(c), c.shape[1] + 3)) for m, c in models.items()}
     for r in points.mapInArrow(sums, _SUMS).groupBy("model", "cluster", "at").agg(F.sum("v").alias("v")).collect():
