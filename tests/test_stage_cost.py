@@ -2,6 +2,7 @@
 
 import datetime as dt
 import itertools
+import threading
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from campanula.operators import describe as D
 from campanula.operators import kmeans as K
 from campanula.operators.tables import CLEANERS
+from campanula.plans import q_core
 from campanula.plans.registry import Tables
 from campanula.session import split_methods
 from campanula.sources import files
@@ -28,6 +30,26 @@ def test_silver_does_not_land_bronze(spark):
     assert silver == sorted(map(tuple, landed.leads.collect()), key=repr)
 
 
+def test_csv_exports_are_written_once_from_the_source_and_side_by_side(spark, monkeypatch):
+    together, seen, write = threading.Barrier(5), [], files.write_raw
+
+    def waiting(df, path, damage):
+        together.wait(60)  # no export ends before all have begun
+        seen.append((path.rsplit("/", 1)[1], path.rsplit("/", 1)[0], spark.conf.get(LIMIT)))
+        write(df, path, damage)
+    monkeypatch.setattr(files, "write_raw", waiting)
+    t, before = Tables(spark, SF_SMALL), spark.conf.get(LIMIT)
+    monkeypatch.setattr(q_core, "tables", lambda *_: t)
+    first = sorted(map(tuple, q_core.q_csv_scan(spark, SF_SMALL).collect()))
+    assert {s[0] for s in seen} == {f"csv_{n}" for n in q_core._EXPORTS} and len(seen) == 5
+    assert {s[1:] for s in seen} == {(t.stage_root, "8000")} and spark.conf.get(LIMIT) == before
+    assert not t._stages  # no Parquet copy of the exports on the way
+    monkeypatch.setattr(files, "write_raw", None)
+    assert sorted(map(tuple, q_core.q_csv_scan(spark, SF_SMALL).collect())) == first  # written once
+    good = {r[0]: r[1] + r[2] for r in first}
+    assert good == {n: t.raw_bronze[n].count() for n in q_core._EXPORTS}
+
+
 def test_stages_are_compiled_in_small_methods(spark, monkeypatch):
     seen, write = [], files.write_stage
     monkeypatch.setattr(files, "write_stage", lambda df, path: (seen.append(spark.conf.get(LIMIT)), write(df, path)))
