@@ -11,7 +11,9 @@ table into two tasks).
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -21,7 +23,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, NaiveBayes,
                                        RandomForestClassifier)
 from pyspark.ml.feature import (OneHotEncoder, PCA, StandardScaler, StringIndexer,
-                                VectorAssembler)
+                                StringIndexerModel, VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -375,6 +377,18 @@ def _feature_names(meta: dict, n: int) -> list[str]:
     return names
 
 
+def linear_terms(enc: PipelineModel, model, num: Sequence[str], cat: Sequence[str], x: Column) -> dict[str, Column]:
+    """What each column adds to the margin of a logistic regression fitted on
+    ``feature_stages``: the sum over its slots of the feature array ``x``."""
+    slots = {s.getInputCol(): len(s.labels) - 1 for s in enc.stages if isinstance(s, StringIndexerModel)}
+    weights, at, terms = model.coefficients.toArray().tolist(), 0, {}
+    for c in (*num, *cat):
+        n = slots.get(c, 1)
+        terms[c] = functools.reduce(operator.add, [x[i] * weights[i] for i in range(at, at + n)])
+        at += n
+    return terms
+
+
 def permutation_importance(frame: DataFrame, num: Sequence[str], cat: Sequence[str], key: str,
                            columns: Sequence[str], seed: int = SEED) -> DataFrame:
     """ML-17 (re-aimed tree SHAP): AUC drop on holdout rows when one column is
@@ -391,22 +405,26 @@ def permutation_importance(frame: DataFrame, num: Sequence[str], cat: Sequence[s
     fit = enc.transform(train.withColumn("weight", balanced_weight(train)))
     model = LogisticRegression(maxIter=200, weightCol="weight", featuresCol="features").fit(fit)
 
-    by_key = materialize(RK.prefix_sum(fw, [F.col(key)]).withColumnRenamed("_cum", "_r")
-                         .drop("_cum_before", "_w"))
-    by_hash = materialize(RK.prefix_sum(fw.select(key, *columns).withColumn(
+    used = [*num, *cat]
+    # the fitted stages see every holdout row once; a copy with another row's value differs by one term
+    terms = linear_terms(enc, model, num, cat, F.col("_x"))
+    held = materialize(enc.transform(fw).select(key, "label", vector_to_array("features").alias("_x"))
+                       .select(key, "label", *[terms[c].alias(f"_t_{c}") for c in used]))
+    by_key = materialize(RK.prefix_sum(held, [F.col(key)]).withColumnRenamed("_cum", "_r")
+                         .drop("_cum_before", "_w", key))
+    by_hash = materialize(RK.prefix_sum(held.select(key, *[F.col(f"_t_{c}").alias(f"_p_{c}") for c in columns]).withColumn(
         "_h", F.xxhash64(F.col(key).cast("string"), F.lit(seed))), [F.col("_h"), F.col(key)])
         .withColumnRenamed("_cum", "_r").drop("_cum_before", "_w", "_h", key))
-    # every row once as it is and once per column with that column's value from its partner row
-    pairs = by_key.join(by_hash.select("_r", *[F.col(c).alias(f"_p_{c}") for c in columns]), "_r")
-    used = [*num, *cat]
-
-    def variant(name, swapped=None):
-        return F.struct(F.lit(name).alias("feature"), *[F.col(f"_p_{c}" if c == swapped else c).alias(c) for c in used])
-    every = pairs.select("label", F.explode(F.array(variant(""), *[variant(c, c) for c in columns])).alias("_v")).select("label", "_v.*")
-    aucs = small(EV.auc(_prob(model.transform(enc.transform(every))).select("feature", "label", "score"), by=["feature"]))
-    base = scalar(aucs.filter("feature = ''"), F.first("auc"))
-    return aucs.filter("feature <> ''").select("feature", base.alias("base_auc"), F.col("auc").alias("permuted_auc"),
-                                               (base - F.col("auc")).alias("auc_drop"))
+    # every row once as it is (-1) and once per column with that column's term from its partner row
+    every = by_key.join(by_hash, "_r").withColumn("_v", F.explode(F.array(*[F.lit(i) for i in range(-1, len(columns))])))
+    swapped = [F.when(F.col("_v") == columns.index(c), F.col(f"_p_{c}")).otherwise(F.col(f"_t_{c}")) if c in columns else F.col(f"_t_{c}")
+               for c in used]
+    margin = functools.reduce(operator.add, swapped, F.lit(0.0)) + float(model.intercept)
+    aucs = small(EV.auc(every.select("_v", "label", (1.0 / (1.0 + F.exp(-margin))).alias("score")), by=["_v"]))
+    base = scalar(aucs.filter("_v = -1"), F.first("auc"))
+    names = F.array(*[F.lit(c) for c in columns]) if columns else F.array().cast("array<string>")
+    return aucs.filter("_v >= 0").select(F.get(names, F.col("_v")).alias("feature"), base.alias("base_auc"),
+                                         F.col("auc").alias("permuted_auc"), (base - F.col("auc")).alias("auc_drop"))
 
 
 def segment_matrix(abt: DataFrame, feats: Sequence[str] = SEGMENT_FEATURES) -> DataFrame:

@@ -1,5 +1,7 @@
 """Dates, splits and tree fits at scale: the same results without formatters, ordered copies or crowded tasks."""
 
+import numpy as np
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -72,3 +74,35 @@ def test_all_models_are_fitted_together(spark):
     rows = spark.range(30).selectExpr("cast(id % 2 as double) as label", "id as features", "1.0 as weight", "id")
     parts = {f: rows.filter(F.col("id") % 2 != f) for f in (0, 1)}
     assert set(M._fit_all({"a": _Slow(gate), "b": _Slow(gate)}, parts).values()) == {15}
+
+
+def test_permuted_copies_are_scored_without_the_fitted_stages(spark, monkeypatch):
+    """Each copy's score is the model's own; the encoder and the model see a row once, not once per column."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+
+    rng = np.random.default_rng(3)
+    rows = [(f"k{i}", float(rng.random() < 1 / (1 + np.exp(-x - (i % 3)))), float(x), float(i % 4), "abc"[i % 3], "uv"[i % 2], "one")
+            for i, x in enumerate(rng.normal(size=400))]
+    df = spark.createDataFrame(rows, "id string, label double, x double, z double, c string, d string, e string")
+    scored, auc = [], M.EV.auc
+    monkeypatch.setattr(M.EV, "auc", lambda p, **k: (scored.append(p), auc(p, **k))[1])
+    columns = ["x", "c", "d", "e"]  # z is in the model but not permuted, e has one level
+    got = {r.feature: r for r in M.permutation_importance(df, ["x", "z"], ["c", "d", "e"], "id", columns).collect()}
+    assert "UDF" not in _plan(scored[0])
+
+    train, held = M.stratified_split(df, "label", "id")
+    enc = Pipeline(stages=M.feature_stages(["x", "z"], ["c", "d"])).fit(df)
+    model = LogisticRegression(maxIter=200, weightCol="weight").fit(enc.transform(train.withColumn("weight", M.balanced_weight(train))))
+    held = held.withColumn("_h", F.xxhash64("id", F.lit(M.SEED))).toPandas().sort_values("id").reset_index(drop=True)
+    partner = held.sort_values(["_h", "id"]).reset_index(drop=True)
+
+    def plain(frame):
+        p = M._prob(model.transform(enc.transform(spark.createDataFrame(frame.drop(columns="_h"))))).select("label", "score").toPandas()
+        pos, neg = p.score[p.label == 1].to_numpy()[:, None], p.score[p.label == 0].to_numpy()[None]
+        return float(((pos > neg) + (pos == neg) / 2).mean())
+    assert set(got) == {"x", "c", "d"}
+    for c, r in got.items():
+        assert r.base_auc == pytest.approx(plain(held), abs=1e-9)
+        assert r.permuted_auc == pytest.approx(plain(held.assign(**{c: partner[c]})), abs=1e-9)
+        assert r.auc_drop == pytest.approx(r.base_auc - r.permuted_auc, abs=1e-12)
