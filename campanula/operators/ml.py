@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from campanula.functions import clean as C
+from campanula.operators import boosting as BO
 from campanula.operators import evaluate as EV
 from campanula.operators import gram as GR
 from campanula.operators import kmeans as KM
@@ -258,7 +259,8 @@ def select_model(frame: DataFrame, num: Sequence[str], cat: Sequence[str], key:
         return nothing(None)
     data = materialize(with_folds(data, "label", key, folds, seed))  # k-fold CV over all rows
     parts = {-1: (train, test), **{f: (data.filter(F.col("fold") != f), data.filter(F.col("fold") == f)) for f in range(folds)}}
-    trained = _fit_all(models, {f: fit for f, (fit, _) in parts.items()})
+    slots = [1] * len(num) + [len(s.labels) - 1 for s in feats.stages if isinstance(s, StringIndexerModel)]
+    trained = _fit_all(models, {f: fit for f, (fit, _) in parts.items()}, slots)
     fitted, predicted = {name: trained[name, -1] for name in models}, None
     for (name, fold), m in trained.items():
         p = _prob(m.transform(parts[fold][1])).select(F.lit(name).alias("model"), F.lit(fold).alias("fold"), "label", "score")
@@ -314,24 +316,34 @@ def _dealt(rows: DataFrame, per_task: int = 250_000) -> DataFrame:
     return rows if rows.rdd.getNumPartitions() >= n else rows.repartition(n)
 
 
-def _fit_all(models: dict, parts: dict, few: int = 1_000_000) -> dict:
+def _fit_all(models: dict, parts: dict, slots: Sequence[int] | None = None, few: int = 1_000_000) -> dict:
     """Fit every model on every part.  A fit is a long chain of short jobs, so fits run
     together: over at most ``few`` rows a part all of them, the longest chains first, with
-    the parts held in memory; over more rows one model's at a time."""
+    the parts held in memory; over more rows one model's at a time, on three parts (a
+    forest's rows take several hundred bytes each).  Boosting takes all parts in the same
+    passes (``slots``: see ``boosting.fit_parts``)."""
     from concurrent.futures import ThreadPoolExecutor
 
     short = all(rows.count() <= few for rows in parts.values())
     held = {p: rows.select("label", "features", "weight") for p, rows in parts.items()}
-    order = sorted(models, key=lambda m: not isinstance(models[m], GBTClassifier))
+    boosted = [m for m in models if BO.takes(models[m])]
+    order = [*boosted, *[m for m in models if m not in boosted]]
     done = {}
+
+    def fit(task):
+        name, p = task
+        if p is None:
+            return {(name, q): m for q, m in BO.fit_parts(held, models[name], slots).items()}
+        return {task: models[name].copy().fit(held[p])}
     if short:
         for rows in held.values():
             rows.persist()
     try:
         for batch in [order] if short else [[name] for name in order]:
-            tasks = [(name, p) for name in batch for p in parts]
-            with ThreadPoolExecutor(max_workers=len(tasks)) as ex:
-                done.update(zip(tasks, ex.map(lambda t: models[t[0]].copy().fit(held[t[1]]), tasks)))
+            tasks = [(name, p) for name in batch for p in ([None] if name in boosted else parts)]
+            with ThreadPoolExecutor(max_workers=len(tasks) if short else 3) as ex:
+                for fitted in ex.map(fit, tasks):
+                    done.update(fitted)
     finally:
         if short:
             for rows in held.values():
