@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from campanula.functions import clean as C
 from campanula.operators import boosting as BO
 from campanula.operators import evaluate as EV
+from campanula.operators import forest as FO
 from campanula.operators import gram as GR
 from campanula.operators import kmeans as KM
 from campanula.operators import ranks as RK
@@ -154,18 +155,20 @@ def stratified_split(df: DataFrame, label: str, key: str, train_frac: float = 0.
             known.filter(~below & ~at).unionByName(tied.filter("not _train").drop("_train")))
 
 
-def ranked_split(df: DataFrame, label: str, key: str, train_frac: float = 0.75, seed: int = SEED):
-    """The parts of ``stratified_split``, written in hash order: a forest draws its
-    rows by their place, so its fit depends on how its training part is laid out."""
-    r = materialize(stratified_rank(df, label, key, seed))
+def ranked_parts(ranked: DataFrame, train_frac: float):
+    """The parts of ``stratified_split`` from a written ``stratified_rank``, in hash order: a
+    forest draws its rows by their place, so its fit depends on how its training part is laid out."""
     is_train = F.col("_pos") <= F.floor(F.col("_n_s") * train_frac)
-    return (r.filter(is_train).drop("_pos", "_n_s"), r.filter(~is_train).drop("_pos", "_n_s"))
+    return ranked.filter(is_train), ranked.filter(~is_train)
 
 
 def with_folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int = SEED) -> DataFrame:
     """ML-08: stratified fold id 0..k-1 (round robin over the hash order)."""
-    r = stratified_rank(df, label, key, seed)
-    return r.withColumn("fold", ((F.col("_pos") - 1) % k).cast("int")).drop("_pos", "_n_s")
+    return stratified_rank(df, label, key, seed).withColumn("fold", _fold(k)).drop("_pos", "_n_s")
+
+
+def _fold(k: int) -> Column:
+    return ((F.col("_pos") - 1) % k).cast("int")
 
 
 def balanced_weight(df: DataFrame, label: str = "label") -> Column:
@@ -254,10 +257,11 @@ def select_model(frame: DataFrame, num: Sequence[str], cat: Sequence[str], key:
     feats = Pipeline(stages=feature_stages(num, cat, scale=False)).fit(frame)
     data = feats.transform(frame).withColumn("weight", balanced_weight(frame))
     data = data.select(key, "label", "features", "weight")
-    train, test = ranked_split(data, "label", key, 0.75, seed)   # 75/25 holdout
+    # one written hash order for the 75/25 holdout and the k-fold CV over all rows
+    data = materialize(stratified_rank(data, "label", key, seed).withColumn("fold", _fold(folds)))
+    train, test = ranked_parts(data, 0.75)
     if len(_classes(train)) < 2:  # a class of a single row
         return nothing(None)
-    data = materialize(with_folds(data, "label", key, folds, seed))  # k-fold CV over all rows
     parts = {-1: (train, test), **{f: (data.filter(F.col("fold") != f), data.filter(F.col("fold") == f)) for f in range(folds)}}
     slots = [1] * len(num) + [len(s.labels) - 1 for s in feats.stages if isinstance(s, StringIndexerModel)]
     trained = _fit_all(models, {f: fit for f, (fit, _) in parts.items()}, slots)
@@ -319,28 +323,30 @@ def _dealt(rows: DataFrame, per_task: int = 250_000) -> DataFrame:
 def _fit_all(models: dict, parts: dict, slots: Sequence[int] | None = None, few: int = 1_000_000) -> dict:
     """Fit every model on every part.  A fit is a long chain of short jobs, so fits run
     together: over at most ``few`` rows a part all of them, the longest chains first, with
-    the parts held in memory; over more rows one model's at a time, on three parts (a
-    forest's rows take several hundred bytes each).  Boosting takes all parts in the same
-    passes (``slots``: see ``boosting.fit_parts``)."""
+    the parts held in memory; over more rows one model's at a time, on three parts.
+    Boosting, and over more rows forests, take all parts in the same passes (``slots``:
+    see ``boosting.fit_parts``)."""
     from concurrent.futures import ThreadPoolExecutor
 
     short = all(rows.count() <= few for rows in parts.values())
     held = {p: rows.select("label", "features", "weight") for p, rows in parts.items()}
-    boosted = [m for m in models if BO.takes(models[m])]
-    order = [*boosted, *[m for m in models if m not in boosted]]
+    shared = {m: BO.fit_parts for m in models if BO.takes(models[m])}
+    if not short:  # over fewer rows a Spark forest is quicker, and its draws are kept
+        shared |= {m: FO.fit_parts for m in models if FO.takes(models[m])}
+    order = [*shared, *[m for m in models if m not in shared]]
     done = {}
 
     def fit(task):
         name, p = task
         if p is None:
-            return {(name, q): m for q, m in BO.fit_parts(held, models[name], slots).items()}
+            return {(name, q): m for q, m in shared[name](held, models[name], slots).items()}
         return {task: models[name].copy().fit(held[p])}
     if short:
         for rows in held.values():
             rows.persist()
     try:
         for batch in [order] if short else [[name] for name in order]:
-            tasks = [(name, p) for name in batch for p in ([None] if name in boosted else parts)]
+            tasks = [(name, p) for name in batch for p in ([None] if name in shared else parts)]
             with ThreadPoolExecutor(max_workers=len(tasks) if short else 3) as ex:
                 for fitted in ex.map(fit, tasks):
                     done.update(fitted)
