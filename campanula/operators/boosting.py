@@ -368,7 +368,7 @@ def fit_parts(parts: dict[int, DataFrame], estimator: GBTClassifier, slots: Sequ
     context = next(iter(parts.values())).sparkSession.sparkContext
     every = functools.reduce(DataFrame.unionAll, [_blocks(rows, p, cuts[p], slots) for p, rows in parts.items()])
     tasks = min(context.defaultParallelism, 1 + sum(counts.values()) // TASK)  # a pass is short, a task costs about 0.1 s whatever its rows
-    blocks = every.coalesce(tasks).rdd.map(_opened).persist(StorageLevel.MEMORY_AND_DISK)
+    blocks = every.coalesce(tasks).rdd.map(_opened).persist(StorageLevel.MEMORY_AND_DISK_DESER)  # already bytes: not serialised once more
     state, forest, counted = blocks, {p: [] for p in parts}, None
     try:
         for m in range(estimator.getMaxIter()):
@@ -376,7 +376,7 @@ def fit_parts(parts: dict[int, DataFrame], estimator: GBTClassifier, slots: Sequ
             if m and not last:  # the lineage is kept short: now and then from the start, by all trees
                 fresh = m % REFRESH < KEEP
                 grown = _grown(blocks if fresh else old, {p: f if fresh else f[-KEEP:] for p, f in forest.items()}, widths, depth)
-                state = grown.persist(StorageLevel.MEMORY_AND_DISK)
+                state = grown.persist(StorageLevel.MEMORY_AND_DISK_DESER)
             now = _grown(state, {p: f[-last:] for p, f in forest.items()}, widths, depth) if last else state
             trees = {p: [None] * (2 ** depth - 1) for p in parts}
             leaves = {p: np.zeros(2 ** depth) for p in parts}

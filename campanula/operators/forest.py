@@ -134,7 +134,7 @@ def fit_parts(parts: dict[int, DataFrame], estimator: RandomForestClassifier, sl
 
     tables = functools.reduce(DataFrame.unionAll, [BO._blocks(rows, p, cuts[p], slots, weight) for p, rows in parts.items()])
     context = tables.sparkSession.sparkContext
-    blocks = tables.rdd.mapPartitionsWithIndex(opened).persist(StorageLevel.MEMORY_AND_DISK)
+    blocks = tables.rdd.mapPartitionsWithIndex(opened).persist(StorageLevel.MEMORY_AND_DISK_DESER)
     forest = {(p, t): [None] * (2 ** depth - 1) for p in parts for t in range(trees)}
     weights = {k: [None] * (2 ** (depth + 1) - 1) for k in forest}
     try:
